@@ -27,8 +27,11 @@ def fields_of(line: Column) -> Column:
 
 
 def is_complete(line: Column) -> Column:
-    """True where a line has all fields. Further fields are ignored."""
-    return F.size(fields_of(line)) >= len(WIRE_FIELDS)
+    """True where a line has all fields. Further fields are ignored.
+
+    A line has enough commas where the text up to the last one needed is not all of it.
+    """
+    return F.substring_index(line, ",", len(WIRE_FIELDS) - 1) != line
 
 
 def named_fields(line: Column) -> list[Column]:

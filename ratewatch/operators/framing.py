@@ -30,7 +30,10 @@ def frame_responses(responses: DataFrame, text: str = "value") -> DataFrame:
     """
     complete = F.filter(wire.pieces(wire.strip(F.col(text))), wire.is_complete)
     message = F.array_join(F.transform(complete, wire.record_json), "\n")
-    return responses.withColumn(text, message).where(wire.strip(F.col(text)) != "")
+    # As a generator the message is made once, also with the filter on it.
+    kept = [F.col(c) for c in responses.columns if c != text]
+    framed = responses.select(*kept, F.explode(F.array(message)).alias(text))
+    return framed.where(F.col(text) != "")
 
 
 def frame_records(records: DataFrame, seq: str, size: int, value: str = "value") -> DataFrame:
