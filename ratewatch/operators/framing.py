@@ -44,7 +44,7 @@ def frame_records(records: DataFrame, seq: str, size: int, value: str = "value")
     """
     item = F.struct(F.col(seq).alias("seq"), F.col(value).alias("value"))
     return (
-        records.groupBy(F.floor(F.col(seq) / size).cast("bigint").alias("offset"))
+        records.groupBy(F.expr(f"`{seq}` div {size}").alias("offset"))
         .agg(F.array_sort(F.collect_list(item)).alias("items"))
         .select("offset", F.array_join(F.col("items.value"), "\n").alias(value))
     )

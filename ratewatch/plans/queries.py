@@ -7,7 +7,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ratewatch.functions.clock import recent_dates
 from ratewatch.operators import counts, envelope, framing, latest, serving, ticks, trends
@@ -15,6 +14,7 @@ from ratewatch.plans.replay import replay
 from ratewatch.schemas import (
     ANOMALY_TABLE,
     BOUND_FIELDS,
+    COUNT_TABLE,
     MEAN_TABLE,
     RESULT_KEY,
     STATISTICS_TABLE,
@@ -335,13 +335,10 @@ def stream_sliding_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def stream_tumbling_count(spark: SparkSession, sf: str) -> DataFrame:
-    schema = T.StructType.fromDDL(
-        "fx_marker string, timestamp_d date, window_start timestamp, window_end timestamp, count bigint"
-    )
     folder = replay(
         spark, sf, lambda messages, at: jobs.run_counts(messages, f"{at}/table", _run(at), duration=HOUR)
     )
-    return _table(spark, folder, schema)
+    return _table(spark, folder, COUNT_TABLE)
 
 
 @register

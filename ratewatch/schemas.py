@@ -34,8 +34,25 @@ TICK_KEY = ("fx_marker", "timestamp_d", "timestamp_ms")
 RESULT_KEY = ("fx_marker", "timestamp_d", "window_start")
 STATISTICS_KEY = ("fx_marker", "stat_gathered_date")
 
+_TYPES = {
+    "binary": T.BinaryType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def columns(**types: str) -> T.StructType:
+    """A schema from column names and type names; needs no session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in types.items()])
+
+
 # (key, value) messages. "offset" orders messages where the source knows an order.
-MESSAGE = T.StructType.fromDDL("key string, value binary, offset bigint")
+MESSAGE = columns(key="string", value="binary", offset="bigint")
 
 # Values of result messages.
 MEAN_VALUE = (
@@ -44,20 +61,24 @@ MEAN_VALUE = (
 )
 COUNT_VALUE = "window struct<start: timestamp, end: timestamp>, fx_marker string, count bigint"
 
-TICK_TABLE = T.StructType.fromDDL(
-    "fx_marker string, timestamp_ms bigint, timestamp_d date, ts timestamp, bid_big double, "
-    "bid_points int, offer_big double, offer_points int, hight double, low double, open double"
-)
-MEAN_TABLE = T.StructType.fromDDL(
-    "fx_marker string, timestamp_d date, window_start timestamp, window_end timestamp, "
-    "bid_big_avg double, bid_points_avg double"
-)
-ANOMALY_TABLE = T.StructType.fromDDL(
-    "fx_marker string, timestamp_d date, window_start timestamp, window_end timestamp, "
-    "anomaly_count double, is_anomaly boolean"
+_WINDOW = {
+    "fx_marker": "string",
+    "timestamp_d": "date",
+    "window_start": "timestamp",
+    "window_end": "timestamp",
+}
+TICK_TABLE = columns(
+    fx_marker="string",
+    timestamp_ms="bigint",
+    timestamp_d="date",
+    ts="timestamp",
+    **{name: kind for name, kind in QUOTE_TYPES.items() if name not in ("fx_marker", "timestamp_ms")},
 )
-STATISTICS_TABLE = T.StructType.fromDDL(
-    "fx_marker string, stat_gathered_date timestamp, avg_count double, stddev_count double"
+MEAN_TABLE = columns(**_WINDOW, bid_big_avg="double", bid_points_avg="double")
+COUNT_TABLE = columns(**_WINDOW, count="bigint")
+ANOMALY_TABLE = columns(**_WINDOW, anomaly_count="double", is_anomaly="boolean")
+STATISTICS_TABLE = columns(
+    fx_marker="string", stat_gathered_date="timestamp", avg_count="double", stddev_count="double"
 )
 
 

@@ -91,11 +91,15 @@ def run_store_results(messages: DataFrame, table: str, run: Run, kind: str) -> S
     return start(messages, sinks.upsert(table, decode), run)
 
 
+def response_messages(responses: DataFrame) -> DataFrame:
+    """Captured responses to raw messages, which have no key."""
+    framed = framing.frame_responses(responses.select("value"))
+    return framed.select(F.lit(None).cast("string").alias("key"), "value")
+
+
 def run_publish(responses: DataFrame, topic: str, run: Run) -> StreamingQuery:
     """Captured responses as raw messages to a topic."""
-    framed = framing.frame_responses(responses.select("value"))
-    out = framed.select(F.lit(None).cast("string").alias("key"), "value")
-    return start(out, sinks.publish(topic), run)
+    return start(response_messages(responses), sinks.publish(topic), run)
 
 
 def run_publish_results(results: DataFrame, topic: str, run: Run, partitions: int = 3) -> StreamingQuery:

@@ -20,7 +20,8 @@ class Run:
     ``every`` is a processing-time trigger such as "1 second"; ``once`` handles what is
     there and stops; neither means Spark's default, a batch as soon as the last is done.
     ``state_partitions`` is fixed by the first start, as the checkpoint keeps it; by
-    default it is the number of cores of the cluster.
+    default it is the number of cores of the cluster. State is kept in RocksDB, so that
+    it may outgrow the executors' memory.
     """
 
     checkpoint: str
@@ -28,7 +29,7 @@ class Run:
     every: str | None = None
     once: bool = False
     state_partitions: int | None = None
-    rocksdb: bool = False
+    rocksdb: bool = True
     name: str | None = None
 
 
