@@ -1,9 +1,11 @@
 """Stored tables: partitioned by marker and date, newest first, last write wins.
 
 A stream writes each micro-batch to a folder of its own, ``batch_id=N``, in overwrite
-mode: a batch that runs again replaces itself. Readers take the row of the latest batch
-per key. ``compact`` rewrites these versions into the partitioned layout; reading the
-compacted table together with newer or even the same versions gives the same rows.
+mode: a batch that runs again replaces itself. It is not split by marker and date there,
+which would make very many small files; as a batch covers little time, the files'
+statistics do for skipping. Readers take the row of the latest batch per key. ``compact``
+rewrites these versions into the partitioned layout; reading the compacted table together
+with newer or even the same versions gives the same rows.
 """
 
 from __future__ import annotations
@@ -58,12 +60,18 @@ def append_statistics(stats: DataFrame, path: str) -> None:
 
 def write_version(rows: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch; running it again replaces what it wrote before."""
-    rows.write.mode("overwrite").partitionBy("timestamp_d").parquet(f"{path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_versions(spark: SparkSession, path: str, schema: T.StructType, compacted: str | None = None) -> DataFrame:
-    """All versions of all rows, with those of a compacted copy where one is named."""
+def read_versions(
+    spark: SparkSession, path: str, schema: T.StructType, compacted: str | None = None,
+    after: int | None = None,
+) -> DataFrame:
+    """All versions of all rows, or those of batches after ``after``, together with a
+    compacted copy where one is named."""
     versions = spark.read.schema(versioned(schema)).parquet(path)
+    if after is not None:
+        versions = versions.where(F.col("batch_id") > after)
     if compacted is None:
         return versions
     return versions.unionByName(spark.read.schema(versioned(schema)).parquet(compacted))
@@ -72,14 +80,15 @@ def read_versions(spark: SparkSession, path: str, schema: T.StructType, compacte
 def read_latest(
     spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...],
     markers: str | list[str] | None = None, dates: list[date | str] | None = None,
-    compacted: str | None = None, record_id: bool = False,
+    compacted: str | None = None, after: int | None = None, record_id: bool = False,
 ) -> DataFrame:
     """The current rows of a versioned table, with ``batch_id``.
 
     Markers and dates are parts of the key, so they are filtered before the versions are
-    compared. ``record_id`` is made from the key on reading and needs no storage.
+    compared. ``after`` skips the batches that ``compacted`` holds already. ``record_id`` is
+    made from the key on reading and needs no storage.
     """
-    versions = read_versions(spark, path, schema, compacted)
+    versions = read_versions(spark, path, schema, compacted, after)
     if markers is not None and dates is not None:
         versions = of_marker(versions, markers, dates)
     rows = latest(versions, keys, "batch_id")

@@ -52,14 +52,16 @@ def store_ticks(path: str, quarantine: str, order: tuple[str, ...], then: Writer
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        good = with_date(valid_ticks(batch)).select(*TICK_TABLE.names, *order)
-        stored = latest(good, (*TICK_KEY, "ts"), *order)
-        tables.write_version(stored.select(*TICK_TABLE.names), path, batch_id)
-        bad = quarantined(batch).drop(*order)
-        bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-        if then:
-            then(stored.select(*TICK_TABLE.names), batch_id)
-        batch.unpersist()
+        try:
+            good = with_date(valid_ticks(batch)).select(*TICK_TABLE.names, *order)
+            stored = latest(good, (*TICK_KEY, "ts"), *order).select(*TICK_TABLE.names)
+            tables.write_version(stored, path, batch_id)
+            bad = quarantined(batch).drop(*order)
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+            if then:
+                then(stored, batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 

@@ -1,0 +1,65 @@
+"""Envelope, recent rows, trimming and overlay."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from ratewatch.operators import counts, envelope, serving, trends
+
+
+def test_the_value_is_the_whole_row(spark, make_ticks):
+    message = envelope.encode(trends.sliding_mean(make_ticks(("A", 0, 2.0, 3)), 5, 5)).first()
+    assert message["key"] == "A"
+    assert json.loads(message["value"]) == {
+        "window": {"start": "2018-06-26T08:00:00.000Z", "end": "2018-06-26T08:00:05.000Z"},
+        "fx_marker": "A",
+        "avg(bid_big)": 2.0,
+        "avg(bid_points)": 3.0,
+    }
+
+
+def test_incomplete_results_are_not_stored(spark, make_ticks):
+    means = trends.sliding_mean(make_ticks(("A", 0, None, 3), ("B", 0, 1.0, 3)), 5, 5)
+    assert [r["fx_marker"] for r in envelope.decode_means(envelope.encode(means)).collect()] == ["B"]
+    junk = spark.createDataFrame([("k", "{}"), ("k", "junk"), ("k", '{"fx_marker":"A","count":1}')], "key string, value string")
+    assert envelope.decode_anomalies(junk).count() == 0
+
+
+def test_times_with_an_offset_are_read(spark):
+    value = '{"window":{"start":"2018-06-26T23:00:00.000-05:00","end":"2018-06-26T23:00:10.000-05:00"},"fx_marker":"A","count":4}'
+    rows = spark.createDataFrame([("A", value)], "key string, value string")
+    row = envelope.decode_anomalies(rows.select("key", F.encode("value", "UTF-8").alias("value")))
+    assert row.select(F.col("timestamp_d").cast("string"), F.col("window_start").cast("string"), "anomaly_count", "is_anomaly").first()[:] == (
+        "2018-06-27", "2018-06-27 04:00:00", 4.0, True,
+    )
+
+
+def test_every_tick_is_kept_by_the_overlay(spark, make_ticks):
+    ticks = make_ticks(("A", 0, 1.0, 1), ("A", 9999, 1.0, 2), ("A", 10000, 1.0, 3), ("B", 0, 1.0, 4), ("A", None, 1.0, 5))
+    found = trends.flat(counts.tumbling_count(ticks.where("bid_points in (1, 2)")))
+    got = serving.overlay(ticks, found).orderBy("bid_points")
+    assert [r["in_anomaly"] for r in got.collect()] == [True, True, False, False, False]
+    assert [r["anomaly_end"] is not None for r in got.collect()] == [True, True, False, False, False]
+    assert [r["anomaly_start"] is not None for r in got.collect()] == [True, True, False, False, False]
+
+
+def test_results_before_the_oldest_shown_tick_are_trimmed(spark, make_ticks):
+    ticks = make_ticks(("A", 10000, 1.0, 1), ("A", 30000, 1.0, 1))
+    results = trends.flat(counts.tumbling_count(make_ticks(("A", 0, 1.0, 1), ("A", 10000, 1.0, 1), ("A", 20000, 1.0, 1))))
+    assert serving.since(results, ticks).count() == 2
+    assert serving.since(results, ticks.where("false")).count() == 0
+
+
+def test_only_the_listed_dates_are_served(spark, make_ticks):
+    day = 86_400_000
+    ticks = make_ticks(*[("A", i * day, 1.0, i) for i in range(4)]).withColumn("timestamp_d", F.to_date("ts"))
+    got = serving.recent_ticks(ticks, "A", ["2018-06-26", "2018-06-28"], 5)
+    assert [r["bid_points"] for r in got.collect()] == [2, 0]
+
+
+def test_the_report_is_newest_first_and_short(spark, make_ticks):
+    found = trends.flat(counts.tumbling_count(make_ticks(*[("A", i * 10000, 1.0, 1) for i in range(12)])))
+    shown = serving.report(found, 10, "fx_marker")
+    assert "window_end" not in shown.columns
+    times = [r["Time when anomaly was detected"] for r in shown.collect()]
+    assert len(times) == 10 and times == sorted(times, reverse=True)
