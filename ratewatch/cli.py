@@ -1,6 +1,6 @@
-"""The jobs as commands, for spark-submit.
+"""The jobs as commands.
 
-    spark-submit --py-files ... -m ratewatch.cli sliding-mean --topic ... --table ...
+    spark-submit --py-files ratewatch.zip run_job.py sliding-mean --topic ... --table ...
 
 A topic is a folder, or with ``--format kafka`` the name of a Kafka topic; options of
 the connector are given as ``--option key=value``.
@@ -161,7 +161,3 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     query = args.run(spark, args)
     if query is not None:
         query.awaitTermination()
-
-
-if __name__ == "__main__":
-    main()

@@ -15,10 +15,14 @@ from ratewatch.operators.latest import recent
 REPORT_TITLE = "Time when anomaly was detected"
 
 
+def of_markers(rows: DataFrame, markers: str | list[str]) -> DataFrame:
+    """Rows of the given markers."""
+    return rows.where(F.col("fx_marker").isin([markers] if isinstance(markers, str) else list(markers)))
+
+
 def of_marker(rows: DataFrame, markers: str | list[str], dates: list[date | str]) -> DataFrame:
     """Rows of the given markers and dates; prunes partitions of stored tables."""
-    wanted = [markers] if isinstance(markers, str) else list(markers)
-    return on_dates(rows.where(F.col("fx_marker").isin(wanted)), dates)
+    return on_dates(of_markers(rows, markers), dates)
 
 
 def recent_ticks(ticks: DataFrame, marker: str, dates: list[date | str], n: int = 100, *tie: str) -> DataFrame:

@@ -11,6 +11,10 @@ TICKS = """(SELECT event_id, event_type AS fx_marker, epoch_us(ts)//1000 AS time
   least(CAST(CAST(round(value*100) AS BIGINT)%100 AS INTEGER)+2, 99) AS offer_points,
   value+0.5 AS hight, value-0.5 AS low, value AS open FROM events)"""
 
+# Of ticks with one key the last is stored.
+UNIQUE_TICKS = f"""(SELECT * FROM {TICKS} QUALIFY row_number() OVER
+  (PARTITION BY fx_marker, timestamp_ms ORDER BY event_id DESC) = 1)"""
+
 FIELDS = "fx_marker, timestamp_ms, bid_big, bid_points, offer_big, offer_points, hight, low, open"
 
 
@@ -92,6 +96,11 @@ ORACLES: dict[str, str] = {
         FROM {TICKS}""",
     "ticks_latest": f"""SELECT *, timestamp_ms // 3600000 AS hour FROM {TICKS} QUALIFY
         row_number() OVER (PARTITION BY fx_marker, timestamp_ms // 3600000 ORDER BY event_id DESC) = 1""",
+    "ticks_corrected": f"""SELECT fx_marker, timestamp_ms, open,
+        CASE WHEN fx_marker = 'error' THEN 0 ELSE bid_points END AS bid_points,
+        CAST(CASE WHEN fx_marker = 'error' THEN 1 ELSE 0 END AS BIGINT) AS batch_id,
+        sha256(concat_ws('|', fx_marker, CAST(ts AS DATE), timestamp_ms)) AS record_id
+        FROM {UNIQUE_TICKS}""",
     "tumbling_count": _tumbling(10),
     "tumbling_count_hour": HOURS,
     "tumbling_count_marker": _tumbling(3600, f"fx_marker IN ({_in(TWO_MARKERS)})"),
@@ -140,5 +149,10 @@ ORACLES: dict[str, str] = {
     "stream_sliding_mean": f"{MEAN_ROWS} ({_sliding(30, 5)})",
     "stream_tumbling_count": f"SELECT *, CAST(CAST(window_start AS DATE) AS VARCHAR) AS timestamp_d FROM ({HOURS})",
     "stream_anomalies": f"{ANOMALY_ROWS} ({ANOMALIES})",
-    "stream_store_ticks": f"SELECT {FIELDS}, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS timestamp_d FROM {TICKS}",
+    "stream_store_ticks": f"""SELECT {FIELDS}, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS timestamp_d
+        FROM {UNIQUE_TICKS}""",
+    "stream_anomalies_update": f"{ANOMALY_ROWS} ({ANOMALIES})",
+    "stream_means_topic": f"{MEAN_ROWS} ({HOUR_MEANS})",
+    "stream_recent_view": f"""SELECT fx_marker, ts, bid_points FROM {UNIQUE_TICKS} QUALIFY
+        row_number() OVER (PARTITION BY fx_marker ORDER BY ts DESC) <= {RECENT}""",
 }

@@ -14,6 +14,7 @@ from ratewatch.plans.replay import replay
 from ratewatch.schemas import (
     ANOMALY_TABLE,
     BOUND_FIELDS,
+    COUNT_FIELDS,
     COUNT_TABLE,
     MEAN_TABLE,
     RESULT_KEY,
@@ -24,7 +25,8 @@ from ratewatch.schemas import (
 )
 from ratewatch.session import configure, run_folder, stored
 from ratewatch.sources import events, tables
-from ratewatch.streaming import jobs
+from ratewatch.sources.messages import read_topic
+from ratewatch.streaming import jobs, sinks
 from ratewatch.streaming.runner import Run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +123,24 @@ def ticks_latest(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(latest.latest(rows.drop("timestamp_d"), ("fx_marker", "hour"), "event_id"))
 
 
+@register
+def ticks_corrected(spark: SparkSession, sf: str) -> DataFrame:
+    """All ticks as one version, error ticks again as a second; the first is compacted."""
+    folder = run_folder(configure(spark), "versions")
+
+    def last(rows: DataFrame) -> DataFrame:
+        return latest.latest(rows, (*TICK_KEY, "ts"), "event_id").select(*TICK_TABLE.names)
+
+    again = events.ticks(spark, sf, ["error"]).withColumn("bid_points", F.lit(0))
+    tables.write_version(last(events.ticks(spark, sf)), f"{folder}/ticks", 0)
+    tables.write_version(last(again), f"{folder}/ticks", 1)
+    tables.compact(spark, f"{folder}/ticks", f"{folder}/packed", TICK_TABLE, TICK_KEY, upto=0)
+    now = tables.read_latest(
+        spark, f"{folder}/ticks", TICK_TABLE, TICK_KEY, compacted=f"{folder}/packed", after=0, record_id=True
+    )
+    return _plain(now.select("fx_marker", "timestamp_ms", "bid_points", "open", "batch_id", "record_id"))
+
+
 # Windows
 
 
@@ -244,7 +264,7 @@ def anomalies_in_message(spark: SparkSession, sf: str) -> DataFrame:
     low = F.when(F.col("fx_marker") != "view", "2").alias(BOUND_FIELDS[0])
     high = F.when(F.col("fx_marker") != "view", "4").alias(BOUND_FIELDS[1])
     rows = events.ticks(spark, sf).select("*", low, high)
-    fields = (*WIRE_FIELDS, *BOUND_FIELDS)
+    fields = (*COUNT_FIELDS, *BOUND_FIELDS)
     records = framing.record_json(rows.select(*fields), fields)
     typed = ticks.typed(ticks.with_marker(ticks.decode(records, fields)))
     return _plain(trends.flat(counts.anomalies_in_message(typed, HOUR)))
@@ -364,3 +384,43 @@ def stream_store_ticks(spark: SparkSession, sf: str) -> DataFrame:
         lambda messages, at: jobs.run_store_ticks(messages, f"{at}/table", f"{at}/quarantine", _run(at)),
     )
     return _table(spark, folder, TICK_TABLE, TICK_KEY)
+
+
+@register
+def stream_anomalies_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows judged while they fill; later versions take early alarms back."""
+    limits = stored(counts.bounds(_base_statistics(spark, sf)), "bounds")
+    folder = replay(
+        spark,
+        sf,
+        lambda messages, at: jobs.run_anomalies(messages, limits, f"{at}/table", _run(at), duration=HOUR),
+    )
+    return _table(spark, folder, ANOMALY_TABLE).where("is_anomaly").drop("is_anomaly")
+
+
+@register
+def stream_means_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """Means published to a topic, and stored from there by a second stream."""
+
+    def start(messages: DataFrame, at: str):
+        means = jobs.mean_messages(messages, 6 * HOUR, HOUR)
+        jobs.run_publish_results(means, f"{at}/means", _run(at)).awaitTermination()
+        published = read_topic(spark, f"{at}/means", stream=True)
+        run = Run(f"{at}/checkpoint-store", "append", once=True)
+        return jobs.run_store_results(published, f"{at}/table", run, "means")
+
+    return _table(spark, replay(spark, sf, start), MEAN_TABLE)
+
+
+@register
+def stream_recent_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The served view of the newest ticks of every marker."""
+    folder = replay(
+        spark,
+        sf,
+        lambda messages, at: jobs.run_store_ticks(
+            messages, f"{at}/table", f"{at}/quarantine", _run(at), f"{at}/view", RECENT
+        ),
+    )
+    view = sinks.read_view(spark, f"{folder}/view", TICK_TABLE)
+    return _plain(view.select("fx_marker", "ts", "bid_points"))

@@ -60,7 +60,9 @@ def quote_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One quote line per event. Error events have no ``open`` and so a field too few."""
     fields = [F.col(c).cast("string") for c in WIRE_FIELDS[:-1]]
     last = F.when(F.col("fx_marker") != "error", F.col("open").cast("string"))
-    return ticks(spark, sf_dir).select("event_id", F.concat_ws(",", *fields, last).alias("value"))
+    # As a generator the line is made once, also where a reader filters on it.
+    line = F.explode(F.array(F.concat_ws(",", *fields, last)))
+    return ticks(spark, sf_dir).select("event_id", line.alias("value"))
 
 
 def quote_responses(spark: SparkSession, sf_dir: str) -> DataFrame:

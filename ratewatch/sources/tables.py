@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratewatch.operators.counts import on_dates
 from ratewatch.operators.latest import latest
-from ratewatch.operators.serving import of_marker
+from ratewatch.operators.serving import of_markers
 from ratewatch.operators.ticks import with_record_id
 from ratewatch.schemas import STATISTICS_TABLE, versioned
 
@@ -89,8 +90,10 @@ def read_latest(
     made from the key on reading and needs no storage.
     """
     versions = read_versions(spark, path, schema, compacted, after)
-    if markers is not None and dates is not None:
-        versions = of_marker(versions, markers, dates)
+    if markers is not None:
+        versions = of_markers(versions, markers)
+    if dates is not None:
+        versions = on_dates(versions, dates)
     rows = latest(versions, keys, "batch_id")
     return with_record_id(rows, keys) if record_id else rows
 
