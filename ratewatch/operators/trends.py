@@ -28,15 +28,19 @@ def sliding_mean(
     the windows are then built from these sums. A tick is so aggregated once instead of
     once for each of the ``duration / slide`` windows it lies in.
     """
+    types = {f.name: f.dataType for f in ticks.schema}
     if columns is None:
-        numeric = {f.name for f in ticks.schema if isinstance(f.dataType, T.NumericType)}
-        columns = tuple(c for c in ticks.columns if c in numeric and c not in by)
+        columns = tuple(c for c in types if isinstance(types[c], T.NumericType) and c not in by)
     window = (seconds(duration), seconds(slide))
     if ticks.isStreaming or duration % slide:
         means = [F.avg(c).alias(f"avg({c})") for c in columns]
         return ticks.groupBy(F.window(ts, *window), *by).agg(*means)
 
-    sums = [F.sum(c).alias(f"sum({c})") for c in columns]
+    # As avg does, add whole numbers up as doubles, which do not overflow.
+    exact = {c for c in columns if isinstance(types[c], T.DecimalType)}
+    sums = [
+        F.sum(F.col(c) if c in exact else F.col(c).cast("double")).alias(f"sum({c})") for c in columns
+    ]
     sizes = [F.count(c).alias(f"count({c})") for c in columns]
     panes = (
         ticks.groupBy(F.window(ts, seconds(slide)).alias("pane"), *by)

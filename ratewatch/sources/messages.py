@@ -41,6 +41,8 @@ def append_topic(
     out = messages.withColumn("value", messages["value"].cast("binary"))
     if "key" not in out.columns:
         out = out.selectExpr("cast(null as string) as key", "*")
+    if format == "kafka":
+        out = out.select("key", "value")
     writer = spread(out, partitions, key).write.format(format).options(**options)
     if format == "kafka":
         writer.option("topic", topic).save()

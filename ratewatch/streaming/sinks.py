@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ratewatch.operators.latest import latest, recent_per
 from ratewatch.operators.ticks import quarantined, valid_ticks, with_date
-from ratewatch.schemas import TICK_KEY, TICK_TABLE
+from ratewatch.schemas import RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.sources import messages as topics
 from ratewatch.sources import tables
 
@@ -18,10 +18,17 @@ Writer = Callable[[DataFrame, int], None]
 
 
 def upsert(path: str, decode: Callable[[DataFrame], DataFrame] | None = None) -> Writer:
-    """Write each batch as the newest version of its rows."""
+    """Write each batch as the newest version of its rows.
+
+    Messages of a topic can hold several versions of a result in one batch; then the one
+    with the greatest ``offset`` is written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables.write_version(decode(batch) if decode else batch, path, batch_id)
+        rows = decode(batch) if decode else batch
+        if "offset" in rows.columns:
+            rows = latest(rows, (*RESULT_KEY, "window_end"), "offset").drop("offset")
+        tables.write_version(rows, path, batch_id)
 
     return write
 

@@ -203,6 +203,15 @@ def test_responses_to_topic_to_results_to_table(stream, spark, tmp_path):
     assert {r["bid_points_avg"] for r in rows.collect()} == {2.0}
 
 
+def test_the_last_of_several_versions_in_one_batch_is_stored(stream, spark):
+    value = '{{"window":{{"start":"2018-06-26T08:00:00.000Z","end":"2018-06-26T08:00:30.000Z"}},"fx_marker":"X","avg(bid_big)":{0},"avg(bid_points)":{0}}}'
+    rows = [("X", value.format(i % 50).encode(), i) for i in range(100)]
+    messages.append_topic(spark.createDataFrame(rows, "key string, value binary, offset bigint").repartition(5), f"{stream.folder}/topic")
+    stream.run(lambda t, path, run: jobs.run_store_results(t, path, run, "means"), mode="append")
+    row = stream.table(MEAN_TABLE).first()
+    assert (row["bid_big_avg"], row["bid_points_avg"]) == (49.0, 49.0)
+
+
 def test_every_trigger_can_be_asked_for(stream, spark):
     messages.append_topic(spark.createDataFrame([(None, record(0).encode(), 0)], "key string, value binary, offset bigint"), f"{stream.folder}/topic")
     topic = messages.read_topic(spark, f"{stream.folder}/topic", stream=True)

@@ -65,6 +65,12 @@ def test_mean_of_every_number(spark, make_ticks):
     assert got.columns == ["window", "fx_marker", "avg(timestamp_ms)", "avg(bid_big)", "avg(bid_points)"]
 
 
+def test_sums_of_large_numbers_do_not_overflow(spark):
+    rows = spark.range(4).selectExpr("'A' as fx_marker", "timestamp_seconds(id) as ts", "9000000000000000000L as n", "cast(1.5 as decimal(10,2)) as d")
+    row = trends.sliding_mean(rows, 10, 5, columns=None).first()
+    assert row["avg(n)"] == 9e18 and float(row["avg(d)"]) == 1.5
+
+
 def test_ticks_of_one_time_can_count_once(spark, make_ticks):
     ticks = make_ticks(("A", 0, 1.0, 1), ("A", 0, 2.0, 1), ("B", 0, 1.0, 1), ("A", 5, 1.0, 1))
     assert rows(counts.tumbling_count(ticks).select("fx_marker", "count")) == [("A", 3), ("B", 1)]
