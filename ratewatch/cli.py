@@ -47,7 +47,7 @@ def publish(spark: SparkSession, args: argparse.Namespace):
     if args.format == "kafka":
         framed = jobs.response_messages(responses)
         return start_kafka(framed, args.topic, _kafka(args), _run(args, "append"))
-    return jobs.run_publish(responses, args.topic, _run(args, "append"))
+    return jobs.run_publish(responses, args.topic, _run(args, "append"), args.quarantine)
 
 
 def _results(found, args: argparse.Namespace, kind: str, run: Run):
@@ -86,7 +86,9 @@ def store_results(spark: SparkSession, args: argparse.Namespace):
 def gather_statistics(spark: SparkSession, args: argparse.Namespace) -> None:
     """Statistics of the dates given as "2018-07-05 2018-07-06"; of one marker, or of all."""
     dates = args.dates.split()
-    history = tables.read_latest(spark, args.history, TICK_TABLE, TICK_KEY)
+    history = tables.read_latest(
+        spark, args.history, TICK_TABLE, TICK_KEY, compacted=args.compacted, after=args.after
+    )
     if args.marker:
         stats = counts.marker_statistics(history, args.marker, dates, args.duration)
     else:
@@ -116,7 +118,9 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--state-partitions", type=int)
         return command
 
-    add("publish", publish).add_argument("--responses", required=True)
+    command = add("publish", publish)
+    command.add_argument("--responses", required=True)
+    command.add_argument("--quarantine")
     for name, run, duration, watermark in (
         ("sliding-mean", sliding_mean, 30, 120),
         ("count-anomalies", count_anomalies, 10, 60),
@@ -144,6 +148,8 @@ def parser() -> argparse.ArgumentParser:
     command = add("gather-statistics", gather_statistics, stream=False)
     command.add_argument("dates")
     command.add_argument("--history", required=True)
+    command.add_argument("--compacted")
+    command.add_argument("--after", type=int, help="last batch that --compacted holds")
     command.add_argument("--statistics", required=True)
     command.add_argument("--marker")
     command.add_argument("--duration", type=int, default=10, help="seconds")

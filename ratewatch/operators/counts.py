@@ -49,10 +49,11 @@ def marker_statistics(
     dates: list[date | str],
     duration: int = 10,
     as_of: Column | None = None,
+    dedup: bool = False,
 ) -> DataFrame:
     """Count statistics of one marker on the listed dates, as one row."""
     ticks = on_dates(history.where(F.col("fx_marker") == marker), dates).select("ts")
-    counts = tumbling_count(ticks, duration, by=())
+    counts = tumbling_count(ticks, duration, by=(), dedup=dedup)
     return statistics(counts, as_of=as_of).withColumn("fx_marker", F.lit(marker))
 
 

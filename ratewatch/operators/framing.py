@@ -36,6 +36,12 @@ def frame_responses(responses: DataFrame, text: str = "value") -> DataFrame:
     return framed.where(F.col(text) != "")
 
 
+def rejected_lines(responses: DataFrame, text: str = "value") -> DataFrame:
+    """The lines of responses that ``frame_responses`` leaves out, except blank ones."""
+    lines = responses.select(F.explode(wire.pieces(wire.strip(F.col(text)))).alias("value"))
+    return quarantine_lines(lines.where(wire.strip(F.col("value")) != ""))
+
+
 def frame_records(records: DataFrame, seq: str, size: int, value: str = "value") -> DataFrame:
     """Join up to ``size`` records into one message, in the order of ``seq``.
 

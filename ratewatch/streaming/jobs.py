@@ -97,9 +97,17 @@ def response_messages(responses: DataFrame) -> DataFrame:
     return framed.select(F.lit(None).cast("string").alias("key"), "value")
 
 
-def run_publish(responses: DataFrame, topic: str, run: Run) -> StreamingQuery:
-    """Captured responses as raw messages to a topic."""
-    return start(response_messages(responses), sinks.publish(topic), run)
+def run_publish(
+    responses: DataFrame, topic: str, run: Run, quarantine: str | None = None
+) -> StreamingQuery:
+    """Captured responses as raw messages to a topic; incomplete lines can be set aside."""
+    write = sinks.publish(topic)
+    if quarantine is None:
+        return start(response_messages(responses), write, run)
+    return start(responses.select("value"), sinks.both(
+        lambda batch, batch_id: write(response_messages(batch), batch_id),
+        lambda batch, batch_id: sinks.replace(framing.rejected_lines(batch), quarantine, batch_id),
+    ), run)
 
 
 def run_publish_results(results: DataFrame, topic: str, run: Run, partitions: int = 3) -> StreamingQuery:

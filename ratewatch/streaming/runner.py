@@ -48,6 +48,9 @@ def _start(rows: DataFrame, writer: DataStreamWriter, run: Run) -> StreamingQuer
     spark = rows.sparkSession
     partitions = run.state_partitions or spark.sparkContext.defaultParallelism
     conf = {"spark.sql.shuffle.partitions": str(partitions)}
+    if run.mode == "update":
+        # A batch without data would only visit all state; it changes no result here.
+        conf["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     if run.rocksdb:
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
     writer = writer.outputMode(run.mode).option("checkpointLocation", run.checkpoint)
@@ -59,3 +62,9 @@ def _start(rows: DataFrame, writer: DataStreamWriter, run: Run) -> StreamingQuer
         writer = writer.trigger(processingTime=run.every)
     with settings(spark, conf):
         return writer.start()
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark, in the batches the query still remembers."""
+    states = [state for progress in query.recentProgress for state in progress.stateOperators]
+    return sum(state.numRowsDroppedByWatermark for state in states)

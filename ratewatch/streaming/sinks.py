@@ -17,6 +17,25 @@ from ratewatch.sources import tables
 Writer = Callable[[DataFrame, int], None]
 
 
+def replace(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write rows to the folder of their batch; running it again replaces them."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def both(*writers: Writer) -> Writer:
+    """Give each batch to several writers, reading its source once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for writer in writers:
+                writer(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def upsert(path: str, decode: Callable[[DataFrame], DataFrame] | None = None) -> Writer:
     """Write each batch as the newest version of its rows.
 
@@ -45,8 +64,7 @@ def publish(topic: str, partitions: int | None = None) -> Writer:
             F.col("value").cast("binary").alias("value"),
             F.lit(batch_id).cast("bigint").alias("offset"),
         )
-        spread = topics.spread(out, partitions, "key")
-        spread.write.mode("overwrite").parquet(f"{topic}/batch_id={batch_id}")
+        replace(topics.spread(out, partitions, "key"), topic, batch_id)
 
     return write
 
@@ -57,20 +75,17 @@ def store_ticks(path: str, quarantine: str, order: tuple[str, ...], then: Writer
     ``then`` is given the stored ticks.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            good = with_date(valid_ticks(batch)).select(*TICK_TABLE.names, *order)
-            stored = latest(good, (*TICK_KEY, "ts"), *order).select(*TICK_TABLE.names)
-            tables.write_version(stored, path, batch_id)
-            bad = quarantined(batch).drop(*order)
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-            if then:
-                then(stored, batch_id)
-        finally:
-            batch.unpersist()
+    def good(batch: DataFrame, batch_id: int) -> None:
+        rows = with_date(valid_ticks(batch)).select(*TICK_TABLE.names, *order)
+        stored = latest(rows, (*TICK_KEY, "ts"), *order).select(*TICK_TABLE.names)
+        tables.write_version(stored, path, batch_id)
+        if then:
+            then(stored, batch_id)
 
-    return write
+    def bad(batch: DataFrame, batch_id: int) -> None:
+        replace(quarantined(batch).drop(*order), quarantine, batch_id)
+
+    return both(good, bad)
 
 
 # A served view keeps its last few refreshes, so that readers are not disturbed.
