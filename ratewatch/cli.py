@@ -12,12 +12,12 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from ratewatch.operators import counts
+from ratewatch.operators import counts, envelope
 from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, STATISTICS_TABLE, TICK_KEY, TICK_TABLE
 from ratewatch.session import configure
 from ratewatch.sources import lines, messages, tables
-from ratewatch.streaming import jobs
-from ratewatch.streaming.runner import Run, start_kafka
+from ratewatch.streaming import jobs, sinks
+from ratewatch.streaming.runner import Run, start, start_kafka
 
 TABLES = {
     "ticks": (TICK_TABLE, TICK_KEY),
@@ -50,27 +50,28 @@ def publish(spark: SparkSession, args: argparse.Namespace):
     return jobs.run_publish(responses, args.topic, _run(args, "append"), args.quarantine)
 
 
-def _results(found, args: argparse.Namespace, kind: str, run: Run):
+def _writer(args: argparse.Namespace, decode) -> sinks.Writer:
     if args.out_topic is None:
-        return jobs.run_store_results(found, args.table, run, kind)
+        return sinks.upsert(args.table, decode)
     if args.format == "kafka":
-        return start_kafka(found, args.out_topic, _kafka(args), run)
-    return jobs.run_publish_results(found, args.out_topic, run)
+        return sinks.send(args.out_topic, "kafka", **_pairs(args.option))
+    return sinks.publish(args.out_topic, args.out_partitions)
 
 
 def sliding_mean(spark: SparkSession, args: argparse.Namespace):
     means = jobs.mean_messages(_topic(spark, args), args.duration, args.slide, args.watermark)
-    return _results(means, args, "means", _run(args, "update"))
+    return start(means, _writer(args, envelope.decode_means), _run(args, "update"))
 
 
 def count_anomalies(spark: SparkSession, args: argparse.Namespace):
-    stats = tables.read_table(spark, args.statistics, STATISTICS_TABLE)
-    limits = counts.bounds(counts.latest_statistics(stats), args.k)
-    run = _run(args, "append")
-    windows = jobs.window_counts(
-        _topic(spark, args), args.marker, args.duration, args.watermark, args.dedup
+    def limits(session: SparkSession):
+        stats = tables.read_table(session, args.statistics, STATISTICS_TABLE)
+        return counts.bounds(counts.latest_statistics(stats), args.k)
+
+    return jobs.run_judged(
+        _topic(spark, args), limits, _writer(args, envelope.decode_anomalies), _run(args, "append"),
+        markers=args.marker, duration=args.duration, watermark=args.watermark, dedup=args.dedup,
     )
-    return _results(jobs.anomaly_messages(windows, limits, run.mode), args, "anomalies", run)
 
 
 def store_ticks(spark: SparkSession, args: argparse.Namespace):
@@ -129,6 +130,7 @@ def parser() -> argparse.ArgumentParser:
         target = command.add_mutually_exclusive_group(required=True)
         target.add_argument("--table")
         target.add_argument("--out-topic")
+        command.add_argument("--out-partitions", type=int, default=3)
         command.add_argument("--duration", type=int, default=duration, help="seconds")
         command.add_argument("--watermark", type=int, default=watermark, help="seconds")
         if name == "sliding-mean":

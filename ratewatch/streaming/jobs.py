@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,12 +16,16 @@ from ratewatch.streaming import sinks
 from ratewatch.streaming.runner import Run, start
 
 
+Limits = Callable[[SparkSession], DataFrame]
+
+
 def mean_messages(
     messages: DataFrame, duration: int = 30, slide: int = 5, watermark: int = 120,
     columns: tuple[str, ...] | None = trends.BID,
 ) -> DataFrame:
     """Raw messages to mean messages."""
-    rows = ticks.ticks_of(messages, MEAN_FIELDS).withWatermark("ts", seconds(watermark))
+    rows = ticks.ticks_of(messages, MEAN_FIELDS).select("fx_marker", "ts", *trends.BID)
+    rows = rows.withWatermark("ts", seconds(watermark))
     return envelope.encode(trends.sliding_mean(rows, duration, slide, columns))
 
 
@@ -54,11 +60,32 @@ def run_means(messages: DataFrame, table: str, run: Run, **sizes) -> StreamingQu
 
 
 def run_anomalies(
-    messages: DataFrame, limits: DataFrame, table: str, run: Run, **sizes
+    messages: DataFrame, limits: DataFrame | Limits, table: str, run: Run, **sizes
 ) -> StreamingQuery:
     """Count anomalies of a raw stream into the table of anomalies."""
-    found = anomaly_messages(window_counts(messages, **sizes), limits, run.mode)
-    return start(found, sinks.upsert(table, envelope.decode_anomalies), run)
+    return run_judged(messages, limits, sinks.upsert(table, envelope.decode_anomalies), run, **sizes)
+
+
+def run_judged(
+    messages: DataFrame, limits: DataFrame | Limits, write: sinks.Writer, run: Run, **sizes
+) -> StreamingQuery:
+    """Anomaly messages of a raw stream to any writer.
+
+    Bounds given as a DataFrame are those of the start. Given as a function of the
+    session they are asked for with each batch, so newly gathered statistics are used.
+    """
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        # A join may skip counts for which there are no bounds, but Spark commits the
+        # state of a batch only if all of it was read.
+        batch.persist().count()
+        try:
+            current = limits if isinstance(limits, DataFrame) else limits(batch.sparkSession)
+            write(anomaly_messages(batch, current, run.mode), batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(window_counts(messages, **sizes), judge, run)
 
 
 def run_counts(messages: DataFrame, table: str, run: Run, **sizes) -> StreamingQuery:

@@ -69,6 +69,15 @@ def publish(topic: str, partitions: int | None = None) -> Writer:
     return write
 
 
+def send(topic: str, format: str, **options: str) -> Writer:
+    """Send the messages of each batch to a topic of a connector (Kafka)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        topics.append_topic(batch, topic, format, **options)
+
+    return write
+
+
 def store_ticks(path: str, quarantine: str, order: tuple[str, ...], then: Writer | None = None) -> Writer:
     """Store readable ticks, the last of each key, and set the other records aside.
 
@@ -80,7 +89,8 @@ def store_ticks(path: str, quarantine: str, order: tuple[str, ...], then: Writer
         stored = latest(rows, (*TICK_KEY, "ts"), *order).select(*TICK_TABLE.names)
         tables.write_version(stored, path, batch_id)
         if then:
-            then(stored, batch_id)
+            written = batch.sparkSession.read.schema(TICK_TABLE).parquet(f"{path}/batch_id={batch_id}")
+            then(written, batch_id)
 
     def bad(batch: DataFrame, batch_id: int) -> None:
         replace(quarantined(batch).drop(*order), quarantine, batch_id)

@@ -119,25 +119,58 @@ def test_listed_markers_only(stream):
     assert [(r["fx_marker"], r["count"]) for r in rows.collect()] == [("Y", 1)]
 
 
-def test_new_statistics_are_used_by_the_next_batch(stream, spark):
-    path = f"{stream.folder}/statistics"
+def gather(spark, path, mean, at):
+    row = spark.createDataFrame([("X", mean, 0.0)], "fx_marker string, avg_count double, stddev_count double")
+    tables.append_statistics(row.withColumn("stat_gathered_date", F.lit(at).cast("timestamp")), path)
 
-    def gather(mean, at):
-        row = spark.createDataFrame([("X", mean, 0.0)], "fx_marker string, avg_count double, stddev_count double")
-        tables.append_statistics(row.withColumn("stat_gathered_date", F.lit(at).cast("timestamp")), path)
 
-    def start(t, table, run):
-        stats = tables.read_table(spark, path, STATISTICS_TABLE)
-        return jobs.run_anomalies(t, counts.bounds(counts.latest_statistics(stats)), table, run)
+def bounds_at(path):
+    return lambda spark: counts.bounds(counts.latest_statistics(tables.read_table(spark, path, STATISTICS_TABLE)))
+
+
+def test_a_running_stream_uses_new_statistics(stream, spark):
+    stats, topic = f"{stream.folder}/statistics", f"{stream.folder}/topic"
 
-    gather(1.0, "2024-01-01 00:00:00")
-    stream.send(start, frames([(0,)])[0])
+    def add(second):
+        messages.append_topic(spark.createDataFrame([(None, record(second).encode(), 0)], "key string, value binary, offset bigint"), topic)
+
+    gather(spark, stats, 1.0, "2024-01-01 00:00:00")
+    add(0)
+    run = Run(f"{stream.folder}/checkpoint", state_partitions=2)
+    source = messages.read_topic(spark, topic, stream=True)
+    query = jobs.run_anomalies(source, bounds_at(stats), f"{stream.folder}/table", run)
+    query.processAllAvailable()
     assert alarms(stream.table(ANOMALY_TABLE)) == []
-    gather(2.0, "2024-01-02 00:00:00")
-    stream.send(start, frames([(20,)])[0])
+    gather(spark, stats, 2.0, "2024-01-02 00:00:00")
+    add(20)
+    query.processAllAvailable()
+    query.stop()
     assert alarms(stream.table(ANOMALY_TABLE)) == [(20.0, 1.0)]
 
 
+@pytest.mark.parametrize("mode", ["append", "update"])
+@pytest.mark.parametrize("given", ["stored", "asked", "local"])
+def test_state_is_kept_while_there_are_no_statistics(stream, spark, mode, given):
+    path = f"{stream.folder}/statistics"
+    spark.createDataFrame([], STATISTICS_TABLE).write.parquet(path)
+    limits = {
+        "stored": bounds_at(path)(spark),
+        "asked": bounds_at(path),
+        "local": spark.createDataFrame([], "fx_marker string, stream_stat_min double, stream_stat_max double"),
+    }[given]
+
+    def start(t, table, run):
+        return jobs.run_anomalies(t, limits, table, run)
+
+    stream.send(start, *frames([(0, 1), (2,)]), mode=mode)
+    assert stream.table(ANOMALY_TABLE).count() == 0
+    if given == "asked":
+        row = spark.createDataFrame([("X", 9.0, 0.0)], "fx_marker string, avg_count double, stddev_count double")
+        row.withColumn("stat_gathered_date", F.current_timestamp()).select(*STATISTICS_TABLE.names).write.mode("append").parquet(path)
+        stream.send(start, *frames([(3,), (200,), (400,)]), mode=mode)
+        assert alarms(stream.table(ANOMALY_TABLE))[0] == (0.0, 4.0)
+
+
 def test_stored_ticks_quarantine_and_view(stream, spark):
     view, bad = f"{stream.folder}/view", f"{stream.folder}/bad"
 
