@@ -34,11 +34,11 @@ def is_complete(line: Column) -> Column:
     return F.substring_index(line, ",", len(WIRE_FIELDS) - 1) != line
 
 
-def named_fields(line: Column) -> list[Column]:
-    """Positional fields as named columns; only for complete lines."""
-    return [fields_of(line)[i].alias(name) for i, name in enumerate(WIRE_FIELDS)]
+def named_fields(fields: Column) -> list[Column]:
+    """The split fields of a complete line as named columns."""
+    return [fields[i].alias(name) for i, name in enumerate(WIRE_FIELDS)]
 
 
-def record_json(line: Column) -> Column:
-    """A complete quote line as a flat JSON record of strings."""
-    return F.to_json(F.struct(*named_fields(line)))
+def record_json(fields: Column) -> Column:
+    """The split fields of a complete line as a flat JSON record of strings."""
+    return F.to_json(F.struct(*named_fields(fields)))

@@ -12,7 +12,8 @@ from ratewatch.schemas import WIRE_FIELDS
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Complete quote lines as nine string columns; other columns are kept."""
     kept = [F.col(c) for c in lines.columns if c != line]
-    return lines.where(wire.is_complete(F.col(line))).select(*kept, *wire.named_fields(F.col(line)))
+    fields = wire.named_fields(wire.fields_of(F.col(line)))
+    return lines.where(wire.is_complete(F.col(line))).select(*kept, *fields)
 
 
 def quarantine_lines(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -29,7 +30,9 @@ def frame_responses(responses: DataFrame, text: str = "value") -> DataFrame:
     without a complete line give no message.
     """
     complete = F.filter(wire.pieces(wire.strip(F.col(text))), wire.is_complete)
-    message = F.array_join(F.transform(complete, wire.record_json), "\n")
+    # Two steps, as a line would otherwise be split again for each of its fields.
+    fields = F.transform(complete, wire.fields_of)
+    message = F.array_join(F.transform(fields, wire.record_json), "\n")
     # As a generator the message is made once, also with the filter on it.
     kept = [F.col(c) for c in responses.columns if c != text]
     framed = responses.select(*kept, F.explode(F.array(message)).alias(text))

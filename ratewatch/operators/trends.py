@@ -18,6 +18,7 @@ def sliding_mean(
     columns: tuple[str, ...] | None = BID,
     by: tuple[str, ...] = ("fx_marker",),
     ts: str = "ts",
+    sum_first: bool = True,
 ) -> DataFrame:
     """Mean per sliding window of ``duration`` seconds, one every ``slide`` seconds.
 
@@ -26,13 +27,14 @@ def sliding_mean(
 
     On batch input whose slide divides its duration, ticks are first summed per slide;
     the windows are then built from these sums. A tick is so aggregated once instead of
-    once for each of the ``duration / slide`` windows it lies in.
+    once for each of the ``duration / slide`` windows it lies in. ``sum_first=False`` leaves
+    that out, for ticks so rare that hardly two share a slide.
     """
     types = {f.name: f.dataType for f in ticks.schema}
     if columns is None:
         columns = tuple(c for c in types if isinstance(types[c], T.NumericType) and c not in by)
     window = (seconds(duration), seconds(slide))
-    if ticks.isStreaming or duration % slide:
+    if ticks.isStreaming or duration % slide or not sum_first:
         means = [F.avg(c).alias(f"avg({c})") for c in columns]
         return ticks.groupBy(F.window(ts, *window), *by).agg(*means)
 

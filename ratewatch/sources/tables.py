@@ -64,6 +64,11 @@ def write_version(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def read_version(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """The rows that one micro-batch wrote."""
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+
+
 def read_versions(
     spark: SparkSession, path: str, schema: T.StructType, compacted: str | None = None,
     after: int | None = None,

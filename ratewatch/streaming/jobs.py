@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ratewatch.functions.clock import seconds
 from ratewatch.functions.wire import strip
 from ratewatch.operators import counts, envelope, framing, ticks, trends
-from ratewatch.schemas import COUNT_FIELDS, MEAN_FIELDS, TICK_TABLE
+from ratewatch.schemas import ANOMALY_TABLE, COUNT_FIELDS, MEAN_FIELDS, MEAN_TABLE, TICK_TABLE
+from ratewatch.sources.tables import write_version
 from ratewatch.streaming import sinks
 from ratewatch.streaming.runner import Run, start
 
@@ -54,16 +55,30 @@ def anomaly_messages(window_count: DataFrame, limits: DataFrame, mode: str = "ap
     return envelope.encode(judged)
 
 
-def run_means(messages: DataFrame, table: str, run: Run, **sizes) -> StreamingQuery:
-    """Sliding means of a raw stream into the table of means."""
-    return start(mean_messages(messages, **sizes), sinks.upsert(table, envelope.decode_means), run)
+def run_means(
+    messages: DataFrame, table: str, run: Run, view: str | None = None, n: int = 100, **sizes
+) -> StreamingQuery:
+    """Sliding means of a raw stream into the table of means.
+
+    With ``view``, the ``n`` newest means of each marker are kept there as well.
+    """
+    refresh = sinks.refresh(messages.sparkSession, view, MEAN_TABLE, n, "window_start")
+    write = sinks.upsert(table, envelope.decode_means, refresh)
+    return start(mean_messages(messages, **sizes), write, run)
 
 
 def run_anomalies(
-    messages: DataFrame, limits: DataFrame | Limits, table: str, run: Run, **sizes
+    messages: DataFrame, limits: DataFrame | Limits, table: str, run: Run,
+    view: str | None = None, n: int = 10, **sizes
 ) -> StreamingQuery:
-    """Count anomalies of a raw stream into the table of anomalies."""
-    return run_judged(messages, limits, sinks.upsert(table, envelope.decode_anomalies), run, **sizes)
+    """Count anomalies of a raw stream into the table of anomalies.
+
+    With ``view``, the ``n`` newest of each marker are kept there as well; in update mode
+    these are windows of which ``is_anomaly`` tells the anomalies.
+    """
+    refresh = sinks.refresh(messages.sparkSession, view, ANOMALY_TABLE, n, "window_start")
+    write = sinks.upsert(table, envelope.decode_anomalies, refresh)
+    return run_judged(messages, limits, write, run, **sizes)
 
 
 def run_judged(
@@ -105,10 +120,7 @@ def run_store_ticks(
     order = tuple(c for c in ("offset", "pos") if c == "pos" or c in messages.columns)
     records = framing.unframe(messages).where(strip(F.col("value")) != "")
     raw = ticks.decode(records.withColumn("record", F.col("value")))
-    refresh = None
-    if view:
-        sinks.create_view(messages.sparkSession, view, TICK_TABLE)
-        refresh = sinks.serve(view, TICK_TABLE, n, "timestamp_ms")
+    refresh = sinks.refresh(messages.sparkSession, view, TICK_TABLE, n, "timestamp_ms")
     return start(raw, sinks.store_ticks(table, quarantine, order, refresh), run)
 
 
@@ -133,7 +145,7 @@ def run_publish(
         return start(response_messages(responses), write, run)
     return start(responses.select("value"), sinks.both(
         lambda batch, batch_id: write(response_messages(batch), batch_id),
-        lambda batch, batch_id: sinks.replace(framing.rejected_lines(batch), quarantine, batch_id),
+        lambda batch, batch_id: write_version(framing.rejected_lines(batch), quarantine, batch_id),
     ), run)
 
 

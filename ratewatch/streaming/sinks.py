@@ -17,11 +17,6 @@ from ratewatch.sources import tables
 Writer = Callable[[DataFrame, int], None]
 
 
-def replace(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write rows to the folder of their batch; running it again replaces them."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
 def both(*writers: Writer) -> Writer:
     """Give each batch to several writers, reading its source once."""
 
@@ -36,8 +31,10 @@ def both(*writers: Writer) -> Writer:
     return write
 
 
-def upsert(path: str, decode: Callable[[DataFrame], DataFrame] | None = None) -> Writer:
-    """Write each batch as the newest version of its rows.
+def upsert(
+    path: str, decode: Callable[[DataFrame], DataFrame] | None = None, then: Writer | None = None
+) -> Writer:
+    """Write each batch as the newest version of its rows; ``then`` is given what was written.
 
     Messages of a topic can hold several versions of a result in one batch; then the one
     with the greatest ``offset`` is written.
@@ -47,11 +44,17 @@ def upsert(path: str, decode: Callable[[DataFrame], DataFrame] | None = None) ->
         rows = decode(batch) if decode else batch
         if "offset" in rows.columns:
             rows = latest(rows, (*RESULT_KEY, "window_end"), "offset").drop("offset")
-        tables.write_version(rows, path, batch_id)
+        _write(rows, path, batch_id, then)
 
     return write
 
 
+def _write(rows: DataFrame, path: str, batch_id: int, then: Writer | None) -> None:
+    tables.write_version(rows, path, batch_id)
+    if then:
+        then(tables.read_version(rows.sparkSession, path, batch_id, rows.schema), batch_id)
+
+
 def publish(topic: str, partitions: int | None = None) -> Writer:
     """Write the messages of each batch to a topic folder, spread by key if asked for.
 
@@ -64,7 +67,7 @@ def publish(topic: str, partitions: int | None = None) -> Writer:
             F.col("value").cast("binary").alias("value"),
             F.lit(batch_id).cast("bigint").alias("offset"),
         )
-        replace(topics.spread(out, partitions, "key"), topic, batch_id)
+        tables.write_version(topics.spread(out, partitions, "key"), topic, batch_id)
 
     return write
 
@@ -87,13 +90,10 @@ def store_ticks(path: str, quarantine: str, order: tuple[str, ...], then: Writer
     def good(batch: DataFrame, batch_id: int) -> None:
         rows = with_date(valid_ticks(batch)).select(*TICK_TABLE.names, *order)
         stored = latest(rows, (*TICK_KEY, "ts"), *order).select(*TICK_TABLE.names)
-        tables.write_version(stored, path, batch_id)
-        if then:
-            written = batch.sparkSession.read.schema(TICK_TABLE).parquet(f"{path}/batch_id={batch_id}")
-            then(written, batch_id)
+        _write(stored, path, batch_id, then)
 
     def bad(batch: DataFrame, batch_id: int) -> None:
-        replace(quarantined(batch).drop(*order), quarantine, batch_id)
+        tables.write_version(quarantined(batch).drop(*order), quarantine, batch_id)
 
     return both(good, bad)
 
@@ -102,6 +102,16 @@ def store_ticks(path: str, quarantine: str, order: tuple[str, ...], then: Writer
 SLOTS = 4
 
 
+def refresh(
+    spark: SparkSession, view: str | None, schema: T.StructType, n: int, newest: str
+) -> Writer | None:
+    """A writer that keeps ``view``, which is made if need be; none for no view."""
+    if view is None:
+        return None
+    create_view(spark, view, schema)
+    return serve(view, schema, n, newest)
+
+
 def create_view(spark: SparkSession, view: str, schema: T.StructType) -> None:
     """An empty view, unless there is one already."""
     empty = spark.createDataFrame([], schema).withColumn("refresh", F.lit(-1).cast("bigint"))

@@ -195,6 +195,16 @@ def test_stored_ticks_quarantine_and_view(stream, spark):
     assert rejected[0]["record"] == "junk"
 
 
+def test_views_of_means_and_anomalies(stream, spark, limits, tmp_path):
+    means, found = f"{tmp_path}/means", f"{tmp_path}/found"
+    stream.send(lambda t, path, run: jobs.run_means(t, path, run, means, 2, duration=10, slide=10), *frames([(0,), (10, 20), (21,)]))
+    rows = sinks.read_view(spark, means, MEAN_TABLE).orderBy("window_start").collect()
+    assert [r["window_start"].timestamp() * 1000 - BASE for r in rows] == [10_000, 20_000]
+    other = Stream(spark, tmp_path / "other")
+    other.send(lambda t, path, run: jobs.run_anomalies(t, limits, path, run, found), *frames(), mode="append")
+    assert alarms(sinks.read_view(spark, found, ANOMALY_TABLE)) == [(200.0, 1.0), (210.0, 2.0)]
+
+
 def test_a_view_refreshed_twice_by_one_batch_stays_the_same(spark, tmp_path):
     schema = MEAN_TABLE
     sinks.create_view(spark, f"{tmp_path}/v", schema)
