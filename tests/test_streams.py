@@ -3,13 +3,14 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ratewatch.operators import counts
 from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, STATISTICS_TABLE, TICK_KEY, TICK_TABLE
 from ratewatch.sources import lines, messages, tables
 from ratewatch.streaming import jobs, sinks
-from ratewatch.streaming.runner import Run, late_rows
+from ratewatch.streaming.runner import Run, late_rows, start
 
 BASE = 1_530_000_000_000
 
@@ -246,6 +247,27 @@ def test_responses_to_topic_to_results_to_table(stream, spark, tmp_path):
     assert {r["bid_points_avg"] for r in rows.collect()} == {2.0}
 
 
+def test_a_batch_published_again_does_not_stop_its_readers(stream, spark):
+    topic = f"{stream.folder}/topic"
+    batch = spark.createDataFrame([("X", "\n".join(map(record, (0, 1))))], "key string, value string")
+    publish = sinks.publish(topic)
+    publish(batch, 0)
+
+    def fails(t, path, run):
+        def write(rows, batch_id):
+            raise RuntimeError("lost")
+
+        return start(jobs.window_counts(t), write, run)
+
+    with pytest.raises(StreamingQueryException):
+        stream.run(fails)
+    publish(batch, 0)
+    stream.run(lambda t, path, run: jobs.run_counts(t, path, run))
+    stream.run(lambda t, path, run: jobs.run_counts(t, path, run))
+    rows = spark.read.parquet(f"{stream.folder}/table").collect()
+    assert [(r["fx_marker"], r["count"]) for r in rows] == [("X", 2)]
+
+
 def test_the_last_of_several_versions_in_one_batch_is_stored(stream, spark):
     value = '{{"window":{{"start":"2018-06-26T08:00:00.000Z","end":"2018-06-26T08:00:30.000Z"}},"fx_marker":"X","avg(bid_big)":{0},"avg(bid_points)":{0}}}'
     rows = [("X", value.format(i % 50).encode(), i) for i in range(100)]
