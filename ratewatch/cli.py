@@ -47,7 +47,8 @@ def publish(spark: SparkSession, args: argparse.Namespace):
     if args.format == "kafka":
         framed = jobs.response_messages(responses)
         return start_kafka(framed, args.topic, _kafka(args), _run(args, "append"))
-    return jobs.run_publish(responses, args.topic, _run(args, "append"), args.quarantine)
+    run = _run(args, "append")
+    return jobs.run_publish(responses, args.topic, run, args.quarantine, args.partitions)
 
 
 def _writer(args: argparse.Namespace, decode) -> sinks.Writer:
@@ -55,7 +56,7 @@ def _writer(args: argparse.Namespace, decode) -> sinks.Writer:
         return sinks.upsert(args.table, decode)
     if args.format == "kafka":
         return sinks.send(args.out_topic, "kafka", **_pairs(args.option))
-    return sinks.publish(args.out_topic, args.out_partitions)
+    return sinks.publish(args.out_topic, args.out_partitions, "key")
 
 
 def sliding_mean(spark: SparkSession, args: argparse.Namespace):
@@ -122,6 +123,7 @@ def parser() -> argparse.ArgumentParser:
     command = add("publish", publish)
     command.add_argument("--responses", required=True)
     command.add_argument("--quarantine")
+    command.add_argument("--partitions", type=int)
     for name, run, duration, watermark in (
         ("sliding-mean", sliding_mean, 30, 120),
         ("count-anomalies", count_anomalies, 10, 60),

@@ -137,10 +137,14 @@ def response_messages(responses: DataFrame) -> DataFrame:
 
 
 def run_publish(
-    responses: DataFrame, topic: str, run: Run, quarantine: str | None = None
+    responses: DataFrame, topic: str, run: Run, quarantine: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """Captured responses as raw messages to a topic; incomplete lines can be set aside."""
-    write = sinks.publish(topic)
+    """Captured responses as raw messages to a topic, spread evenly over its partitions.
+
+    With ``quarantine``, incomplete lines are set aside there.
+    """
+    write = sinks.publish(topic, partitions)
     if quarantine is None:
         return start(response_messages(responses), write, run)
     return start(responses.select("value"), sinks.both(
@@ -151,4 +155,4 @@ def run_publish(
 
 def run_publish_results(results: DataFrame, topic: str, run: Run, partitions: int = 3) -> StreamingQuery:
     """Mean or anomaly messages to a topic, spread over its partitions by marker."""
-    return start(results, sinks.publish(topic, partitions), run)
+    return start(results, sinks.publish(topic, partitions, "key"), run)

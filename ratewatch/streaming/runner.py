@@ -53,6 +53,8 @@ def _start(rows: DataFrame, writer: DataStreamWriter, run: Run) -> StreamingQuer
         conf["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     if run.rocksdb:
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+        # Commits then write what changed and not all state.
+        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     writer = writer.outputMode(run.mode).option("checkpointLocation", run.checkpoint)
     if run.name:
         writer = writer.queryName(run.name)

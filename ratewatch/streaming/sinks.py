@@ -55,8 +55,8 @@ def _write(rows: DataFrame, path: str, batch_id: int, then: Writer | None) -> No
         then(tables.read_version(rows.sparkSession, path, batch_id, rows.schema), batch_id)
 
 
-def publish(topic: str, partitions: int | None = None) -> Writer:
-    """Write the messages of each batch to a topic folder, spread by key if asked for.
+def publish(topic: str, partitions: int | None = None, key: str | None = None) -> Writer:
+    """Write the messages of each batch to a topic folder, spread evenly or by key.
 
     ``offset`` is the batch: it orders messages of different batches.
     """
@@ -67,7 +67,7 @@ def publish(topic: str, partitions: int | None = None) -> Writer:
             F.col("value").cast("binary").alias("value"),
             F.lit(batch_id).cast("bigint").alias("offset"),
         )
-        tables.write_version(topics.spread(out, partitions, "key"), topic, batch_id)
+        tables.write_version(topics.spread(out, partitions, key), topic, batch_id)
 
     return write
 

@@ -235,7 +235,7 @@ def test_responses_to_topic_to_results_to_table(stream, spark, tmp_path):
     def run(name, mode="append"):
         return Run(f"{stream.folder}/{name}", mode, once=True, state_partitions=2)
 
-    jobs.run_publish(lines.quote_responses(spark, str(polls), stream=True), raw, run("p"), f"{raw}-bad").awaitTermination()
+    jobs.run_publish(lines.quote_responses(spark, str(polls), stream=True), raw, run("p"), f"{raw}-bad", 4).awaitTermination()
     assert {r["value"] for r in spark.read.parquet(f"{raw}-bad").collect()} == {"bad,line", "nothing useful"}
     assert messages.read_topic(spark, raw).count() == 1
     topic = messages.read_topic(spark, raw, stream=True)
