@@ -382,6 +382,7 @@ def stream_store_ticks(spark: SparkSession, sf: str) -> DataFrame:
         spark,
         sf,
         lambda messages, at: jobs.run_store_ticks(messages, f"{at}/table", f"{at}/quarantine", _run(at)),
+        frame=events.RESPONSE_LINES,
     )
     return _table(spark, folder, TICK_TABLE, TICK_KEY)
 

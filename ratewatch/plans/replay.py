@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from itertools import pairwise
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +15,22 @@ from ratewatch.session import configure, run_folder
 from ratewatch.sources import events
 from ratewatch.sources.messages import append_topic, read_topic
 
+# At least this many slices, and more where a slice would hold more rows than this per core.
 SLICES = 3
+ROWS_PER_CORE = 5_000_000
 HEARTBEAT = "heartbeat"
 
 
-def time_slices(spark: SparkSession, sf_dir: str, n: int = SLICES) -> list[tuple[datetime, datetime]]:
-    """Equal stretches of time that cover all events."""
+def time_slices(spark: SparkSession, sf_dir: str) -> list[tuple[datetime, datetime]]:
+    """Stretches of time that cover all events, with about the same number of events each."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    first, last = table.agg(F.min("ts"), F.max("ts")).first()
-    step = (last - first) / n + timedelta(microseconds=1)
-    return [(first + i * step, first + (i + 1) * step) for i in range(n)]
+    n = max(SLICES, ceil(table.count() / (ROWS_PER_CORE * spark.sparkContext.defaultParallelism)))
+    inner = F.percentile_approx(micros, [i / n for i in range(1, n)])
+    first, last, middle = table.agg(F.min(micros), F.max(micros), inner).first()
+    edges = sorted({first, *middle, last + 1})
+    times = [datetime(1970, 1, 1) + timedelta(microseconds=edge) for edge in edges]
+    return list(pairwise(times))
 
 
 def heartbeat(spark: SparkSession, at: datetime) -> DataFrame:
@@ -39,17 +47,19 @@ def replay(
     sf_dir: str,
     start: Callable[[DataFrame, str], StreamingQuery],
     close: bool = False,
+    frame: int = 1,
 ) -> str:
     """Add each slice of events to a topic and run the stream over what is new.
 
     ``start(messages, folder)`` starts the stream with its checkpoint and tables in
     ``folder``; it is restarted for every slice and goes on from its checkpoint. As a slice
     is a batch, no event comes late, whatever the order of the files within it. ``close``
-    ends with a heartbeat, so that append mode gives the last windows, too.
+    ends with a heartbeat, so that append mode gives the last windows, too. A message holds
+    up to ``frame`` records; with one there is nothing to bring together.
     """
     folder = run_folder(configure(spark), "replay")
     slices = time_slices(spark, sf_dir)
-    batches = [events.messages(events.ticks(spark, sf_dir, start=a, end=b)) for a, b in slices]
+    batches = [events.messages(events.ticks(spark, sf_dir, start=a, end=b), frame) for a, b in slices]
     if close:
         batches.append(heartbeat(spark, slices[-1][1] + timedelta(days=1)))
     for batch in batches:

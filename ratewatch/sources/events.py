@@ -7,7 +7,6 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewatch.functions.wire import strip
 from ratewatch.operators import framing
 from ratewatch.schemas import WIRE_FIELDS
 from ratewatch.session import configure
@@ -83,7 +82,9 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", *WIRE_FIELDS)
 
 
-def messages(rows: DataFrame, size: int = RESPONSE_LINES) -> DataFrame:
+def messages(rows: DataFrame, size: int = 1) -> DataFrame:
     """Ticks as messages of up to ``size`` JSON records."""
     records = framing.record_json(rows.select("event_id", *WIRE_FIELDS))
-    return framing.frame_records(records, "event_id", size).where(strip(F.col("value")) != "")
+    if size == 1:
+        return records.withColumnRenamed("event_id", "offset")
+    return framing.frame_records(records, "event_id", size)
