@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratewatch.plans.queries import AS_OF, BASE_DATES, MARKER, RECENT, SERVED_DATES, TWO_MARKERS
+from ratewatch.plans.queries import AS_OF, BASE_DATES, LATE, MARKER, RECENT, SERVED_DATES, TWO_MARKERS
 
 TICKS = """(SELECT event_id, event_type AS fx_marker, epoch_us(ts)//1000 AS timestamp_ms,
   date_trunc('milliseconds', ts) AS ts, floor(value) AS bid_big,
@@ -18,9 +18,8 @@ UNIQUE_TICKS = f"""(SELECT * FROM {TICKS} QUALIFY row_number() OVER
 FIELDS = "fx_marker, timestamp_ms, bid_big, bid_points, offer_big, offer_points, hight, low, open"
 
 
-def _texts(*left_out: str) -> str:
-    names = [name for name in FIELDS.split(", ") if name not in left_out]
-    return ", ".join(f"CAST({name} AS VARCHAR) AS {name}" for name in names)
+def _texts() -> str:
+    return ", ".join(f"CAST({name} AS VARCHAR) AS {name}" for name in FIELDS.split(", "))
 
 
 def _in(values: list) -> str:
@@ -79,10 +78,12 @@ NEWEST = f"ORDER BY ts DESC, event_id DESC LIMIT {RECENT}"
 ORACLES: dict[str, str] = {
     "ticks_of_events": f"SELECT event_id, {FIELDS}, ts FROM {TICKS}",
     "wire_parse": f"SELECT event_id, {_texts()} FROM {TICKS} WHERE fx_marker <> 'error'",
+    "wire_files": f"SELECT {_texts()} FROM {TICKS} WHERE fx_marker <> 'error'",
     "wire_quarantine": f"""SELECT event_id, 8 AS n_fields,
         concat_ws(',', {FIELDS.rsplit(', ', 1)[0]}) AS line
         FROM {TICKS} WHERE fx_marker = 'error'""",
     "ticks_from_json": f"SELECT event_id, {FIELDS}, ts FROM {TICKS} WHERE fx_marker <> 'error'",
+    "frame_single_lines": f"SELECT event_id FROM {TICKS} WHERE fx_marker <> 'error'",
     "frame_sizes": f"""SELECT event_id // 50 AS "offset", count(*) AS records FROM {TICKS}
         WHERE fx_marker <> 'error' GROUP BY ALL""",
     "frame_roundtrip": f"SELECT {FIELDS}, ts FROM {TICKS} WHERE fx_marker <> 'error'",
@@ -148,6 +149,8 @@ ORACLES: dict[str, str] = {
         ON t.fx_marker = a.fx_marker AND t.ts >= a.window_start AND t.ts < a.window_end""",
     "stream_sliding_mean": f"{MEAN_ROWS} ({_sliding(30, 5)})",
     "stream_tumbling_count": f"SELECT *, CAST(CAST(window_start AS DATE) AS VARCHAR) AS timestamp_d FROM ({HOURS})",
+    "stream_late_rows": f"""SELECT *, CAST(CAST(window_start AS DATE) AS VARCHAR) AS timestamp_d
+        FROM ({_tumbling(3600, f"ts < TIMESTAMP '{LATE[0]}' OR ts >= TIMESTAMP '{LATE[1]}'")})""",
     "stream_anomalies": f"{ANOMALY_ROWS} ({ANOMALIES})",
     "stream_store_ticks": f"""SELECT {FIELDS}, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS timestamp_d
         FROM {UNIQUE_TICKS}""",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from ratewatch.schemas import (
     WIRE_FIELDS,
 )
 from ratewatch.session import configure, run_folder, stored
-from ratewatch.sources import events, tables
+from ratewatch.sources import events, lines, tables
 from ratewatch.sources.messages import read_topic
 from ratewatch.streaming import jobs, sinks
 from ratewatch.streaming.runner import Run
@@ -36,6 +36,7 @@ MARKER = "click"
 TWO_MARKERS = ["click", "view"]
 BASE_DATES = ["2024-01-01", "2024-01-02", "2024-01-03"]
 SERVED_DATES = recent_dates(1, date(2024, 1, 30))
+LATE = (datetime(2024, 1, 11), datetime(2024, 1, 21))
 AS_OF = "2024-01-31 12:00:00"
 RECENT = 100
 
@@ -76,6 +77,14 @@ def wire_parse(spark: SparkSession, sf: str) -> DataFrame:
     return framing.parse_lines(events.quote_lines(spark, sf))
 
 
+@register
+def wire_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Quote lines from text files."""
+    path = run_folder(configure(spark), "lines")
+    events.quote_lines(spark, sf).select("value").write.text(path)
+    return framing.parse_lines(lines.quote_lines(spark, path))
+
+
 @register
 def wire_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     rows = framing.quarantine_lines(events.quote_lines(spark, sf))
@@ -88,6 +97,12 @@ def ticks_from_json(spark: SparkSession, sf: str) -> DataFrame:
     return _tick_columns(ticks.typed(ticks.with_marker(ticks.decode(records))))
 
 
+@register
+def frame_single_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Each line as a response of its own: no message where the line is incomplete."""
+    return framing.frame_responses(events.quote_lines(spark, sf)).select("event_id")
+
+
 @register
 def frame_sizes(spark: SparkSession, sf: str) -> DataFrame:
     messages = framing.frame_responses(events.quote_responses(spark, sf))
@@ -361,6 +376,19 @@ def stream_tumbling_count(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, folder, COUNT_TABLE)
 
 
+@register
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The middle of the time comes last, far behind the watermark, and is left out."""
+    one, two = LATE
+    folder = replay(
+        spark,
+        sf,
+        lambda messages, at: jobs.run_counts(messages, f"{at}/table", _run(at), duration=HOUR),
+        slices=[(None, one), (two, None), (one, two)],
+    )
+    return _table(spark, folder, COUNT_TABLE)
+
+
 @register
 def stream_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     """Complete windows judged against the statistics last stored."""

@@ -48,6 +48,7 @@ def replay(
     start: Callable[[DataFrame, str], StreamingQuery],
     close: bool = False,
     frame: int = 1,
+    slices: list[tuple[datetime | None, datetime | None]] | None = None,
 ) -> str:
     """Add each slice of events to a topic and run the stream over what is new.
 
@@ -55,10 +56,11 @@ def replay(
     ``folder``; it is restarted for every slice and goes on from its checkpoint. As a slice
     is a batch, no event comes late, whatever the order of the files within it. ``close``
     ends with a heartbeat, so that append mode gives the last windows, too. A message holds
-    up to ``frame`` records; with one there is nothing to bring together.
+    up to ``frame`` records; with one there is nothing to bring together. ``slices`` sends
+    other stretches of time, in the order given.
     """
     folder = run_folder(configure(spark), "replay")
-    slices = time_slices(spark, sf_dir)
+    slices = slices or time_slices(spark, sf_dir)
     batches = [events.messages(events.ticks(spark, sf_dir, start=a, end=b), frame) for a, b in slices]
     if close:
         batches.append(heartbeat(spark, slices[-1][1] + timedelta(days=1)))

@@ -48,9 +48,6 @@ def _start(rows: DataFrame, writer: DataStreamWriter, run: Run) -> StreamingQuer
     spark = rows.sparkSession
     partitions = run.state_partitions or spark.sparkContext.defaultParallelism
     conf = {"spark.sql.shuffle.partitions": str(partitions)}
-    if run.mode == "update":
-        # A batch without data would only visit all state; it changes no result here.
-        conf["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     if run.rocksdb:
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
         # Commits then write what changed and not all state.
