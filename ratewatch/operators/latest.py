@@ -11,19 +11,21 @@ GROUP_LIMIT = 1000
 
 
 def latest(rows: DataFrame, keys: tuple[str, ...], *order: str) -> DataFrame:
-    """The row with the greatest ``order`` per key.
-
-    One ``max_by`` per column instead of one over a struct: with numbers and dates the
-    buffers have a fixed width, so Spark uses a hash aggregate that combines before the
-    shuffle, and a key with very many versions costs one row per task. All columns see
-    the same rows in the same order, so they always come from the same version.
+    """The row with the greatest ``order`` per key; a single ``order`` column is kept.
+
+    With one order column there is one ``max_by`` per column instead of one over a struct:
+    with numbers and dates the buffers have a fixed width, so Spark uses a hash aggregate
+    that combines before the shuffle, and a key with very many versions costs one row per
+    task. All columns see the same rows in the same order, so they always come from the
+    same version. Several order columns need a struct, and Spark then sorts; rows equal in
+    all of them are told apart by their values, so a rerun gives the same row.
     """
-    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     values = [c for c in rows.columns if c not in keys and c not in order]
-    aggregates = [F.max_by(c, by).alias(c) for c in values]
-    if len(order) == 1:
-        aggregates.append(F.max(order[0]).alias(order[0]))
-    return rows.groupBy(*keys).agg(*aggregates)
+    if len(order) > 1:
+        best = F.max(F.struct(*order, *values)).alias("best")
+        return rows.groupBy(*keys).agg(best).select(*keys, *[F.col("best")[c].alias(c) for c in values])
+    aggregates = [F.max_by(c, order[0]).alias(c) for c in values]
+    return rows.groupBy(*keys).agg(*aggregates, F.max(order[0]).alias(order[0]))
 
 
 def recent(rows: DataFrame, n: int, *newest: str) -> DataFrame:

@@ -18,15 +18,15 @@ Writer = Callable[[DataFrame, int], None]
 
 
 def both(*writers: Writer) -> Writer:
-    """Give each batch to several writers, reading its source once."""
+    """Give each batch to several writers.
+
+    Each reads and parses the batch for itself: to keep the parsed text for the next one
+    takes as long as to parse it again, and memory besides.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for writer in writers:
-                writer(batch, batch_id)
-        finally:
-            batch.unpersist()
+        for writer in writers:
+            writer(batch, batch_id)
 
     return write
 
