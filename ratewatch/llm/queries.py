@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewatch.llm import line_dedup, mixing, packing, quality, simhash
+from ratewatch.llm import bilinear, chat, kdtree, line_dedup, mixing, packing, quality, rans, simhash, wrapper
 from ratewatch.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,28 @@ def register(query: Callable[[SparkSession, str], DataFrame]):
     return query
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary that the queries use; operators take a path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register
+def op1_kdtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest inner products of every hundredth vector with all others."""
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op1_kdtree_top_k"] = kdtree.TOP_K_SQL
+
+
+@register
+def op2_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under the base and the model."""
+    return bilinear.scored(table(spark, sf_dir, "documents"))
+
+
 @register
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdict of every document."""
@@ -42,13 +64,35 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@register
+def op6_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return wrapper.extracted(table(spark, sf_dir, "pages"))
+
+
 @register
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that the mix takes of every document."""
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("key", "copies")
 
 
+@register
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of every document's ids, from the files read back."""
+    return rans.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @register
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered for each of its speakers, with the spans to learn from."""
+    rotated = chat.rotated(table(spark, sf_dir, "conversations"))
+    return rotated.withColumn("spans", chat.span_text("spans"))
+
+
+ORACLES["op10_perspectives"] = chat.ROTATED_SQL
