@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ratewatch.session import stored
 
 
-def _digest(pairs: DataFrame) -> tuple:
-    return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("low", "high"))).first())
+def _written(pairs: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links in the shared folder, and their number and a digest, taken as they are written."""
+    seen = Observation()
+    digest = F.bit_xor(F.xxhash64("low", "high")).alias("digest")
+    kept = stored(pairs.observe(seen, F.count(F.lit(1)).alias("n"), digest), "links")
+    return kept, (seen.get["n"], seen.get["digest"])
 
 
 def _large_star(pairs: DataFrame) -> DataFrame:
@@ -19,7 +23,7 @@ def _large_star(pairs: DataFrame) -> DataFrame:
     )
     least = both.groupBy("node").agg(F.min("near").alias("least"))
     joined = both.where("near > node").join(least, "node")
-    return joined.select(F.least("node", "least").alias("low"), F.col("near").alias("high")).distinct()
+    return joined.select(F.least("node", "least").alias("low"), F.col("near").alias("high"))
 
 
 def _small_star(pairs: DataFrame) -> DataFrame:
@@ -41,11 +45,10 @@ def connected(links: DataFrame) -> DataFrame:
     a, b = links.columns
     proper = links.where(F.col(a) != F.col(b))
     pairs = proper.select(F.least(a, b).alias("low"), F.greatest(a, b).alias("high"))
-    pairs = stored(pairs.distinct(), "links")
-    digest = _digest(pairs)
+    pairs, digest = _written(pairs.distinct())
     while digest[0]:
-        pairs = stored(_small_star(_large_star(pairs)), "links")
-        before, digest = digest, _digest(pairs)
+        before = digest
+        pairs, digest = _written(_small_star(_large_star(pairs)))
         if digest == before:
             break
     members = pairs.select(F.col("high").alias("node"), F.col("low").alias("component"))

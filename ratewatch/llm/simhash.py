@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,6 @@ GOLAY_POLYNOMIAL = 0b110001110101
 
 # Fingerprint bits by segment; the last is a shortened word.
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
-SEGMENT_PAIRS = tuple(combinations(range(len(SEGMENTS)), 2))
 
 
 def fingerprint(text: str | None, n: int = SHINGLE_WORDS) -> int:
@@ -62,42 +61,40 @@ def syndromes(word: np.ndarray) -> np.ndarray:
     return rest
 
 
-def golay_tables() -> tuple[np.ndarray, np.ndarray]:
-    """For every syndrome the one pattern of up to 3 errors, and those of 4 errors or -1.
+def golay_tables() -> list[np.ndarray]:
+    """For every syndrome the error patterns that 0, 1 and 2 flipped bits can make the nearest.
 
-    The code is perfect: each syndrome has exactly one pattern of up to 3 errors. A word at
-    distance 3 from its codeword has 5 other codewords at distance 4, any other has none.
+    The code is perfect: each syndrome has exactly one pattern of up to 3 errors. A codeword
+    that is 4 or 5 bits away is the nearest one after 1 or 2 flips. Rows are filled with -1.
     """
     one = 1 << np.arange(GOLAY_BITS, dtype=np.int64)
-    nearest = np.zeros(1 << GOLAY_CHECK, np.int64)
-    for weight in (1, 2, 3):
-        patterns = np.array([one[list(c)].sum() for c in combinations(range(GOLAY_BITS), weight)])
-        nearest[syndromes(patterns)] = patterns
-    patterns = np.array([one[list(c)].sum() for c in combinations(range(GOLAY_BITS), 4)])
-    at = syndromes(patterns)
-    order = np.argsort(at, kind="stable")
-    at, patterns = at[order], patterns[order]
-    place = np.arange(len(at)) - np.searchsorted(at, at)
-    further = np.full((1 << GOLAY_CHECK, place.max() + 1), -1, np.int64)
-    further[at, place] = patterns
-    return nearest, further
-
-
-def codewords(segment: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Data bits of the nearest codeword, then of each that one flipped bit can lead to, or -1."""
-    nearest, further = tables
+    tables = []
+    for weights in ((0, 1, 2, 3), (4,), (5,)):
+        chosen = [c for w in weights for c in combinations(range(GOLAY_BITS), w)]
+        patterns = np.array([one[list(c)].sum() if c else 0 for c in chosen], np.int64)
+        at = syndromes(patterns)
+        order = np.argsort(at, kind="stable")
+        at, patterns = at[order], patterns[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        table = np.full((1 << GOLAY_CHECK, place.max() + 1), -1, np.int64)
+        table[at, place] = patterns
+        tables.append(table)
+    return tables
+
+
+def codewords(segment: np.ndarray, tables: list[np.ndarray]) -> list[np.ndarray]:
+    """Data bits of the codewords that 0, 1 and 2 flips lead to, one column each, or -1."""
     at = syndromes(segment)
-    first = (segment ^ nearest[at]) >> GOLAY_CHECK
-    others = np.where(further[at] < 0, -1, (segment[:, None] ^ further[at]) >> GOLAY_CHECK)
-    return np.column_stack([first, others])
+    return [np.where(t[at] < 0, -1, (segment[:, None] ^ t[at]) >> GOLAY_CHECK) for t in tables]
 
 
-def bucket_keys(prints: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All (row, key) of the fingerprints.
+def bucket_keys(prints: np.ndarray, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All (row, key) of the fingerprints; a key joins a codeword of each segment.
 
-    Up to 4 errors over three segments leave two segments with 2 errors at most together.
-    Two words that differ in 2 bits there have a word between them that is one flip from
-    each, so they share its two codewords: those of at most one flip over both segments.
+    Of two fingerprints up to 4 bits apart, each is at most 2 flips from one between them, and
+    by the pigeonhole principle these flips leave a segment without any. All codewords that 2
+    flips in all can lead to, in one segment or in two, are keys; so both have those nearest
+    to the one between them, and share a key.
     """
     bits = prints.view(np.uint64)
     near = [
@@ -106,15 +103,13 @@ def bucket_keys(prints: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tu
     ]
     rows, keys = [], []
     number = np.arange(len(prints))
-    for pair, (i, j) in enumerate(SEGMENT_PAIRS):
-        a, b = near[i], near[j]
-        choices = [(a[:, 0], b[:, 0])]
-        choices += [(a[:, 0], b[:, k]) for k in range(1, b.shape[1])]
-        choices += [(a[:, k], b[:, 0]) for k in range(1, a.shape[1])]
-        for left, right in choices:
-            there = (left >= 0) & (right >= 0)
+    for flips in product(range(MAX_BITS // 2 + 1), repeat=len(SEGMENTS)):
+        if sum(flips) > MAX_BITS // 2:
+            continue
+        for a, b, c in product(*(near[k][f].T for k, f in enumerate(flips))):
+            there = (a >= 0) & (b >= 0) & (c >= 0)
             rows.append(number[there])
-            keys.append((pair << 24 | left << 12 | right)[there])
+            keys.append((a << 24 | b << 12 | c)[there])
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -156,14 +151,19 @@ def print_components(prints: DataFrame) -> DataFrame:
     named = stored(named, "members")
     counts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
     top = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("m"))
-    mixed = stored(top.where("m > 1").select("key", F.col("top.component").alias("top")), "mixed")
-    members = stored(named.join(mixed, "key"), "mixed")
+    mixed = top.where("m > 1").select("key", F.col("top.component").alias("top"))
+    members = named.join(mixed, "key")
     rest = members.where("component != top").select(
         "key", F.col("print").alias("other"), F.col("component").alias("apart")
     )
-    across = members.join(rest, "key").where((F.col("component") != F.col("apart")) & _close("print", "other", MAX_BITS))
-    links = found.where("node != component").unionAll(across.select("print", "other"))
-    return connected(links)
+    across = named.join(rest, "key").where((F.col("component") != F.col("apart")) & _close("print", "other", MAX_BITS))
+    joined = connected(across.select("component", "apart").distinct())
+    joined = joined.select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    every = found.join(joined, found["component"] == joined["part"], "left")
+    known = every.select("node", F.coalesce("whole", "component").alias("component"))
+    # A part that was a lone fingerprint is in no star.
+    lone = joined.join(found, joined["part"] == found["node"], "left_anti")
+    return known.unionAll(lone.select("part", "whole"))
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS) -> DataFrame:

@@ -1,0 +1,70 @@
+import duckdb
+
+from ratewatch.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string, lang string"
+
+
+def plain(rows):
+    out = {}
+    for conv in {r[0] for r in rows}:
+        turns = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1], r[2], r[3] or ""))
+        for speaker in {r[2] for r in turns if r[2] not in (None, "system")}:
+            text, spans = "", []
+            for _, _, role, said, _ in turns:
+                head = "assistant" if role == speaker else "system" if role == "system" else f"user:{role or 'unknown'}"
+                text += f"<|{head}|>\n"
+                start = len(text)
+                text += f"{said or ''}<|end|>\n"
+                if role == speaker:
+                    spans.append((start, len(text)))
+            out[conv, speaker] = text, spans
+    return out
+
+
+def test_every_speaker_sees_the_dialogue(spark):
+    rows = [
+        (1, 0, "system", "be kind", "x"),
+        (1, 1, "ann", "hi 😀", "x"),
+        (1, 2, "bob", None, "x"),
+        (1, 3, "ann", "", "x"),
+        (1, 3, "cy", "tie", "x"),
+        (1, 3, "cy", "tie", "x"),
+        (2, 0, "system", "alone", "x"),
+        (3, 5, "ann", "a" * 50_000, "x"),
+        (None, 1, "ann", "lost", "x"),
+        (None, 2, "bob", "too", "x"),
+    ]
+    got = chat.rotated(spark.createDataFrame(rows, SCHEMA).withColumnRenamed("lang", "speaker")).collect()
+    found = {(r.conv_id, r.speaker): (r.text, [(s.start, s.end) for s in r.spans]) for r in got}
+    assert found == plain(rows)
+    assert all(r.n_trained == sum(e - s for s, e in found[r.conv_id, r.speaker][1]) for r in got)
+
+
+def test_nulls_and_nothing(spark):
+    rows = [(1, None, "ann", "first", "x"), (1, 0, None, "who", "x"), (1, 1, "ann", "last", "x")]
+    (row,) = chat.rotated(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert row.text == (
+        "<|assistant|>\nfirst<|end|>\n<|user:unknown|>\nwho<|end|>\n<|assistant|>\nlast<|end|>\n"
+    )
+    assert chat.rotated(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_long_dialogues_go_on_in_parts(spark):
+    rows = [(1, k, "ab"[k % 2], f"t{k}", "x") for k in range(1100)]
+    got = chat.rotated(spark.createDataFrame(rows, SCHEMA)).where("speaker = 'a'").orderBy("part").collect()
+    assert [r.n_turns for r in got] == [512, 512, 76]
+    assert "".join(r.text for r in got) == plain(rows)[1, "a"][0]
+
+
+def test_sql_and_plan(spark, sf):
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    got = chat.rotated(turns)
+    plan = got._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+    db = duckdb.connect()
+    db.execute(f"create view conversations as select * from '{sf}/conversations.parquet'")
+    wanted = db.execute(f"select conv_id, speaker, part, text, spans, n_turns, n_trained from ({chat.ROTATED_SQL})")
+    columns = ["conv_id", "speaker", "part", "text", "spans", "n_turns", "n_trained"]
+    shown = got.withColumn("spans", chat.span_text("spans")).select(*columns)
+    assert sorted(map(tuple, shown.collect())) == sorted(wanted.fetchall())

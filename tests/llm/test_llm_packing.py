@@ -1,0 +1,74 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratewatch.llm import packing
+
+
+def held(sizes, chosen):
+    return packing.filled(sizes, chosen)
+
+
+def test_best_fit_takes_the_bin_with_least_room():
+    rng = random.Random(1)
+    for _ in range(30):
+        sizes = sorted((rng.randint(1, 100) for _ in range(80)), reverse=True)
+        chosen = packing.best_fit(sizes, (50, 100), 100)
+        room = {}
+        for size, number in zip(sizes, chosen, strict=True):
+            fits = [left for left in room.values() if left >= size]
+            assert room.get(number, 100) == (min(fits) if fits else 100)
+            room[number] = room.get(number, 100) - size
+            assert room[number] >= 0
+
+
+def test_the_cheapest_choice_wins_and_bins_shrink():
+    rng = random.Random(2)
+    sizes = sorted((rng.randint(1, 4096) for _ in range(500)), reverse=True)
+    chosen, bins = packing.packed(sizes, packing.CAPACITIES)
+    contents = held(sizes, chosen)
+    assert all(bins[n] == packing.smallest(packing.CAPACITIES, x) for n, x in contents.items())
+    cost = sum(map(packing.price, bins.values()))
+    for opened in packing.CAPACITIES:
+        other = held(sizes, packing.best_fit(sizes, packing.CAPACITIES, opened))
+        assert cost <= sum(packing.price(packing.smallest(packing.CAPACITIES, x)) for x in other.values())
+    assert sum(sizes) > 0.9 * sum(bins.values())
+
+
+@pytest.mark.parametrize("shard_rows", [40, 8192])
+def test_every_word_has_one_place(make_docs, prose, monkeypatch, shard_rows):
+    monkeypatch.setattr(packing, "SHARD_ROWS", shard_rows)
+    rng = random.Random(3)
+    rows = [(k, prose(k, rng.randint(1, 900))) for k in range(200)]
+    rows += [(500, prose(1, 10_000)), (501, None), (502, ""), (503, prose(5, 4095)), (None, prose(6, 30)), rows[0]]
+    docs = make_docs(*rows).withColumnRenamed("lang", "bin").withColumn("shard", F.lit(0))
+    got = packing.pack(docs).collect()
+    sizes = {}
+    for number, text in rows:
+        sizes.setdefault(number, []).append(len((text or "").split()) + 1)
+    for number, wanted in sizes.items():
+        pieces = sorted((r.start, r.length) for r in got if r.doc_id == number)
+        places = sorted((s, min(4096, n - s)) for n in wanted for s in range(0, n, 4096))
+        assert pieces == places
+    bins = {}
+    for r in got:
+        bins.setdefault((r.bin, r.capacity), []).append((r.place, r.length))
+    assert len({b for b, _ in bins}) == len(bins)
+    for (_, capacity), places in bins.items():
+        at = 0
+        for place, length in sorted(places):
+            assert place == at
+            at += length
+        assert capacity == packing.smallest(packing.CAPACITIES, at)
+    again = packing.pack(docs.repartition(5)).where("bin not like 'full%'").collect()
+    assert sorted(map(str, again)) == sorted(str(r) for r in got if not r.bin.startswith("full"))
+
+
+def test_nothing_and_other_sizes(make_docs):
+    assert packing.pack(make_docs()).count() == 0
+    docs = make_docs((1, "a"), (2, "b"), (3, "c")).withColumn("tokens", F.lit(7))
+    got = packing.pack(docs, F.col("tokens"), (7, 14)).collect()
+    assert sum({r.bin: r.capacity for r in got}.values()) == 21
+    none = packing.pack(docs, F.lit(None).cast("long")).count()
+    assert none == 0
