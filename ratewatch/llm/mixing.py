@@ -108,8 +108,7 @@ def _rounded(rows: DataFrame, group: list[str], step: Callable[[list[list], int]
         ordered = batch.sort_values(["size", "key"], ascending=[False, True], kind="stable").copy()
         parts = [list(x) for x in zip(ordered["key"], ordered["size"], ordered["fraction"], strict=True)]
         step(parts, SEED)
-        ordered["fraction"] = [float(p[2]) for p in parts]
-        return ordered
+        return ordered.assign(key=[p[0] for p in parts], fraction=[float(p[2]) for p in parts])
 
     return rows.groupBy(*group).applyInPandas(solve, rows.schema)
 

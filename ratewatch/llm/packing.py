@@ -107,7 +107,7 @@ def pack(docs: DataFrame, size: Column | None = None, capacities: Sequence[int]
         chosen, bins = packed(rows["length"].tolist(), sizes)
         number = pd.Series(chosen, index=rows.index)
         place = rows["length"].groupby(number).cumsum() - rows["length"]
-        name = rows["shard"].astype(str) + "-" + number.astype(str)
+        name = [f"{shard}-{n}" for shard, n in zip(rows["shard"], number, strict=True)]
         return pd.DataFrame(
             {
                 "doc_id": rows["doc_id"],

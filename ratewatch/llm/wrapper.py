@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,10 +20,10 @@ TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 TOKEN = re.compile(r"[a-z]+")
 
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base br col embed hr input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title".split())
 INLINE = frozenset(
-    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
+    "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var".split()
 )
 
@@ -142,6 +143,8 @@ def parsed(html: str | None) -> tuple[Node, list[Block]]:
             place = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
             if place:
                 close(place)
+            elif tag == "p":
+                flush()
             continue
         flush()
         ended = CLOSED_BY.get(tag)
@@ -336,15 +339,17 @@ def host_of(url: str | Column) -> Column:
     return F.coalesce(F.lower(found), F.lit(""))
 
 
+def _counted(rows: Counter[tuple], columns: list[str]) -> pd.DataFrame:
+    return pd.DataFrame([(*row, n) for row, n in rows.items()], columns=columns, dtype=object)
+
+
 def layouts(pages: DataFrame) -> DataFrame:
     """(host, layout, n): the distinct layouts of every host."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = pd.DataFrame(
-                {"host": batch["host"], "layout": [json.dumps(Page(h).layout) for h in batch["html"]]}
-            )
-            yield found.groupby(["host", "layout"], as_index=False).size().rename(columns={"size": "n"})
+            pairs = zip(batch["host"], (json.dumps(Page(h).layout) for h in batch["html"]), strict=True)
+            yield _counted(Counter(pairs), ["host", "layout", "n"])
 
     found = pages.select("host", "html").mapInPandas(find, "host string, layout string, n long")
     return found.groupBy("host", "layout").agg(F.sum("n").alias("n"))
@@ -386,15 +391,16 @@ def constants(pages: DataFrame, found: DataFrame) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, Aligner] = {}
         for batch in batches:
-            rows = []
+            rows: Counter[tuple] = Counter()
             for host, html, template in zip(batch["host"], batch["html"], batch["template"], strict=True):
-                aligner = known.setdefault(host, Aligner(template))
+                if host not in known:
+                    known[host] = Aligner(template)
                 page = Page(html)
-                texts = zip(aligner.places(page), page.blocks, strict=True)
-                met = {(p, text_hash(b.text)) for p, b in texts if p is not None}
-                rows += [(host, p, h) for p, h in met] + [(host, None, 0)]
-            frame = pd.DataFrame(rows, columns=["host", "place", "hash"])
-            yield frame.groupby(["host", "place", "hash"], as_index=False, dropna=False).size()
+                texts = zip(known[host].places(page), page.blocks, strict=True)
+                met = {(host, p, text_hash(b.text)) for p, b in texts if p is not None}
+                rows.update(met)
+                rows[host, None, 0] += 1
+            yield _counted(rows, ["host", "place", "hash", "size"])
 
     joined = pages.select("host", "html").join(found, "host")
     kind = "host string, place string, hash long, size long"
@@ -434,7 +440,7 @@ def extracted(pages: DataFrame) -> DataFrame:
                 aligner, names = known[host]
                 page = Page(html)
                 texts.append(main_text(page, aligner.places(page), names))
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"].astype(object), "text": texts})
 
     joined = rows.join(wrappers, "host")
     texts = joined.mapInPandas(extract, "page_id long, url string, text string")

@@ -1,0 +1,107 @@
+import html as entities
+
+from ratewatch.llm import wrapper
+
+SCHEMA = "page_id long, url string, html string, text string"
+
+PAGE = """<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>{title}</title>
+<style>p{{margin:0}}</style><script>var t="</p><article>no</article>";</script></head>
+<body class="has-sidebar"><header class="site-header"><div>Site {n}</div></header>
+<nav><ul><li><a href="/{n}">Menu {n}</a><li><a href="/b">b</a></ul></nav><!-- <article>x</article> -->
+<div class="ad box">Buy {n}</div><div id="cookie-notice">We use {n}</div>
+<article class="post"><header><h1>{title}</h1></header><p class="share">Share {n}</p><p><b>First &amp; <i>fore</i>most{n}.
+<br>next&#233;&nbsp;<p>An  open   paragraph {n}</p><ul><li>one {n}<li>two</ul>
+<div><p>Always the same words.</p></div><aside>more {n}</aside><form><p>Your name {n}</p></form>
+<section class="comments"><p>reader {n} says</p></section><footer>by {n}</footer></article>
+<div class="sidebar">side {n}</div><footer>&copy; {n}</footer></body></html>"""
+
+
+def page(n):
+    return PAGE.format(title=f"Title &lt;{n}&gt;", n=n)
+
+
+def wanted(n, constant=False):
+    fixed = " Always the same words." if constant else ""
+    return f"Title <{n}> First & foremost{n}. nexté An open paragraph {n} one {n} two{fixed}"
+
+
+def texts(spark, rows):
+    got = wrapper.extracted(spark.createDataFrame([(*r, "t") for r in rows], SCHEMA)).collect()
+    assert all(r.n_chars == len(r.text) for r in got)
+    return {r.page_id: r.text for r in got}
+
+
+def test_pages_of_a_host_and_of_others(spark):
+    rows = [(n, f"http://A.example:80/{n}", page(n)) for n in range(20)]
+    rows += [(100, "https://user@b.example/x", page(100)), (101, None, page(101)), (102, "no address", page(102))]
+    got = texts(spark, rows)
+    # "two" and the fixed paragraph stand on every page of the host.
+    assert got == {n: wanted(n).removesuffix(" two") for n in range(20)} | {
+        n: wanted(n, constant=True) for n in (100, 101, 102)
+    }
+
+
+def test_without_article(spark):
+    body = "<div><div class='nav'>menu {n}</div><div class='text'>Body {n} it is</div><p><a href=x>a link {n}</a></p></div>"
+    rows = [(n, "http://h/", body.format(n=n)) for n in range(6)]
+    assert texts(spark, rows) == {n: f"Body {n} it is" for n in range(6)}
+
+
+def test_pages_that_are_alike_keep_their_text(spark):
+    rows = [(n, "http://h/", page(7)) for n in range(8)]
+    assert set(texts(spark, rows).values()) == {wanted(7, constant=True)}
+
+
+def test_odd_pages(spark):
+    long = "<article><p>" + "</p><p>".join(f"word{n} &amp" for n in range(20_000))
+    odd = [
+        (1, "http://h/1", None),
+        (2, "http://h/2", ""),
+        (3, "http://h/3", "just text a < b & c"),
+        (4, "http://h/4", "<article><p>x<div>y</p>z</article></div></b>w"),
+        (5, "http://h/5", "<article>a<script>never closed <p>no"),
+        (6, "http://h/6", "<article title='a > b' data-x=\"</article>\">q<br/>r<img src=x>s</article>"),
+        (7, "http://h/7", "<ARTICLE>Up <EM>p</EM>er</ARTICLE> <p>out</p> <!-- not closed"),
+        (8, "http://h/8", "<nav>only menu</nav>"),
+        (9, "http://h/9", long),
+        (10, "http://h/10", '<p class="unclosed>text</p> more'),
+        (None, "http://h/11", "<main>m</main>"),
+    ]
+    got = texts(spark, odd)
+    assert {k: got[k] for k in (1, 2, 3, 4, 5, 6, 7, 8, None)} == {
+        1: "", 2: "", 3: "just text a < b & c", 4: "x y z", 5: "a", 6: "q rs", 7: "Up per", 8: "", None: "m"
+    }
+    assert got[9] == " ".join(f"word{n} &" for n in range(20_000))
+    assert wrapper.extracted(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert len(texts(spark, [odd[3], odd[3]])) == 1
+
+
+def test_matching_is_that_of_all_ways():
+    def best(a, b):
+        if a[0] != b[0]:
+            return 0
+
+        def ways(i, j):
+            if i == len(a[1]) or j == len(b[1]):
+                return 0
+            return max(ways(i + 1, j), ways(i, j + 1), best(a[1][i], b[1][j]) + ways(i + 1, j + 1))
+
+        return 1 + ways(0, 0)
+
+    one = ["r", [["a", []], ["b", [["c", []], ["d", []]]], ["a", []], ["e", []]]]
+    two = ["r", [["b", [["d", []]]], ["a", []], ["f", []], ["e", [["x", []]]]]]
+    assert wrapper.matched(one, two)[0] == best(one, two) == 5
+    both = wrapper.merged(one, two)
+    for layout in (one, two):
+        size = len(wrapper.aligned(both, layout))
+        assert size == str(layout).count("'")/2
+    assert entities.unescape("&amp") == "&"
+
+
+def test_many_layouts_are_merged_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "FAN_IN", 3)
+    rows = [
+        (n, "http://h/", f"<body><div class='{'k' * (n % 9 + 1)}'>x{n}</div><article><p>text {n}</p></article></body>")
+        for n in range(30)
+    ]
+    assert texts(spark, rows) == {n: f"text {n}" for n in range(30)}
