@@ -13,7 +13,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ratewatch.operators import counts, envelope
-from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, STATISTICS_TABLE, TICK_KEY, TICK_TABLE
+from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.session import configure
 from ratewatch.sources import lines, messages, tables
 from ratewatch.streaming import jobs, sinks
@@ -45,6 +45,8 @@ def _kafka(args: argparse.Namespace) -> str:
 def publish(spark: SparkSession, args: argparse.Namespace):
     responses = lines.quote_responses(spark, args.responses, stream=True)
     if args.format == "kafka":
+        if args.quarantine or args.partitions:
+            raise SystemExit("--quarantine and --partitions are for topics in folders")
         framed = jobs.response_messages(responses)
         return start_kafka(framed, args.topic, _kafka(args), _run(args, "append"))
     run = _run(args, "append")
@@ -66,12 +68,12 @@ def sliding_mean(spark: SparkSession, args: argparse.Namespace):
 
 def count_anomalies(spark: SparkSession, args: argparse.Namespace):
     def limits(session: SparkSession):
-        stats = tables.read_table(session, args.statistics, STATISTICS_TABLE)
-        return counts.bounds(counts.latest_statistics(stats), args.k)
+        return counts.bounds(tables.newest_statistics(session, args.statistics), args.k)
 
     return jobs.run_judged(
         _topic(spark, args), limits, _writer(args, envelope.decode_anomalies), _run(args, "append"),
-        markers=args.marker, duration=args.duration, watermark=args.watermark, dedup=args.dedup,
+        markers=args.marker, duration=args.duration, watermark=args.watermark,
+        dedup=not args.repeats,
     )
 
 
@@ -88,9 +90,7 @@ def store_results(spark: SparkSession, args: argparse.Namespace):
 def gather_statistics(spark: SparkSession, args: argparse.Namespace) -> None:
     """Statistics of the dates given as "2018-07-05 2018-07-06"; of one marker, or of all."""
     dates = args.dates.split()
-    history = tables.read_latest(
-        spark, args.history, TICK_TABLE, TICK_KEY, compacted=args.compacted, after=args.after
-    )
+    history = tables.read_latest(spark, args.history, TICK_TABLE, TICK_KEY, compacted=args.compacted)
     if args.marker:
         stats = counts.marker_statistics(history, args.marker, dates, args.duration)
     else:
@@ -99,7 +99,7 @@ def gather_statistics(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables.compact(spark, args.table, args.target, *TABLES[args.kind], upto=args.upto)
+    tables.compact(spark, args.table, args.target, *TABLES[args.kind], upto=args.upto, full=args.full)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -132,7 +132,7 @@ def parser() -> argparse.ArgumentParser:
         target = command.add_mutually_exclusive_group(required=True)
         target.add_argument("--table")
         target.add_argument("--out-topic")
-        command.add_argument("--out-partitions", type=int, default=3)
+        command.add_argument("--out-partitions", type=int, help="default: the session's shuffle partitions")
         command.add_argument("--duration", type=int, default=duration, help="seconds")
         command.add_argument("--watermark", type=int, default=watermark, help="seconds")
         if name == "sliding-mean":
@@ -141,7 +141,9 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--statistics", required=True)
             command.add_argument("--k", type=float, default=2.0)
             command.add_argument("--marker", action="append")
-            command.add_argument("--dedup", action="store_true")
+            command.add_argument(
+                "--repeats", action="store_true", help="count repeated ticks, which the tick table does not hold"
+            )
     command = add("store-ticks", store_ticks)
     command.add_argument("--table", required=True)
     command.add_argument("--quarantine", required=True)
@@ -153,7 +155,6 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("dates")
     command.add_argument("--history", required=True)
     command.add_argument("--compacted")
-    command.add_argument("--after", type=int, help="last batch that --compacted holds")
     command.add_argument("--statistics", required=True)
     command.add_argument("--marker")
     command.add_argument("--duration", type=int, default=10, help="seconds")
@@ -162,6 +163,7 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--table", required=True)
     command.add_argument("--target", required=True)
     command.add_argument("--upto", type=int)
+    command.add_argument("--full", action="store_true", help="merge earlier compactions, too")
     return top
 
 

@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def record_id(*keys: str) -> Column:
+def _text(key: str, kind: T.DataType) -> Column:
+    """A key as text; a timestamp as its microseconds, which no session zone changes."""
+    column = F.unix_micros(key) if isinstance(kind, T.TimestampType) else F.col(key)
+    return column.cast("string")
+
+
+def record_id(schema: T.StructType, *keys: str) -> Column:
     """An id made from the key columns, so that a retried write gives the same id."""
-    return F.sha2(F.concat_ws("|", *[F.col(key).cast("string") for key in keys]), 256)
+    return F.sha2(F.concat_ws("|", *[_text(key, schema[key].dataType) for key in keys]), 256)

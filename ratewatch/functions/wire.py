@@ -29,9 +29,10 @@ def fields_of(line: Column) -> Column:
 def is_complete(line: Column) -> Column:
     """True where a line has all fields. Further fields are ignored.
 
-    A line has enough commas where the text up to the last one needed is not all of it.
+    A line has enough commas where the text up to the last one needed is not all of it. A
+    null line has none.
     """
-    return F.substring_index(line, ",", len(WIRE_FIELDS) - 1) != line
+    return F.coalesce(F.substring_index(line, ",", len(WIRE_FIELDS) - 1) != line, F.lit(False))
 
 
 def named_fields(fields: Column) -> list[Column]:

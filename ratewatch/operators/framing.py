@@ -17,10 +17,9 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def quarantine_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """The lines that ``parse_lines`` leaves out, with the number of their fields."""
-    return lines.where(~wire.is_complete(F.col(line))).withColumn(
-        "n_fields", F.size(wire.fields_of(F.col(line)))
-    )
+    """The lines that ``parse_lines`` leaves out, with the number of their fields (null: 0)."""
+    count = F.when(F.col(line).isNull(), 0).otherwise(F.size(wire.fields_of(F.col(line))))
+    return lines.where(~wire.is_complete(F.col(line))).withColumn("n_fields", count)
 
 
 def frame_responses(responses: DataFrame, text: str = "value") -> DataFrame:

@@ -67,8 +67,13 @@ def quarantined(records: DataFrame) -> DataFrame:
 
     Each record is judged for itself; a bad one spoils no other of its message.
     """
+    return marked_records(records).where("bad_fields <> ''")
+
+
+def marked_records(records: DataFrame) -> DataFrame:
+    """All records as they came, with the names of their ``bad_fields``: none where readable."""
     names = [F.when(_unreadable(field), F.lit(field)) for field in WIRE_FIELDS]
-    return records.where(~_readable()).withColumn("bad_fields", F.concat_ws(",", *names))
+    return records.withColumn("bad_fields", F.concat_ws(",", *names))
 
 
 def with_date(ticks: DataFrame) -> DataFrame:
@@ -78,4 +83,4 @@ def with_date(ticks: DataFrame) -> DataFrame:
 
 def with_record_id(rows: DataFrame, keys: tuple[str, ...] = TICK_KEY, random: bool = False) -> DataFrame:
     """Add ``record_id``, by default made from the key so that retries agree."""
-    return rows.withColumn("record_id", F.uuid() if random else record_id(*keys))
+    return rows.withColumn("record_id", F.uuid() if random else record_id(rows.schema, *keys))

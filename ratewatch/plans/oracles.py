@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from ratewatch.plans.queries import AS_OF, BASE_DATES, LATE, MARKER, RECENT, SERVED_DATES, TWO_MARKERS
+from ratewatch.plans.queries import (
+    AS_OF,
+    BASE_DATES,
+    LATE,
+    MANY,
+    MARKER,
+    NUMBERS,
+    RECENT,
+    REPORT_DATES,
+    SERVED_DATES,
+    TWO_MARKERS,
+)
 
 TICKS = """(SELECT event_id, event_type AS fx_marker, epoch_us(ts)//1000 AS timestamp_ms,
   date_trunc('milliseconds', ts) AS ts, floor(value) AS bid_big,
@@ -49,6 +60,10 @@ def _sliding(duration: int, slide: int, extra: str = "", where: str = "true") ->
       FROM {TICKS}, range({duration // slide}) r(i) WHERE {where} GROUP BY ALL"""
 
 
+def _all_means(form: str, names: list[str] = NUMBERS) -> str:
+    return ", ".join(form.format(name) for name in names)
+
+
 HOURS = _tumbling(3600)
 HOUR_MEANS = _sliding(6 * 3600, 3600)
 STAT = f"""SELECT fx_marker, avg(count) AS avg_count, stddev_samp(count) AS stddev_count
@@ -61,6 +76,17 @@ ANOMALIES = f"""SELECT c.* FROM ({HOURS}) c JOIN ({LIMITS}) b USING (fx_marker)
 GATHERED = f"TIMESTAMP '{AS_OF}' - INTERVAL 5 HOUR"
 
 
+def _unique_anomalies() -> str:
+    """Anomalies where ticks of one marker and time count once."""
+    hours = _tumbling(3600, ticks=f"(SELECT DISTINCT fx_marker, ts FROM {TICKS})")
+    return f"""WITH h AS ({hours}), s AS (
+      SELECT fx_marker, avg(count) AS m, stddev_samp(count) AS d FROM h
+      WHERE CAST(window_start AS DATE) IN ({_dates(BASE_DATES)}) GROUP BY fx_marker)
+      SELECT fx_marker, CAST(CAST(window_start AS DATE) AS VARCHAR) AS timestamp_d, window_start, window_end,
+      CAST(count AS DOUBLE) AS anomaly_count FROM h JOIN s USING (fx_marker)
+      WHERE count < m - 2 * d OR count > m + 2 * d"""
+
+
 def _one_marker(sec: int) -> str:
     inner = _tumbling(sec, f"fx_marker = '{MARKER}' AND CAST(ts AS DATE) IN ({_dates(BASE_DATES[:2])})")
     return f"""SELECT '{MARKER}' AS fx_marker, round(avg(count), 6) AS avg_count,
@@ -75,6 +101,9 @@ ANOMALY_ROWS = """SELECT fx_marker, CAST(CAST(window_start AS DATE) AS VARCHAR)
 SERVED = f"fx_marker = '{MARKER}' AND CAST(ts AS DATE) IN ({_dates(SERVED_DATES)})"
 NEWEST = f"ORDER BY ts DESC, event_id DESC LIMIT {RECENT}"
 
+SHOWN = f"""fx_marker = '{MARKER}' AND CAST(window_start AS DATE) IN ({_dates(SERVED_DATES)})
+  AND window_start >= (SELECT min(ts) FROM (SELECT ts FROM {TICKS} WHERE {SERVED} {NEWEST}))"""
+
 ORACLES: dict[str, str] = {
     "ticks_of_events": f"SELECT event_id, {FIELDS}, ts FROM {TICKS}",
     "wire_parse": f"SELECT event_id, {_texts()} FROM {TICKS} WHERE fx_marker <> 'error'",
@@ -98,8 +127,8 @@ ORACLES: dict[str, str] = {
     "ticks_latest": f"""SELECT *, timestamp_ms // 3600000 AS hour FROM {TICKS} QUALIFY
         row_number() OVER (PARTITION BY fx_marker, timestamp_ms // 3600000 ORDER BY event_id DESC) = 1""",
     "ticks_corrected": f"""SELECT fx_marker, timestamp_ms, open,
-        CASE WHEN fx_marker = 'error' THEN 0 ELSE bid_points END AS bid_points,
-        CAST(CASE WHEN fx_marker = 'error' THEN 1 ELSE 0 END AS BIGINT) AS batch_id,
+        CASE fx_marker WHEN 'error' THEN -1 WHEN 'view' THEN -2 ELSE bid_points END AS bid_points,
+        CAST(CASE fx_marker WHEN 'error' THEN 1 WHEN 'view' THEN 2 ELSE 0 END AS BIGINT) AS batch_id,
         sha256(concat_ws('|', fx_marker, CAST(ts AS DATE), timestamp_ms)) AS record_id
         FROM {UNIQUE_TICKS}""",
     "tumbling_count": _tumbling(10),
@@ -110,7 +139,8 @@ ORACLES: dict[str, str] = {
     ),
     "sliding_mean": _sliding(30, 5),
     "sliding_mean_hours": HOUR_MEANS,
-    "sliding_mean_all_numbers": _sliding(6 * 3600, 3600, ", avg(offer_points) AS offer_points_avg"),
+    "sliding_mean_all_numbers": f"""SELECT fx_marker, window_start, window_end, {_all_means("round({0}_avg, 6) AS {0}_avg")}
+        FROM ({_sliding(6 * 3600, 3600, ", " + _all_means("avg({0}) AS {0}_avg", NUMBERS[2:]))})""",
     "baseline_one_marker": _one_marker(10),
     "baseline_per_marker": f"""SELECT fx_marker, round(avg_count, 6) AS avg_count,
         round(stddev_count, 6) AS stddev_count, {GATHERED} AS stat_gathered_date FROM ({STAT})""",
@@ -126,7 +156,8 @@ ORACLES: dict[str, str] = {
     "anomalies_in_message": f"""SELECT * FROM ({HOURS})
         WHERE fx_marker <> 'view' AND (count < 2 OR count > 4)""",
     "envelope_avg_decode": f"{MEAN_ROWS} ({HOUR_MEANS})",
-    "envelope_anomaly_decode": f"""SELECT *, sha256(concat_ws('|', fx_marker, timestamp_d)) AS record_id
+    "envelope_anomaly_decode": f"""SELECT *,
+        sha256(concat_ws('|', fx_marker, timestamp_d, epoch_us(window_start))) AS record_id
         FROM ({ANOMALY_ROWS} ({ANOMALIES}))""",
     "recent_ticks": f"SELECT event_id, ts, bid_points FROM {TICKS} WHERE {SERVED} {NEWEST}",
     "recent_means": f"""SELECT window_start, bid_points_avg FROM ({HOUR_MEANS})
@@ -134,14 +165,14 @@ ORACLES: dict[str, str] = {
         ORDER BY window_start DESC LIMIT {RECENT}""",
     "recent_ticks_per_marker": f"""SELECT event_id, fx_marker, ts, bid_points FROM {TICKS} QUALIFY
         row_number() OVER (PARTITION BY fx_marker ORDER BY ts DESC, event_id DESC) <= {RECENT}""",
+    "recent_ticks_many": f"""SELECT event_id, fx_marker, ts, bid_points FROM {TICKS} QUALIFY
+        row_number() OVER (PARTITION BY fx_marker ORDER BY ts DESC, event_id DESC) <= {MANY}""",
     "anomaly_report": f"""SELECT fx_marker, window_start AS "Time when anomaly was detected",
-        count AS anomaly_count FROM ({ANOMALIES})
-        ORDER BY window_start DESC, fx_marker DESC LIMIT 10""",
-    "anomalies_since_recent": f"""SELECT * FROM ({ANOMALIES})
-        WHERE window_start >= (SELECT min(ts) FROM
-        (SELECT ts FROM {TICKS} WHERE fx_marker = '{MARKER}' {NEWEST}))""",
-    "means_since_recent": f"""SELECT * FROM ({HOUR_MEANS}) WHERE fx_marker = '{MARKER}' AND window_start >=
-        (SELECT min(ts) FROM (SELECT ts FROM {TICKS} WHERE fx_marker = '{MARKER}' {NEWEST}))""",
+        CAST(count AS DOUBLE) AS anomaly_count FROM ({ANOMALIES})
+        WHERE fx_marker = '{MARKER}' AND CAST(window_start AS DATE) IN ({_dates(REPORT_DATES)})
+        ORDER BY window_start DESC LIMIT 10""",
+    "anomalies_since_recent": f"""{ANOMALY_ROWS} ({ANOMALIES}) WHERE {SHOWN}""",
+    "means_since_recent": f"""{MEAN_ROWS} ({HOUR_MEANS}) WHERE {SHOWN}""",
     "ticks_in_anomaly": f"""SELECT t.event_id, t.fx_marker, t.ts, t.bid_points,
         a.window_start AS anomaly_start, a.window_end AS anomaly_end,
         a.window_start IS NOT NULL AS in_anomaly
@@ -153,7 +184,13 @@ ORACLES: dict[str, str] = {
         FROM ({_tumbling(3600, f"ts < TIMESTAMP '{LATE[0]}' OR ts >= TIMESTAMP '{LATE[1]}'")})""",
     "stream_anomalies": f"{ANOMALY_ROWS} ({ANOMALIES})",
     "stream_store_ticks": f"""SELECT {FIELDS}, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS timestamp_d
-        FROM {UNIQUE_TICKS}""",
+        FROM {TICKS} WHERE fx_marker <> 'signup' AND bid_points <> 0 QUALIFY row_number() OVER
+        (PARTITION BY fx_marker, timestamp_ms ORDER BY event_id DESC) = 1""",
+    "stream_store_quarantine": f"""SELECT fx_marker, CAST(timestamp_ms AS VARCHAR) AS timestamp_ms,
+        CASE WHEN fx_marker = 'signup' THEN 'n/a' ELSE '' END AS bid_points, 'bid_points' AS bad_fields
+        FROM {TICKS} WHERE fx_marker = 'signup' OR bid_points = 0""",
+    "stream_anomalies_topic": f"{ANOMALY_ROWS} ({ANOMALIES})",
+    "stream_stored_statistics": _unique_anomalies(),
     "stream_anomalies_update": f"{ANOMALY_ROWS} ({ANOMALIES})",
     "stream_means_topic": f"{MEAN_ROWS} ({HOUR_MEANS})",
     "stream_recent_view": f"""SELECT fx_marker, ts, bid_points FROM {UNIQUE_TICKS} QUALIFY

@@ -17,15 +17,15 @@ from ratewatch.schemas import (
     COUNT_FIELDS,
     COUNT_TABLE,
     MEAN_TABLE,
+    QUOTE_TYPES,
     RESULT_KEY,
-    STATISTICS_TABLE,
     TICK_KEY,
     TICK_TABLE,
     WIRE_FIELDS,
 )
 from ratewatch.session import configure, run_folder, stored
 from ratewatch.sources import events, lines, tables
-from ratewatch.sources.messages import read_topic
+from ratewatch.sources.messages import append_topic, read_topic
 from ratewatch.streaming import jobs, sinks
 from ratewatch.streaming.runner import Run
 
@@ -37,8 +37,11 @@ TWO_MARKERS = ["click", "view"]
 BASE_DATES = ["2024-01-01", "2024-01-02", "2024-01-03"]
 SERVED_DATES = recent_dates(1, date(2024, 1, 30))
 LATE = (datetime(2024, 1, 11), datetime(2024, 1, 21))
+NUMBERS = [name for name, kind in QUOTE_TYPES.items() if kind in ("double", "int")]
 AS_OF = "2024-01-31 12:00:00"
 RECENT = 100
+MANY = 2000
+REPORT_DATES = ["2024-01-01", "2024-01-02"]
 
 QUERIES: dict[str, Query] = {}
 
@@ -140,19 +143,19 @@ def ticks_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def ticks_corrected(spark: SparkSession, sf: str) -> DataFrame:
-    """All ticks as one version, error ticks again as a second; the first is compacted."""
+    """All ticks, then error ticks and last views again; compacted after the first and second."""
     folder = run_folder(configure(spark), "versions")
 
     def last(rows: DataFrame) -> DataFrame:
         return latest.latest(rows, (*TICK_KEY, "ts"), "event_id").select(*TICK_TABLE.names)
 
-    again = events.ticks(spark, sf, ["error"]).withColumn("bid_points", F.lit(0))
-    tables.write_version(last(events.ticks(spark, sf)), f"{folder}/ticks", 0)
-    tables.write_version(last(again), f"{folder}/ticks", 1)
-    tables.compact(spark, f"{folder}/ticks", f"{folder}/packed", TICK_TABLE, TICK_KEY, upto=0)
-    now = tables.read_latest(
-        spark, f"{folder}/ticks", TICK_TABLE, TICK_KEY, compacted=f"{folder}/packed", after=0, record_id=True
-    )
+    table, packed = f"{folder}/ticks", f"{folder}/packed"
+    tables.write_version(last(events.ticks(spark, sf)), table, 0)
+    for batch, marker in ((1, "error"), (2, "view")):
+        tables.compact(spark, table, packed, TICK_TABLE, TICK_KEY)
+        again = events.ticks(spark, sf, [marker]).withColumn("bid_points", F.lit(-batch))
+        tables.write_version(last(again), table, batch)
+    now = tables.read_latest(spark, table, TICK_TABLE, TICK_KEY, compacted=packed, record_id=True)
     return _plain(now.select("fx_marker", "timestamp_ms", "bid_points", "open", "batch_id", "record_id"))
 
 
@@ -194,9 +197,11 @@ def sliding_mean_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def sliding_mean_all_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    rows = events.ticks(spark, sf).select("fx_marker", "ts", "bid_big", "bid_points", "offer_points")
+    """Means of all numbers, rounded as sums of sums differ in the last bit from plain sums."""
+    rows = events.ticks(spark, sf).select("fx_marker", "ts", *NUMBERS)
     means = trends.flat(trends.sliding_mean(rows, 6 * HOUR, HOUR, columns=None))
-    return _plain(means.withColumnsRenamed({c: c[4:-1] + "_avg" for c in means.columns if "(" in c}))
+    named = {c: c[4:-1] + "_avg" for c in means.columns if "(" in c}
+    return _plain(means.withColumnsRenamed(named)).withColumns({c: F.round(c, 6) for c in named.values()})
 
 
 # Statistics, bounds and anomalies
@@ -222,10 +227,27 @@ def _hour_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return counts.anomalies(_hour_counts(spark, sf), limits)
 
 
+def _served_table(spark: SparkSession, rows: DataFrame, schema, name: str) -> DataFrame:
+    """Results written once by marker and date, as the serving queries read them."""
+    path = run_folder(configure(spark), name)
+    tables.write_table(rows.select(*schema.names), path, "window_start", "overwrite")
+    return tables.read_table(spark, path, schema)
+
+
 def _anomaly_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Anomalies as the stored table that the serving queries read."""
     rows = envelope.decode_anomalies(envelope.encode(_hour_anomalies(spark, sf)))
-    return stored(rows, "anomalies")
+    return _served_table(spark, rows, ANOMALY_TABLE, "anomalies")
+
+
+def _mean_table(spark: SparkSession, sf: str) -> DataFrame:
+    means = trends.mean_rows(trends.sliding_mean(events.ticks(spark, sf), 6 * HOUR, HOUR))
+    return _served_table(spark, means.withColumn("timestamp_d", F.to_date("window_start")), MEAN_TABLE, "means")
+
+
+def _shown(spark: SparkSession, sf: str) -> DataFrame:
+    """The ticks that the dashboard shows."""
+    rows = events.ticks(spark, sf, [MARKER], SERVED_DATES)
+    return serving.recent_ticks(rows, MARKER, SERVED_DATES, RECENT, "event_id")
 
 
 @register
@@ -265,7 +287,7 @@ def latest_statistics(spark: SparkSession, sf: str) -> DataFrame:
     runs = counts.statistics(days, "fx_marker", "day", as_of=noon)
     path = run_folder(spark, "statistics")
     tables.append_statistics(runs, path)
-    return _rounded(counts.latest_statistics(tables.read_table(spark, path, STATISTICS_TABLE)))
+    return _rounded(tables.newest_statistics(spark, path))
 
 
 @register
@@ -297,7 +319,7 @@ def envelope_avg_decode(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def envelope_anomaly_decode(spark: SparkSession, sf: str) -> DataFrame:
     rows = envelope.decode_anomalies(envelope.encode(_hour_anomalies(spark, sf)))
-    return _plain(ticks.with_record_id(rows, ("fx_marker", "timestamp_d"))).drop("is_anomaly")
+    return _plain(ticks.with_record_id(rows, RESULT_KEY)).drop("is_anomaly")
 
 
 # Serving
@@ -312,9 +334,7 @@ def recent_ticks(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def recent_means(spark: SparkSession, sf: str) -> DataFrame:
-    means = trends.mean_rows(trends.sliding_mean(events.ticks(spark, sf, [MARKER]), 6 * HOUR, HOUR))
-    rows = means.withColumn("timestamp_d", F.to_date("window_start"))
-    top = serving.recent_results(rows, MARKER, SERVED_DATES, RECENT)
+    top = serving.recent_results(_mean_table(spark, sf), MARKER, SERVED_DATES, RECENT)
     return _plain(top.select("window_start", "bid_points_avg"))
 
 
@@ -324,24 +344,29 @@ def recent_ticks_per_marker(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(latest.recent_per(rows, RECENT, "fx_marker", "ts", "event_id"))
 
 
+@register
+def recent_ticks_many(spark: SparkSession, sf: str) -> DataFrame:
+    rows = events.ticks(spark, sf).select("event_id", "fx_marker", "ts", "bid_points")
+    return _plain(latest.recent_per(rows, MANY, "fx_marker", "ts", "event_id"))
+
+
 @register
 def anomaly_report(spark: SparkSession, sf: str) -> DataFrame:
-    found = trends.flat(_hour_anomalies(spark, sf)).withColumnRenamed("count", "anomaly_count")
-    return _plain(serving.report(found, 10, "fx_marker"))
+    """The newest anomalies of one marker on two dates."""
+    found = serving.of_marker(_anomaly_table(spark, sf), MARKER, REPORT_DATES)
+    return _plain(serving.report(found.select("fx_marker", "window_start", "window_end", "anomaly_count"), 10))
 
 
 @register
 def anomalies_since_recent(spark: SparkSession, sf: str) -> DataFrame:
-    shown = latest.recent(events.ticks(spark, sf, [MARKER]), RECENT, "ts", "event_id")
-    found = trends.flat(_hour_anomalies(spark, sf))
-    return _plain(serving.since(found, shown))
+    found = serving.of_marker(_anomaly_table(spark, sf), MARKER, SERVED_DATES)
+    return _plain(serving.since(found, _shown(spark, sf))).drop("is_anomaly")
 
 
 @register
 def means_since_recent(spark: SparkSession, sf: str) -> DataFrame:
-    shown = latest.recent(events.ticks(spark, sf, [MARKER]), RECENT, "ts", "event_id")
-    means = trends.mean_rows(trends.sliding_mean(events.ticks(spark, sf, [MARKER]), 6 * HOUR, HOUR))
-    return _plain(serving.since(means, shown))
+    found = serving.of_marker(_mean_table(spark, sf), MARKER, SERVED_DATES)
+    return _plain(serving.since(found, _shown(spark, sf)))
 
 
 @register
@@ -396,23 +421,34 @@ def stream_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     tables.append_statistics(_base_statistics(spark, sf), path)
 
     def start(messages: DataFrame, at: str):
-        gathered = tables.read_table(spark, path, STATISTICS_TABLE)
-        limits = counts.bounds(counts.latest_statistics(gathered))
+        limits = counts.bounds(tables.newest_statistics(spark, path))
         return jobs.run_anomalies(messages, limits, f"{at}/table", _run(at, "append"), duration=HOUR)
 
     folder = replay(spark, sf, start, close=True)
     return _table(spark, folder, ANOMALY_TABLE).drop("is_anomaly")
 
 
-@register
-def stream_store_ticks(spark: SparkSession, sf: str) -> DataFrame:
-    folder = replay(
+def _store_mixed(spark: SparkSession, sf: str) -> str:
+    """Ticks whose ``bid_points`` cannot always be read, several to a message, stored."""
+    return replay(
         spark,
         sf,
         lambda messages, at: jobs.run_store_ticks(messages, f"{at}/table", f"{at}/quarantine", _run(at)),
         frame=events.RESPONSE_LINES,
+        records=lambda rows: events.unreadable(rows),
     )
-    return _table(spark, folder, TICK_TABLE, TICK_KEY)
+
+
+@register
+def stream_store_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, _store_mixed(spark, sf), TICK_TABLE, TICK_KEY)
+
+
+@register
+def stream_store_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stream of ``stream_store_ticks`` sets aside."""
+    rows = spark.read.parquet(f"{_store_mixed(spark, sf)}/quarantine")
+    return rows.select("fx_marker", "timestamp_ms", "bid_points", "bad_fields")
 
 
 @register
@@ -441,6 +477,56 @@ def stream_means_topic(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, replay(spark, sf, start), MEAN_TABLE)
 
 
+# Results that lack a field, or are none at all; nothing of them is stored.
+BROKEN = ['{"fx_marker":"click","count":3}', '{"window":{},"fx_marker":"view","count":1}', "junk", ""]
+
+
+@register
+def stream_anomalies_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """Anomalies published to a topic, among broken messages, and stored by a second stream.
+
+    The first stream starts a batch as soon as the last is done, the second every second.
+    """
+    limits = stored(counts.bounds(_base_statistics(spark, sf)), "bounds")
+
+    def start(messages: DataFrame, at: str):
+        write = sinks.publish(f"{at}/anomalies", key="key")
+        run = Run(f"{at}/checkpoint", "append")
+        judging = jobs.run_judged(messages, limits, write, run, duration=HOUR)
+        judging.processAllAvailable()
+        judging.stop()
+        broken = spark.createDataFrame([(None, text.encode()) for text in BROKEN], "key string, value binary")
+        append_topic(broken, f"{at}/anomalies")
+        published = read_topic(spark, f"{at}/anomalies", stream=True)
+        run = Run(f"{at}/checkpoint-store", "append", every="1 second")
+        storing = jobs.run_store_results(published, f"{at}/table", run, "anomalies")
+        storing.processAllAvailable()
+        storing.stop()
+        return storing
+
+    folder = replay(spark, sf, start, close=True)
+    return _table(spark, folder, ANOMALY_TABLE).drop("is_anomaly")
+
+
+@register
+def stream_stored_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated ticks stored, statistics gathered from the table, the stream judged by them."""
+    folder = run_folder(configure(spark), "gathered")
+    again = events.ticks(spark, sf).unionAll(events.ticks(spark, sf))
+    keyed = latest.latest(again, (*TICK_KEY, "ts"), "event_id").select(*TICK_TABLE.names)
+    tables.write_version(keyed, f"{folder}/ticks", 0)
+    history = tables.read_latest(spark, f"{folder}/ticks", TICK_TABLE, TICK_KEY)
+    tables.append_statistics(counts.all_statistics(history, BASE_DATES, HOUR, _as_of()), f"{folder}/statistics")
+
+    def start(messages: DataFrame, at: str):
+        limits = counts.bounds(tables.newest_statistics(spark, f"{folder}/statistics"))
+        run = _run(at, "append")
+        return jobs.run_anomalies(messages, limits, f"{at}/table", run, duration=HOUR, dedup=True)
+
+    twice = replay(spark, sf, start, close=True, records=lambda rows: rows.unionAll(rows))
+    return _table(spark, twice, ANOMALY_TABLE).drop("is_anomaly")
+
+
 @register
 def stream_recent_view(spark: SparkSession, sf: str) -> DataFrame:
     """The served view of the newest ticks of every marker."""

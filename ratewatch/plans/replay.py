@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 from itertools import pairwise
-from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +14,15 @@ from ratewatch.session import configure, run_folder
 from ratewatch.sources import events
 from ratewatch.sources.messages import append_topic, read_topic
 
-# At least this many slices, and more where a slice would hold more rows than this per core.
+# Stretches of time that a replay is cut in, whatever the rows and the machine.
 SLICES = 3
-ROWS_PER_CORE = 5_000_000
 HEARTBEAT = "heartbeat"
 
 
-def time_slices(spark: SparkSession, sf_dir: str) -> list[tuple[datetime, datetime]]:
-    """Stretches of time that cover all events, with about the same number of events each."""
+def time_slices(spark: SparkSession, sf_dir: str, n: int = SLICES) -> list[tuple[datetime, datetime]]:
+    """``n`` stretches of time that cover all events, with about the same number of events each."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    n = max(SLICES, ceil(table.count() / (ROWS_PER_CORE * spark.sparkContext.defaultParallelism)))
     inner = F.percentile_approx(micros, [i / n for i in range(1, n)])
     first, last, middle = table.agg(F.min(micros), F.max(micros), inner).first()
     edges = sorted({first, *middle, last + 1})
@@ -49,6 +46,7 @@ def replay(
     close: bool = False,
     frame: int = 1,
     slices: list[tuple[datetime | None, datetime | None]] | None = None,
+    records: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """Add each slice of events to a topic and run the stream over what is new.
 
@@ -57,11 +55,12 @@ def replay(
     is a batch, no event comes late, whatever the order of the files within it. ``close``
     ends with a heartbeat, so that append mode gives the last windows, too. A message holds
     up to ``frame`` records; with one there is nothing to bring together. ``slices`` sends
-    other stretches of time, in the order given.
+    other stretches of time, in the order given; ``records`` changes the ticks of a slice.
     """
     folder = run_folder(configure(spark), "replay")
     slices = slices or time_slices(spark, sf_dir)
-    batches = [events.messages(events.ticks(spark, sf_dir, start=a, end=b), frame) for a, b in slices]
+    change = records or (lambda rows: rows)
+    batches = [events.messages(change(events.ticks(spark, sf_dir, start=a, end=b)), frame) for a, b in slices]
     if close:
         batches.append(heartbeat(spark, slices[-1][1] + timedelta(days=1)))
     for batch in batches:

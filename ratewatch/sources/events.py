@@ -69,17 +69,20 @@ def quote_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return framing.frame_records(quote_lines(spark, sf_dir), "event_id", RESPONSE_LINES)
 
 
-def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """String records of which some cannot be typed: ``bid_points`` is "n/a" for sign-ups
-    and empty where the points are zero."""
+def unreadable(rows: DataFrame) -> DataFrame:
+    """Ticks with ``bid_points`` as text: "n/a" for sign-ups and empty where they are zero."""
     points = (
         F.when(F.col("fx_marker") == "signup", "n/a")
         .when(F.col("bid_points") == 0, "")
         .otherwise(F.col("bid_points").cast("string"))
     )
+    return rows.withColumn("bid_points", points)
+
+
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """String records of which some cannot be typed, see ``unreadable``."""
     texts = [F.col(c).cast("string").alias(c) for c in WIRE_FIELDS if c != "bid_points"]
-    rows = ticks(spark, sf_dir).select("event_id", *texts, points.alias("bid_points"))
-    return rows.select("event_id", *WIRE_FIELDS)
+    return unreadable(ticks(spark, sf_dir)).select("event_id", *texts, "bid_points").select("event_id", *WIRE_FIELDS)
 
 
 def messages(rows: DataFrame, size: int = 1) -> DataFrame:

@@ -4,8 +4,8 @@ A stream writes each micro-batch to a folder of its own, ``batch_id=N``, in over
 mode: a batch that runs again replaces itself. It is not split by marker and date there,
 which would make very many small files; as a batch covers little time, the files'
 statistics do for skipping. Readers take the row of the latest batch per key. ``compact``
-rewrites these versions into the partitioned layout; reading the compacted table together
-with newer or even the same versions gives the same rows.
+brings the batches since the last compaction into the partitioned layout and records which
+they are; readers then leave these batches out.
 """
 
 from __future__ import annotations
@@ -20,10 +20,14 @@ from ratewatch.operators.counts import on_dates
 from ratewatch.operators.latest import latest
 from ratewatch.operators.serving import of_markers
 from ratewatch.operators.ticks import with_record_id
-from ratewatch.schemas import STATISTICS_TABLE, versioned
+from ratewatch.schemas import STATISTICS_TABLE, columns, versioned
+from ratewatch.session import stored
 
 PARTITIONS = ("fx_marker", "timestamp_d")
 
+# What a compaction holds: the batches behind one, up to another.
+POINTER = columns(run="bigint", after="bigint", upto="bigint")
+
 
 def write_table(
     rows: DataFrame, path: str, newest: str = "timestamp_ms", mode: str = "append",
@@ -55,8 +59,45 @@ def read_table(
 
 
 def append_statistics(stats: DataFrame, path: str) -> None:
-    """Add gathered statistics to the history of statistics."""
-    stats.select(*STATISTICS_TABLE.names).write.mode("append").partitionBy("fx_marker").parquet(path)
+    """Add gathered statistics to the history, and renew the small table of the newest ones.
+
+    The history is partitioned by the day they were gathered and not by marker, so that a run
+    adds few files. The newest are made from those before and the new ones; each run writes
+    them to a folder of its own, and readers take the last.
+    """
+    spark = stats.sparkSession
+    runs = _numbers(spark, f"{path}/newest", "run")
+    new = stored(stats.select(*STATISTICS_TABLE.names), "statistics")
+    days = new.withColumn("day", F.to_date("stat_gathered_date"))
+    together = days.hint("rebalance", F.col("day"))
+    together.write.mode("append").partitionBy("day").parquet(f"{path}/history")
+    every = new.unionByName(newest_statistics(spark, path)) if runs else new
+    newest = latest(every, ("fx_marker",), "stat_gathered_date").select(*STATISTICS_TABLE.names)
+    newest.hint("rebalance").write.mode("overwrite").parquet(f"{path}/newest/run={max(runs, default=-1) + 1}")
+
+
+def newest_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """The statistics gathered last for each marker, as of now."""
+    runs = _numbers(spark, f"{path}/newest", "run")
+    if not runs:
+        return spark.createDataFrame([], STATISTICS_TABLE)
+    return spark.read.schema(STATISTICS_TABLE).parquet(f"{path}/newest/run={max(runs)}")
+
+
+def statistics_history(spark: SparkSession, path: str) -> DataFrame:
+    """All statistics ever gathered."""
+    return spark.read.schema(STATISTICS_TABLE).parquet(f"{path}/history")
+
+
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers N of the complete folders ``name``=N in a folder, in any store."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    made = [str(status.getPath().getName()) for status in files.listStatus(folder)]
+    done = [x for x in made if files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{x}/_SUCCESS"))]
+    return [int(x.partition("=")[2]) for x in done if x.startswith(f"{name}=")]
 
 
 def write_version(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -69,32 +110,58 @@ def read_version(spark: SparkSession, path: str, batch_id: int, schema: T.Struct
     return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_versions(
-    spark: SparkSession, path: str, schema: T.StructType, compacted: str | None = None,
-    after: int | None = None,
-) -> DataFrame:
-    """All versions of all rows, or those of batches after ``after``, together with a
-    compacted copy where one is named."""
+def compactions(spark: SparkSession, compacted: str) -> list[tuple[int, int, int]]:
+    """(run, after, upto) of the compactions that together hold all batches up to the last.
+
+    Each holds the batches behind ``after`` up to ``upto``; the newest comes first. There is
+    one row a compaction, written when its data is complete.
+    """
+    runs = _pointers(spark, compacted)
+    chain: list[tuple[int, int, int]] = []
+    for run, after, upto in sorted(runs, reverse=True):
+        if not chain or upto == chain[-1][1]:
+            chain.append((run, after, upto))
+            if after < 0:
+                break
+    return chain
+
+
+def _pointers(spark: SparkSession, compacted: str) -> list[tuple[int, int, int]]:
+    path = f"{compacted}/pointers"
+    made = [f"{path}/at={n}" for n in _numbers(spark, path, "at")]
+    return [tuple(r) for r in spark.read.schema(POINTER).parquet(*made).collect()] if made else []
+
+
+def _held(spark: SparkSession, compacted: str, schema: T.StructType, runs: list[int]) -> DataFrame:
+    fields = [*versioned(schema).fields, T.StructField("run", T.LongType())]
+    rows = spark.read.schema(T.StructType(fields)).parquet(f"{compacted}/data")
+    return rows.where(F.col("run").isin(runs)).drop("run")
+
+
+def read_versions(spark: SparkSession, path: str, schema: T.StructType, compacted: str | None = None) -> DataFrame:
+    """All versions of all rows: batches, and for those that it holds the compacted copy.
+
+    Which batches the copy holds is read from the copy itself.
+    """
     versions = spark.read.schema(versioned(schema)).parquet(path)
-    if after is not None:
-        versions = versions.where(F.col("batch_id") > after)
-    if compacted is None:
+    chain = compactions(spark, compacted) if compacted else []
+    if not chain:
         return versions
-    return versions.unionByName(spark.read.schema(versioned(schema)).parquet(compacted))
+    newer = versions.where(F.col("batch_id") > chain[0][2])
+    return newer.unionByName(_held(spark, compacted, schema, [run for run, _, _ in chain]))
 
 
 def read_latest(
     spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...],
     markers: str | list[str] | None = None, dates: list[date | str] | None = None,
-    compacted: str | None = None, after: int | None = None, record_id: bool = False,
+    compacted: str | None = None, record_id: bool = False,
 ) -> DataFrame:
     """The current rows of a versioned table, with ``batch_id``.
 
     Markers and dates are parts of the key, so they are filtered before the versions are
-    compared. ``after`` skips the batches that ``compacted`` holds already. ``record_id`` is
-    made from the key on reading and needs no storage.
+    compared. ``record_id`` is made from the key on reading and needs no storage.
     """
-    versions = read_versions(spark, path, schema, compacted, after)
+    versions = read_versions(spark, path, schema, compacted)
     if markers is not None:
         versions = of_markers(versions, markers)
     if dates is not None:
@@ -105,10 +172,31 @@ def read_latest(
 
 def compact(
     spark: SparkSession, path: str, target: str, schema: T.StructType, keys: tuple[str, ...],
-    upto: int | None = None, file_rows: int = 0,
+    upto: int | None = None, file_rows: int = 0, full: bool = False,
 ) -> None:
-    """Write the current rows, as of batch ``upto``, to ``target`` in the table layout."""
-    versions = read_versions(spark, path, schema)
+    """Bring the batches since the last compaction, up to batch ``upto``, into the table layout.
+
+    Only these are read and written, so the cost does not grow with the history. ``full``
+    merges all compactions with them into one; run it from time to time. Every compaction
+    has a folder of its own, and a row that names it once it is complete: a reader sees the
+    state before or after, never a part, and a compaction that is lost is done again. Batches
+    that it holds are not read any more and may be removed, as may compactions that a full
+    one has replaced, when no reader is left. Run one compaction of a table at a time.
+    """
+    chain = compactions(spark, target)
+    last = chain[0][2] if chain else -1
+    after = -1 if full else last
+    batches = spark.read.schema(versioned(schema)).parquet(path).where(F.col("batch_id") > last)
     if upto is not None:
-        versions = versions.where(F.col("batch_id") <= upto)
-    write_table(latest(versions, keys, "batch_id"), target, keys[-1], "overwrite", file_rows)
+        batches = batches.where(F.col("batch_id") <= upto)
+    newest = batches.agg(F.max("batch_id")).first()[0]
+    if newest is None and not (full and len(chain) > 1):
+        return
+    newest = last if newest is None else newest
+    rows = batches.where(F.col("batch_id") <= newest)
+    if full and chain:
+        rows = rows.unionByName(_held(spark, target, schema, [run for run, _, _ in chain]))
+    run = 1 + max((r for r, _, _ in _pointers(spark, target)), default=-1)
+    write_table(latest(rows, keys, "batch_id"), f"{target}/data/run={run}", keys[-1], "overwrite", file_rows)
+    pointer = spark.createDataFrame([(run, after, newest)], POINTER)
+    pointer.coalesce(1).write.mode("overwrite").parquet(f"{target}/pointers/at={run}")

@@ -12,7 +12,7 @@ from ratewatch.functions.clock import seconds
 from ratewatch.functions.wire import strip
 from ratewatch.operators import counts, envelope, framing, ticks, trends
 from ratewatch.schemas import ANOMALY_TABLE, COUNT_FIELDS, MEAN_FIELDS, MEAN_TABLE, TICK_TABLE
-from ratewatch.sources.tables import write_version
+from ratewatch.sources.tables import read_version, write_version
 from ratewatch.streaming import sinks
 from ratewatch.streaming.runner import Run, start
 
@@ -91,14 +91,14 @@ def run_judged(
     """
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        # A join may skip counts for which there are no bounds, but Spark commits the
-        # state of a batch only if all of it was read.
-        batch.persist().count()
-        try:
-            current = limits if isinstance(limits, DataFrame) else limits(batch.sparkSession)
-            write(anomaly_messages(batch, current, run.mode), batch_id)
-        finally:
-            batch.unpersist()
+        # A join may skip counts for which there are no bounds, but Spark commits the state of
+        # a batch only if all of it was read. So the batch is written beside the checkpoint, in
+        # one of two folders that take turns, and judged from there.
+        held, turn = f"{run.checkpoint}-counts", batch_id % 2
+        write_version(batch, held, turn)
+        counted = read_version(batch.sparkSession, held, turn, batch.schema)
+        current = limits if isinstance(limits, DataFrame) else limits(batch.sparkSession)
+        write(anomaly_messages(counted, current, run.mode), batch_id)
 
     return start(window_counts(messages, **sizes), judge, run)
 
@@ -121,7 +121,7 @@ def run_store_ticks(
     records = framing.unframe(messages).where(strip(F.col("value")) != "")
     raw = ticks.decode(records.withColumn("record", F.col("value")))
     refresh = sinks.refresh(messages.sparkSession, view, TICK_TABLE, n, "timestamp_ms")
-    return start(raw, sinks.store_ticks(table, quarantine, order, refresh), run)
+    return start(raw, sinks.store_ticks(table, quarantine, order, f"{run.checkpoint}-marked", refresh), run)
 
 
 def run_store_results(messages: DataFrame, table: str, run: Run, kind: str) -> StreamingQuery:
@@ -153,6 +153,13 @@ def run_publish(
     ), run)
 
 
-def run_publish_results(results: DataFrame, topic: str, run: Run, partitions: int = 3) -> StreamingQuery:
-    """Mean or anomaly messages to a topic, spread over its partitions by marker."""
+def run_publish_results(
+    results: DataFrame, topic: str, run: Run, partitions: int | None = None
+) -> StreamingQuery:
+    """Mean or anomaly messages to a topic, spread over its partitions by marker.
+
+    By default there are as many partitions as the session has for shuffles.
+    """
+    if partitions is None:
+        partitions = int(results.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return start(results, sinks.publish(topic, partitions, "key"), run)

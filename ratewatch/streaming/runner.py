@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ratewatch.session import settings
 
+_starting = Lock()
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -20,7 +23,7 @@ class Run:
     ``every`` is a processing-time trigger such as "1 second"; ``once`` handles what is
     there and stops; neither means Spark's default, a batch as soon as the last is done.
     ``state_partitions`` is fixed by the first start, as the checkpoint keeps it; by
-    default it is the number of cores of the cluster. State is kept in RocksDB, so that
+    default it is the session's ``spark.sql.shuffle.partitions``. State is kept in RocksDB, so that
     it may outgrow the executors' memory.
     """
 
@@ -46,8 +49,9 @@ def start_kafka(messages: DataFrame, topic: str, servers: str, run: Run) -> Stre
 
 def _start(rows: DataFrame, writer: DataStreamWriter, run: Run) -> StreamingQuery:
     spark = rows.sparkSession
-    partitions = run.state_partitions or spark.sparkContext.defaultParallelism
-    conf = {"spark.sql.shuffle.partitions": str(partitions)}
+    conf = {}
+    if run.state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(run.state_partitions)
     if run.rocksdb:
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
         # Commits then write what changed and not all state.
@@ -59,7 +63,8 @@ def _start(rows: DataFrame, writer: DataStreamWriter, run: Run) -> StreamingQuer
         writer = writer.trigger(availableNow=True)
     elif run.every:
         writer = writer.trigger(processingTime=run.every)
-    with settings(spark, conf):
+    # A stream takes the session's settings as it starts; starts of several threads take turns.
+    with _starting, settings(spark, conf):
         return writer.start()
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewatch.operators.latest import latest, recent_per
-from ratewatch.operators.ticks import quarantined, valid_ticks, with_date
+from ratewatch.operators.ticks import marked_records, typed, with_date
 from ratewatch.schemas import RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.sources import messages as topics
 from ratewatch.sources import tables
@@ -81,21 +81,34 @@ def send(topic: str, format: str, **options: str) -> Writer:
     return write
 
 
-def store_ticks(path: str, quarantine: str, order: tuple[str, ...], then: Writer | None = None) -> Writer:
+def _place(order: tuple[str, ...]) -> Column:
+    """One number that orders rows as the columns do, of which the second is below 10^9."""
+    first, *more = [F.col(c).cast("decimal(28,0)") for c in order]
+    return (first * F.lit(10**9).cast("decimal(10,0)") + more[0] if more else first).cast("decimal(38,0)")
+
+
+def store_ticks(
+    path: str, quarantine: str, order: tuple[str, ...], marked: str, then: Writer | None = None
+) -> Writer:
     """Store readable ticks, the last of each key, and set the other records aside.
 
-    ``then`` is given the stored ticks.
+    Each batch is read and parsed once: its records are judged and written to one of two
+    folders in ``marked``, which take turns, and parted from there. The last is told by one
+    number, so that Spark needs no sort. ``then`` is given the stored ticks.
     """
 
-    def good(batch: DataFrame, batch_id: int) -> None:
-        rows = with_date(valid_ticks(batch)).select(*TICK_TABLE.names, *order)
-        stored = latest(rows, (*TICK_KEY, "ts"), *order).select(*TICK_TABLE.names)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        turn = batch_id % 2
+        judged = marked_records(batch)
+        tables.write_version(judged, marked, turn)
+        rows = tables.read_version(batch.sparkSession, marked, turn, judged.schema)
+        good = with_date(typed(rows.where("bad_fields = ''"))).withColumn("_place", _place(order))
+        good = good.select(*TICK_TABLE.names, "_place")
+        stored = latest(good, (*TICK_KEY, "ts"), "_place").select(*TICK_TABLE.names)
         _write(stored, path, batch_id, then)
+        tables.write_version(rows.where("bad_fields <> ''").drop(*order), quarantine, batch_id)
 
-    def bad(batch: DataFrame, batch_id: int) -> None:
-        tables.write_version(quarantined(batch).drop(*order), quarantine, batch_id)
-
-    return both(good, bad)
+    return write
 
 
 # A served view keeps its last few refreshes, so that readers are not disturbed.

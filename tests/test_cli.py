@@ -3,7 +3,7 @@
 import pytest
 
 from ratewatch import cli
-from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, STATISTICS_TABLE, TICK_KEY, TICK_TABLE
+from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.sources import tables
 
 BASE = 1_530_000_000_000
@@ -21,7 +21,7 @@ def test_the_whole_pipeline(spark, tmp_path):
         if command not in ("gather-statistics", "compact"):
             argv += ["--once", "--checkpoint", f"{tmp_path}/c-{command}", "--state-partitions", "2"]
         for key, value in options.items():
-            argv += [value] if key == "dates" else [f"--{key.replace('_', '-')}", f"{tmp_path}/{value}" if key not in ("marker", "kind", "k", "duration", "after") else value]
+            argv += [value] if key == "dates" else [f"--{key.replace('_', '-')}", f"{tmp_path}/{value}" if key not in ("marker", "kind", "k", "duration") else value]
         cli.main(argv, spark)
 
     run("publish", responses="polls", topic="raw")
@@ -32,12 +32,12 @@ def test_the_whole_pipeline(spark, tmp_path):
     run("count-anomalies", topic="raw", statistics="stats", out_topic="alarms", k="1")
     run("store-results", topic="alarms", table="anomalies", kind="anomalies")
     run("compact", kind="ticks", table="ticks", target="packed")
-    run("gather-statistics", dates="2018-06-26", history="ticks", compacted="packed", after="0", statistics="again")
+    run("gather-statistics", dates="2018-06-26", history="ticks", compacted="packed", statistics="again")
 
-    stats = tables.read_table(spark, f"{tmp_path}/stats", STATISTICS_TABLE).collect()
+    stats = tables.statistics_history(spark, f"{tmp_path}/stats").collect()
     assert [(r["fx_marker"], r["avg_count"]) for r in stats] == [("USD/JPY", 1.8)]
     for name in ("all", "again"):
-        assert sorted(r["avg_count"] for r in spark.read.parquet(f"{tmp_path}/{name}").collect()) == [1.8, 1.8]
+        assert sorted(r["avg_count"] for r in tables.newest_statistics(spark, f"{tmp_path}/{name}").collect()) == [1.8, 1.8]
     assert tables.read_latest(spark, f"{tmp_path}/means", MEAN_TABLE, RESULT_KEY).count() > 0
     found = tables.read_latest(spark, f"{tmp_path}/anomalies", ANOMALY_TABLE, RESULT_KEY).collect()
     assert [(r["fx_marker"], r["anomaly_count"]) for r in found] == [("USD/JPY", 4.0)]
@@ -45,6 +45,12 @@ def test_the_whole_pipeline(spark, tmp_path):
     assert packed.count() == 18
 
 
+def test_kafka_refuses_what_it_cannot_do(spark, tmp_path):
+    argv = ["publish", "--topic", "t", "--checkpoint", "c", "--format", "kafka", "--responses", str(tmp_path)]
+    with pytest.raises(SystemExit):
+        cli.main([*argv, "--quarantine", "q"], spark)
+
+
 def test_one_target_is_required():
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["sliding-mean", "--topic", "t", "--checkpoint", "c"])

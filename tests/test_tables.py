@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ratewatch import session
 from ratewatch.operators import counts, ticks
+from ratewatch.operators.latest import latest
 from ratewatch.operators.serving import of_marker
-from ratewatch.schemas import STATISTICS_TABLE, TICK_KEY, TICK_TABLE
+from ratewatch.schemas import TICK_KEY, TICK_TABLE
 from ratewatch.sources import messages, tables
 
 
@@ -53,9 +54,54 @@ def test_compaction_changes_no_row(spark, stored_ticks, tmp_path):
     both = tables.read_latest(spark, path, TICK_TABLE, TICK_KEY, compacted=packed)
     assert both.select(*TICK_KEY).count() == 4
     assert both.orderBy(*TICK_KEY).collect() == before
-    assert spark.read.parquet(packed).count() == 3
-    newer = tables.read_latest(spark, path, TICK_TABLE, TICK_KEY, compacted=packed, after=1)
-    assert newer.orderBy(*TICK_KEY).collect() == before
+    assert spark.read.parquet(f"{packed}/data").count() == 3
+
+
+def test_compactions_go_on_and_are_never_half_seen(spark, stored_ticks, tmp_path):
+    path, packed = str(tmp_path / "t"), str(tmp_path / "packed")
+
+    def now():
+        rows = tables.read_latest(spark, path, TICK_TABLE, TICK_KEY, compacted=packed)
+        return [tuple(r) for r in rows.orderBy(*TICK_KEY).collect()]
+
+    reader = None
+    for batch in range(4):
+        tables.write_version(stored_ticks(("A", 1, 1.0, batch), ("A", 10 + batch, 1.0, batch)), path, batch)
+        whole = tables.read_latest(spark, path, TICK_TABLE, TICK_KEY).orderBy(*TICK_KEY)
+        whole = [tuple(r) for r in whole.collect()]
+        assert now() == whole
+        reader = reader or tables.read_latest(spark, path, TICK_TABLE, TICK_KEY, compacted=packed)
+        tables.compact(spark, path, packed, TICK_TABLE, TICK_KEY)
+        assert now() == whole
+    assert tables.compactions(spark, packed) == [(3, 2, 3), (2, 1, 2), (1, 0, 1), (0, -1, 0)]
+    assert spark.read.parquet(f"{packed}/data/run=3").count() == 2
+    # One that was lost half way has no pointer and is not read.
+    stored_ticks(("A", 99, 1.0, 9)).withColumn("batch_id", F.lit(9).cast("long")).write.partitionBy(
+        "fx_marker", "timestamp_d"
+    ).parquet(f"{packed}/data/run=4")
+    assert now() == whole
+    tables.compact(spark, path, packed, TICK_TABLE, TICK_KEY, full=True)
+    assert tables.compactions(spark, packed) == [(4, -1, 3)] and now() == whole
+    tables.compact(spark, path, packed, TICK_TABLE, TICK_KEY)
+    assert tables.compactions(spark, packed) == [(4, -1, 3)]
+    assert reader.count() == 2
+
+
+def test_the_compacted_copy_prunes_markers_and_dates(spark, stored_ticks, tmp_path):
+    path, packed = str(tmp_path / "t"), str(tmp_path / "packed")
+    tables.write_version(stored_ticks(("A", 1, 1.0, 1), ("B", 1, 1.0, 1)), path, 0)
+    tables.compact(spark, path, packed, TICK_TABLE, TICK_KEY)
+    rows = tables.read_latest(spark, path, TICK_TABLE, TICK_KEY, "A", ["2018-06-26"], compacted=packed)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert any("fx_marker" in p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]) and rows.count() == 1
+
+
+def test_a_null_order_loses_and_keeps_its_row(spark):
+    rows = spark.createDataFrame(
+        [("A", None, 1), ("A", 3, 2), ("A", -5, 3), ("B", None, 4)], "k string, at bigint, v int"
+    )
+    got = {r["k"]: (r["v"], r["at"]) for r in latest(rows, ("k",), "at").collect()}
+    assert got == {"A": (2, 3), "B": (4, None)}
 
 
 def test_a_file_holds_no_more_rows_than_told(spark, stored_ticks, tmp_path):
@@ -68,9 +114,21 @@ def test_statistics_are_appended_and_the_last_are_read(spark, tmp_path):
     for at, mean in (("2024-01-02 00:00:00", 2.0), ("2024-01-03 00:00:00", 3.0), ("2024-01-01 00:00:00", 1.0)):
         row = spark.createDataFrame([("A", mean, 0.5)], "fx_marker string, avg_count double, stddev_count double")
         tables.append_statistics(row.withColumn("stat_gathered_date", F.lit(at).cast("timestamp")), path)
-    stats = tables.read_table(spark, path, STATISTICS_TABLE)
+    stats = tables.statistics_history(spark, path)
     assert stats.count() == 3
     assert counts.latest_statistics(stats).first()["avg_count"] == 3.0
+    assert [r["avg_count"] for r in tables.newest_statistics(spark, path).collect()] == [3.0]
+
+
+def test_a_run_of_statistics_adds_few_files(spark, tmp_path):
+    path = str(tmp_path / "s")
+    at = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    rows = spark.range(500).select(F.concat(F.lit("m"), "id").alias("fx_marker"), at.alias("stat_gathered_date"))
+    rows = rows.withColumn("avg_count", F.lit(1.0)).withColumn("stddev_count", F.lit(0.0))
+    for run in range(2):
+        tables.append_statistics(rows, path)
+        assert len(glob.glob(f"{path}/history/*/*.parquet")) <= 4 * (run + 1)
+    assert tables.newest_statistics(spark, path).count() == 500
 
 
 def test_markers_and_dates_prune_partitions(spark, stored_ticks, tmp_path):
