@@ -123,7 +123,9 @@ def keyed(prints: DataFrame) -> DataFrame:
             rows, keys = bucket_keys(values, tables)
             yield pd.DataFrame({"key": keys, "print": values[rows]})
 
-    return prints.mapInPandas(buckets, "key long, print long")
+    # A fingerprint is a few bytes and has some hundred keys, so few partitions would be slow.
+    width = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return prints.repartition(width, "print").mapInPandas(buckets, "key long, print long")
 
 
 def _close(a: str, b: str, bits: int) -> Column:
@@ -138,22 +140,21 @@ def print_components(prints: DataFrame) -> DataFrame:
     hold several components are compared further: all members against those outside the
     bucket's largest component, so a large group is never compared with itself.
     """
-    keys = stored(keyed(prints), "keys")
+    # Both uses of the keys share one exchange; buckets of one are left behind here.
+    keys = stored(keyed(prints), "keys").repartition("key")
     sizes = keys.groupBy("key").agg(F.min("print").alias("first"), F.count("*").alias("n")).where("n > 1")
-    sizes = stored(sizes, "buckets")
-    stars = keys.join(sizes, "key").where((F.col("print") != F.col("first")) & _close("print", "first", MAX_BITS))
+    members = stored(keys.join(sizes.hint("shuffle_hash"), "key"), "members")
+    stars = members.where((F.col("print") != F.col("first")) & _close("print", "first", MAX_BITS))
     found = stored(connected(stars.select("first", "print")), "groups")
-    named = (
-        keys.join(sizes.where("n > 2").select("key"), "key")
-        .join(found, keys["print"] == found["node"], "left")
-        .select("key", "print", F.coalesce("component", "print").alias("component"))
+    crowded = members.where("n > 2").select("key", "print")
+    named = crowded.join(found, crowded["print"] == found["node"], "left").select(
+        "key", "print", F.coalesce("component", "print").alias("component")
     )
-    named = stored(named, "members")
+    named = stored(named, "named")
     counts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
     top = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("m"))
     mixed = top.where("m > 1").select("key", F.col("top.component").alias("top"))
-    members = named.join(mixed, "key")
-    rest = members.where("component != top").select(
+    rest = named.join(mixed, "key").where("component != top").select(
         "key", F.col("print").alias("other"), F.col("component").alias("apart")
     )
     across = named.join(rest, "key").where((F.col("component") != F.col("apart")) & _close("print", "other", MAX_BITS))
