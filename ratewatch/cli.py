@@ -9,6 +9,7 @@ the connector are given as ``--option key=value``.
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
@@ -50,7 +51,12 @@ def publish(spark: SparkSession, args: argparse.Namespace):
         framed = jobs.response_messages(responses)
         return start_kafka(framed, args.topic, _kafka(args), _run(args, "append"))
     run = _run(args, "append")
-    return jobs.run_publish(responses, args.topic, run, args.quarantine, args.partitions)
+    if args.quarantine:
+        aside = replace(run, checkpoint=f"{args.checkpoint}-quarantine")
+        rejected = jobs.run_quarantine(responses, args.quarantine, aside)
+        if args.once:
+            rejected.awaitTermination()
+    return jobs.run_publish(responses, args.topic, run, args.partitions)
 
 
 def _writer(args: argparse.Namespace, decode) -> sinks.Writer:

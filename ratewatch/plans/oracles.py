@@ -189,6 +189,9 @@ ORACLES: dict[str, str] = {
     "stream_store_quarantine": f"""SELECT fx_marker, CAST(timestamp_ms AS VARCHAR) AS timestamp_ms,
         CASE WHEN fx_marker = 'signup' THEN 'n/a' ELSE '' END AS bid_points, 'bid_points' AS bad_fields
         FROM {TICKS} WHERE fx_marker = 'signup' OR bid_points = 0""",
+    "stream_publish_store": f"""SELECT * REPLACE (CASE WHEN fx_marker = 'purchase' THEN 0 ELSE bid_points END
+        AS bid_points) FROM (SELECT DISTINCT {FIELDS}, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS timestamp_d
+        FROM {UNIQUE_TICKS} WHERE fx_marker <> 'error')""",
     "stream_anomalies_topic": f"{ANOMALY_ROWS} ({ANOMALIES})",
     "stream_stored_statistics": _unique_anomalies(),
     "stream_anomalies_update": f"{ANOMALY_ROWS} ({ANOMALIES})",

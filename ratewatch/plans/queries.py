@@ -477,6 +477,27 @@ def stream_means_topic(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, replay(spark, sf, start), MEAN_TABLE)
 
 
+@register
+def stream_publish_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Text files, a later poll of which corrects the purchases, published and stored.
+
+    Error events have a field too few and are set aside.
+    """
+    folder = run_folder(configure(spark), "polls")
+    first = events.quote_lines(spark, sf).select("value")
+    again = events.ticks(spark, sf, ["purchase"]).withColumn("bid_points", F.lit(0))
+    fields = [F.col(name).cast("string") for name in WIRE_FIELDS]
+    for poll in (first, again.select(F.concat_ws(",", *fields).alias("value"))):
+        poll.write.mode("append").text(f"{folder}/text")
+        responses = lines.quote_responses(spark, f"{folder}/text", stream=True)
+        run = Run(f"{folder}/publish", "append", once=True)
+        jobs.run_publish(responses, f"{folder}/topic", run).awaitTermination()
+        topic = read_topic(spark, f"{folder}/topic", stream=True)
+        run = Run(f"{folder}/store", "append", once=True)
+        jobs.run_store_ticks(topic, f"{folder}/table", f"{folder}/bad", run).awaitTermination()
+    return _table(spark, folder, TICK_TABLE, TICK_KEY)
+
+
 # Results that lack a field, or are none at all; nothing of them is stored.
 BROKEN = ['{"fx_marker":"click","count":3}', '{"window":{},"fx_marker":"view","count":1}', "junk", ""]
 

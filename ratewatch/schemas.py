@@ -51,8 +51,9 @@ def columns(**types: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in types.items()])
 
 
-# (key, value) messages. "offset" orders messages where the source knows an order.
-MESSAGE = columns(key="string", value="binary", offset="bigint")
+# (key, value) messages. "time" is when a message was captured, "offset" orders messages where
+# the source knows an order; either may be null.
+MESSAGE = columns(key="string", value="binary", offset="bigint", time="timestamp")
 
 # Values of result messages.
 MEAN_VALUE = (

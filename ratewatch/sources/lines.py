@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def quote_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
@@ -11,5 +12,10 @@ def quote_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFra
 
 
 def quote_responses(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """One captured response (a small file of several lines) per row."""
-    return (spark.readStream if stream else spark.read).text(path, wholetext=True)
+    """One captured response (a small file of several lines) per row, with the file's time.
+
+    Each batch lists the whole folder; move files away once they are taken, or let Spark do
+    it (``cleanSource``).
+    """
+    files = (spark.readStream if stream else spark.read).text(path, wholetext=True)
+    return files.select("value", F.col("_metadata.file_modification_time").alias("time"))

@@ -17,7 +17,9 @@ def read_topic(
     """Messages of a topic: a folder, or the name of a Kafka topic."""
     reader = (spark.readStream if stream else spark.read).format(format).options(**options)
     if format == "kafka":
-        return reader.option("subscribe", topic).load().select("key", "value", "offset")
+        # Offsets of different partitions say nothing about time.
+        loaded = reader.option("subscribe", topic).load()
+        return loaded.select("key", "value", "offset", "partition", loaded["timestamp"].alias("time"))
     if format == "text":
         return reader.option("wholetext", True).load(topic)
     # A publisher that runs a batch again replaces its files. Those already listed are then

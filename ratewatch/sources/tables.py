@@ -11,6 +11,8 @@ they are; readers then leave these batches out.
 from __future__ import annotations
 
 from datetime import date
+from itertools import pairwise
+from time import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +68,7 @@ def append_statistics(stats: DataFrame, path: str) -> None:
     them to a folder of its own, and readers take the last.
     """
     spark = stats.sparkSession
-    runs = _numbers(spark, f"{path}/newest", "run")
+    runs = numbers(spark, f"{path}/newest", "run")
     new = stored(stats.select(*STATISTICS_TABLE.names), "statistics")
     days = new.withColumn("day", F.to_date("stat_gathered_date"))
     together = days.hint("rebalance", F.col("day"))
@@ -78,7 +80,7 @@ def append_statistics(stats: DataFrame, path: str) -> None:
 
 def newest_statistics(spark: SparkSession, path: str) -> DataFrame:
     """The statistics gathered last for each marker, as of now."""
-    runs = _numbers(spark, f"{path}/newest", "run")
+    runs = numbers(spark, f"{path}/newest", "run")
     if not runs:
         return spark.createDataFrame([], STATISTICS_TABLE)
     return spark.read.schema(STATISTICS_TABLE).parquet(f"{path}/newest/run={max(runs)}")
@@ -89,7 +91,7 @@ def statistics_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATISTICS_TABLE).parquet(f"{path}/history")
 
 
-def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+def numbers(spark: SparkSession, path: str, name: str) -> list[int]:
     """The numbers N of the complete folders ``name``=N in a folder, in any store."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -100,6 +102,17 @@ def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
     return [int(x.partition("=")[2]) for x in done if x.startswith(f"{name}=")]
 
 
+def drop_older(spark: SparkSession, path: str, name: str, seconds: int) -> None:
+    """Remove folders ``name``=N that a newer one has followed for so long."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = sorted(numbers(spark, path, name))
+    for old, newer in pairwise(there):
+        followed = files.getFileStatus(hadoop(f"{path}/{name}={newer}/_SUCCESS")).getModificationTime()
+        if time() * 1000 - followed > seconds * 1000:
+            files.delete(hadoop(f"{path}/{name}={old}"), True)
+
+
 def write_version(rows: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch; running it again replaces what it wrote before."""
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -128,7 +141,7 @@ def compactions(spark: SparkSession, compacted: str) -> list[tuple[int, int, int
 
 def _pointers(spark: SparkSession, compacted: str) -> list[tuple[int, int, int]]:
     path = f"{compacted}/pointers"
-    made = [f"{path}/at={n}" for n in _numbers(spark, path, "at")]
+    made = [f"{path}/at={n}" for n in numbers(spark, path, "at")]
     return [tuple(r) for r in spark.read.schema(POINTER).parquet(*made).collect()] if made else []
 
 

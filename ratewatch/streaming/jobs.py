@@ -12,9 +12,10 @@ from ratewatch.functions.clock import seconds
 from ratewatch.functions.wire import strip
 from ratewatch.operators import counts, envelope, framing, ticks, trends
 from ratewatch.schemas import ANOMALY_TABLE, COUNT_FIELDS, MEAN_FIELDS, MEAN_TABLE, TICK_TABLE
+from ratewatch.sources.messages import spread
 from ratewatch.sources.tables import read_version, write_version
 from ratewatch.streaming import sinks
-from ratewatch.streaming.runner import Run, start
+from ratewatch.streaming.runner import Run, start, start_files
 
 
 Limits = Callable[[SparkSession], DataFrame]
@@ -117,7 +118,7 @@ def run_store_ticks(
     With ``view``, the ``n`` newest ticks of each marker are kept there as well,
     refreshed by every batch.
     """
-    order = tuple(c for c in ("offset", "pos") if c == "pos" or c in messages.columns)
+    order = tuple(c for c in ("time", "offset", "pos") if c == "pos" or c in messages.columns)
     records = framing.unframe(messages).where(strip(F.col("value")) != "")
     raw = ticks.decode(records.withColumn("record", F.col("value")))
     refresh = sinks.refresh(messages.sparkSession, view, TICK_TABLE, n, "timestamp_ms")
@@ -131,26 +132,27 @@ def run_store_results(messages: DataFrame, table: str, run: Run, kind: str) -> S
 
 
 def response_messages(responses: DataFrame) -> DataFrame:
-    """Captured responses to raw messages, which have no key."""
-    framed = framing.frame_responses(responses.select("value"))
-    return framed.select(F.lit(None).cast("string").alias("key"), "value")
+    """Captured responses to raw messages, which have no key, with the time of their capture."""
+    time = F.col("time") if "time" in responses.columns else F.lit(None).cast("timestamp")
+    framed = framing.frame_responses(responses.select("value", time.alias("time")))
+    return framed.select(F.lit(None).cast("string").alias("key"), "value", "time")
 
 
 def run_publish(
-    responses: DataFrame, topic: str, run: Run, quarantine: str | None = None,
-    partitions: int | None = None,
+    responses: DataFrame, topic: str, run: Run, partitions: int | None = None
 ) -> StreamingQuery:
     """Captured responses as raw messages to a topic, spread evenly over its partitions.
 
-    With ``quarantine``, incomplete lines are set aside there.
+    Spark's own file sink writes them: a batch that runs again after a failure adds nothing
+    that readers would take a second time.
     """
-    write = sinks.publish(topic, partitions)
-    if quarantine is None:
-        return start(response_messages(responses), write, run)
-    return start(responses.select("value"), sinks.both(
-        lambda batch, batch_id: write(response_messages(batch), batch_id),
-        lambda batch, batch_id: write_version(framing.rejected_lines(batch), quarantine, batch_id),
-    ), run)
+    framed = response_messages(responses).withColumn("value", F.col("value").cast("binary"))
+    return start_files(spread(framed, partitions), topic, run)
+
+
+def run_quarantine(responses: DataFrame, quarantine: str, run: Run) -> StreamingQuery:
+    """The incomplete lines of captured responses, set aside; a stream of its own."""
+    return start_files(framing.rejected_lines(responses.select("value")), quarantine, run)
 
 
 def run_publish_results(

@@ -41,6 +41,11 @@ def start(rows: DataFrame, write: Callable[[DataFrame, int], None], run: Run) ->
     return _start(rows, rows.writeStream.foreachBatch(write), run)
 
 
+def start_files(rows: DataFrame, path: str, run: Run) -> StreamingQuery:
+    """Start a stream into Parquet files; their log tells readers which belong to it."""
+    return _start(rows, rows.writeStream.format("parquet").option("path", path), run)
+
+
 def start_kafka(messages: DataFrame, topic: str, servers: str, run: Run) -> StreamingQuery:
     """Start a stream of (key, value) messages to a Kafka topic; needs its connector."""
     writer = messages.writeStream.format("kafka").option("topic", topic)

@@ -56,9 +56,11 @@ def _write(rows: DataFrame, path: str, batch_id: int, then: Writer | None) -> No
 
 
 def publish(topic: str, partitions: int | None = None, key: str | None = None) -> Writer:
-    """Write the messages of each batch to a topic folder, spread evenly or by key.
+    """Write the result messages of each batch to a topic folder, spread evenly or by key.
 
-    ``offset`` is the batch: it orders messages of different batches.
+    ``offset`` is the batch: it orders messages of different batches. A batch that runs again
+    replaces its files, and a reader that had taken them takes them again; so this is for
+    results, whose stores keep the last version, and not for raw messages.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -81,10 +83,17 @@ def send(topic: str, format: str, **options: str) -> Writer:
     return write
 
 
+# Digits that the time in microseconds, the offset and the place in a message may have.
+DIGITS = {"time": 16, "offset": 13, "pos": 9}
+
+
 def _place(order: tuple[str, ...]) -> Column:
-    """One number that orders rows as the columns do, of which the second is below 10^9."""
-    first, *more = [F.col(c).cast("decimal(28,0)") for c in order]
-    return (first * F.lit(10**9).cast("decimal(10,0)") + more[0] if more else first).cast("decimal(38,0)")
+    """One number that orders rows as the columns do, null first."""
+    texts = []
+    for name in order:
+        value = F.unix_micros(name) if name == "time" else F.col(name).cast("bigint")
+        texts.append(F.lpad(F.greatest(value, F.lit(0)).cast("string"), DIGITS[name], "0"))
+    return F.concat(*texts).cast("decimal(38,0)")
 
 
 def store_ticks(
@@ -111,8 +120,8 @@ def store_ticks(
     return write
 
 
-# A served view keeps its last few refreshes, so that readers are not disturbed.
-SLOTS = 4
+# A refresh of a served view stays for so many seconds after the next one, for its readers.
+KEEP_SECONDS = 3600
 
 
 def refresh(
@@ -127,37 +136,32 @@ def refresh(
 
 def create_view(spark: SparkSession, view: str, schema: T.StructType) -> None:
     """An empty view, unless there is one already."""
-    empty = spark.createDataFrame([], schema).withColumn("refresh", F.lit(-1).cast("bigint"))
-    empty.write.mode("ignore").parquet(f"{view}/slot={SLOTS - 1}")
+    if not tables.numbers(spark, view, "refresh"):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{view}/refresh=-1")
 
 
-def serve(view: str, schema: T.StructType, n: int, newest: str) -> Writer:
+def serve(view: str, schema: T.StructType, n: int, newest: str, keep: int = KEEP_SECONDS) -> Writer:
     """Keep the ``n`` newest rows per marker at ``view``, refreshed with each batch.
 
     The new view comes from the one before and the batch alone, as an older row can never
-    return to it; so its cost does not grow with the history.
+    return to it; so its cost does not grow with the history. Each refresh has a folder of its
+    own, and is removed ``keep`` seconds after the next: a reader has that long to finish.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        slot = batch_id % SLOTS
-        before = _refreshes(batch.sparkSession, view, schema).where(F.col("slot") != slot)
-        before = before.where(F.col("refresh") < batch_id)
-        last = before.where(F.col("refresh") == before.agg(F.max("refresh")).scalar())
-        fresh = batch.withColumn("refresh", F.lit(batch_id).cast("bigint"))
-        rows = latest(fresh.unionByName(last.drop("slot")), ("fx_marker", newest), "refresh")
-        top = recent_per(rows, n, "fx_marker", newest).withColumn("refresh", F.lit(batch_id).cast("bigint"))
-        top.write.mode("overwrite").parquet(f"{view}/slot={slot}")
+        spark = batch.sparkSession
+        before = max(k for k in tables.numbers(spark, view, "refresh") if k < batch_id)
+        last = spark.read.schema(schema).parquet(f"{view}/refresh={before}").withColumn("refresh", F.lit(0))
+        fresh = batch.withColumn("refresh", F.lit(1))
+        rows = latest(fresh.unionByName(last), ("fx_marker", newest), "refresh").select(*schema.names)
+        top = recent_per(rows, n, "fx_marker", newest)
+        top.write.mode("overwrite").parquet(f"{view}/refresh={batch_id}")
+        tables.drop_older(spark, view, "refresh", keep)
 
     return write
 
 
 def read_view(spark: SparkSession, view: str, schema: T.StructType) -> DataFrame:
     """The view as last refreshed."""
-    rows = _refreshes(spark, view, schema)
-    last = rows.where(F.col("refresh") == rows.agg(F.max("refresh")).scalar())
-    return last.drop("refresh", "slot")
-
-
-def _refreshes(spark: SparkSession, view: str, schema: T.StructType) -> DataFrame:
-    extra = [T.StructField("refresh", T.LongType()), T.StructField("slot", T.IntegerType())]
-    return spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(view)
+    last = max(tables.numbers(spark, view, "refresh"))
+    return spark.read.schema(schema).parquet(f"{view}/refresh={last}")

@@ -234,7 +234,9 @@ def test_responses_to_topic_to_results_to_table(stream, spark, tmp_path):
     def run(name, mode="append"):
         return Run(f"{stream.folder}/{name}", mode, once=True, state_partitions=2)
 
-    jobs.run_publish(lines.quote_responses(spark, str(polls), stream=True), raw, run("p"), f"{raw}-bad", 4).awaitTermination()
+    responses = lines.quote_responses(spark, str(polls), stream=True)
+    jobs.run_publish(responses, raw, run("p"), 4).awaitTermination()
+    jobs.run_quarantine(responses, f"{raw}-bad", run("q")).awaitTermination()
     assert {r["value"] for r in spark.read.parquet(f"{raw}-bad").collect()} == {"bad,line", "nothing useful"}
     assert messages.read_topic(spark, raw).count() == 1
     topic = messages.read_topic(spark, raw, stream=True)
@@ -267,6 +269,39 @@ def test_a_batch_published_again_does_not_stop_its_readers(stream, spark):
     assert [(r["fx_marker"], r["count"]) for r in rows] == [("X", 2)]
 
 
+def test_a_raw_batch_published_again_counts_once(stream, spark, tmp_path):
+    """The commit of a batch is lost after its reader has taken it; the batch runs again."""
+    polls, raw, checkpoint = tmp_path / "polls", f"{tmp_path}/topic", f"{tmp_path}/publisher"
+    polls.mkdir()
+    (polls / "a.csv").write_text("\n".join(f"X,{BASE + ms},1,1,1,1,1,1,1" for ms in (0, 1000)))
+
+    def publish():
+        responses = lines.quote_responses(spark, str(polls), stream=True)
+        jobs.run_publish(responses, raw, Run(checkpoint, "append", once=True)).awaitTermination()
+
+    publish()
+    stream.run(lambda t, path, run: jobs.run_counts(t, path, run))
+    for name in ("0", ".0.crc"):
+        (tmp_path / "publisher/commits" / name).unlink()
+    publish()
+    stream.run(lambda t, path, run: jobs.run_counts(t, path, run))
+    rows = spark.read.parquet(f"{stream.folder}/table").collect()
+    assert [(r["fx_marker"], r["count"]) for r in rows] == [("X", 2)]
+
+
+def test_the_later_poll_wins_whatever_its_line(stream, spark):
+    def poll(time, *points):
+        value = "\n".join(record(k, points=p) for k, p in points)
+        row = spark.createDataFrame([(None, value.encode(), time)], "key string, value binary, time bigint")
+        return row.withColumn("time", F.timestamp_seconds("time"))
+
+    both = poll(100, (5, "1"), (0, "9"), (1, "1")).unionAll(poll(200, (0, "7")))
+    messages.append_topic(both, f"{stream.folder}/topic")
+    stream.run(lambda t, path, run: jobs.run_store_ticks(t, path, f"{stream.folder}/bad", run), mode="append")
+    now = stream.table(TICK_TABLE, TICK_KEY).where(f"timestamp_ms = {BASE}").collect()
+    assert [r["bid_points"] for r in now] == [7]
+
+
 def test_the_last_of_several_versions_in_one_batch_is_stored(stream, spark):
     value = '{{"window":{{"start":"2018-06-26T08:00:00.000Z","end":"2018-06-26T08:00:30.000Z"}},"fx_marker":"X","avg(bid_big)":{0},"avg(bid_points)":{0}}}'
     rows = [("X", value.format(i % 50).encode(), i) for i in range(100)]
