@@ -21,13 +21,18 @@ from ratewatch.streaming.runner import Run, start, start_files
 Limits = Callable[[SparkSession], DataFrame]
 
 
+def _timed(rows: DataFrame) -> DataFrame:
+    """Ticks with a metric of those whose time cannot be read; no window takes these."""
+    return rows.observe("ticks", F.count_if(F.col("ts").isNull()).alias("without_time"))
+
+
 def mean_messages(
     messages: DataFrame, duration: int = 30, slide: int = 5, watermark: int = 120,
     columns: tuple[str, ...] | None = trends.BID,
 ) -> DataFrame:
     """Raw messages to mean messages."""
     rows = ticks.ticks_of(messages, MEAN_FIELDS).select("fx_marker", "ts", *trends.BID)
-    rows = rows.withWatermark("ts", seconds(watermark))
+    rows = _timed(rows).withWatermark("ts", seconds(watermark))
     return envelope.encode(trends.sliding_mean(rows, duration, slide, columns))
 
 
@@ -39,7 +44,7 @@ def window_counts(
     rows = ticks.ticks_of(messages, COUNT_FIELDS)
     if markers is not None:
         rows = rows.where(F.col("fx_marker").isin(markers))
-    rows = rows.select("fx_marker", "ts").withWatermark("ts", seconds(watermark))
+    rows = _timed(rows.select("fx_marker", "ts")).withWatermark("ts", seconds(watermark))
     return counts.tumbling_count(rows, duration, dedup=dedup)
 
 

@@ -77,3 +77,9 @@ def late_rows(query: StreamingQuery) -> int:
     """Rows that came behind the watermark, in the batches the query still remembers."""
     states = [state for progress in query.recentProgress for state in progress.stateOperators]
     return sum(state.numRowsDroppedByWatermark for state in states)
+
+
+def rows_without_time(query: StreamingQuery) -> int:
+    """Ticks whose time could not be read, in the batches the query still remembers."""
+    seen = [progress.observedMetrics.get("ticks") for progress in query.recentProgress]
+    return sum(metrics["without_time"] for metrics in seen if metrics)

@@ -10,7 +10,7 @@ from ratewatch.operators import counts
 from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.sources import lines, messages, tables
 from ratewatch.streaming import jobs, sinks
-from ratewatch.streaming.runner import Run, late_rows, start
+from ratewatch.streaming.runner import Run, late_rows, rows_without_time, start
 
 BASE = 1_530_000_000_000
 
@@ -28,7 +28,8 @@ class Stream:
     """A topic to which messages are added; after each, the stream runs and stops."""
 
     def __init__(self, spark, folder):
-        self.spark, self.folder, self.offset, self.late = spark, str(folder), 0, 0
+        self.spark, self.folder, self.offset = spark, str(folder), 0
+        self.late = self.timeless = 0
 
     def send(self, start, *values, **settings):
         for value in values:
@@ -43,6 +44,7 @@ class Stream:
         query = start(topic, f"{self.folder}/table", run)
         query.awaitTermination()
         self.late += late_rows(query)
+        self.timeless += rows_without_time(query)
 
     def table(self, schema, keys=RESULT_KEY):
         return tables.read_latest(self.spark, f"{self.folder}/table", schema, keys)
@@ -79,6 +81,12 @@ def test_late_rows(stream, limits):
     assert stream.late == 1
 
 
+def test_ticks_without_a_time_are_counted(stream):
+    values = "\n".join([record(0), record(10**13), record(1).replace(str(BASE + 1000), "soon")])
+    stream.send(lambda t, path, run: jobs.run_counts(t, path, run), values, record(2))
+    assert stream.timeless == 2
+
+
 def test_update_mode_takes_an_early_alarm_back(stream, limits):
     def start(t, path, run):
         return jobs.run_anomalies(t, limits, path, run)
