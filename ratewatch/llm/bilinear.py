@@ -102,10 +102,20 @@ class Model:
     def scores(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         return np.einsum("td,td->t", self.predicted(contexts), self.target[targets]) + self.bias[targets]
 
+    def by_place(self) -> list[np.ndarray]:
+        """For each context place the scores of all symbols after each, the bias in the first.
+
+        As a score is a sum over places, the score of a token is a sum of one of each.
+        """
+        tables = [(self.context * p) @ self.target.T for p in self.places]
+        tables[0] += self.bias
+        return tables
+
 
 def _sums(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct numbers of an index and the sums of their rows."""
-    order = np.argsort(index, kind="stable")
+    # Numbers of symbols fit 16 bits, which are sorted by radix.
+    order = np.argsort(index.astype(np.int16), kind="stable")
     ordered = index[order]
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     return ordered[starts], np.add.reduceat(rows[order], starts, axis=0)
@@ -136,7 +146,9 @@ class Trainer:
         false = predicted @ noise_vectors.T + (m.bias[noise] - self.log_noise[noise])
         scale = np.float32(1 / np.sqrt(len(targets)))
         up = scale / (1 + np.exp(true.clip(-30, 30)))
-        down = -scale / (1 + np.exp(-false.clip(-30, 30)))
+        np.clip(false, -30, 30, out=false)
+        np.exp(np.negative(false, out=false), out=false)
+        down = np.divide(-scale, np.add(false, 1, out=false), out=false)
         back = up[:, None] * true_vectors + down @ noise_vectors
         at, sums = _sums(targets, np.column_stack([up[:, None] * predicted, up]))
         noise_at, noise_sums = _sums(noise, np.column_stack([down.T @ predicted, down.sum(axis=0)]))
@@ -314,6 +326,7 @@ def scored(docs: DataFrame) -> DataFrame:
         sizes[word_class(word)] -= 1
     mass = symbols.counts[symbols.end + 1 :] + sizes + 1
     base_of = total + distinct + 1
+    by_place = model.by_place()
 
     def score(key: tuple, texts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         count = own["c"].to_numpy(float)
@@ -330,7 +343,9 @@ def scored(docs: DataFrame) -> DataFrame:
             at = np.array([index[w] for w in words(text)], np.int64)
             targets = np.append(symbol[at], symbols.end)
             contexts = contexts_of(targets, symbols.end)
-            logs = model.scores(contexts, targets) - table[contexts[0], contexts[1]]
+            logs = -table[contexts[0], contexts[1]]
+            for known_place, context in zip(by_place, contexts, strict=True):
+                logs += known_place[context, targets]
             known = int((count[at] > 0).sum()) + (n_docs > 0)
             rows.append(
                 (
@@ -345,7 +360,7 @@ def scored(docs: DataFrame) -> DataFrame:
             )
         return pd.DataFrame(rows, columns=SCORED).astype({"doc_id": "Int64"})
 
-    counted = found.select("chunk", "word").join(vocabulary, "word")
+    counted = found.select("chunk", "word").join(vocabulary.hint("shuffle_hash"), "word")
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return parts.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInPandas(score, kind)
 

@@ -54,7 +54,10 @@ def test_symbols_sum_to_one():
     n = len(symbols.counts)
     for k in range(3):
         every = np.repeat(contexts[:, k : k + 1], n, axis=1)
-        assert abs(np.exp(model.scores(every, np.arange(n)) - logs[k]).sum() - 1) < 1e-4
+        scores = model.scores(every, np.arange(n))
+        assert abs(np.exp(scores - logs[k]).sum() - 1) < 1e-4
+        placed = sum(t[c, np.arange(n)] for t, c in zip(model.by_place(), every, strict=True))
+        assert np.allclose(placed, scores, atol=1e-5)
 
 
 def test_noise_contrast_learns_what_follows():
