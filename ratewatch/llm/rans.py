@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -33,8 +36,8 @@ MAGIC = b"IDB1"
 HEADER = "<4sIIIIII"
 HEADER_BYTES = struct.calcsize(HEADER)
 
-# Texts that a worker remembers the ids of.
-REMEMBERED = 2_000_000
+# Words that a worker remembers the ids of, twice.
+REMEMBERED = 600_000
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -159,48 +162,58 @@ def decode(block: bytes, tables: Tables) -> np.ndarray:
 class Words:
     """Ids of texts by the ids of what stands between ASCII white space.
 
-    The tokenizer parts texts at white space and treats A-Z like a-z, and a run of the marks
-    below is a piece of its own behind an ASCII letter. So each such piece is encoded once and
-    remembered, and a text's ids are those of its pieces.
+    The tokenizer parts texts at white space and treats A-Z like a-z, so a text's ids are those
+    of its words, and each word is encoded once and remembered. When ``REMEMBERED`` words are
+    known, those that were not met since the last time are forgotten.
     """
 
-    MARKS = b".,;:!?"
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-        self.simple: dict[bytes, bytes] = {}
-
-    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([p.decode() for p in pieces], add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
-
-    def learn(self, pieces: set[bytes]) -> None:
-        """Remember the ids of new words."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.simple.clear()
-        new = [w for w in pieces if w not in self.known]
-        split = []
-        for word in new:
-            core = word.rstrip(self.MARKS)
-            simple = len(core) < len(word) and core[-1:].isalpha()
-            split.append((core, word[len(core) :]) if simple else (word, b""))
-        wanted = list({p for pair in split for p in pair if p}.difference(self.simple))
-        self.simple.update(zip(wanted, self._encoded(wanted), strict=True))
-        self.simple[b""] = b""
-        self.known.update((w, self.simple[a] + self.simple[b]) for w, (a, b) in zip(new, split, strict=True))
+        self.before: dict[bytes, bytes] = {}
+
+    def _encoded(self, some: list[bytes]) -> Iterator[bytes]:
+        """Ids of words, which are encoded as one text and parted by where they start."""
+        texts = [w.decode() for w in some]
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(found.ids, "<u2").tobytes()
+        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        edges = 2 * np.searchsorted(at, starts)
+        return (ids[i:j] for i, j in pairwise(edges.tolist()))
+
+    def learn(self, found: set[bytes]) -> None:
+        """Make sure that the ids of all these words are known."""
+        new = found.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.before, self.known = self.known, {}
+            new = found
+        again = new.intersection(self.before)
+        self.known.update((w, self.before[w]) for w in again)
+        new = list(new.difference(again))
+        for start in range(0, len(new), 16_384):
+            some = new[start : start + 16_384]
+            self.known.update(zip(some, self._encoded(some), strict=True))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text with the end id, as little-endian numbers of 32 bits."""
+        """Ids of every text with the end id, as little-endian numbers of 16 bits."""
         parted = [(t or "").encode().lower().split() for t in texts]
-        self.learn({w for p in parted for w in p})
-        end = struct.pack("<I", END_ID)
+        self.learn(set().union(*parted))
+        end = struct.pack("<H", END_ID)
         return [b"".join(map(self.known.__getitem__, p)) + end for p in parted]
 
 
+def encoder(path: str) -> Words:
+    """The worker's encoder. Functions come to a worker by value, so what tasks of one worker
+    share has to be kept by name."""
+    shared = sys.modules.setdefault("_ratewatch_encoders", ModuleType("_ratewatch_encoders"))
+    if not hasattr(shared, path):
+        setattr(shared, path, Words(path))
+    return getattr(shared, path)
+
+
 BLOCKS = "part long, block long, nulls long, doc_ids array<long>, sizes array<long>, ids binary"
 
 
@@ -219,22 +232,21 @@ def token_blocks(docs: DataFrame, path: str, parts: int | None = None) -> DataFr
     ranged = ranged.select("doc_id", "text", F.spark_partition_id().cast("long").alias("part"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Words(path)
+        coder = encoder(path)
         block, held = 0, 0
         waiting: list[tuple[int | None, bytes]] = []
         part = 0
 
         def flush() -> pd.DataFrame:
             nonlocal block, held
-            ids = np.frombuffer(b"".join(x for _, x in waiting), "<u4").astype("<u2")
             frame = pd.DataFrame(
                 {
                     "part": [part],
                     "block": [block],
                     "nulls": [sum(d is None for d, _ in waiting)],
                     "doc_ids": [[d or 0 for d, _ in waiting]],
-                    "sizes": [[len(x) // 4 for _, x in waiting]],
-                    "ids": [ids.tobytes()],
+                    "sizes": [[len(x) // 2 for _, x in waiting]],
+                    "ids": [b"".join(x for _, x in waiting)],
                 }
             )
             block, held = block + 1, 0
@@ -242,15 +254,16 @@ def token_blocks(docs: DataFrame, path: str, parts: int | None = None) -> DataFr
             return frame
 
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                some = batch.iloc[start : start + 256]
-                part = int(some["part"].iloc[0])
-                names = [None if pd.isna(d) else int(d) for d in some["doc_id"]]
-                for name, ids in zip(names, encoder.ids(some["text"].tolist()), strict=True):
-                    if waiting and held + len(ids) // 4 > BLOCK_IDS:
+            part = int(batch["part"].iloc[0])
+            names = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
+            texts = batch["text"].tolist()
+            for start in range(0, len(texts), 512):
+                some = coder.ids(texts[start : start + 512])
+                for name, ids in zip(names[start : start + 512], some, strict=True):
+                    if waiting and held + len(ids) // 2 > BLOCK_IDS:
                         yield flush()
                     waiting.append((name, ids))
-                    held += len(ids) // 4
+                    held += len(ids) // 2
         if waiting:
             yield flush()
 

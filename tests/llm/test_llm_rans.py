@@ -72,11 +72,20 @@ def test_words_give_the_ids_of_whole_texts(prose):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(tokenizer_path())
-    texts = [*ODD, None, "", " \n\t", prose(1, 500), "\n".join(ODD)]
+    texts = [*ODD, None, "", " \n\t", "\u3000 \x85 a \x85", prose(1, 500), "\n".join(ODD)]
     encoder = rans.Words(tokenizer_path())
     for text, got in zip(texts, encoder.ids(texts), strict=True):
         ids = whole.encode(text or "", add_special_tokens=False).ids + [rans.END_ID]
-        assert np.frombuffer(got, "<u4").tolist() == ids
+        assert np.frombuffer(got, "<u2").tolist() == ids
+
+
+def test_words_are_forgotten_and_learned_again(prose, monkeypatch):
+    monkeypatch.setattr(rans, "REMEMBERED", 50)
+    encoder = rans.Words(tokenizer_path())
+    texts = [prose(k, 60) for k in range(12)]
+    first = [encoder.ids([t])[0] for t in texts]
+    assert len(encoder.known) <= 60 + 50
+    assert [encoder.ids([t])[0] for t in texts] == first == rans.Words(tokenizer_path()).ids(texts)
 
 
 def test_documents(make_docs, prose, monkeypatch):
