@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratewatch.session import stored
+
 SYSTEM = "system"
 UNKNOWN = "unknown"
 
-# Turns that one rendered row holds; longer dialogues go on in the next part.
+# Turns, and messages, that one rendered row holds; longer dialogues go on in the next part.
 PART_TURNS = 512
 
 END = "<|end|>\n"
@@ -23,15 +25,66 @@ def _header(role: Column, speaker: Column) -> Column:
     )
 
 
+def _joined(a: DataFrame, b: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
+    """Two tables joined where some columns agree, null with null."""
+    other = b.withColumnsRenamed({c: f"__{c}" for c in columns})
+    equal = F.lit(True)
+    for c in columns:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return a.join(other, equal, how).drop(*[f"__{c}" for c in columns])
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """(conv_id, part, message): messages of overfull stretches cut into parts by their number.
+
+    Messages are ordered over all tasks, whatever their stretch, so that no task holds one;
+    the number in a stretch is that in the task and what tasks before hold.
+    """
+    order = [F.col(c) for c in ("conv_id", "stretch", "message", "tie")]
+    # Equal messages are told apart by a number, so that they can go to several tasks.
+    rows = stored(rows.withColumn("tie", F.monotonically_increasing_id()), "overfull")
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    ranged = ranged.withColumns({"task": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    ranged = stored(ranged, "ordered")
+    held = ranged.groupBy("conv_id", "stretch", "task").agg(F.min("at").alias("least"), F.count("*").alias("n"))
+    before = Window.partitionBy("conv_id", "stretch").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    joined = _joined(ranged, held, ["conv_id", "stretch", "task"])
+    number = F.col("at") - F.col("least") + F.col("offset")
+    part = F.col("first") + F.floor(number / PART_TURNS)
+    return joined.select("conv_id", part.alias("part"), "message")
+
+
 def parts(turns: DataFrame) -> DataFrame:
-    """(conv_id, part, messages): the turns of a stretch of a dialogue in order."""
+    """(conv_id, part, messages): the turns of a stretch of a dialogue in order.
+
+    A stretch of turns that holds more messages than turns goes on in parts of its own, which
+    move the dialogue's later parts up.
+    """
     message = F.struct(
         "turn",
         F.coalesce("role", F.lit(UNKNOWN)).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    part = F.coalesce(F.floor(F.col("turn") / PART_TURNS), F.lit(0))
-    rows = turns.select("conv_id", part.alias("part"), message.alias("message"))
+    stretch = F.coalesce(F.floor(F.col("turn") / PART_TURNS), F.lit(0))
+    counts = turns.groupBy("conv_id", stretch.alias("stretch")).agg(F.count("*").alias("n"))
+    counts = stored(counts, "stretches")
+    rows = turns.select("conv_id", stretch.alias("stretch"), message.alias("message"))
+    if counts.where(F.col("n") > PART_TURNS).isEmpty():
+        rows = rows.withColumnRenamed("stretch", "part")
+    else:
+        before = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+        more = F.coalesce(F.sum(F.ceil(F.col("n") / PART_TURNS) - 1).over(before), F.lit(0))
+        counts = stored(counts.withColumn("first", F.col("stretch") + more), "firsts")
+        moved = counts.where((F.col("n") > PART_TURNS) | (F.col("first") != F.col("stretch")))
+        moved = stored(moved, "moved")
+        joined = _joined(rows, moved, ["conv_id", "stretch"], "left").withColumns(
+            {"n": F.coalesce("n", F.lit(0)), "first": F.coalesce("first", "stretch")}
+        )
+        usual = joined.where(F.col("n") <= PART_TURNS).select("conv_id", F.col("first").alias("part"), "message")
+        over = joined.where(F.col("n") > PART_TURNS).select("conv_id", "stretch", "first", "message")
+        rows = usual.unionAll(_numbered(over))
     return rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list("message")).alias("messages"))
 
 
@@ -45,7 +98,8 @@ def rotated(turns: DataFrame) -> DataFrame:
     are ordered by turn, then role and text; repeated rows are rendered again. A null text is
     an empty message, a null role is a user named "unknown" who is no participant, a null
     turn comes first, null dialogue ids make one dialogue. A dialogue of 512 turns or more
-    goes on in further parts by turn number, so that no row grows with a dialogue. A dialogue
+    goes on in further parts by turn number, and one with more messages than that in a stretch
+    of turns by their number, so that no row holds more than 512 messages. A dialogue
     without participants and an empty table give no rows. Texts are put in as they are.
     """
     speakers = turns.where((F.col("role") != SYSTEM) & F.col("role").isNotNull())

@@ -68,3 +68,20 @@ def test_sql_and_plan(spark, sf):
     columns = ["conv_id", "speaker", "part", "text", "spans", "n_turns", "n_trained"]
     shown = got.withColumn("spans", chat.span_text("spans")).select(*columns)
     assert sorted(map(tuple, shown.collect())) == sorted(wanted.fetchall())
+
+
+def test_no_part_holds_more_messages_than_its_bound(spark):
+    rows = [(None, 7, "ann", "copy", "x")] * 1300
+    rows += [(None, None, "bob", f"lost {k:03}", "x") for k in range(40)]
+    rows += [(None, 600, "ann", "later", "x"), (None, 1100, "bob", "last", "x")]
+    rows += [(1, k, "ann", "usual", "x") for k in range(600)]
+    got = chat.rotated(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert max(r.n_turns for r in got) == 512
+    seen = {}
+    for r in sorted(got, key=lambda r: r.part):
+        seen.setdefault((r.conv_id, r.speaker), []).append((r.part, r.text, r.n_turns, r.n_trained))
+    wanted = plain([(c, -1 if t is None else t, *rest) for c, t, *rest in rows])
+    assert {k: "".join(x[1] for x in v) for k, v in seen.items()} == {k: v[0] for k, v in wanted.items()}
+    assert [x[0] for x in seen[None, "ann"]] == [0, 1, 2, 3, 4]
+    assert [x[2] for x in seen[None, "ann"]] == [512, 512, 316, 1, 1]
+    assert [x[0] for x in seen[1, "ann"]] == [0, 1]
