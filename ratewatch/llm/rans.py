@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import sys
 import zlib
@@ -36,6 +37,10 @@ MAGIC = b"IDB1"
 HEADER = "<4sIIIIII"
 HEADER_BYTES = struct.calcsize(HEADER)
 
+# What makes the case of A-Z matter: added tokens, which are found in the raw text, and
+# capitals before a mark, which compose (or do not) before they are lowered.
+CASED = re.compile(rb"<\||[A-Z][\x80-\xff]")
+
 # Words that a worker remembers the ids of, twice.
 REMEMBERED = 600_000
 
@@ -162,9 +167,10 @@ def decode(block: bytes, tables: Tables) -> np.ndarray:
 class Words:
     """Ids of texts by the ids of what stands between ASCII white space.
 
-    The tokenizer parts texts at white space and treats A-Z like a-z, so a text's ids are those
-    of its words, and each word is encoded once and remembered. When ``REMEMBERED`` words are
-    known, those that were not met since the last time are forgotten.
+    The tokenizer parts texts at white space and treats A-Z like a-z but in ``CASED`` words, so
+    a text's ids are those of its words, and each word is encoded once and remembered, lowered
+    if its case does not matter. When ``REMEMBERED`` words are known, those that were not met
+    since the last time are forgotten.
     """
 
     def __init__(self, path: str):
@@ -197,9 +203,17 @@ class Words:
             some = new[start : start + 16_384]
             self.known.update(zip(some, self._encoded(some), strict=True))
 
+    @staticmethod
+    def parted(text: str) -> list[bytes]:
+        """The words of a text as they are remembered."""
+        raw = text.encode()
+        if (text.isascii() and "<|" not in text) or not CASED.search(raw):
+            return raw.lower().split()
+        return [w if CASED.search(w) else w.lower() for w in raw.split()]
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text with the end id, as little-endian numbers of 16 bits."""
-        parted = [(t or "").encode().lower().split() for t in texts]
+        parted = [self.parted(t or "") for t in texts]
         self.learn(set().union(*parted))
         end = struct.pack("<H", END_ID)
         return [b"".join(map(self.known.__getitem__, p)) + end for p in parted]

@@ -68,6 +68,25 @@ ODD = [
 ]
 
 
+CASES = [
+    "<|ENDOFTEXT|> <|endoftext|> a<|EndOfText|>B <|startoftext|>The <|STARTOFTEXT|>.",
+    "T\u0308 t\u0308 H\u0331x J\u030c j\u030c W\u030a Y\u030aA T\u0591\u0308 T\u0323\u0308.",
+    "USA\u2019s CAF\u00c9 cafe\u0301 CAFE\u0301 THE The < | <| |>",
+]
+
+
+def test_case_is_kept_where_it_matters():
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    encoder = rans.Words(tokenizer_path())
+    words = sorted({w for t in CASES for w in t.split()})
+    texts = [*words, *(w.lower() for w in words), *CASES, *(t.lower() for t in CASES)]
+    for text, got in zip(texts, encoder.ids(texts), strict=True):
+        ids = whole.encode(text, add_special_tokens=False).ids + [rans.END_ID]
+        assert np.frombuffer(got, "<u2").tolist() == ids
+
+
 def test_words_give_the_ids_of_whole_texts(prose):
     from tokenizers import Tokenizer
 
