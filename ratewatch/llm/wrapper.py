@@ -50,6 +50,11 @@ HINTS = frozenset(
     "notices pager pagination popup promo promotion recommended related respond replies share sharing sidebar "
     "signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+# Words that a class or id may have beside those and still mark the same.
+NEUTRAL = frozenset(
+    "area bar block bottom box container inner item items left list main outer primary right secondary "
+    "section site top wrap wrapper".split()
+)
 ARTICLE = frozenset(("article", "main"))
 HEADER_WORDS = frozenset(("header",))
 
@@ -88,7 +93,10 @@ def label_of(tag: str, attributes: str) -> str:
     if attributes:
         for match in ATTRIBUTE.finditer(attributes):
             value = (match[2] or match[3] or match[4] or "").lower()
-            found += [f"{'@' if match[1].lower() == 'role' else '.'}{w}" for w in TOKEN.findall(value)]
+            if match[1].lower() == "role":
+                found += [f"@{w}" for w in TOKEN.findall(value)]
+            else:
+                found += [f".{'-'.join(w)}" for w in map(TOKEN.findall, value.split()) if w]
     return tag + "".join(sorted(set(found)))
 
 
@@ -250,21 +258,37 @@ def aligned(template: list, layout: list) -> dict[tuple[int, ...], tuple[int, ..
     return found
 
 
-def excluded(labels: list[str]) -> bool:
-    """Whether a node is no part of the article, by the labels from the root down to it."""
+def is_article(label: str) -> bool:
+    return bool(re.match(r"(article|main)(?![a-z])", label) or re.search(r"@(article|main)(?![a-z])", label))
+
+
+def marks(name: str, words: frozenset[str]) -> bool:
+    """Whether a whole class or id says one of the words, and nothing but neutral words beside."""
+    parts = set(name.split("-"))
+    return bool(parts & words) and parts <= words | NEUTRAL
+
+
+def excluded(labels: list[str], level: int = 0) -> bool:
+    """Whether a node is no part of the article, by the labels from the root down to it.
+
+    At level 1 an article overrules the classes around it, at level 2 no class counts.
+    """
     in_article = False
-    for label in labels:
+    first = next((k for k, label in enumerate(labels) if is_article(label)), 0) if level == 1 else 0
+    for k, label in enumerate(labels):
         tag = re.match(r"[^.@]*", label)[0]
-        words = set(re.findall(r"\.([a-z]+)", label))
+        names = re.findall(r"\.([a-z-]+)", label)
         roles = set(re.findall(r"@([a-z]+)", label))
         if tag in BOILERPLATE or roles & ROLES:
             return True
         if tag in ("html", "body", *ARTICLE) or roles & ARTICLE:
             in_article = in_article or tag in ARTICLE or bool(roles & ARTICLE)
             continue
-        if not in_article and (tag == "header" or words & HEADER_WORDS):
+        if not in_article and tag == "header":
             return True
-        if words & HINTS:
+        if level == 2 or k < first:
+            continue
+        if any(marks(n, HINTS) or not in_article and marks(n, HEADER_WORDS) for n in names):
             return True
     return False
 
@@ -316,19 +340,31 @@ def main_text(page: Page, places: list[str | None], constant: set[tuple[str, int
     Boilerplate by its labels goes first. Where the page has an article, only what stands in
     one counts, else blocks that are not mostly links. Of what is left, texts of the template
     go, unless they are more than half of all: then the host's pages are too alike to tell.
+
+    Articles under marked classes count where they hold more text than all that is not under
+    any, and classes do not count where they would leave nothing of a page whose texts vary.
     """
-    kept = []
-    for block, place, where in zip(page.blocks, page.places, places, strict=True):
-        labels = page.labels(place)
-        if not excluded(labels):
-            inside = any(re.match(r"(article|main)(?![a-z])", x) or re.search(r"@(article|main)(?![a-z])", x) for x in labels)
-            kept.append((block, inside, (where, text_hash(block.text)) in constant))
-    if any(inside for _, inside, _ in kept):
-        kept = [k for k in kept if k[1]]
-    else:
-        kept = [k for k in kept if k[0].linked <= LINK_SHARE * len(k[0].text)]
+    rows = [
+        (block, page.labels(place), (where, text_hash(block.text)) in constant)
+        for block, place, where in zip(page.blocks, page.places, places, strict=True)
+    ]
+
+    def left(level: int) -> list[tuple[Block, bool, bool]]:
+        kept = [(b, any(map(is_article, labels)), c) for b, labels, c in rows if not excluded(labels, level)]
+        if level == 1 or any(inside for _, inside, _ in kept):
+            return [k for k in kept if k[1]]
+        return [k for k in kept if k[0].linked <= LINK_SHARE * len(k[0].text)]
+
+    def size(kept: list[tuple[Block, bool, bool]]) -> int:
+        return sum(len(b.text) for b, _, _ in kept)
+
+    kept = left(0)
+    if not any(inside for _, inside, _ in kept) and size(wider := left(1)) > size(kept):
+        kept = wider
+    if not kept:
+        kept = [k for k in left(2) if not k[2]]
     varying = [k for k in kept if not k[2]]
-    if 2 * sum(len(b.text) for b, _, _ in varying) >= sum(len(b.text) for b, _, _ in kept):
+    if 2 * size(varying) >= size(kept):
         kept = varying
     return " ".join(b.text for b, _, _ in kept)
 

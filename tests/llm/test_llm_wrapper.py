@@ -47,6 +47,19 @@ def test_without_article(spark):
     assert texts(spark, rows) == {n: f"Body {n} it is" for n in range(6)}
 
 
+def test_classes_around_and_in_an_article(spark):
+    names = ("has-sidebar", "content with-sidebar", "widget-area", "no-comments", "sidebar")
+    body = "<div class='{c}'><article><p>Body {n} it is</p></article></div><div class='ad'>Buy {n}</div>"
+    rows = [(n, f"http://h{n}/", body.format(c=c, n=n)) for n, c in enumerate(names)]
+    parts = "<article><p>Body</p><section id='related-work'>work</section><div class='social-history'>past</div></article>"
+    rows += [(10, "http://i/", parts), (11, "http://j/", "<div class='comments'><p>All there is</p></div><nav>m</nav>")]
+    comments = "<div class='text'>The longer text of the page</div><div class='comments-list'><article>me too</article></div>"
+    rows += [(12, "http://k/", comments)]
+    assert texts(spark, rows) == {n: f"Body {n} it is" for n in range(5)} | {
+        10: "Body work past", 11: "All there is", 12: "The longer text of the page"
+    }
+
+
 def test_pages_that_are_alike_keep_their_text(spark):
     rows = [(n, "http://h/", page(7)) for n in range(8)]
     assert set(texts(spark, rows).values()) == {wanted(7, constant=True)}
