@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +37,14 @@ def with_text(docs: DataFrame, text: Column) -> DataFrame:
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
     return docs.withColumns(changed)
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices with about ``limit`` bytes of the column; a larger value is alone."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        numbers = np.cumsum(sizes) // limit
+        cuts = np.flatnonzero(np.diff(numbers)) + 1
+        for begin, end in pairwise([0, *cuts.tolist(), len(sizes)]):
+            if end > begin:
+                yield batch.slice(begin, end - begin)
