@@ -5,13 +5,17 @@ from __future__ import annotations
 from ratewatch.plans.queries import (
     AS_OF,
     BASE_DATES,
+    FIVE_MINUTES,
+    HIGH_MEAN,
     LATE,
     MANY,
     MARKER,
+    NARROW,
     NUMBERS,
     RECENT,
     REPORT_DATES,
     SERVED_DATES,
+    TEN_MINUTES,
     TWO_MARKERS,
 )
 
@@ -87,6 +91,22 @@ def _unique_anomalies() -> str:
       WHERE count < m - 2 * d OR count > m + 2 * d"""
 
 
+def _silent(sec: int) -> str:
+    """Counts with a row of 0 for windows without ticks, from the first to the last of all markers."""
+    step = f"INTERVAL '{sec} seconds'"
+    return f"""WITH c AS ({_tumbling(sec)}),
+      w AS (SELECT unnest(generate_series(min(window_start), max(window_start), {step})) AS window_start FROM c),
+      m AS (SELECT DISTINCT fx_marker FROM c)
+      SELECT fx_marker, window_start, window_start + {step} AS window_end, coalesce(count, 0) AS count
+      FROM (SELECT * FROM m, w) LEFT JOIN c USING (fx_marker, window_start)"""
+
+
+def _outside(counts: str, k: float, base: str) -> str:
+    return f"""SELECT c.* FROM ({counts}) c JOIN (SELECT fx_marker, avg(count) AS m, stddev_samp(count) AS d
+      FROM ({base}) WHERE CAST(window_start AS DATE) IN ({_dates(BASE_DATES)}) GROUP BY fx_marker) USING (fx_marker)
+      WHERE count < m - {k} * d OR count > m + {k} * d"""
+
+
 def _one_marker(sec: int) -> str:
     inner = _tumbling(sec, f"fx_marker = '{MARKER}' AND CAST(ts AS DATE) IN ({_dates(BASE_DATES[:2])})")
     return f"""SELECT '{MARKER}' AS fx_marker, round(avg(count), 6) AS avg_count,
@@ -104,6 +124,9 @@ NEWEST = f"ORDER BY ts DESC, event_id DESC LIMIT {RECENT}"
 SHOWN = f"""fx_marker = '{MARKER}' AND CAST(window_start AS DATE) IN ({_dates(SERVED_DATES)})
   AND window_start >= (SELECT min(ts) FROM (SELECT ts FROM {TICKS} WHERE {SERVED} {NEWEST}))"""
 
+BASELINE = f"""SELECT fx_marker, round(avg_count, 6) AS avg_count,
+  round(stddev_count, 6) AS stddev_count, {GATHERED} AS stat_gathered_date FROM ({STAT})"""
+
 ORACLES: dict[str, str] = {
     "ticks_of_events": f"SELECT event_id, {FIELDS}, ts FROM {TICKS}",
     "wire_parse": f"SELECT event_id, {_texts()} FROM {TICKS} WHERE fx_marker <> 'error'",
@@ -141,9 +164,13 @@ ORACLES: dict[str, str] = {
     "sliding_mean_hours": HOUR_MEANS,
     "sliding_mean_all_numbers": f"""SELECT fx_marker, window_start, window_end, {_all_means("round({0}_avg, 6) AS {0}_avg")}
         FROM ({_sliding(6 * 3600, 3600, ", " + _all_means("avg({0}) AS {0}_avg", NUMBERS[2:]))})""",
+    "sliding_mean_day": _sliding(86400, FIVE_MINUTES),
+    "tumbling_count_silent": _silent(TEN_MINUTES),
+    "anomalies_silent": _outside(_silent(TEN_MINUTES), NARROW, _silent(TEN_MINUTES)),
     "baseline_one_marker": _one_marker(10),
-    "baseline_per_marker": f"""SELECT fx_marker, round(avg_count, 6) AS avg_count,
-        round(stddev_count, 6) AS stddev_count, {GATHERED} AS stat_gathered_date FROM ({STAT})""",
+    "baseline_per_marker": BASELINE,
+    "baseline_merged_days": BASELINE,
+    "stream_day_statistics": BASELINE,
     "baseline_stored_history": _one_marker(3600),
     "count_bounds": f"""SELECT fx_marker, round(stream_stat_min, 6) AS stream_stat_min,
         round(stream_stat_max, 6) AS stream_stat_max FROM ({LIMITS})""",
@@ -178,10 +205,20 @@ ORACLES: dict[str, str] = {
         a.window_start IS NOT NULL AS in_anomaly
         FROM {TICKS} t LEFT JOIN ({ANOMALIES}) a
         ON t.fx_marker = a.fx_marker AND t.ts >= a.window_start AND t.ts < a.window_end""",
+    "ticks_in_high_means": f"""SELECT t.event_id, t.fx_marker, t.ts, w.window_start, w.window_end
+        FROM {TICKS} t LEFT JOIN (SELECT * FROM ({HOUR_MEANS}) WHERE bid_points_avg >= {HIGH_MEAN}) w
+        ON t.fx_marker = w.fx_marker AND t.ts >= w.window_start AND t.ts < w.window_end""",
+    "ticks_after_purchase": f"""SELECT p.event_id, t.fx_marker, count(*) AS ticks FROM {TICKS} t
+        JOIN (SELECT event_id, ts AS a, ts + bid_points * INTERVAL 1 MINUTE AS b FROM {TICKS}
+          WHERE fx_marker = 'purchase') p ON t.ts >= a AND t.ts < b GROUP BY ALL""",
     "stream_sliding_mean": f"{MEAN_ROWS} ({_sliding(30, 5)})",
     "stream_tumbling_count": f"SELECT *, CAST(CAST(window_start AS DATE) AS VARCHAR) AS timestamp_d FROM ({HOURS})",
     "stream_late_rows": f"""SELECT *, CAST(CAST(window_start AS DATE) AS VARCHAR) AS timestamp_d
         FROM ({_tumbling(3600, f"ts < TIMESTAMP '{LATE[0]}' OR ts >= TIMESTAMP '{LATE[1]}'")})""",
+    "stream_late_corrected": f"""SELECT *, CAST(CAST(window_start AS DATE) AS VARCHAR) AS timestamp_d
+        FROM ({_tumbling(3600, ticks=UNIQUE_TICKS)})""",
+    "stream_late_means_corrected": f"{MEAN_ROWS} ({HOUR_MEANS})",
+    "stream_silent_anomalies": f"{ANOMALY_ROWS} ({_outside(_silent(3600), NARROW, HOURS)})",
     "stream_anomalies": f"{ANOMALY_ROWS} ({ANOMALIES})",
     "stream_store_ticks": f"""SELECT {FIELDS}, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS timestamp_d
         FROM {TICKS} WHERE fx_marker <> 'signup' AND bid_points <> 0 QUALIFY row_number() OVER

@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewatch.functions.clock import recent_dates
-from ratewatch.operators import counts, envelope, framing, latest, serving, ticks, trends
+from ratewatch.operators import counts, daily, envelope, framing, intervals, latest, serving, silence, ticks, trends
 from ratewatch.plans.replay import replay
 from ratewatch.schemas import (
     ANOMALY_TABLE,
     BOUND_FIELDS,
     COUNT_FIELDS,
     COUNT_TABLE,
+    DAY_KEY,
+    DAY_TABLE,
     MEAN_TABLE,
     QUOTE_TYPES,
     RESULT_KEY,
@@ -26,7 +28,7 @@ from ratewatch.schemas import (
 from ratewatch.session import configure, run_folder, stored
 from ratewatch.sources import events, lines, tables
 from ratewatch.sources.messages import append_topic, read_topic
-from ratewatch.streaming import jobs, sinks
+from ratewatch.streaming import corrections, jobs, sinks
 from ratewatch.streaming.runner import Run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +44,10 @@ AS_OF = "2024-01-31 12:00:00"
 RECENT = 100
 MANY = 2000
 REPORT_DATES = ["2024-01-01", "2024-01-02"]
+TEN_MINUTES = 600
+FIVE_MINUTES = 300
+NARROW = 1.0
+HIGH_MEAN = 55
 
 QUERIES: dict[str, Query] = {}
 
@@ -204,6 +210,24 @@ def sliding_mean_all_numbers(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(means.withColumnsRenamed(named)).withColumns({c: F.round(c, 6) for c in named.values()})
 
 
+@register
+def sliding_mean_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Means of a day, one every five minutes: 288 windows hold a tick."""
+    means = trends.sliding_mean(events.ticks(spark, sf), 24 * HOUR, FIVE_MINUTES)
+    return _plain(trends.mean_rows(means))
+
+
+def _with_silent(spark: SparkSession, sf: str, duration: int) -> DataFrame:
+    found = stored(counts.tumbling_count(events.ticks(spark, sf), duration), "counts")
+    return silence.with_silent(found, duration)
+
+
+@register
+def tumbling_count_silent(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of ten minutes, with a row of 0 for those without ticks."""
+    return _plain(trends.flat(_with_silent(spark, sf, TEN_MINUTES)))
+
+
 # Statistics, bounds and anomalies
 
 
@@ -295,6 +319,26 @@ def anomalies_by_count(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(trends.flat(_hour_anomalies(spark, sf)))
 
 
+@register
+def anomalies_silent(spark: SparkSession, sf: str) -> DataFrame:
+    """Anomalies of ten minutes where windows without ticks count as 0, in the statistics, too."""
+    found = _with_silent(spark, sf, TEN_MINUTES)
+    base = counts.on_dates(found.withColumn("day", F.to_date("window.start")), BASE_DATES, "day")
+    limits = counts.bounds(counts.statistics(base, "fx_marker", as_of=_as_of()), NARROW)
+    return _plain(trends.flat(counts.anomalies(found, limits)))
+
+
+@register
+def baseline_merged_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics merged from sums by day; the sums of some days are gathered a second time."""
+    path = run_folder(configure(spark), "days")
+    for dates in (None, BASE_DATES[1:]):
+        found = counts.tumbling_count(events.ticks(spark, sf, dates=dates), HOUR)
+        tables.write_days(daily.day_sums(found), path)
+    sums = tables.read_table(spark, path, DAY_TABLE)
+    return _rounded(daily.merged_statistics(sums, BASE_DATES, _as_of()))
+
+
 @register
 def anomalies_in_message(spark: SparkSession, sf: str) -> DataFrame:
     """Bounds that come with the records; views have none and so raise no alarm."""
@@ -375,6 +419,25 @@ def ticks_in_anomaly(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(serving.overlay(rows, _anomaly_table(spark, sf), HOUR))
 
 
+@register
+def ticks_in_high_means(spark: SparkSession, sf: str) -> DataFrame:
+    """Every tick with each of the overlapping windows of six hours around it whose mean is high."""
+    rows = events.ticks(spark, sf).select("event_id", "fx_marker", "ts")
+    high = _mean_table(spark, sf).where(F.col("bid_points_avg") >= HIGH_MEAN)
+    return _plain(intervals.within(rows, high.select("fx_marker", "window_start", "window_end")))
+
+
+@register
+def ticks_after_purchase(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks of each marker in the minutes after a purchase, as many minutes as it has points."""
+    rows = events.ticks(spark, sf).select("fx_marker", "ts")
+    bought = events.ticks(spark, sf, ["purchase"])
+    minutes = F.make_dt_interval(mins=F.col("bid_points"))
+    after = stored(bought.select("event_id", F.col("ts").alias("begin"), (F.col("ts") + minutes).alias("stop")), "after")
+    found = intervals.within(rows, after, by=(), start="begin", end="stop", how="inner", parts=4)
+    return found.groupBy("event_id", "fx_marker").agg(F.count("*").alias("ticks"))
+
+
 # Streams
 
 
@@ -414,6 +477,74 @@ def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, folder, COUNT_TABLE)
 
 
+def _late(spark: SparkSession, sf: str, start) -> str:
+    """Ticks stored and results computed, slice by slice, the middle of the time last."""
+
+    def both(messages: DataFrame, at: str):
+        run = Run(f"{at}/checkpoint-ticks", "append", once=True)
+        jobs.run_store_ticks(messages, f"{at}/ticks", f"{at}/bad", run).awaitTermination()
+        return start(messages, at)
+
+    one, two = LATE
+    return replay(spark, sf, both, slices=[(None, one), (two, None), (one, two)])
+
+
+@register
+def stream_late_corrected(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts of ``stream_late_rows``, corrected from the table of ticks while it runs and after."""
+
+    def fix(at: str) -> None:
+        again = corrections.counted(HOUR)
+        corrections.correct(spark, f"{at}/ticks", f"{at}/table", f"{at}/fixed", again, COUNT_TABLE, HOUR)
+
+    def start(messages: DataFrame, at: str):
+        query = jobs.run_counts(messages, f"{at}/table", _run(at), duration=HOUR, dedup=True)
+        query.awaitTermination()
+        fix(at)
+        return query
+
+    folder = _late(spark, sf, start)
+    fixed = corrections.read_corrected(spark, f"{folder}/table", f"{folder}/fixed", COUNT_TABLE)
+    return _plain(fixed)
+
+
+@register
+def stream_late_means_corrected(spark: SparkSession, sf: str) -> DataFrame:
+    """Sliding means where the middle of the time comes last, corrected once at the end."""
+    sizes = {"duration": 6 * HOUR, "slide": HOUR}
+    folder = _late(spark, sf, lambda messages, at: jobs.run_means(messages, f"{at}/table", _run(at), **sizes))
+    again = corrections.averaged(**sizes)
+    paths = (f"{folder}/{name}" for name in ("ticks", "table", "fixed"))
+    corrections.correct(spark, *paths, again, MEAN_TABLE, 6 * HOUR)
+    return _plain(corrections.read_corrected(spark, f"{folder}/table", f"{folder}/fixed", MEAN_TABLE))
+
+
+@register
+def stream_silent_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """Anomalies of a stream of one hour, where a marker without ticks counts as 0."""
+    limits = stored(counts.bounds(_base_statistics(spark, sf), NARROW), "bounds")
+
+    def start(messages: DataFrame, at: str):
+        run = _run(at, "append")
+        return jobs.run_anomalies(messages, limits, f"{at}/table", run, duration=HOUR, silent=True)
+
+    folder = replay(spark, sf, start, close=True)
+    return _table(spark, folder, ANOMALY_TABLE).drop("is_anomaly")
+
+
+@register
+def stream_day_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics merged from the sums by day that a stream keeps."""
+    folder = replay(
+        spark,
+        sf,
+        lambda messages, at: jobs.run_day_sums(messages, f"{at}/table", _run(at, "append"), duration=HOUR),
+        close=True,
+    )
+    sums = tables.read_latest(spark, f"{folder}/table", DAY_TABLE, DAY_KEY)
+    return _rounded(daily.merged_statistics(sums, BASE_DATES, _as_of()))
+
+
 @register
 def stream_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     """Complete windows judged against the statistics last stored."""

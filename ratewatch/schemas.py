@@ -41,6 +41,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
+    "decimal": T.DecimalType(38, 0),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
 }
@@ -82,6 +83,10 @@ STATISTICS_TABLE = columns(
     fx_marker="string", stat_gathered_date="timestamp", avg_count="double", stddev_count="double"
 )
 
+# Sums of a day's counts; last write wins within marker and day.
+DAY_TABLE = columns(fx_marker="string", day="date", n="bigint", total="bigint", squares="decimal")
+DAY_KEY = ("fx_marker", "day")
+
 
 def versioned(table: T.StructType) -> T.StructType:
     """The table's schema with the number of the batch that wrote each row."""

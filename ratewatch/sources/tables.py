@@ -22,7 +22,7 @@ from ratewatch.operators.counts import on_dates
 from ratewatch.operators.latest import latest
 from ratewatch.operators.serving import of_markers
 from ratewatch.operators.ticks import with_record_id
-from ratewatch.schemas import STATISTICS_TABLE, columns, versioned
+from ratewatch.schemas import DAY_TABLE, STATISTICS_TABLE, columns, versioned
 from ratewatch.session import stored
 
 PARTITIONS = ("fx_marker", "timestamp_d")
@@ -91,6 +91,13 @@ def statistics_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATISTICS_TABLE).parquet(f"{path}/history")
 
 
+def write_days(sums: DataFrame, path: str) -> None:
+    """Put the sums of whole days in place of what the table holds of these days."""
+    together = sums.select(*DAY_TABLE.names).hint("rebalance", F.col("day"))
+    writer = together.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day").parquet(path)
+
+
 def numbers(spark: SparkSession, path: str, name: str) -> list[int]:
     """The numbers N of the complete folders ``name``=N in a folder, in any store."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -102,15 +109,23 @@ def numbers(spark: SparkSession, path: str, name: str) -> list[int]:
     return [int(x.partition("=")[2]) for x in done if x.startswith(f"{name}=")]
 
 
+def _age(spark: SparkSession, folder: str) -> float:
+    """Seconds since a folder was complete."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    files = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return time() - files.getFileStatus(mark).getModificationTime() / 1000
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_older(spark: SparkSession, path: str, name: str, seconds: int) -> None:
     """Remove folders ``name``=N that a newer one has followed for so long."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    there = sorted(numbers(spark, path, name))
-    for old, newer in pairwise(there):
-        followed = files.getFileStatus(hadoop(f"{path}/{name}={newer}/_SUCCESS")).getModificationTime()
-        if time() * 1000 - followed > seconds * 1000:
-            files.delete(hadoop(f"{path}/{name}={old}"), True)
+    for old, newer in pairwise(sorted(numbers(spark, path, name))):
+        if _age(spark, f"{path}/{name}={newer}") > seconds:
+            _remove(spark, f"{path}/{name}={old}")
 
 
 def write_version(rows: DataFrame, path: str, batch_id: int) -> None:

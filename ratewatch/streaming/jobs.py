@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ratewatch.functions.clock import seconds
 from ratewatch.functions.wire import strip
-from ratewatch.operators import counts, envelope, framing, ticks, trends
+from ratewatch.operators import counts, daily, envelope, framing, ticks, trends
 from ratewatch.schemas import ANOMALY_TABLE, COUNT_FIELDS, MEAN_FIELDS, MEAN_TABLE, TICK_TABLE
 from ratewatch.sources.messages import spread
 from ratewatch.sources.tables import read_version, write_version
@@ -88,13 +88,20 @@ def run_anomalies(
 
 
 def run_judged(
-    messages: DataFrame, limits: DataFrame | Limits, write: sinks.Writer, run: Run, **sizes
+    messages: DataFrame, limits: DataFrame | Limits, write: sinks.Writer, run: Run,
+    silent: bool = False, **sizes
 ) -> StreamingQuery:
     """Anomaly messages of a raw stream to any writer.
 
     Bounds given as a DataFrame are those of the start. Given as a function of the
     session they are asked for with each batch, so newly gathered statistics are used.
+
+    With ``silent``, in append mode, windows without ticks of a marker that has bounds are
+    judged as counts of 0. They are complete when other markers' ticks have let a later window
+    be complete; how far that is, is kept beside the checkpoint.
     """
+    if silent and run.mode != "append":
+        raise ValueError("silent windows are judged when they are complete: use append mode")
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         # A join may skip counts for which there are no bounds, but Spark commits the state of
@@ -104,6 +111,10 @@ def run_judged(
         write_version(batch, held, turn)
         counted = read_version(batch.sparkSession, held, turn, batch.schema)
         current = limits if isinstance(limits, DataFrame) else limits(batch.sparkSession)
+        if silent:
+            counted = sinks.completed(
+                counted, current, f"{run.checkpoint}-complete", batch_id, sizes.get("duration", 10)
+            )
         write(anomaly_messages(counted, current, run.mode), batch_id)
 
     return start(window_counts(messages, **sizes), judge, run)
@@ -115,6 +126,15 @@ def run_counts(messages: DataFrame, table: str, run: Run, **sizes) -> StreamingQ
     return start(rows.withColumn("timestamp_d", F.to_date("window_start")), sinks.upsert(table), run)
 
 
+def run_day_sums(messages: DataFrame, table: str, run: Run, **sizes) -> StreamingQuery:
+    """Sums of a raw stream's counts by marker and day, written when a day is complete.
+
+    Two aggregations follow each other, so this runs in append mode. Statistics of any dates
+    are merged from the table, and no tick is read again.
+    """
+    return start(daily.day_sums(window_counts(messages, **sizes)), sinks.upsert(table), run)
+
+
 def run_store_ticks(
     messages: DataFrame, table: str, quarantine: str, run: Run, view: str | None = None, n: int = 100
 ) -> StreamingQuery:

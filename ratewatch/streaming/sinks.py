@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewatch.operators.latest import latest, recent_per
+from ratewatch.operators.silence import with_silent
 from ratewatch.operators.ticks import marked_records, typed, with_date
 from ratewatch.schemas import RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.sources import messages as topics
@@ -120,6 +121,25 @@ def store_ticks(
     return write
 
 
+def completed(counts: DataFrame, expected: DataFrame, path: str, batch_id: int, duration: int) -> DataFrame:
+    """Complete windows of one batch, with the windows of ``expected`` markers that have no tick.
+
+    In append mode a batch holds the windows that its watermark has passed, so all windows up
+    to the latest of them are complete, and those up to the latest of the batches before were
+    so already. Where that is, is written for each batch; one that runs again reads what the
+    batch before it wrote.
+    """
+    spark = counts.sparkSession
+    before = max((n for n in tables.numbers(spark, path, "batch_id") if n < batch_id), default=None)
+    done = None if before is None else spark.read.parquet(f"{path}/batch_id={before}").first()[0]
+    first, last = counts.agg(F.min("window.start"), F.max("window.end")).first()
+    upto = max((at for at in (done, last) if at), default=None)
+    if upto is not None:
+        tables.write_version(spark.range(1).select(F.lit(upto).alias("upto")), path, batch_id)
+        tables.drop_older(spark, path, "batch_id", KEEP_SECONDS)
+    return counts if last is None else with_silent(counts, duration, done or first, last, expected)
+
+
 # A refresh of a served view stays for so many seconds after the next one, for its readers.
 KEEP_SECONDS = 3600
 

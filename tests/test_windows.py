@@ -1,5 +1,8 @@
 """Windows, statistics, bounds and anomalies."""
 
+import random
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -39,6 +42,29 @@ def test_sums_per_slide_give_the_same_means(spark, make_ticks, values):
     assert plain(got) == plain(want) == plain(trends.sliding_mean(ticks, sum_first=False))
 
 
+@pytest.mark.parametrize("duration, slide", [(90, 5), (95, 7), (100, 9), (300, 1)])
+@pytest.mark.parametrize("by", [("fx_marker",), ()])
+def test_sums_per_stretch_give_the_same_means(spark, make_ticks, duration, slide, by):
+    rng = random.Random(duration)
+    values = [(rng.choice("AB"), rng.randint(-300_000, 300_000), float(rng.randint(0, 9)), rng.choice([None, 3, 7])) for _ in range(120)]
+    # Such values must not reach beyond the windows they lie in.
+    values += [("A", None, 1.0, 1), ("B", 900_000, float("inf"), 1), ("B", 901_000, float("nan"), 1), ("B", 901_500, 1e300, 1)]
+    ticks = make_ticks(*values)
+
+    def plain(df):
+        means = [F.coalesce(F.round(f"`avg({c})`", 6), F.lit(-1.0)).cast("string") for c in ("bid_big", "bid_points")]
+        return rows(df.select(*by, "window.start", "window.end", *means))
+
+    got, want = (trends.sliding_mean(ticks, duration, slide, by=by, sum_first=first) for first in (True, False))
+    assert plain(got) == plain(want)
+
+
+def test_many_windows_a_tick_need_no_expansion(make_ticks):
+    text = trends.sliding_mean(make_ticks(("A", 0, 1.0, 1)), 86_400, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in text and "NestedLoop" not in text
+    assert trends.sliding_mean(make_ticks(("A", 0, 1.0, 1)), 86_400, 10).count() == 8640
+
+
 @QUICK
 @given(st.lists(TICK, min_size=1, max_size=25))
 def test_a_tick_is_in_six_sliding_windows_and_in_one_tumbling(spark, make_ticks, values):
