@@ -10,14 +10,15 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from ratewatch.operators import counts, envelope
-from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, TICK_KEY, TICK_TABLE
+from ratewatch.operators import counts, daily, envelope
+from ratewatch.schemas import ANOMALY_TABLE, DAY_KEY, DAY_TABLE, MEAN_TABLE, RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.session import configure
 from ratewatch.sources import lines, messages, tables
-from ratewatch.streaming import jobs, sinks
+from ratewatch.streaming import corrections, jobs, sinks
 from ratewatch.streaming.runner import Run, start, start_kafka
 
 TABLES = {
@@ -36,7 +37,9 @@ def _run(args: argparse.Namespace, mode: str) -> Run:
 
 
 def _topic(spark: SparkSession, args: argparse.Namespace):
-    return messages.read_topic(spark, args.topic, args.format, stream=True, **_pairs(args.option))
+    since = datetime.fromisoformat(args.since) if args.since else None
+    options = {"since": since, "most": args.most, "most_bytes": args.most_bytes, **_pairs(args.option)}
+    return messages.read_topic(spark, args.topic, args.format, stream=True, **options)
 
 
 def _kafka(args: argparse.Namespace) -> str:
@@ -79,7 +82,29 @@ def count_anomalies(spark: SparkSession, args: argparse.Namespace):
     return jobs.run_judged(
         _topic(spark, args), limits, _writer(args, envelope.decode_anomalies), _run(args, "append"),
         markers=args.marker, duration=args.duration, watermark=args.watermark,
-        dedup=not args.repeats,
+        dedup=not args.repeats, silent=args.silent,
+    )
+
+
+def sum_days(spark: SparkSession, args: argparse.Namespace):
+    """Sums of counts by day, from which statistics of any dates are merged."""
+    return jobs.run_day_sums(
+        _topic(spark, args), args.table, _run(args, "append"), duration=args.duration,
+        watermark=args.watermark, dedup=not args.repeats,
+    )
+
+
+def merge_statistics(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Statistics of the dates given as "2018-07-05 2018-07-06", from sums by day."""
+    sums = tables.read_latest(spark, args.table, DAY_TABLE, DAY_KEY)
+    tables.append_statistics(daily.merged_statistics(sums, args.dates.split()), args.statistics)
+
+
+def correct(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Means of windows that late ticks touch, from the table of ticks."""
+    corrections.correct(
+        spark, args.ticks, args.table, args.corrections, corrections.averaged(args.duration, args.slide),
+        MEAN_TABLE, args.duration, args.watermark, args.compacted,
     )
 
 
@@ -108,6 +133,10 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     tables.compact(spark, args.table, args.target, *TABLES[args.kind], upto=args.upto, full=args.full)
 
 
+def prune(spark: SparkSession, args: argparse.Namespace) -> None:
+    tables.prune(spark, args.table, args.target, args.keep)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="ratewatch")
     commands = top.add_subparsers(required=True)
@@ -124,6 +153,9 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--every", help='trigger, such as "1 second"')
             command.add_argument("--once", action="store_true")
             command.add_argument("--state-partitions", type=int)
+            command.add_argument("--since", help="leave out messages before this time, as 2018-07-05T08:00:00+00:00")
+            command.add_argument("--most", type=int, help="files (Kafka: messages) a batch")
+            command.add_argument("--most-bytes", type=int, help="bytes of files a batch")
         return command
 
     command = add("publish", publish)
@@ -150,6 +182,23 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument(
                 "--repeats", action="store_true", help="count repeated ticks, which the tick table does not hold"
             )
+            command.add_argument("--silent", action="store_true", help="judge windows without ticks, too")
+    command = add("sum-days", sum_days)
+    command.add_argument("--table", required=True)
+    command.add_argument("--duration", type=int, default=10, help="seconds")
+    command.add_argument("--watermark", type=int, default=60, help="seconds")
+    command.add_argument("--repeats", action="store_true")
+    command = add("merge-statistics", merge_statistics, stream=False)
+    command.add_argument("dates")
+    command.add_argument("--table", required=True)
+    command.add_argument("--statistics", required=True)
+    command = add("correct-means", correct, stream=False)
+    for name in ("--ticks", "--table", "--corrections"):
+        command.add_argument(name, required=True)
+    command.add_argument("--compacted")
+    command.add_argument("--duration", type=int, default=30, help="seconds")
+    command.add_argument("--slide", type=int, default=5, help="seconds")
+    command.add_argument("--watermark", type=int, default=120, help="seconds")
     command = add("store-ticks", store_ticks)
     command.add_argument("--table", required=True)
     command.add_argument("--quarantine", required=True)
@@ -170,6 +219,10 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--target", required=True)
     command.add_argument("--upto", type=int)
     command.add_argument("--full", action="store_true", help="merge earlier compactions, too")
+    command = add("prune", prune, stream=False)
+    command.add_argument("--table", required=True)
+    command.add_argument("--target", required=True)
+    command.add_argument("--keep", type=int, default=tables.KEEP_SECONDS, help="seconds")
     return top
 
 

@@ -147,6 +147,10 @@ ORACLES: dict[str, str] = {
         FROM {TICKS} WHERE fx_marker = 'signup' OR bid_points = 0""",
     "ticks_with_id": f"""SELECT event_id, sha256(concat_ws('|', fx_marker, timestamp_ms)) AS record_id
         FROM {TICKS}""",
+    "ticks_with_time_id": f"""WITH h AS (SELECT event_id, printf('%012x', timestamp_ms) AS t,
+          sha256(concat_ws('|', fx_marker, timestamp_ms)) AS k FROM {TICKS})
+        SELECT event_id, concat_ws('-', t[1:8], t[9:12], '7' || k[2:4],
+          '89ab'[1 + (strpos('0123456789abcdef', k[1]) - 1) % 4] || k[5:7], k[8:19]) AS time_id FROM h""",
     "ticks_latest": f"""SELECT *, timestamp_ms // 3600000 AS hour FROM {TICKS} QUALIFY
         row_number() OVER (PARTITION BY fx_marker, timestamp_ms // 3600000 ORDER BY event_id DESC) = 1""",
     "ticks_corrected": f"""SELECT fx_marker, timestamp_ms, open,
@@ -233,6 +237,9 @@ ORACLES: dict[str, str] = {
     "stream_stored_statistics": _unique_anomalies(),
     "stream_anomalies_update": f"{ANOMALY_ROWS} ({ANOMALIES})",
     "stream_means_topic": f"{MEAN_ROWS} ({HOUR_MEANS})",
+    "stream_bounded_batches": f"SELECT *, CAST(CAST(window_start AS DATE) AS VARCHAR) AS timestamp_d FROM ({HOURS})",
+    "recent_ticks_stored": f"""SELECT ts, bid_points, open FROM {TICKS} WHERE fx_marker = '{MARKER}'
+        ORDER BY ts DESC, open DESC LIMIT {RECENT}""",
     "stream_recent_view": f"""SELECT fx_marker, ts, bid_points FROM {UNIQUE_TICKS} QUALIFY
         row_number() OVER (PARTITION BY fx_marker ORDER BY ts DESC) <= {RECENT}""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewatch.functions.clock import recent_dates
+from ratewatch.functions.ids import time_id
 from ratewatch.operators import counts, daily, envelope, framing, intervals, latest, serving, silence, ticks, trends
 from ratewatch.plans.replay import replay
 from ratewatch.schemas import (
@@ -141,6 +142,14 @@ def ticks_with_id(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", "record_id")
 
 
+@register
+def ticks_with_time_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids that sort as the times of the ticks."""
+    rows = events.ticks(spark, sf)
+    made = time_id(F.col("timestamp_ms"), rows.schema, "fx_marker", "timestamp_ms")
+    return rows.select("event_id", made.alias("time_id"))
+
+
 @register
 def ticks_latest(spark: SparkSession, sf: str) -> DataFrame:
     rows = events.ticks(spark, sf).withColumn("hour", F.floor(F.col("timestamp_ms") / 3_600_000))
@@ -161,6 +170,7 @@ def ticks_corrected(spark: SparkSession, sf: str) -> DataFrame:
         tables.compact(spark, table, packed, TICK_TABLE, TICK_KEY)
         again = events.ticks(spark, sf, [marker]).withColumn("bid_points", F.lit(-batch))
         tables.write_version(last(again), table, batch)
+    tables.prune(spark, table, packed, keep=-1)
     now = tables.read_latest(spark, table, TICK_TABLE, TICK_KEY, compacted=packed, record_id=True)
     return _plain(now.select("fx_marker", "timestamp_ms", "bid_points", "open", "batch_id", "record_id"))
 
@@ -679,6 +689,31 @@ def stream_stored_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, twice, ANOMALY_TABLE).drop("is_anomaly")
 
 
+@register
+def stream_bounded_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A backlog of many files counted by runs that take two files a batch.
+
+    The watermark waits for the whole backlog, as the files are in no order of time.
+    """
+    folder = run_folder(configure(spark), "backlog")
+    append_topic(events.messages(events.ticks(spark, sf)), f"{folder}/topic", partitions=12)
+    topic = read_topic(spark, f"{folder}/topic", stream=True, most=2)
+    run = _run(folder)
+    jobs.run_counts(topic, f"{folder}/table", run, duration=HOUR, watermark=60 * 24 * HOUR).awaitTermination()
+    return _table(spark, folder, COUNT_TABLE)
+
+
+@register
+def recent_ticks_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest ticks of one marker from a stored table of all dates, of which few are read."""
+    path = run_folder(configure(spark), "ticks")
+    tables.write_table(events.ticks(spark, sf).select(*TICK_TABLE.names), path)
+    rows = serving.of_markers(tables.read_table(spark, path, TICK_TABLE), MARKER)
+    dates = [date(2024, 1, day) for day in range(1, 31)]
+    near = tables.newest_dates(rows, dates, RECENT)
+    return _plain(serving.recent_ticks(rows, MARKER, near, RECENT, "open").select("ts", "bid_points", "open"))
+
+
 @register
 def stream_recent_view(spark: SparkSession, sf: str) -> DataFrame:
     """The served view of the newest ticks of every marker."""

@@ -27,6 +27,9 @@ from ratewatch.session import stored
 
 PARTITIONS = ("fx_marker", "timestamp_d")
 
+# What something newer has replaced stays for so many seconds, for its readers.
+KEEP_SECONDS = 3600
+
 # What a compaction holds: the batches behind one, up to another.
 POINTER = columns(run="bigint", after="bigint", upto="bigint")
 
@@ -76,6 +79,7 @@ def append_statistics(stats: DataFrame, path: str) -> None:
     every = new.unionByName(newest_statistics(spark, path)) if runs else new
     newest = latest(every, ("fx_marker",), "stat_gathered_date").select(*STATISTICS_TABLE.names)
     newest.hint("rebalance").write.mode("overwrite").parquet(f"{path}/newest/run={max(runs, default=-1) + 1}")
+    drop_older(spark, f"{path}/newest", "run", KEEP_SECONDS)
 
 
 def newest_statistics(spark: SparkSession, path: str) -> DataFrame:
@@ -128,9 +132,16 @@ def drop_older(spark: SparkSession, path: str, name: str, seconds: int) -> None:
             _remove(spark, f"{path}/{name}={old}")
 
 
-def write_version(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch; running it again replaces what it wrote before."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_version(rows: DataFrame, path: str, batch_id: int, order: tuple[str, ...] = ()) -> None:
+    """Write one micro-batch; running it again replaces what it wrote before.
+
+    With an ``order`` each file is sorted by these columns and has a Bloom filter on the
+    first, so a reader of one marker opens few row groups, and of these few pages.
+    """
+    writer = (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite")
+    if order:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{order[0]}", "true")
+    writer.parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_version(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
@@ -160,6 +171,29 @@ def _pointers(spark: SparkSession, compacted: str) -> list[tuple[int, int, int]]
     return [tuple(r) for r in spark.read.schema(POINTER).parquet(*made).collect()] if made else []
 
 
+def prune(spark: SparkSession, path: str, compacted: str, keep: int = KEEP_SECONDS) -> None:
+    """Remove batches that a compaction holds, and compactions that a full one has replaced.
+
+    What replaces them must be complete for ``keep`` seconds, so that readers that began
+    before have ended. A table that is compacted and pruned from time to time lists no folder
+    of long ago; the rows that it gives stay the same.
+    """
+    chain = compactions(spark, compacted)
+    settled = [c for c in chain if _age(spark, f"{compacted}/pointers/at={c[0]}") > keep]
+    if not settled:
+        return
+    upto, kept = max(c[2] for c in settled), {run for run, _, _ in chain}
+    for batch in numbers(spark, path, "batch_id"):
+        if batch <= upto:
+            _remove(spark, f"{path}/batch_id={batch}")
+    if settled[0] == chain[0]:
+        for run, _, _ in _pointers(spark, compacted):
+            if run not in kept:
+                # The pointer goes first: without it nobody looks for the data.
+                _remove(spark, f"{compacted}/pointers/at={run}")
+                _remove(spark, f"{compacted}/data/run={run}")
+
+
 def _held(spark: SparkSession, compacted: str, schema: T.StructType, runs: list[int]) -> DataFrame:
     fields = [*versioned(schema).fields, T.StructField("run", T.LongType())]
     rows = spark.read.schema(T.StructType(fields)).parquet(f"{compacted}/data")
@@ -179,6 +213,19 @@ def read_versions(spark: SparkSession, path: str, schema: T.StructType, compacte
     return newer.unionByName(_held(spark, compacted, schema, [run for run, _, _ in chain]))
 
 
+def newest_dates(rows: DataFrame, dates: list[date | str], n: int) -> list[str]:
+    """The newest of the dates that together hold ``n`` rows, or all of them.
+
+    For the newest rows of a partitioned table: only these dates need be read. Twice as many
+    dates are counted each time, which takes the files' own row numbers and no column.
+    """
+    ordered = sorted((str(day) for day in dates), reverse=True)
+    size = 1
+    while size < len(ordered) and on_dates(rows, ordered[:size]).count() < n:
+        size *= 2
+    return ordered[:size]
+
+
 def read_latest(
     spark: SparkSession, path: str, schema: T.StructType, keys: tuple[str, ...],
     markers: str | list[str] | None = None, dates: list[date | str] | None = None,
@@ -208,8 +255,8 @@ def compact(
     merges all compactions with them into one; run it from time to time. Every compaction
     has a folder of its own, and a row that names it once it is complete: a reader sees the
     state before or after, never a part, and a compaction that is lost is done again. Batches
-    that it holds are not read any more and may be removed, as may compactions that a full
-    one has replaced, when no reader is left. Run one compaction of a table at a time.
+    that it holds are not read any more; ``prune`` removes them, and compactions that a full
+    one has replaced. Run one compaction of a table at a time.
     """
     chain = compactions(spark, target)
     last = chain[0][2] if chain else -1

@@ -51,7 +51,9 @@ def upsert(
 
 
 def _write(rows: DataFrame, path: str, batch_id: int, then: Writer | None) -> None:
-    tables.write_version(rows, path, batch_id)
+    keys = (TICK_KEY[0], TICK_KEY[-1]), (RESULT_KEY[0], RESULT_KEY[-1])
+    order = next((key for key in keys if set(key) <= set(rows.columns)), ())
+    tables.write_version(rows, path, batch_id, order)
     if then:
         then(tables.read_version(rows.sparkSession, path, batch_id, rows.schema), batch_id)
 
@@ -89,12 +91,19 @@ DIGITS = {"time": 16, "offset": 13, "pos": 9}
 
 
 def _place(order: tuple[str, ...]) -> Column:
-    """One number that orders rows as the columns do, null first."""
-    texts = []
+    """One number that orders rows as the columns do, null first.
+
+    A value that is negative or has more digits than there is room for ends the query: cut
+    short, it would order wrongly without a word.
+    """
+    number = F.lit(0).cast("decimal(38,0)")
     for name in order:
         value = F.unix_micros(name) if name == "time" else F.col(name).cast("bigint")
-        texts.append(F.lpad(F.greatest(value, F.lit(0)).cast("string"), DIGITS[name], "0"))
-    return F.concat(*texts).cast("decimal(38,0)")
+        room = 10 ** DIGITS[name]
+        wrong = F.concat(F.lit(f"{name} does not fit an order of versions: "), value.cast("string"))
+        fits = F.when(value.isNull(), 0).when(value.between(0, room - 2), value + 1).otherwise(F.raise_error(wrong))
+        number = (number * F.lit(room).cast("decimal(38,0)") + fits).cast("decimal(38,0)")
+    return number
 
 
 def store_ticks(
@@ -136,14 +145,10 @@ def completed(counts: DataFrame, expected: DataFrame, path: str, batch_id: int,
     upto = max((at for at in (done, last) if at), default=None)
     if upto is not None:
         tables.write_version(spark.range(1).select(F.lit(upto).alias("upto")), path, batch_id)
-        tables.drop_older(spark, path, "batch_id", KEEP_SECONDS)
+        tables.drop_older(spark, path, "batch_id", tables.KEEP_SECONDS)
     return counts if last is None else with_silent(counts, duration, done or first, last, expected)
 
 
-# A refresh of a served view stays for so many seconds after the next one, for its readers.
-KEEP_SECONDS = 3600
-
-
 def refresh(
     spark: SparkSession, view: str | None, schema: T.StructType, n: int, newest: str
 ) -> Writer | None:
@@ -160,7 +165,7 @@ def create_view(spark: SparkSession, view: str, schema: T.StructType) -> None:
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{view}/refresh=-1")
 
 
-def serve(view: str, schema: T.StructType, n: int, newest: str, keep: int = KEEP_SECONDS) -> Writer:
+def serve(view: str, schema: T.StructType, n: int, newest: str, keep: int = tables.KEEP_SECONDS) -> Writer:
     """Keep the ``n`` newest rows per marker at ``view``, refreshed with each batch.
 
     The new view comes from the one before and the batch alone, as an older row can never

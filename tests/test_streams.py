@@ -1,13 +1,14 @@
 """Hand-made streams: one message per micro-batch."""
 
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ratewatch.operators import counts
-from ratewatch.schemas import ANOMALY_TABLE, MEAN_TABLE, RESULT_KEY, TICK_KEY, TICK_TABLE
+from ratewatch.schemas import ANOMALY_TABLE, COUNT_TABLE, MEAN_TABLE, RESULT_KEY, TICK_KEY, TICK_TABLE
 from ratewatch.sources import lines, messages, tables
 from ratewatch.streaming import jobs, sinks
 from ratewatch.streaming.runner import Run, late_rows, rows_without_time, start
@@ -328,3 +329,37 @@ def test_every_trigger_can_be_asked_for(stream, spark):
     assert query.name == "refresh" and query.isActive
     query.stop()
     assert spark.read.parquet(f"{stream.folder}/table").count() == 1
+
+
+def test_a_backlog_in_bounded_batches(spark, tmp_path):
+    for second in range(6):
+        row = spark.createDataFrame([(None, record(second).encode(), second)], "key string, value binary, offset bigint")
+        messages.append_topic(row.coalesce(1), f"{tmp_path}/topic")
+    topic = messages.read_topic(spark, f"{tmp_path}/topic", stream=True, most=2)
+    query = jobs.run_counts(topic, f"{tmp_path}/table", Run(f"{tmp_path}/c", once=True, state_partitions=2, rocksdb=False))
+    query.awaitTermination()
+    read = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert len(read) >= 3 and sum(read) == 6
+    assert tables.read_latest(spark, f"{tmp_path}/table", COUNT_TABLE, RESULT_KEY).first()["count"] == 6
+
+
+def test_messages_since_a_time(spark, tmp_path):
+    rows = spark.sql("select null as key, binary('x') as value, id as offset, timestamp_seconds(id) as time from range(5)")
+    messages.append_topic(rows, f"{tmp_path}/topic")
+    since = datetime.fromtimestamp(3, timezone.utc)
+    assert messages.read_topic(spark, f"{tmp_path}/topic", since=since).count() == 2
+
+
+@pytest.mark.parametrize("offset, pos", [(10**13 - 1, 0), (-1, 0), (0, 10**9 - 1)])
+def test_a_place_that_does_not_fit_is_an_error(spark, offset, pos):
+    rows = spark.createDataFrame([(offset, pos)], "offset bigint, pos int")
+    with pytest.raises(Exception, match="does not fit"):
+        rows.select(sinks._place(("offset", "pos"))).collect()
+
+
+def test_places_order_as_their_parts(spark):
+    places = [(t, o, p) for t in (None, 0, 10**16 - 2) for o in (None, 0, 10**13 - 2) for p in (0, 10**9 - 2)]
+    rows = spark.createDataFrame([(n, *p) for n, p in enumerate(places)], "n int, t bigint, offset bigint, pos int")
+    rows = rows.withColumn("time", F.timestamp_micros("t")).withColumn("place", sinks._place(("time", "offset", "pos")))
+    assert [r["n"] for r in rows.orderBy("place").collect()] == list(range(len(places)))
+    assert rows.select("place").distinct().count() == len(places)

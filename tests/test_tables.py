@@ -161,3 +161,65 @@ def test_settings_are_put_back(spark):
     with session.settings(spark, {"spark.sql.shuffle.partitions": "17"}):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "17"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def folders(path):
+    return sorted(f.rsplit("/", 1)[1] for f in glob.glob(f"{path}/*=*"))
+
+
+def test_pruned_tables_read_the_same(spark, stored_ticks, tmp_path):
+    path, packed = str(tmp_path / "t"), str(tmp_path / "packed")
+
+    def read():
+        rows = tables.read_latest(spark, path, TICK_TABLE, TICK_KEY, compacted=packed).orderBy(*TICK_KEY)
+        return rows.select(*TICK_KEY, "bid_points", "batch_id").collect()
+
+    for batch in range(4):
+        tables.write_version(stored_ticks(("A", 1, 1.0, batch), ("B", 10 + batch, 1.0, batch)), path, batch)
+        if batch in (1, 2):
+            tables.compact(spark, path, packed, TICK_TABLE, TICK_KEY)
+    before = read()
+    tables.prune(spark, path, packed)
+    assert len(folders(path)) == 4
+    tables.prune(spark, path, packed, keep=-1)
+    assert folders(path) == ["batch_id=3"] and read() == before
+    tables.compact(spark, path, packed, TICK_TABLE, TICK_KEY, full=True)
+    tables.prune(spark, path, packed, keep=-1)
+    assert folders(path) == []
+    assert folders(f"{packed}/data") == ["run=2"] and folders(f"{packed}/pointers") == ["at=2"] and read() == before
+    # A batch that the stream runs again after that is not read twice.
+    tables.write_version(stored_ticks(("A", 1, 1.0, 3), ("B", 13, 1.0, 3)), path, 3)
+    assert read() == before
+
+
+def test_a_marker_that_is_not_there_opens_no_row_group(spark, stored_ticks, tmp_path):
+    path = str(tmp_path / "t")
+    rows = stored_ticks(*[(m, i, 1.0, i) for m in "ACE" for i in range(200)]).coalesce(1)
+    tables.write_version(rows, path, 0, ("fx_marker", "timestamp_ms"))
+    for marker, read in (("A", True), ("B", False), ("D", False)):
+        found = spark.read.schema(TICK_TABLE).parquet(path).where(F.col("fx_marker") == marker)
+        assert (found.count() > 0) == read
+        plan = found._jdf.queryExecution().executedPlan()
+        found.collect()
+        scan = plan.collectLeaves().head()
+        assert (scan.metrics().apply("numOutputRows").value() > 0) == read
+
+
+def test_newest_rows_read_few_dates(spark, stored_ticks, tmp_path):
+    path = str(tmp_path / "t")
+    day = 86_400_000
+    tables.write_table(stored_ticks(*[("A", d * day + i, 1.0, i) for d in range(6) for i in range(5)], ("B", 9 * day, 1.0, 1)), path)
+    rows = of_marker(tables.read_table(spark, path, TICK_TABLE), "A", dates := [f"2018-06-{26 + d}" for d in range(5)])
+    assert tables.newest_dates(rows, dates, 5) == dates[:3:-1]
+    assert tables.newest_dates(rows, dates, 6) == dates[:2:-1]
+    assert tables.newest_dates(rows, dates, 11) == dates[:0:-1]
+    assert tables.newest_dates(rows, dates, 99) == dates[::-1]
+
+
+def test_statistics_gathered_again_leave_no_old_folders(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "s")
+    stats = spark.sql("select 'A' as fx_marker, timestamp'2018-07-05 08:00:00' as stat_gathered_date, 1d as avg_count, 0d as stddev_count")
+    monkeypatch.setattr(tables, "KEEP_SECONDS", -1)
+    for _ in range(3):
+        tables.append_statistics(stats, path)
+    assert folders(f"{path}/newest") == ["run=2"] and tables.newest_statistics(spark, path).count() == 1

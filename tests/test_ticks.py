@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ratewatch.functions.ids import time_id
 from ratewatch.functions import clock
 from ratewatch.operators import latest, ticks
 from ratewatch.schemas import BOUND_FIELDS, MEAN_FIELDS, WIRE_FIELDS
@@ -131,3 +132,19 @@ def test_recent_per_marker_beyond_the_group_limit(spark):
         ids = sorted((i for i in range(9000) if ("hot" if i % 3 == 0 else f"m{i % 2}") == m), reverse=True)[:1500]
         expected[m] = (1500, ids[-1])
     assert counted == expected
+
+
+def test_time_ids_sort_as_times_and_are_uuids_of_version_7(spark):
+    import uuid
+
+    times = [0, 1, 1_530_000_000_000, 1_530_000_000_001, 2**48 - 1]
+    rows = spark.createDataFrame([("A", ms) for ms in [*times, -1, 2**48, None]], "fx_marker string, timestamp_ms bigint")
+    made = rows.withColumn("id", time_id(F.col("timestamp_ms"), rows.schema, "fx_marker", "timestamp_ms"))
+    ids = {r["timestamp_ms"]: r["id"] for r in made.collect()}
+    assert [ids[ms] for ms in times] == sorted(ids[ms] for ms in times)
+    for ms in times:
+        read = uuid.UUID(ids[ms])
+        assert read.version == 7 and read.variant == uuid.RFC_4122 and read.int >> 80 == ms
+    assert ids[-1] is ids[2**48] is ids[None] is None
+    again = made.select("id").collect()
+    assert again == made.select("id").collect()
