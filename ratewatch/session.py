@@ -63,4 +63,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = run_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.stored_at = path
+    return kept
+
+
+def forget(*frames: DataFrame) -> None:
+    """Remove what ``stored`` wrote for these frames.
+
+    Only for frames that nothing reads any more: all that was made of them must be written,
+    as a lost executor would have Spark read them again.
+    """
+    for frame in frames:
+        folder = frame.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        folder.getFileSystem(frame.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
