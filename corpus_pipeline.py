@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratewatch.llm import line_dedup, mixing, packing, quality, simhash
 from ratewatch.llm.text import table
-from ratewatch.session import stored
+from ratewatch.session import forget, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each but the last is written to the shared folder and read again."""
+    """All stages in order; each but the last is written to the shared folder and read again.
+
+    What a stage wrote is removed when the next one is written.
+    """
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before = docs
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)

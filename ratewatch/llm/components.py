@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ratewatch.session import stored
+from ratewatch.session import forget, stored
 
 
 def _written(pairs: DataFrame) -> tuple[DataFrame, tuple]:
@@ -47,8 +47,9 @@ def connected(links: DataFrame) -> DataFrame:
     pairs = proper.select(F.least(a, b).alias("low"), F.greatest(a, b).alias("high"))
     pairs, digest = _written(pairs.distinct())
     while digest[0]:
-        before = digest
-        pairs, digest = _written(_small_star(_large_star(pairs)))
+        before, last = digest, pairs
+        pairs, digest = _written(_small_star(_large_star(last)))
+        forget(last)
         if digest == before:
             break
     members = pairs.select(F.col("high").alias("node"), F.col("low").alias("component"))

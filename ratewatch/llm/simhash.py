@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ratewatch.llm.components import connected
 from ratewatch.llm.text import words
-from ratewatch.session import stored
+from ratewatch.session import forget, stored
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -141,9 +141,11 @@ def print_components(prints: DataFrame) -> DataFrame:
     bucket's largest component, so a large group is never compared with itself.
     """
     # Both uses of the keys share one exchange; buckets of one are left behind here.
-    keys = stored(keyed(prints), "keys").repartition("key")
+    written = stored(keyed(prints), "keys")
+    keys = written.repartition("key")
     sizes = keys.groupBy("key").agg(F.min("print").alias("first"), F.count("*").alias("n")).where("n > 1")
     members = stored(keys.join(sizes.hint("shuffle_hash"), "key"), "members")
+    forget(written)
     stars = members.where((F.col("print") != F.col("first")) & _close("print", "first", MAX_BITS))
     found = stored(connected(stars.select("first", "print")), "groups")
     crowded = members.where("n > 2").select("key", "print")
@@ -151,6 +153,7 @@ def print_components(prints: DataFrame) -> DataFrame:
         "key", "print", F.coalesce("component", "print").alias("component")
     )
     named = stored(named, "named")
+    forget(members)
     counts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
     top = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("m"))
     mixed = top.where("m > 1").select("key", F.col("top.component").alias("top"))
