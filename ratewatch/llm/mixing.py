@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewatch.llm.text import word_count
+from ratewatch.llm.text import numbered, word_count
 from ratewatch.session import stored
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -157,6 +157,16 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _shared(parts: DataFrame) -> DataFrame:
+    """The words of a unit and the fraction of all its rows' copies that is drawn.
+
+    Rows that repeat id, source and text are one unit of ``rows`` rows. Of its rows * fraction
+    copies the whole ones are sure, and the rest is drawn as for a single row.
+    """
+    total = F.col("rows") * F.col("fraction")
+    return parts.withColumn("sure", F.floor(total)).withColumn("fraction", total - F.floor(total))
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken, key, copies) for every document.
 
@@ -164,7 +174,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     documents of a source have the same expected number of copies, target / source_size, so
     0 to 2 copies each. The words taken from a source miss its target by about the
     size of its smaller documents. Draws depend on id, source and text
-    only, so reruns agree. Rows that repeat all three are one unit and are taken alike. A
+    only, so reruns agree. Rows that repeat all three are equal, and so many of them are taken
+    once more than the others as bring them to the target together. A
     null source is a source of its own; an empty table gives no rows.
     """
     rows = _keyed(docs.select("doc_id", "source", "text")).select(
@@ -180,11 +191,21 @@ def mixed(docs: DataFrame) -> DataFrame:
     named = aims.select(F.col("source").alias("name"), "source_size", "target", rate.alias("rate"))
     joined = rows.join(named, rows["source"].eqNullSafe(named["name"])).drop("name", "source")
     whole = F.floor("rate")
-    units = joined.where("size > 0").groupBy("source_no", "key", "rate").agg(F.sum("size").alias("size"))
-    parts = units.select("source_no", "key", "size", (F.col("rate") - whole).alias("fraction"))
-    extra = rounded(parts).withColumnRenamed("key", "of")
-    taken = joined.join(extra, joined["key"] == extra["of"], "left")
-    copies = F.when(F.col("size") > 0, whole + F.coalesce("extra", F.lit(0))).otherwise(0).cast("long")
+    units = joined.where("size > 0").groupBy("source_no", "key", "rate").agg(
+        F.first("size").alias("size"), F.count("*").alias("rows")
+    )
+    units = stored(_shared(units.withColumn("fraction", F.col("rate") - whole)), "units")
+    extra = rounded(units.select("source_no", "key", "size", "fraction"))
+    # So many rows of the unit have a copy more than the others, the first by number.
+    more = units.select(F.col("key").alias("of"), "rows", "sure").join(
+        extra.withColumnRenamed("key", "drawn"), F.col("of") == F.col("drawn")
+    )
+    more = more.select("of", "rows", (F.col("sure") + F.col("extra")).alias("more"))
+    known = joined.join(more, joined["key"] == more["of"], "left")
+    once = known.where(F.coalesce("rows", F.lit(1)) == 1).withColumn("extra", F.coalesce("more", F.lit(0)))
+    several = numbered(known.where("rows > 1"), ("key",), LEAF_ROWS).withColumn("extra", (F.col("number") <= F.col("more")).cast("long")).drop("number")
+    taken = once.unionByName(several)
+    copies = F.when(F.col("size") > 0, whole + F.col("extra")).otherwise(0).cast("long")
     return taken.withColumn("copies", copies).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "key", "copies"
     )
@@ -192,8 +213,14 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 def copied(docs: DataFrame) -> DataFrame:
     """The documents of the mix with their own columns, each as often as it is taken."""
-    plan = mixed(docs).where("copies > 0").groupBy("key").agg(F.max("copies").alias("__copies"))
-    plan = stored(plan, "copies")
-    joined = _keyed(docs).join(plan, F.col("__key") == F.col("key")).drop("key", "__key")
-    again = F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))
-    return joined.withColumn("__again", again).drop("__copies", "__again")
+    plan = mixed(docs).where("copies > 0").groupBy("key").agg(
+        F.sum("copies").alias("__copies"), F.count("*").alias("__rows")
+    )
+    plan = stored(plan.withColumnRenamed("key", "__of"), "copies")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    joined = _keyed(docs).join(plan, F.col("__key") == F.col("__of"))
+    # Rows that are equal need not be told apart: the first of them stands for all copies.
+    single = joined.where("__rows = 1")
+    repeats = joined.where("__rows > 1").dropDuplicates(["__key"])
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__again")
+    return single.unionByName(repeats).select(*columns, again).drop("__again")

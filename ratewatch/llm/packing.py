@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewatch.llm.text import word_count
+from ratewatch.llm.text import numbered, word_count
 from ratewatch.session import stored
 
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -32,21 +32,52 @@ def smallest(capacities: Sequence[int], size: int) -> int:
     return capacities[bisect_left(capacities, size)]
 
 
-def best_fit(sizes: Sequence[int], capacities: Sequence[int], opened: int) -> list[int]:
+def fill(sizes: Sequence[int], falling: Sequence[int], at: int, room: int) -> int:
+    """What pieces behind a place, the largest that fits first, could put into a room.
+
+    ``falling`` holds the sizes negated, in which they ascend.
+    """
+    used = 0
+    while room > used:
+        at = bisect_left(falling, used - room, at)
+        if at == len(sizes):
+            break
+        used += sizes[at]
+        at += 1
+    return used
+
+
+def opening(sizes: Sequence[int], falling: Sequence[int], at: int, capacities: Sequence[int]) -> int:
+    """The permitted length with the least price a position, once the pieces to come are in it.
+
+    A length counts as what it could be downsized to; the smaller one where two cost the same.
+    """
+    best = None
+    for capacity in capacities[bisect_left(capacities, sizes[at]) :]:
+        held = sizes[at] + fill(sizes, falling, at + 1, capacity - sizes[at])
+        cost = price(smallest(capacities, held)) / held
+        if best is None or cost < best[0]:
+            best = (cost, capacity)
+    return best[1]
+
+
+def best_fit(sizes: Sequence[int], capacities: Sequence[int], opened: int | None) -> list[int]:
     """The bin of every size, given in descending order.
 
-    A size goes where it leaves least room. Where no bin has room for it, one of ``opened``
-    is opened, or the least that holds it.
+    A size goes where it leaves least room. Where no bin has room for it, the least-cost
+    length is opened; with ``opened`` it is that one, or the least that holds the size.
     """
+    falling = [-size for size in sizes]
     room: list[tuple[int, int]] = []
     chosen = []
     bins = 0
-    for size in sizes:
+    for place, size in enumerate(sizes):
         at = bisect_left(room, (size, -1))
         if at < len(room):
             left, number = room.pop(at)
         else:
-            left, number = max(opened, smallest(capacities, size)), bins
+            left = opening(sizes, falling, place, capacities) if opened is None else max(opened, smallest(capacities, size))
+            number = bins
             bins += 1
         chosen.append(number)
         if left > size:
@@ -62,13 +93,13 @@ def filled(sizes: Sequence[int], chosen: Sequence[int]) -> dict[int, int]:
 
 
 def packed(sizes: Sequence[int], capacities: Sequence[int]) -> tuple[list[int], dict[int, int]]:
-    """The cheapest packing over all capacities that new bins can have, and its capacities.
+    """The packing that opens the least-cost length each time, and its capacities.
 
-    Every choice is priced after its bins have been downsized to what they hold; the best one
-    for the pieces at hand wins, the smaller capacity where two cost the same.
+    It is priced after its bins have been downsized to what they hold, and so are packings
+    that open one length throughout; one of these is taken only where it is cheaper.
     """
     best: tuple[float, list[int], dict[int, int]] | None = None
-    for opened in capacities:
+    for opened in (None, *capacities):
         chosen = best_fit(sizes, capacities, opened)
         bins = {n: smallest(capacities, held) for n, held in filled(sizes, chosen).items()}
         cost = sum(map(price, bins.values()))
@@ -122,8 +153,8 @@ def pack(docs: DataFrame, size: Column | None = None, capacities: Sequence[int]
     kind = "doc_id long, start long, length long, bin string, place long, capacity long"
     shard = F.pmod(F.xxhash64("key", "start"), F.lit(shards))
     together = rest.withColumn("shard", shard).groupBy("shard").applyInPandas(solve, kind)
-    own = F.concat_ws("-", F.lit("full"), F.monotonically_increasing_id().cast("string"))
-    alone = full.select(
+    own = F.concat_ws("-", F.lit("full"), F.hex("key"), "start", "number")
+    alone = numbered(full, ("key", "start"), SHARD_ROWS).select(
         "doc_id",
         "start",
         "length",

@@ -16,20 +16,21 @@ WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 WHITE = b"\t\n\x0b\x0c\r "
 
-# Rows with a label, least hash first, that the forest is fitted and its threshold set on.
+# Rows with a label, least hash first: on every other one the forests are fitted, without its
+# label, and on those between their thresholds are set.
 LABELLED_ROWS = 8192
 TREES = 100
-SAMPLE = 256
 SEED = 42
 
-# Share of bad rows in a tree's sample: enough that every kind of them is there.
-BAD_SHARE = 0.25
+# Rows of a tree's sample: few, so that junk of one kind, of which there are many rows, does not
+# look usual to it.
+SAMPLE = 4
 
-# Random splits of which a node takes the one that parts good and bad rows best.
-CANDIDATES = 12
+# Share of labelled good documents that the threshold of one forest may reject at most.
+MAX_FALSE = 0.0005
 
-# Share of labelled good documents that the threshold may reject at most.
-MAX_FALSE = 0.002
+# Probability with which the bad rows that a threshold finds may be ahead by chance.
+CHANCE = 0.001
 
 COUNTS = (
     "n_words",
@@ -117,30 +118,22 @@ def mean_path(n: int) -> float:
     return 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n if n > 2 else 1.0
 
 
-def grow(points: np.ndarray, rng: np.random.Generator, height: int, good: np.ndarray | None = None) -> Tree:
-    """Split a random feature at a random place between its least and greatest value.
-
-    With ``good``, a node with rows of both kinds takes the best of some random splits, one
-    with rows of one kind is a leaf, and only good rows lengthen a leaf's path: few steps lead
-    to where the bad ones are.
-    """
+def grow(points: np.ndarray, rng: np.random.Generator, height: int) -> Tree:
+    """Split a random feature at a random place between its least and greatest value."""
     nodes: list[list[float]] = []
 
     def add(rows: np.ndarray, depth: int) -> int:
         at = len(nodes)
         values = points[rows]
-        size = len(rows) if good is None else int(good[rows].sum())
-        nodes.append([-1, 0.0, -1, -1, depth + mean_path(size)])
+        nodes.append([-1, 0.0, -1, -1, depth + mean_path(len(rows))])
         low, high = values.min(axis=0), values.max(axis=0)
         wide = np.flatnonzero(high > low)
-        if depth < height and len(wide) and (good is None or 0 < size < len(rows)):
-            some = rng.choice(wide, 1 if good is None else CANDIDATES)
-            splits = rng.uniform(low[some], high[some])
-            parted = values[:, some] <= splits
-            best = 0 if good is None else int(mixture(parted, good[rows]).argmin())
-            below = parted[:, best]
+        if depth < height and len(wide):
+            axis = rng.choice(wide)
+            split = rng.uniform(low[axis], high[axis])
+            below = values[:, axis] <= split
             left, right = add(rows[below], depth + 1), add(rows[~below], depth + 1)
-            nodes[at][:4] = [int(some[best]), splits[best], left, right]
+            nodes[at][:4] = [int(axis), split, left, right]
         return at
 
     add(np.arange(len(points)), 0)
@@ -149,13 +142,6 @@ def grow(points: np.ndarray, rng: np.random.Generator, height: int, good: np.nda
     return Tree(ints[0], np.array(columns[1]), ints[1], ints[2], np.array(columns[4]))
 
 
-def mixture(parted: np.ndarray, good: np.ndarray) -> np.ndarray:
-    """The Gini impurity that each split (a column) leaves, times half of the rows."""
-    below, found = parted.sum(axis=0), parted[good].sum(axis=0)
-    above, others = len(good) - below, good.sum() - found
-    return found * (below - found) / np.maximum(below, 1) + others * (above - others) / np.maximum(above, 1)
-
-
 @dataclass
 class Forest:
     trees: list[Tree]
@@ -163,7 +149,7 @@ class Forest:
     threshold: float = np.inf
 
     def scores(self, points: np.ndarray) -> np.ndarray:
-        """2^(-mean path length / expected length): near 1 for points soon set apart from good rows."""
+        """2^(-mean path length / expected length): near 1 for points soon set apart."""
         total = np.zeros(len(points))
         rows = np.arange(len(points))
         for tree in self.trees:
@@ -179,38 +165,89 @@ class Forest:
         return 2.0 ** (-total / max(len(self.trees), 1) / max(mean_path(self.sample), 1.0))
 
 
-def fit_forest(
-    points: np.ndarray, good: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
-) -> Forest:
-    """Trees over random samples of good and bad rows; by chance alone if there is one kind only."""
+def fit_forest(points: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> Forest:
+    """Trees over random samples of the rows; no label has a part in it."""
     rng = np.random.default_rng(seed)
-    bad = np.flatnonzero(~good)
-    bad_rows = min(len(bad), int(np.ceil(sample * BAD_SHARE)))
-    usual = np.flatnonzero(good)
-    good_rows = min(len(usual), sample - bad_rows)
-    if not good_rows + bad_rows:
+    sample = min(sample, len(points))
+    if not sample:
         return Forest([], 0)
-    height = int(np.ceil(np.log2(max(good_rows + bad_rows, 2))))
-    grown = []
-    for _ in range(trees):
-        rows = np.concatenate([rng.choice(usual, good_rows, replace=False), rng.choice(bad, bad_rows, replace=False)])
-        rows = rows.astype(int)
-        grown.append(grow(points[rows], rng, height, good[rows] if good_rows and bad_rows else None))
-    return Forest(grown, good_rows + bad_rows)
+    height = int(np.ceil(np.log2(max(sample, 2))))
+    grown = [grow(points[rng.choice(len(points), sample, replace=False)], rng, height) for _ in range(trees)]
+    return Forest(grown, sample)
+
+
+@dataclass
+class Steps:
+    """The scores of a forest over one statistic, which are steps, and its threshold."""
+
+    breaks: np.ndarray
+    scores: np.ndarray
+    threshold: float
+
+    @classmethod
+    def of(cls, forest: Forest) -> Steps:
+        splits = [t.split[t.feature >= 0] for t in forest.trees]
+        breaks = np.unique(np.concatenate([np.zeros(0), *splits]))
+        return cls(breaks, forest.scores(np.append(breaks, np.inf)[:, None]), forest.threshold)
+
+    def of_points(self, points: np.ndarray) -> np.ndarray:
+        return self.scores[np.searchsorted(self.breaks, points)]
+
+
+@dataclass
+class Forests:
+    """An isolation forest for how far each feature is above, and how far below, its middle.
+
+    How short a text may be is for the base rules, so there is none for the last feature below.
+    What is rare in one feature does so not hide behind what is rare in another, and a
+    threshold tells for each how rare is bad. A text is rejected where any score passes its
+    threshold.
+    """
+
+    middle: np.ndarray
+    steps: list[Steps]
+
+    def sides(self, points: np.ndarray) -> np.ndarray:
+        off = points - self.middle
+        return np.column_stack([np.maximum(off, 0), np.maximum(-off[:, :-1], 0)])
+
+    def scores(self, points: np.ndarray) -> np.ndarray:
+        """One column a statistic."""
+        sides = self.sides(points)
+        return np.column_stack([s.of_points(sides[:, k]) for k, s in enumerate(self.steps)])
+
+    def margin(self, points: np.ndarray) -> np.ndarray:
+        """The greatest score as a share of its threshold; above 1 the text is rejected."""
+        if not self.steps or not len(points):
+            return np.zeros(len(points))
+        return (self.scores(points) / np.array([s.threshold for s in self.steps])).max(axis=1)
+
+
+def fit_forests(points: np.ndarray) -> Forests:
+    """The forests of all rows, whatever their labels, without thresholds."""
+    if not len(points):
+        return Forests(np.zeros(0), [])
+    forests = Forests(np.median(points, axis=0), [])
+    sides = forests.sides(points)
+    forests.steps = [Steps.of(fit_forest(sides[:, [k]], seed=SEED + k)) for k in range(sides.shape[1])]
+    return forests
 
 
 def calibrated(scores: np.ndarray, good: np.ndarray, max_false: float = MAX_FALSE) -> float:
     """The threshold that finds most bad rows while at most a share of the good ones passes it.
 
-    It lies in the middle of the gap between two scores. Without rows of both kinds there is
-    nothing to tell apart, and no score passes.
+    It lies in the gap between two scores, near that of a bad row: what is between them is
+    rather kept. Where so many bad rows could be ahead of the good ones by chance, or there are
+    no rows of both kinds, no score passes.
     """
     if good.all() or not good.any():
         return np.inf
     allowed = int(max_false * good.sum())
     limit = np.sort(scores[good])[::-1][allowed]
     above = scores[(scores > limit) & ~good]
-    return (limit + above.min()) / 2 if len(above) else np.inf
+    if not len(above) or np.mean(~good) ** len(above) > CHANCE:
+        return np.inf
+    return limit + 0.9 * (above.min() - limit)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> pd.DataFrame:
@@ -224,29 +261,36 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> p
     return found.toPandas()
 
 
-def fitted(docs: DataFrame, labels: DataFrame, max_false: float = MAX_FALSE) -> Forest:
-    """A forest over labelled documents with the threshold that their labels give."""
+def trained(points: np.ndarray, good: np.ndarray, max_false: float = MAX_FALSE) -> Forests:
+    """Forests of every other row, with thresholds from the labels of those between."""
+    forests = fit_forests(points[::2])
+    held = points[1::2]
+    if forests.steps and len(held):
+        scores = forests.scores(held)
+        for k, steps in enumerate(forests.steps):
+            steps.threshold = calibrated(scores[:, k], good[1::2], max_false)
+    return forests
+
+
+def fitted(docs: DataFrame, labels: DataFrame, max_false: float = MAX_FALSE) -> Forests:
+    """Forests over labelled documents with the thresholds that their labels give."""
     sample = labelled(docs, labels)
     sample = sample[~base_failed(sample)]
-    points, good = features(sample), sample["quality"].to_numpy() > 0
-    forest = fit_forest(points, good)
-    if forest.trees:
-        forest.threshold = calibrated(forest.scores(points), good, max_false)
-    return forest
+    return trained(features(sample), sample["quality"].to_numpy() > 0, max_false)
 
 
 def counts_of(text: Column) -> Column:
     return F.pandas_udf(count_frame, COUNT_TYPE)(text)
 
 
-def verdicts(text: Column, forest: Forest) -> Column:
+def verdicts(text: Column, forests: Forests) -> Column:
     """The counts of a text with ``base_failed``, ``score`` and ``kept``."""
 
     def judge(texts: pd.Series) -> pd.DataFrame:
         found = count_frame(texts)
-        score = forest.scores(features(found))
+        score = forests.margin(features(found))
         failed = base_failed(found)
-        return found.assign(base_failed=failed, score=score, kept=~failed & (score <= forest.threshold))
+        return found.assign(base_failed=failed, score=score, kept=~failed & (score <= 1))
 
     kind = COUNT_TYPE[:-1] + ",base_failed:boolean,score:double,kept:boolean>"
     return F.pandas_udf(judge, kind)(text)
@@ -257,18 +301,19 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Lines count with a word only, and equal ones by their exact text. ``kept`` is false where
     the base rules fail (under 20 words, or more than 30 of 100 words in repeated windows)
-    or the forest's score passes its threshold. Null and empty texts have no words and fail.
+    or the score of a forest passes its threshold; ``score`` is the greatest of these as a share
+    of its threshold. Null and empty texts have no words and fail.
     Repeated rows are judged each; an empty table gives no rows; without labels, or with
     labels of one kind only, the base rules alone decide. Labels that disagree count as the
     worse one. At most 8,192 labelled rows, least hash of the id first, come to the driver.
     """
-    forest = fitted(docs, labels)
-    rows = docs.select("doc_id", verdicts(docs["text"], forest).alias("v"))
+    forests = fitted(docs, labels)
+    rows = docs.select("doc_id", verdicts(docs["text"], forests).alias("v"))
     return rows.select("doc_id", "v.*")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that ``judged`` keeps, with their own columns."""
-    forest = fitted(docs.select("doc_id", "text"), labels)
-    marked = docs.withColumn("__verdict", verdicts(docs["text"], forest))
+    forests = fitted(docs.select("doc_id", "text"), labels)
+    marked = docs.withColumn("__verdict", verdicts(docs["text"], forests))
     return marked.where("__verdict.kept").drop("__verdict")

@@ -72,3 +72,39 @@ def test_nothing_and_other_sizes(make_docs):
     assert sum({r.bin: r.capacity for r in got}.values()) == 21
     none = packing.pack(docs, F.lit(None).cast("long")).count()
     assert none == 0
+
+
+def cost(capacities, chosen, sizes):
+    held = packing.filled(sizes, chosen)
+    return sum(packing.price(packing.smallest(capacities, n)) for n in held.values())
+
+
+def test_lengths_chosen_at_each_opening_are_never_dearer_and_mix():
+    rng = random.Random(4)
+    cheaper = 0
+    for trial in range(40):
+        kinds = rng.sample([(900, 1000), (1500, 1900), (300, 340), (20, 60), (2100, 2600), (450, 500)], 3)
+        sizes = sorted((rng.randint(*rng.choice(kinds)) for _ in range(rng.randint(50, 400))), reverse=True)
+        chosen, bins = packing.packed(sizes, packing.CAPACITIES)
+        uniform = min(cost(packing.CAPACITIES, packing.best_fit(sizes, packing.CAPACITIES, c), sizes) for c in packing.CAPACITIES)
+        joint = cost(packing.CAPACITIES, packing.best_fit(sizes, packing.CAPACITIES, None), sizes)
+        assert sum(map(packing.price, bins.values())) == min(joint, uniform)
+        cheaper += joint < uniform
+    assert cheaper >= 10
+
+
+def test_the_length_opened_is_the_least_cost_one_by_hand():
+    sizes = [600, 400, 24]
+    falling = [-s for s in sizes]
+    # 600, 400 and 24 fill 1024 to the last position.
+    assert packing.fill(sizes, falling, 1, 424) == 424
+    assert packing.opening(sizes, falling, 0, packing.CAPACITIES) == 1024
+    assert packing.opening([500], [-500], 0, packing.CAPACITIES) == 512
+
+
+def test_names_follow_the_rows_and_not_their_layout(make_docs, prose):
+    docs = make_docs((1, prose(1, 9000)), (1, prose(1, 9000)), (2, prose(2, 5000)), (None, prose(3, 4096)), (4, prose(4, 30)))
+    one, two = (
+        sorted((str(r.doc_id), r.start, r.bin, r.place) for r in packing.pack(docs.repartition(n)).collect()) for n in (1, 7)
+    )
+    assert one == two and len({(b, p) for _, _, b, p in one}) == len(one)

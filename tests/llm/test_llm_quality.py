@@ -55,9 +55,8 @@ def test_forest_tells_bad_from_good(prose):
     points = quality.features(quality.count_frame(pd.Series([t for _, t in good + bad])))
     label = np.arange(len(points)) < len(good)
     train = np.arange(len(points)) % 2 == 0
-    forest = quality.fit_forest(points[train], label[train])
-    threshold = quality.calibrated(forest.scores(points[train]), label[train])
-    passed = forest.scores(points[~train]) <= threshold
+    forests = quality.trained(points[train], label[train])
+    passed = forests.margin(points[~train]) <= 1
     assert passed[label[~train]].all() and not passed[~label[~train]].any()
 
 
@@ -72,11 +71,40 @@ def test_junk_of_any_rate_is_told_by_its_labels(prose):
         points = quality.features(quality.count_frame(pd.Series(good + junk)))
         label = np.arange(len(points)) < len(good)
         train = np.arange(len(points)) % 2 == 0
-        forest = quality.fit_forest(points[train], label[train])
-        passed = forest.scores(points) <= quality.calibrated(forest.scores(points[train]), label[train])
+        passed = quality.trained(points[train], label[train]).margin(points) <= 1
         assert passed[~train & label].mean() >= 0.99 and not passed[~train & ~label].any()
 
 
+def test_labels_have_no_part_in_the_trees(prose):
+    good, bad = corpus(prose)
+    points = quality.features(quality.count_frame(pd.Series([t for _, t in good + bad])))
+    label = np.arange(len(points)) < len(good)
+    one, two = (quality.trained(points, given) for given in (label, np.random.default_rng(1).permutation(label)))
+    assert (one.middle == two.middle).all()
+    for a, b in zip(one.steps, two.steps, strict=True):
+        assert (a.breaks == b.breaks).all() and (a.scores == b.scores).all()
+    assert [a.threshold for a in one.steps] != [b.threshold for b in two.steps]
+
+
+def test_steps_are_the_forest(prose):
+    rng = np.random.default_rng(3)
+    forest = quality.fit_forest(rng.exponential(size=(200, 1)))
+    points = np.concatenate([rng.exponential(size=500), [0.0, -1.0, 1e9], forest.trees[0].split])
+    assert np.allclose(quality.Steps.of(forest).of_points(points), forest.scores(points[:, None]))
+
+
+def test_held_out_labels_of_the_test_table(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    sample = quality.labelled(docs, labels)
+    sample = sample[~quality.base_failed(sample)]
+    points, good = quality.features(sample), sample["quality"].to_numpy() > 0
+    for part in (0, 1):
+        train = np.arange(len(points)) // 2 % 2 == part
+        passed = quality.trained(points[train], good[train]).margin(points[~train]) <= 1
+        assert passed[good[~train]].mean() >= 0.98 and passed[~good[~train]].mean() <= 0.25
+
+
 def test_path_lengths_of_a_tree():
     tree = quality.grow(np.array([[0.0], [1.0], [10.0]]), np.random.default_rng(0), 8)
     forest = quality.Forest([tree], 3)
