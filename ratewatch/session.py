@@ -54,6 +54,11 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ratewatch/{name}-{uuid.uuid4().hex}"
 
 
+# Shuffle files of a query are removed when it has ended, and not when the driver's JVM
+# happens to collect what refers to them.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -62,7 +67,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = run_folder(spark, name)
-    df.write.parquet(path)
+    with settings(spark, TIDY):
+        df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept.stored_at = path
     return kept
