@@ -7,7 +7,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 import xxhash
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ratewatch.session import stored
 
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|[!?/][^>]*>)""", re.S)
+START = re.compile(r"""<(?:(/?)([a-zA-Z][^\s/>]*)([^<>"']*)(>?)|[!?/])""")
+BODY = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 TOKEN = re.compile(r"[a-z]+")
 
@@ -52,9 +53,12 @@ HINTS = frozenset(
 )
 # Words that a class or id may have beside those and still mark the same.
 NEUTRAL = frozenset(
-    "area bar block bottom box container inner item items left list main outer primary right secondary "
-    "section site top wrap wrapper".split()
+    "area articles bar block body bottom box btn button buttons card container content form group heading icons "
+    "inner item items label left link links list main message news note outer panel post posts primary right row "
+    "secondary section site slot stories story text thread title top unit wrap wrapper zone".split()
 )
+# First words of a class that says what a page has around it, not what the element is.
+ABOUT = frozenset("has no with without".split())
 ARTICLE = frozenset(("article", "main"))
 HEADER_WORDS = frozenset(("header",))
 
@@ -63,11 +67,36 @@ HEADER_WORDS = frozenset(("header",))
 TEMPLATE_SHARE = 0.8
 TEMPLATE_PAGES = 5
 
-# Share of letters in links that makes a block outside an article a list of links.
+# Less than this share of a page's text, and its varying texts alone are no article.
+VARYING_SHARE = 0.05
+
+# Share of letters in links that makes a block outside an article, or a slot, a list of links.
 LINK_SHARE = 0.5
 
-# Layouts that one task aligns.
+# Layouts that one task aligns, and the nodes of a merged tree that are kept, heaviest first.
 FAN_IN = 64
+TEMPLATE_NODES = 16_384
+
+# Children of a node told apart in a layout; the fewer, the larger a layout would be otherwise.
+WIDTHS = (64, 16, 4, 1)
+LAYOUT_NODES = 4_096
+
+# Hosts, and layouts of a host, that a task keeps at hand.
+KNOWN = 256
+
+
+@dataclass(frozen=True)
+class Standing:
+    """What the labels from the root down say of a node.
+
+    ``out`` tells whether it is no part of the article: by all marks, by those that an article
+    around it does not overrule, and by tags and roles alone. ``hinted`` says that a class in
+    the article, or one of a page without article, has a word of the list among others.
+    """
+
+    article: bool = False
+    out: tuple[bool, bool, bool] = (False, False, False)
+    hinted: bool = False
 
 
 @dataclass
@@ -75,8 +104,8 @@ class Node:
     """An element that is no inline one; its label is its tag with class, id and role words."""
 
     label: str
+    standing: Standing
     children: list[Node] = field(default_factory=list)
-    number: int = -1
 
 
 @dataclass
@@ -100,18 +129,87 @@ def label_of(tag: str, attributes: str) -> str:
     return tag + "".join(sorted(set(found)))
 
 
+def marks(name: str, words: frozenset[str]) -> bool:
+    """Whether a whole class or id says one of the words, and nothing but neutral words beside."""
+    parts = set(name.split("-"))
+    return bool(parts & words) and parts <= words | NEUTRAL
+
+
+def hints(name: str) -> bool:
+    """Whether a class or id has a word of the list at all."""
+    parts = name.split("-")
+    return parts[0] not in ABOUT and not HINTS.isdisjoint(parts)
+
+
+def below(above: Standing, label: str) -> Standing:
+    """The standing of a node with this label under one of the given standing."""
+    tag = re.match(r"[^.@]*", label)[0]
+    names = re.findall(r"\.([a-z-]+)", label)
+    roles = set(re.findall(r"@([a-z]+)", label))
+    if tag in BOILERPLATE or roles & ROLES or tag == "header" and not above.article:
+        return replace(above, out=(True, True, True))
+    if tag in ARTICLE or roles & ARTICLE:
+        return Standing(True, above.out, above.article and above.hinted)
+    if tag in ("html", "body"):
+        return above
+    every, inner, bare = above.out
+    if any(marks(n, HINTS) or not above.article and marks(n, HEADER_WORDS) for n in names):
+        every, inner = True, inner or above.article
+    return Standing(above.article, (every, inner, bare), above.hinted or any(map(hints, names)))
+
+
+def tokens(text: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, tag, attributes) of all tags, comments and declarations of a page.
+
+    The tag is empty for the latter two. Where quotes leave a tag without an end, it and all
+    later ones of the page end at the next ``>``; what has none behind it is text. Every
+    character is looked at a fixed number of times.
+    """
+    at, quoted = 0, True
+    while match := START.search(text, at):
+        start = match.start()
+        slash, tag, attributes, closed = match.groups()
+        if closed:
+            at = match.end()
+            yield start, at, slash, tag.lower(), attributes
+            continue
+        if text.startswith("<!--", start):
+            end = text.find("-->", start + 4)
+            at = len(text) if end < 0 else end + 3
+            yield start, at, "", "", ""
+            continue
+        stop = text.find(">", match.end())
+        if stop < 0:
+            return
+        if tag and quoted:
+            end = BODY.match(text, match.end()).end()
+            quoted = end < len(text) and text[end] == ">"
+            stop = end if quoted else stop
+        at = stop + 1
+        yield start, at, slash or "", (tag or "").lower(), text[match.end(2) : stop] if tag else ""
+
+
 def parsed(html: str | None) -> tuple[Node, list[Block]]:
     """The tree of a page and its texts in order, with character references decoded.
 
     Elements that HTML closes by itself are closed; a closing tag that fits no open element is
-    left out; what is open at the end is closed there.
+    left out; what is open at the end is closed there. A link left open ends with the element
+    that it began in.
     """
     text = html or ""
-    root = Node("")
+    root = Node("", Standing())
     stack: list[tuple[str, Node]] = [("", root)]
+    open_tags: Counter[str] = Counter()
     blocks: list[Block] = []
     pieces: list[str] = []
-    links = linked = 0
+    standings: dict[tuple[int, str], Standing] = {}
+    linked = link = at = 0
+
+    def add(piece: str) -> None:
+        nonlocal linked
+        pieces.append(piece)
+        if link:
+            linked += len(piece)
 
     def flush() -> None:
         nonlocal linked
@@ -123,34 +221,33 @@ def parsed(html: str | None) -> tuple[Node, list[Block]]:
         linked = 0
 
     def close(until: int) -> None:
+        nonlocal link
         flush()
+        for tag, _ in stack[until:]:
+            open_tags[tag] -= 1
         del stack[until:]
+        if until < link:
+            link = 0
 
-    at = 0
-    while True:
-        match = TAG.search(text, at)
-        piece = text[at : match.start()] if match else text[at:]
-        if piece:
-            pieces.append(piece)
-            if links:
-                linked += len(piece)
-        if not match:
-            break
-        at = match.end()
-        tag = (match[2] or "").lower()
+    for start, end, slash, tag, attributes in tokens(text):
+        if start < at:
+            # Inside a script, a style or the like.
+            continue
+        if start > at:
+            add(text[at:start])
+        at = end
         if not tag:
             continue
         if tag in INLINE:
             if tag == "a":
-                links = 0 if match[1] else 1
+                link = 0 if slash else len(stack)
             continue
         if tag in ("br", "wbr"):
             pieces.append(" " if tag == "br" else "")
             continue
-        if match[1]:
-            place = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if place:
-                close(place)
+        if slash:
+            if open_tags[tag] > 0:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
             elif tag == "p":
                 flush()
             continue
@@ -158,215 +255,307 @@ def parsed(html: str | None) -> tuple[Node, list[Block]]:
         ended = CLOSED_BY.get(tag)
         if ended and stack[-1][0] in ended or tag in ENDS_P and stack[-1][0] == "p":
             close(len(stack) - 1)
-        node = Node(label_of(tag, match[3]))
-        stack[-1][1].children.append(node)
+        label, above = label_of(tag, attributes), stack[-1][1]
+        # Nodes share their standings, which live as long as the page.
+        key = (id(above.standing), label)
+        if key not in standings:
+            standings[key] = below(above.standing, label)
+        node = Node(label, standings[key])
+        above.children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(text, at)
-            stop = end.start() if end else len(text)
+            ending = re.compile(rf"</{tag}\s*>", re.I).search(text, at)
+            stop = ending.start() if ending else len(text)
             if tag in ("title", "textarea") and (body := " ".join(entities.unescape(text[at:stop]).split())):
                 blocks.append(Block(node, body, 0))
-            at = end.end() if end else len(text)
-        elif tag not in VOID and not match[3].endswith("/"):
+            at = ending.end() if ending else len(text)
+        elif tag not in VOID and not attributes.endswith("/"):
             stack.append((tag, node))
+            open_tags[tag] += 1
+    if at < len(text):
+        add(text[at:])
     flush()
     return root, blocks
 
 
-def folded(root: Node, blocks: list[Block]) -> tuple[list, dict[int, tuple[int, ...]]]:
-    """The layout of a page and the place of every node in it.
-
-    Neighbours with the same label are one repeated node with the children of all. A layout
-    is [label, [child layouts]]; a place is the numbers of children from the root.
+class Tree:
+    """Labelled nodes in the order of a page, each with its parent's number and a weight."""
+
+    def __init__(self) -> None:
+        self.labels: list[str] = []
+        self.parents: list[int] = []
+        self.weights: list[int] = []
+        self.children: list[list[int]] = []
+
+    def add(self, label: str, parent: int, weight: int = 1) -> int:
+        number = len(self.labels)
+        self.labels.append(label)
+        self.parents.append(parent)
+        self.weights.append(weight)
+        self.children.append([])
+        if parent >= 0:
+            self.children[parent].append(number)
+        return number
+
+    def text(self) -> str:
+        return json.dumps([self.labels, self.parents, self.weights])
+
+    @classmethod
+    def of(cls, text: str, weight: int | None = None) -> Tree:
+        tree = cls()
+        for label, parent, n in zip(*json.loads(text), strict=True):
+            tree.add(label, parent, n if weight is None else weight)
+        return tree
+
+    def pruned(self, most: int) -> Tree:
+        """The heaviest nodes. No node is heavier than its parent, so these are a tree, too."""
+        if len(self.labels) <= most:
+            return self
+        order = sorted(range(len(self.labels)), key=lambda k: (-self.weights[k], k))[:most]
+        tree, named = Tree(), {-1: -1}
+        for k in sorted(order):
+            named[k] = tree.add(self.labels[k], named[self.parents[k]], self.weights[k])
+        return tree
+
+
+def grouped(nodes: list[Node], width: int) -> list[tuple[str, list[Node]]]:
+    """Nodes of one parent as up to ``width`` labelled groups.
+
+    Neighbours with the same label are a group. Where that gives too many, all with the same
+    label are one, else all with the same tag, else all nodes.
     """
-    places: dict[int, tuple[int, ...]] = {}
-
-    def fold(nodes: list[Node], place: tuple[int, ...]) -> list:
-        for node in nodes:
-            places[id(node)] = place
-        groups: list[list[Node]] = []
-        for node in nodes:
-            for child in node.children:
-                if groups and groups[-1][0].label == child.label:
-                    groups[-1].append(child)
-                else:
-                    groups.append([child])
-        return [nodes[0].label, [fold(g, (*place, k)) for k, g in enumerate(groups)]]
-
-    return fold([root], ()), places
+    groups: list[tuple[str, list[Node]]] = []
+    for node in nodes:
+        if groups and groups[-1][0] == node.label:
+            groups[-1][1].append(node)
+        else:
+            groups.append((node.label, [node]))
+    for name in (lambda x: x, lambda x: re.match(r"[^.@]*", x)[0], lambda x: "*"):
+        if len(groups) <= width:
+            break
+        whole: dict[str, list[Node]] = {}
+        for label, members in groups:
+            whole.setdefault(name(label), []).extend(members)
+        groups = list(whole.items())
+    return groups
 
 
-def matched(a: list, b: list, memo: dict | None = None) -> tuple[int, list[tuple[int, int]]]:
-    """Simple tree matching: the most nodes of two trees that match in order, and how.
+def folded(root: Node) -> tuple[Tree, dict[int, int]]:
+    """The layout of a page and, by the identity of its nodes, their numbers in it.
 
-    Roots must have the same label. Children are matched by dynamic programming; the pairs
-    are those of the roots' children.
+    Repeated nodes are one with the children of all. Pages with more than ``LAYOUT_NODES``
+    unlike nodes get a coarser layout, so that matching stays cheap.
     """
-    memo = {} if memo is None else memo
-    key = (id(a), id(b))
-    if key in memo:
-        return memo[key]
-    if a[0] != b[0]:
-        memo[key] = (0, [])
-        return memo[key]
-    left, right = a[1], b[1]
-    m, n = len(left), len(right)
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    gain = [[0] * n for _ in range(m)]
-    for i in range(m):
-        for j in range(n):
-            if left[i][0] == right[j][0]:
-                gain[i][j] = matched(left[i], right[j], memo)[0]
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + gain[i][j])
-    pairs = []
-    i, j = m, n
-    while i and j:
-        if gain[i - 1][j - 1] and best[i][j] == best[i - 1][j - 1] + gain[i - 1][j - 1]:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    memo[key] = (1 + best[m][n], pairs[::-1])
-    return memo[key]
-
-
-def merged(template: list, layout: list, memo: dict | None = None) -> list:
-    """A template with the nodes of a layout that it does not have put between its own."""
-    memo = {} if memo is None else memo
-    _, pairs = matched(template, layout, memo)
-    children, done, taken = [], 0, 0
-    for i, j in pairs:
-        children += template[1][done:i] + layout[1][taken:j]
-        children.append(merged(template[1][i], layout[1][j], memo))
-        done, taken = i + 1, j + 1
-    return [template[0], children + template[1][done:] + layout[1][taken:]]
-
-
-def aligned(template: list, layout: list) -> dict[tuple[int, ...], tuple[int, ...]]:
-    """The place in the template of every place of a layout that matches."""
-    memo: dict = {}
-    found: dict[tuple[int, ...], tuple[int, ...]] = {}
-
-    def walk(a: list, b: list, there: tuple[int, ...], here: tuple[int, ...]) -> None:
-        found[here] = there
-        for i, j in matched(a, b, memo)[1]:
-            walk(a[1][i], b[1][j], (*there, i), (*here, j))
-
-    if template[0] == layout[0]:
-        walk(template, layout, (), ())
-    return found
+    for width in WIDTHS:
+        tree = Tree()
+        places: dict[int, int] = {}
+        waiting = [(root.label, [root], -1)]
+        while waiting and (len(tree.labels) <= LAYOUT_NODES or width == WIDTHS[-1]):
+            label, nodes, parent = waiting.pop()
+            number = tree.add(label, parent)
+            for node in nodes:
+                places[id(node)] = number
+            groups = grouped([c for node in nodes for c in node.children], width)
+            waiting += [(name, members, number) for name, members in reversed(groups)]
+        if not waiting:
+            break
+    return tree, places
 
 
-def is_article(label: str) -> bool:
-    return bool(re.match(r"(article|main)(?![a-z])", label) or re.search(r"@(article|main)(?![a-z])", label))
+class Matching:
+    """Simple tree matching: the most nodes of two trees that match in order, and which.
 
+    Roots must have the same label. Children are matched by dynamic programming; equal
+    subtrees at either end of two lists of children always match in a best way, so these
+    are left out of it.
+    """
 
-def marks(name: str, words: frozenset[str]) -> bool:
-    """Whether a whole class or id says one of the words, and nothing but neutral words beside."""
-    parts = set(name.split("-"))
-    return bool(parts & words) and parts <= words | NEUTRAL
+    def __init__(self, a: Tree, b: Tree):
+        self.a, self.b = a, b
+        names: dict[tuple, int] = {}
+        self.same = [self._names(t, names) for t in (a, b)]
+        self.sizes = [1] * len(a.labels)
+        for k in range(len(a.labels) - 1, 0, -1):
+            self.sizes[a.parents[k]] += self.sizes[k]
+        self.gains: dict[tuple[int, int], int] = {}
+        if a.labels[0] == b.labels[0]:
+            self._weigh()
+
+    @staticmethod
+    def _names(tree: Tree, names: dict[tuple, int]) -> list[int]:
+        found = [0] * len(tree.labels)
+        for k in range(len(tree.labels) - 1, -1, -1):
+            key = (tree.labels[k], *(found[c] for c in tree.children[k]))
+            found[k] = names.setdefault(key, len(names))
+        return found
 
+    def _ends(self, i: int, j: int) -> tuple[list[int], list[int], int, int]:
+        left, right = self.a.children[i], self.b.children[j]
+        same = [self.same[0][x] for x in left], [self.same[1][y] for y in right]
+        least = min(len(left), len(right))
+        head = next((k for k in range(least) if same[0][k] != same[1][k]), least)
+        tail = next((k for k in range(least - head) if same[0][-1 - k] != same[1][-1 - k]), least - head)
+        return left, right, head, tail
+
+    def _table(self, left: list[int], right: list[int]) -> list[list[int]]:
+        best = [[0] * (len(right) + 1)]
+        for x in left:
+            row = [0]
+            for j, y in enumerate(right):
+                row.append(max(best[-1][j + 1], row[-1], best[-1][j] + self.gains.get((x, y), 0)))
+            best.append(row)
+        return best
+
+    def _weigh(self) -> None:
+        order = [(0, 0)]
+        for i, j in order:
+            if self.same[0][i] != self.same[1][j]:
+                left, right, head, tail = self._ends(i, j)
+                by_label: dict[str, list[int]] = {}
+                for y in right[head : len(right) - tail]:
+                    by_label.setdefault(self.b.labels[y], []).append(y)
+                for x in left[head : len(left) - tail]:
+                    order += [(x, y) for y in by_label.get(self.a.labels[x], ())]
+        for i, j in reversed(order):
+            if self.same[0][i] == self.same[1][j]:
+                self.gains[i, j] = self.sizes[i]
+                continue
+            left, right, head, tail = self._ends(i, j)
+            ends = sum(self.sizes[x] for x in left[:head] + left[len(left) - tail :])
+            middle = self._table(left[head : len(left) - tail], right[head : len(right) - tail])
+            self.gains[i, j] = 1 + ends + middle[-1][-1]
+
+    @property
+    def size(self) -> int:
+        return self.gains.get((0, 0), 0)
+
+    def pairs(self, i: int, j: int) -> list[tuple[int, int]]:
+        """The matching children of two nodes that match."""
+        left, right, head, tail = self._ends(i, j)
+        ends = list(zip(left[:head], right[:head], strict=True))
+        tails = list(zip(left[len(left) - tail :], right[len(right) - tail :], strict=True))
+        left, right = left[head : len(left) - tail], right[head : len(right) - tail]
+        best, found = self._table(left, right), []
+        m, n = len(left), len(right)
+        while m and n:
+            gain = self.gains.get((left[m - 1], right[n - 1]), 0)
+            if gain and best[m][n] == best[m - 1][n - 1] + gain:
+                m, n = m - 1, n - 1
+                found.append((left[m], right[n]))
+            elif best[m][n] == best[m - 1][n]:
+                m -= 1
+            else:
+                n -= 1
+        return ends + found[::-1] + tails
 
-def excluded(labels: list[str], level: int = 0) -> bool:
-    """Whether a node is no part of the article, by the labels from the root down to it.
 
-    At level 1 an article overrules the classes around it, at level 2 no class counts.
-    """
-    in_article = False
-    first = next((k for k, label in enumerate(labels) if is_article(label)), 0) if level == 1 else 0
-    for k, label in enumerate(labels):
-        tag = re.match(r"[^.@]*", label)[0]
-        names = re.findall(r"\.([a-z-]+)", label)
-        roles = set(re.findall(r"@([a-z]+)", label))
-        if tag in BOILERPLATE or roles & ROLES:
-            return True
-        if tag in ("html", "body", *ARTICLE) or roles & ARTICLE:
-            in_article = in_article or tag in ARTICLE or bool(roles & ARTICLE)
-            continue
-        if not in_article and tag == "header":
-            return True
-        if level == 2 or k < first:
-            continue
-        if any(marks(n, HINTS) or not in_article and marks(n, HEADER_WORDS) for n in names):
-            return True
-    return False
+def merged(template: Tree, layout: Tree) -> Tree:
+    """A template with the nodes of a layout that it does not have put between its own."""
+    matching = Matching(template, layout)
+    tree = Tree()
+    waiting = [(0, 0 if matching.size else -1, -1)]
+    while waiting:
+        i, j, parent = waiting.pop()
+        weight = (template.weights[i] if i >= 0 else 0) + (layout.weights[j] if j >= 0 else 0)
+        number = tree.add(template.labels[i] if i >= 0 else layout.labels[j], parent, weight)
+        left = template.children[i] if i >= 0 else []
+        right = layout.children[j] if j >= 0 else []
+        pairs = matching.pairs(i, j) if i >= 0 and j >= 0 else []
+        spot_a = {x: k for k, x in enumerate(left)}
+        spot_b = {y: k for k, y in enumerate(right)}
+        children: list[tuple[int, int]] = []
+        done = taken = 0
+        for x, y in pairs:
+            children += [(k, -1) for k in left[done : spot_a[x]]] + [(-1, k) for k in right[taken : spot_b[y]]]
+            children.append((x, y))
+            done, taken = spot_a[x] + 1, spot_b[y] + 1
+        children += [(k, -1) for k in left[done:]] + [(-1, k) for k in right[taken:]]
+        waiting += [(x, y, number) for x, y in reversed(children)]
+    return tree
+
+
+def aligned(template: Tree, layout: Tree) -> dict[int, int]:
+    """The number in the template of every node of a layout that matches."""
+    matching = Matching(template, layout)
+    found: dict[int, int] = {}
+    waiting = [(0, 0)] if matching.size else []
+    while waiting:
+        i, j = waiting.pop()
+        found[j] = i
+        waiting += matching.pairs(i, j)
+    return found
 
 
 def text_hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 class Page:
-    """A page with its layout and, for every text, the labels above it and its place."""
+    """A page with its layout, its texts and their places in it."""
 
     def __init__(self, html: str | None):
         root, self.blocks = parsed(html)
-        self.layout, places = folded(root, self.blocks)
+        self.layout, places = folded(root)
         self.places = [places[id(b.node)] for b in self.blocks]
 
-    def labels(self, place: tuple[int, ...]) -> list[str]:
-        at, found = self.layout, []
-        for k in place:
-            at = at[1][k]
-            found.append(at[0])
-        return found
-
-
-def place_text(place: tuple[int, ...]) -> str:
-    return ".".join(map(str, place))
-
 
 class Aligner:
     """Places of pages in one template; a layout met before is not matched again."""
 
-    def __init__(self, template: str | None):
-        self.template = json.loads(template) if template else None
-        self.known: dict[str, dict] = {}
+    def __init__(self, template: str):
+        self.template = Tree.of(template)
+        self.known: dict[str, dict[int, int]] = {}
 
-    def places(self, page: Page) -> list[str | None]:
-        if self.template is None:
-            return [None] * len(page.blocks)
-        name = json.dumps(page.layout)
+    def places(self, page: Page) -> list[int | None]:
+        name = page.layout.text()
         if name not in self.known:
+            if len(self.known) >= KNOWN:
+                self.known.clear()
             self.known[name] = aligned(self.template, page.layout)
-        found = self.known[name]
-        return [place_text(found[p]) if p in found else None for p in page.places]
+        return [self.known[name].get(p) for p in page.places]
 
 
-def main_text(page: Page, places: list[str | None], constant: set[tuple[str, int]]) -> str:
+def main_text(page: Page, places: list[int | None], fixed: set[tuple[int, int]], lists: set[int]) -> str:
     """The texts of the article in order.
 
-    Boilerplate by its labels goes first. Where the page has an article, only what stands in
-    one counts, else blocks that are not mostly links. Of what is left, texts of the template
-    go, unless they are more than half of all: then the host's pages are too alike to tell.
+    ``fixed`` holds (place, hash) of texts that a host's pages share, ``lists`` the places that
+    are lists of links on them. Where a page has an article, it is what stands in
+    one, less what is marked; of that, shared texts and lists of links go where a class hints
+    at it, for an article's own sentence may be on every page. Elsewhere the induced template
+    decides: shared texts and lists of links go, what varies stays unless it is marked. Where
+    the texts that stay are less than a twentieth, the host's pages are too alike to tell.
 
     Articles under marked classes count where they hold more text than all that is not under
     any, and classes do not count where they would leave nothing of a page whose texts vary.
     """
-    rows = [
-        (block, page.labels(place), (where, text_hash(block.text)) in constant)
-        for block, place, where in zip(page.blocks, page.places, places, strict=True)
-    ]
-
-    def left(level: int) -> list[tuple[Block, bool, bool]]:
-        kept = [(b, any(map(is_article, labels)), c) for b, labels, c in rows if not excluded(labels, level)]
-        if level == 1 or any(inside for _, inside, _ in kept):
-            return [k for k in kept if k[1]]
-        return [k for k in kept if k[0].linked <= LINK_SHARE * len(k[0].text)]
-
-    def size(kept: list[tuple[Block, bool, bool]]) -> int:
-        return sum(len(b.text) for b, _, _ in kept)
+    rows = []
+    for block, place in zip(page.blocks, places, strict=True):
+        links = block.linked > LINK_SHARE * len(block.text)
+        shared = (place, text_hash(block.text)) in fixed
+        rows.append((block, block.node.standing, shared, links or place in lists))
+    Row = tuple[Block, Standing, bool, bool]
+
+    def left(level: int) -> list[Row]:
+        kept = [r for r in rows if not r[1].out[level]]
+        if level == 1 or any(r[1].article for r in kept):
+            return [r for r in kept if r[1].article]
+        return [r for r in kept if r[0].linked <= LINK_SHARE * len(r[0].text)]
+
+    def size(kept: list[Row]) -> int:
+        return sum(len(r[0].text) for r in kept)
+
+    def template(row: Row) -> bool:
+        _, standing, shared, links = row
+        return (shared or links) and (standing.hinted or not standing.article)
 
     kept = left(0)
-    if not any(inside for _, inside, _ in kept) and size(wider := left(1)) > size(kept):
+    if not any(r[1].article for r in kept) and size(wider := left(1)) > size(kept):
         kept = wider
     if not kept:
-        kept = [k for k in left(2) if not k[2]]
-    varying = [k for k in kept if not k[2]]
-    if 2 * size(varying) >= size(kept):
+        kept = [r for r in left(2) if not r[2]]
+    varying = [r for r in kept if not template(r)]
+    if size(varying) >= VARYING_SHARE * size(kept):
         kept = varying
-    return " ".join(b.text for b, _, _ in kept)
+    return " ".join(r[0].text for r in kept)
 
 
 def host_of(url: str | Column) -> Column:
@@ -384,7 +573,7 @@ def layouts(pages: DataFrame) -> DataFrame:
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            pairs = zip(batch["host"], (json.dumps(Page(h).layout) for h in batch["html"]), strict=True)
+            pairs = zip(batch["host"], (Page(h).layout.text() for h in batch["html"]), strict=True)
             yield _counted(Counter(pairs), ["host", "layout", "n"])
 
     found = pages.select("host", "html").mapInPandas(find, "host string, layout string, n long")
@@ -395,87 +584,112 @@ def templates(pages: DataFrame) -> DataFrame:
     """(host, template): one tree that all layouts of a host align with.
 
     Layouts are merged some dozens at a time, most frequent first, in as many rounds as the
-    host with most layouts needs.
+    host with most layouts needs. A node weighs the pages that have it; of a tree that grows
+    beyond ``TEMPLATE_NODES`` the heaviest nodes are kept, since no text of the others can be
+    on most pages.
     """
     found = stored(layouts(pages), "layouts")
     most = found.groupBy("host").count().agg(F.max("count")).first()[0] or 0
 
     def merge(batch: pd.DataFrame) -> pd.DataFrame:
         ordered = batch.sort_values(["n", "layout"], ascending=[False, True])
-        trees = [json.loads(x) for x in ordered["layout"]]
-        template = trees[0]
-        for tree in trees[1:]:
-            template = merged(template, tree)
-        whole = {"host": ordered["host"].iloc[0], "layout": json.dumps(template), "n": int(ordered["n"].sum())}
-        return pd.DataFrame([whole])
-
+        template = None
+        for text, n, whole in zip(ordered["layout"], ordered["n"], ordered["merged"], strict=True):
+            tree = Tree.of(text, None if whole else int(n))
+            template = merged(template, tree).pruned(TEMPLATE_NODES) if template else tree
+        row = {"host": ordered["host"].iloc[0], "layout": template.text(), "n": int(ordered["n"].sum())}
+        return pd.DataFrame([row | {"merged": True}])
+
+    kind = "host string, layout string, n long, merged boolean"
+    found = found.withColumn("merged", F.lit(False))
     while most > 1:
         most = -(-most // FAN_IN)
         group = F.pmod(F.xxhash64("layout"), F.lit(most)).alias("group")
-        found = found.groupBy("host", group).applyInPandas(merge, "host string, layout string, n long")
+        found = found.groupBy("host", group).applyInPandas(merge, kind)
         found = stored(found, "layouts")
     return found.select("host", F.col("layout").alias("template"))
 
 
 def constants(pages: DataFrame, found: DataFrame) -> DataFrame:
-    """(host, constant): for every host the (place, hash) of texts that its template holds.
+    """(host, shared, lists): (place, hash) of texts of a host's template, places of lists of links.
 
-    Counts are over all pages of a host, by partial sums; a text counts once a page. Since a
-    text is kept only where most pages have it, a host's list is no longer than a page or two.
+    Counts are
+    over all pages of a host, by partial sums; a text counts once a page. Since a text is kept
+    only where most pages have it, a host's list is no longer than a page or two and its tree.
     """
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, Aligner] = {}
         for batch in batches:
-            rows: Counter[tuple] = Counter()
+            rows: dict[tuple, list[int]] = {}
             for host, html, template in zip(batch["host"], batch["html"], batch["template"], strict=True):
                 if host not in known:
+                    if len(known) >= KNOWN:
+                        known.clear()
                     known[host] = Aligner(template)
                 page = Page(html)
-                texts = zip(known[host].places(page), page.blocks, strict=True)
-                met = {(host, p, text_hash(b.text)) for p, b in texts if p is not None}
-                rows.update(met)
-                rows[host, None, 0] += 1
-            yield _counted(rows, ["host", "place", "hash", "size"])
+                met: dict[tuple, tuple[int, int]] = {(host, None, None): (0, 0)}
+                for place, block in zip(known[host].places(page), page.blocks, strict=True):
+                    if place is not None:
+                        size, linked = met.get((host, place, None), (0, 0))
+                        met[host, place, None] = size + len(block.text), linked + min(block.linked, len(block.text))
+                        met[host, place, text_hash(block.text)] = (0, 0)
+                for key, (size, linked) in met.items():
+                    row = rows.setdefault(key, [0, 0, 0])
+                    row[0] += 1
+                    row[1] += size
+                    row[2] += linked
+            columns = ["host", "place", "hash", "pages", "size", "linked"]
+            yield pd.DataFrame([(*key, *row) for key, row in rows.items()], columns=columns, dtype=object)
 
     joined = pages.select("host", "html").join(found, "host")
-    kind = "host string, place string, hash long, size long"
-    counts = joined.mapInPandas(find, kind).groupBy("host", "place", "hash").agg(F.sum("size").alias("n"))
-    counts = stored(counts.where((F.col("n") >= TEMPLATE_PAGES) | F.col("place").isNull()), "texts")
-    total = counts.where("place is null").select("host", F.col("n").alias("pages"))
-    fixed = counts.where("place is not null").join(total, "host").where(F.col("n") >= TEMPLATE_SHARE * F.col("pages"))
-    return fixed.groupBy("host").agg(F.collect_list(F.struct("place", "hash")).alias("constant"))
+    kind = "host string, place long, hash long, pages long, size long, linked long"
+    sums = [F.sum(c).alias(c) for c in ("pages", "size", "linked")]
+    counts = joined.mapInPandas(find, kind).groupBy("host", "place", "hash").agg(*sums)
+    counts = stored(counts.where((F.col("pages") >= TEMPLATE_PAGES) | F.col("place").isNull()), "texts")
+    total = counts.where("place is null").select("host", F.col("pages").alias("all"))
+    links = F.col("hash").isNull() & (F.col("linked") > LINK_SHARE * F.col("size"))
+    shared = F.col("hash").isNotNull() & (F.col("pages") >= TEMPLATE_SHARE * F.col("all"))
+    fixed = counts.where("place is not null").join(total, "host")
+    return fixed.groupBy("host").agg(
+        F.collect_list(F.when(shared, F.struct("place", "hash"))).alias("shared"),
+        F.collect_list(F.when(links, F.col("place"))).alias("lists"),
+    )
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars): the main text of every page.
 
     Pages of a host are aligned with the host's template, a tree merged from all its layouts
-    by simple tree matching. Texts that stay the same at a node of it belong to the template,
-    the others are content unless what holds them is marked as menu, header, footer, sidebar,
-    notice, advert, form, script, style or reader comments. White space in a block becomes one
-    space, and blocks are joined by one. Null and empty pages give an empty text; a page whose
-    host has no other is judged by its marks alone, and pages without an address share a host.
-    Repeated rows give one row each; an empty table gives none.
+    by simple tree matching. Texts that stay the same at a node of it, and nodes that are lists
+    of links, belong to the template; the others are content unless what holds them is marked
+    as menu, header, footer, sidebar, notice, advert, form, script, style or reader comments
+    (``main_text``). White space in a block becomes one space, and blocks are joined by one.
+
+    Null and empty pages give an empty text; a page whose host has fewer than five is judged
+    by its marks alone, and pages without an address share a host. Nothing recurses and every
+    page is scanned once, so depth, unclosed tags and many unlike children do no harm. Repeated
+    rows give one row each; an empty table gives none.
     """
     rows = pages.select("page_id", "url", "html", host_of("url").alias("host"))
     found = templates(rows)
     fixed = constants(rows, found)
-    wrappers = stored(found.join(fixed, "host", "left"), "wrappers")
+    fixed = found.join(fixed, "host", "left")
+    wrappers = stored(fixed.withColumns({c: F.coalesce(c, F.array()) for c in ("shared", "lists")}), "wrappers")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, tuple[Aligner, set]] = {}
+        known: dict[str, tuple[Aligner, set, set]] = {}
         for batch in batches:
             texts = []
-            for host, html, template, constant in zip(
-                batch["host"], batch["html"], batch["template"], batch["constant"], strict=True
-            ):
+            columns = (batch[c] for c in ("host", "html", "template", "shared", "lists"))
+            for host, html, template, shared, lists in zip(*columns, strict=True):
                 if host not in known:
-                    names = set() if constant is None else {(c["place"], c["hash"]) for c in constant}
-                    known[host] = Aligner(template), names
-                aligner, names = known[host]
+                    if len(known) >= KNOWN:
+                        known.clear()
+                    known[host] = Aligner(template), {(c["place"], c["hash"]) for c in shared}, set(lists)
+                aligner, fixed, slots = known[host]
                 page = Page(html)
-                texts.append(main_text(page, aligner.places(page), names))
+                texts.append(main_text(page, aligner.places(page), fixed, slots))
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"].astype(object), "text": texts})
 
     joined = rows.join(wrappers, "host")

@@ -1,4 +1,6 @@
 import html as entities
+import random
+import time
 
 from ratewatch.llm import wrapper
 
@@ -35,10 +37,8 @@ def test_pages_of_a_host_and_of_others(spark):
     rows = [(n, f"http://A.example:80/{n}", page(n)) for n in range(20)]
     rows += [(100, "https://user@b.example/x", page(100)), (101, None, page(101)), (102, "no address", page(102))]
     got = texts(spark, rows)
-    # "two" and the fixed paragraph stand on every page of the host.
-    assert got == {n: wanted(n).removesuffix(" two") for n in range(20)} | {
-        n: wanted(n, constant=True) for n in (100, 101, 102)
-    }
+    # "two" and the fixed paragraph stand on every page of the host, and belong to the article.
+    assert got == {n: wanted(n, constant=True) for n in (*range(20), 100, 101, 102)}
 
 
 def test_without_article(spark):
@@ -101,16 +101,114 @@ def test_matching_is_that_of_all_ways():
 
         return 1 + ways(0, 0)
 
+    def tree(nested):
+        made = wrapper.Tree()
+        waiting = [(nested, -1)]
+        while waiting:
+            (label, children), parent = waiting.pop()
+            number = made.add(label, parent)
+            waiting += [(c, number) for c in reversed(children)]
+        return made
+
+    def some(rng, depth):
+        children = [some(rng, depth - 1) for _ in range(rng.randrange(4))] if depth else []
+        return [rng.choice("ab"), children]
+
     one = ["r", [["a", []], ["b", [["c", []], ["d", []]]], ["a", []], ["e", []]]]
     two = ["r", [["b", [["d", []]]], ["a", []], ["f", []], ["e", [["x", []]]]]]
-    assert wrapper.matched(one, two)[0] == best(one, two) == 5
-    both = wrapper.merged(one, two)
-    for layout in (one, two):
-        size = len(wrapper.aligned(both, layout))
-        assert size == str(layout).count("'")/2
+    assert best(one, two) == 5
+    rng = random.Random(3)
+    for one, two in [(one, two)] + [(["r", [some(rng, 2)]], ["r", [some(rng, 2)]]) for _ in range(150)]:
+        a, b = tree(one), tree(two)
+        assert wrapper.Matching(a, b).size == best(one, two)
+        both = wrapper.merged(a, b)
+        assert len(both.labels) == len(a.labels) + len(b.labels) - best(one, two)
+        assert len(wrapper.aligned(both, a)) == len(a.labels) and len(wrapper.aligned(both, b)) == len(b.labels)
+        assert wrapper.Tree.of(both.text()).children == both.children
+        light = both.pruned(3)
+        assert len(light.labels) == min(3, len(both.labels)) and light.labels[0] == "r"
     assert entities.unescape("&amp") == "&"
 
 
+def site(host, pages):
+    """Pages of a host that has elements without meaning and classes without known words only."""
+    rng = random.Random(host)
+    names = ["".join(rng.choices("bcdfghjklmpqrtvwxz", k=6)) for _ in range(9)]
+    box = rng.choice(("div", "section"))
+
+    def block(name, text):
+        return f"<{box} class='{name}'>{text}</{box}>"
+
+    made = []
+    for n in range(pages):
+        word = f"{host}x{n}"
+        title, paragraphs = f"Title of {word}", [f"Paragraph {k} of {word} says this" for k in range(rng.randrange(1, 6))]
+        links = "".join(f"<div><a href=/{rng.random()}>Read story {rng.randrange(10**6)} too</a></div>" for _ in range(3))
+        parts = [
+            block(names[0], "<div>The paper of the town</div><div>Since 1871, every day</div>"),
+            block(names[1], "".join(f"<div>Part {k}</div>" for k in range(6))),
+            block(names[2], "We keep small files on your machine to know you again"),
+            block(names[3], title),
+            block(names[4], "".join(f"<p>{p}</p>" for p in paragraphs)),
+            block(names[5], links),
+            block(names[6], "Write to us at the house by the river if something is wrong"),
+        ]
+        if rng.random() < 0.5:
+            parts.insert(rng.randrange(3), block(names[7], ""))
+        made.append((f"<html><body>{''.join(parts)}</body></html>", " ".join([title, *paragraphs])))
+    return made
+
+
+def test_the_template_decides_where_tags_and_classes_say_nothing(spark):
+    rows, want, n = [], {}, 0
+    for host in range(6):
+        for html, text in site(host, 12):
+            rows.append((n, f"http://h{host}/{n}", html))
+            want[n] = text
+            n += 1
+    assert texts(spark, rows) == want
+    # Each page as the only one of its host keeps what only the other pages can tell.
+    alone = texts(spark, [(n, f"http://h{n}/", html) for n, _, html in rows])
+    assert all("Since 1871" in alone[n] and alone[n] != want[n] for n in want)
+
+
+def test_composed_class_names(spark):
+    outer = ("related-posts", "cookie-bar-message", "ad-slot")
+    inner = ("comment-thread", "share-buttons")
+    html = "".join(f"<div class='{c}'>Out {{n}}</div>" for c in outer)
+    article = "<article><p>Body {n}</p>" + "".join(f"<div class='{c}'>in {{n}}</div>" for c in inner) + "</article>"
+    rows = [(n, "http://h/", (html + article).format(n=n)) for n in range(3)]
+    rows += [(9, "http://i/", html.format(n=9) + "<div class='story-text'>Body 9</div>")]
+    assert texts(spark, rows) == {n: f"Body {n}" for n in (0, 1, 2, 9)}
+
+
+def test_hinted_and_shared_texts_in_an_article(spark):
+    body = "<article><p>Body {n}</p><p>Our rule</p><div class='newsletter-xyz'>Get it by mail</div></article>"
+    rows = [(n, "http://h/", body.format(n=n)) for n in range(9)]
+    assert texts(spark, rows) == {n: f"Body {n} Our rule" for n in range(9)}
+
+
+def test_open_links_end_with_their_element(spark):
+    rows = [(1, "http://h/", "<div><a href=x>go</div><div>The words of the page</div>")]
+    assert texts(spark, rows) == {1: "The words of the page"}
+
+
+def test_deep_wide_and_unclosed_pages_take_no_long_time(spark):
+    deep = "<div>" * 20_000 + "deep"
+    wide = "<article>" + "<p>a<div>b</div>" * 5_000
+    unlike = "".join(f"<x{n}>a</x{n}>" for n in range(20_000))
+    rows = [
+        (1, "http://h/", deep), (2, "http://h/", wide), (3, "http://h/", unlike),
+        (4, "http://h/", "<p>ok</p>" + "<a " * 170_000), (5, "http://h/", "<p>ok</p>" + '<a ">"' * 80_000),
+        (6, "http://h/", "<div>" * 20_000 + "</p></x>" * 20_000 + "end"),
+    ]
+    start = time.monotonic()
+    got = texts(spark, rows)
+    assert time.monotonic() - start < 60
+    assert got[1] == "deep" and got[2] == " ".join(["a b"] * 5_000) and got[3] == " ".join(["a"] * 20_000)
+    assert got[4].startswith("ok") and got[5].startswith("ok") and got[6] == "end"
+
+
 def test_many_layouts_are_merged_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(wrapper, "FAN_IN", 3)
     rows = [
