@@ -44,6 +44,39 @@ def ticks_of(messages: DataFrame, fields: tuple[str, ...] = WIRE_FIELDS) -> Data
     return typed(with_marker(decode(unframe(messages), fields)))
 
 
+def rescued(records: DataFrame, fields: tuple[str, ...] = WIRE_FIELDS, value: str = "value") -> DataFrame:
+    """Records as typed ticks with ``rescued``: what of them has no place in the columns.
+
+    That is a JSON object (keys in alphabetical order) of all fields beside the named ones,
+    nested ones too, and of named fields whose value cannot be typed; their column is null. It
+    is null where a record fits. A record that is no JSON object, or repeats a key, has null
+    columns and stands in ``rescued`` as it came. Other columns are kept; no row is dropped.
+    Each record is parsed once, to a map of variants.
+    """
+    kept = [F.col(c) for c in records.columns if c != value]
+    whole = F.try_variant_get(F.try_parse_json(F.col(value)), "$", "map<string,variant>")
+    parsed = records.select(*kept, F.inline(F.array(F.struct(whole.alias("__fields"), F.col(value).alias("__text")))))
+
+    def text(cell: Column) -> Column:
+        # A value that is an object or a list is no text.
+        nested = F.schema_of_variant(cell).rlike("^(OBJECT|ARRAY)")
+        return F.when(~nested, F.try_variant_get(cell, "$", "string"))
+
+    cells = {field: text(F.element_at("__fields", F.lit(field))).try_cast(FIELD_TYPES[field]) for field in fields}
+
+    def misses(name: Column, cell: Column) -> Column:
+        known = [(name == F.lit(field)) & F.col(field).isNotNull() for field in fields]
+        return ~reduce(or_, known, F.lit(False)) & (~name.isin(*fields) | (F.schema_of_variant(cell) != "VOID"))
+
+    # As a generator, so that typing is not repeated for every use of a column.
+    made = F.struct(*[cell.alias(field) for field, cell in cells.items()], "__fields", "__text")
+    typed_rows = parsed.select(*kept, F.inline(F.array(made)))
+    rest = F.map_filter("__fields", misses)
+    kept_text = F.when(F.col("__fields").isNull(), F.col("__text")).when(F.size(rest) > 0, F.to_json(rest))
+    rows = typed_rows.withColumn("rescued", kept_text).drop("__fields", "__text")
+    return rows.withColumn("ts", from_millis(F.col("timestamp_ms"))) if "timestamp_ms" in fields else rows
+
+
 def _unreadable(field: str) -> Column:
     cell = F.col(field).try_cast(QUOTE_TYPES[field])
     if field == "fx_marker":

@@ -145,6 +145,14 @@ ORACLES: dict[str, str] = {
         CASE WHEN fx_marker = 'signup' THEN 'n/a' ELSE '' END AS bid_points,
         'bid_points' AS bad_fields
         FROM {TICKS} WHERE fx_marker = 'signup' OR bid_points = 0""",
+    "ticks_rescued": f"""SELECT * REPLACE (CASE WHEN fx_marker <> 'signup' AND bid_points <> 0
+          THEN CAST(bid_points AS DOUBLE) END AS bid_points, CASE WHEN fx_marker <> 'purchase' THEN open END AS open),
+        nullif('{{' || concat_ws(',',
+          CASE WHEN fx_marker = 'signup' THEN '"bid_points":"n/a"' WHEN bid_points = 0 THEN '"bid_points":""' END,
+          CASE WHEN fx_marker = 'purchase' THEN '"open":{{"last":"n/a","tries":' || event_id % 4 || '}}' END,
+          CASE WHEN event_id % 3 = 0 THEN '"venue":{{"lots":[' || event_id % 5 || ',7],"name":"v' ||
+            event_id % 11 || '"}}' END) || '}}', '{{}}') AS rescued
+        FROM {TICKS}""",
     "ticks_with_id": f"""SELECT event_id, sha256(concat_ws('|', fx_marker, timestamp_ms)) AS record_id
         FROM {TICKS}""",
     "ticks_with_time_id": f"""WITH h AS (SELECT event_id, printf('%012x', timestamp_ms) AS t,

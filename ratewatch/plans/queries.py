@@ -136,6 +136,13 @@ def ticks_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return bad.select("event_id", "fx_marker", "timestamp_ms", "bid_points", "bad_fields")
 
 
+@register
+def ticks_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with fields that the schema does not know, or of another kind, lose nothing."""
+    rows = ticks.rescued(events.odd_records(spark, sf)).withColumn("bid_points", F.col("bid_points").cast("double"))
+    return _plain(rows.select("event_id", *WIRE_FIELDS, "ts", "rescued"))
+
+
 @register
 def ticks_with_id(spark: SparkSession, sf: str) -> DataFrame:
     rows = ticks.with_record_id(events.ticks(spark, sf), ("fx_marker", "timestamp_ms"))

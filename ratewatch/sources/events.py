@@ -85,6 +85,27 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unreadable(ticks(spark, sf_dir)).select("event_id", *texts, "bid_points").select("event_id", *WIRE_FIELDS)
 
 
+def odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records of which some have nested fields beside those of a quote, or in their place.
+
+    ``bid_points`` is as in ``unreadable``, ``open`` an object for purchases, and every third
+    record has a ``venue``.
+    """
+    rows = unreadable(ticks(spark, sf_dir))
+    attempt = F.struct(F.lit("n/a").alias("last"), (F.col("event_id") % 4).alias("tries"))
+    lots = F.array(F.col("event_id") % 5, F.lit(7).cast("long"))
+    venue = F.struct(lots.alias("lots"), F.concat(F.lit("v"), (F.col("event_id") % 11).cast("string")).alias("name"))
+    fields = [F.to_json(F.struct(c)) for c in WIRE_FIELDS if c != "open"]
+    fields.append(
+        F.when(F.col("fx_marker") == "purchase", F.to_json(F.struct(attempt.alias("open")))).otherwise(
+            F.to_json(F.struct("open"))
+        )
+    )
+    fields.append(F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(venue.alias("venue")))))
+    inside = F.concat_ws(",", *[F.substring(f, F.lit(2), F.length(f) - 2) for f in fields])
+    return rows.select("event_id", F.concat(F.lit("{"), inside, F.lit("}")).alias("value"))
+
+
 def messages(rows: DataFrame, size: int = 1) -> DataFrame:
     """Ticks as messages of up to ``size`` JSON records."""
     records = framing.record_json(rows.select("event_id", *WIRE_FIELDS))

@@ -49,6 +49,10 @@ def test_records_are_parsed_once(spark, sf, name):
     assert text.count("from_json(") == 1
 
 
+def test_rescued_records_are_parsed_once(spark, sf):
+    assert plan(QUERIES["ticks_rescued"](spark, sf).where("rescued is not null and open > 1")).count("parseJson(") == 1
+
+
 def test_small_anomaly_tables_are_broadcast_without_shuffling_ticks(spark, sf):
     text = plan(QUERIES["ticks_in_anomaly"](spark, sf))
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text

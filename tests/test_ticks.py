@@ -148,3 +148,27 @@ def test_time_ids_sort_as_times_and_are_uuids_of_version_7(spark):
     assert ids[-1] is ids[2**48] is ids[None] is None
     again = made.select("id").collect()
     assert again == made.select("id").collect()
+
+
+def test_rescued_fields(spark):
+    odd = [
+        RECORD,
+        RECORD.replace('"1.1"', "1.1").replace("}", ',"venue":{"lots":[1,2.5]},"note":null}'),
+        RECORD.replace('"5"', '{"a":1}').replace('"1.05"', "[1]").replace('"6"', "null"),
+        RECORD.replace('"X"', '{"m":"X"}'),
+        "not json", "[1]", '{"open":"1","open":"2"}', "{}", None, "",
+    ]
+    rows = messages(spark, *odd).withColumn("n", F.monotonically_increasing_id())
+    got = {r["n"]: r for r in ticks.rescued(rows).collect()}
+    got = [got[n] for n in sorted(got)]
+    assert len(got) == len(odd)
+    assert [r["rescued"] for r in got] == [
+        None, '{"note":null,"venue":{"lots":[1,2.5]}}', '{"bid_points":{"a":1},"open":[1]}', '{"fx_marker":{"m":"X"}}',
+        "not json", "[1]", '{"open":"1","open":"2"}', None, None, "",
+    ]
+    assert [r["fx_marker"] for r in got] == ["X"] * 3 + [None] * 7
+    assert [(r["bid_big"], r["bid_points"], r["offer_points"], r["open"]) for r in got[:3]] == [
+        (1.1, 5, 6, 1.05), (1.1, 5, 6, 1.05), (1.1, None, None, None)
+    ]
+    few = ticks.rescued(rows.limit(1), ("fx_marker",)).first()
+    assert few["fx_marker"] == "X" and few["rescued"].startswith('{"bid_big":"1.1",')
