@@ -1,5 +1,5 @@
 import numpy as np
-from ratewatch.llm import kdtree
+from ratewatch.llm import kdtree, queries
 
 SCHEMA = "vec_id long, embedding array<double>, label int, score int"
 
@@ -81,3 +81,37 @@ def test_boxes_are_left_out():
     scores = vectors @ query
     assert [s for s, _ in found] == sorted(np.delete(scores, 5).tolist(), reverse=True)[:10]
     assert sum(seen) < 2000
+
+
+def test_every_row_but_the_own_one(spark, monkeypatch, tmp_path):
+    """Repeated ids, rows without an id and other lengths are candidates of the query."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(kdtree, "SHARD_ROWS", 60)
+    monkeypatch.setattr(kdtree, "LEAF_ROWS", 8)
+    vectors = [rng.normal(size=int(rng.choice([0, 1, 3, 6, 6, 6, 7, 9]))).round(2).tolist() for _ in range(300)]
+    vectors += [None, [1.0, None], [float("nan")]] + [[-1.0, -1.0]] * 20
+    ids = [None if n % 29 == 0 else int(rng.integers(-3, 40)) * 25 for n in range(len(vectors))]
+    frame = spark.createDataFrame([(n, v, 0) for n, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<double>, label int")
+    frame.write.parquet(f"{tmp_path}/embeddings.parquet")
+    whole = [
+        (n, [int(np.floor(x * 1024)) for x in v])
+        for n, v in zip(ids, vectors, strict=True)
+        if v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    wanted = []
+    for at, (number, query) in enumerate(whole):
+        if number is not None and number % 100 == 0:
+            scores = [
+                (-sum(a * b for a, b in zip(query, other, strict=False)), n is None, n)
+                for place, (n, other) in enumerate(whole)
+                if place != at
+            ]
+            best = sorted(scores, key=lambda s: (s[0], s[1], s[2] or 0))[:10]
+            wanted += [(number, rank, n, -score) for rank, (score, _, n) in enumerate(best, 1)]
+    got = [tuple(r) for r in queries.op1_kdtree_top_k(spark, str(tmp_path)).collect()]
+    assert any(n is None for _, _, n, _ in wanted) and any(q == n for q, _, n, _ in wanted)
+    assert sorted(got, key=str) == sorted(wanted, key=str)
+
+
+def test_vectors_without_a_query(spark):
+    assert searched(spark, [(1, [1.0, 2.0]), (2, [3.0, 1.0])]) == []
