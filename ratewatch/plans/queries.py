@@ -451,8 +451,10 @@ def ticks_after_purchase(spark: SparkSession, sf: str) -> DataFrame:
     bought = events.ticks(spark, sf, ["purchase"])
     minutes = F.make_dt_interval(mins=F.col("bid_points"))
     after = stored(bought.select("event_id", F.col("ts").alias("begin"), (F.col("ts") + minutes).alias("stop")), "after")
-    found = intervals.within(rows, after, by=(), start="begin", end="stop", how="inner", parts=4)
-    return found.groupBy("event_id", "fx_marker").agg(F.count("*").alias("ticks"))
+    found = intervals.within(
+        rows, after, by=(), start="begin", end="stop", how="inner", parts=4, per=("fx_marker",)
+    )
+    return found.groupBy("event_id", "fx_marker").agg(F.sum("n").alias("ticks"))
 
 
 # Streams

@@ -1,11 +1,13 @@
 """Ticks in intervals of any length."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from ratewatch.operators.intervals import within
+from ratewatch.plans.queries import QUERIES
 
 BASE = 1_530_000_000_000
 
@@ -76,3 +78,28 @@ def test_a_marker_with_most_ticks_is_dealt_over_its_bins(spark, make_ticks):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("by", [("fx_marker",), ()])
+@pytest.mark.parametrize("spans", [SPANS, SPANS[:1], [("A", 0, 1000), ("A", 1000, 2000)], [("B", 7, 7)]])
+def test_rows_are_counted_in_any_intervals(spark, make_ticks, by, spans):
+    odd = F.when(F.col("bid_big") % 3 != 0, F.col("bid_big") % 2)
+    ticks = numbered(make_ticks, TICKS + TICKS[:40]).withColumn("odd", odd)
+    joined = within(ticks, made(spark, *spans), by=by, how="inner", parts=1 if by else 3, per=("odd",))
+    assert joined.columns == ["number", "fx_marker", "window_start", "window_end", "odd", "n"]
+    wanted = Counter(
+        (k, n % 2 if n % 3 else None) for n, k in by_hand(TICKS + TICKS[:40], spans, "inner", bool(by))
+    )
+    got = [((r["number"], r["odd"]), r["n"]) for r in joined.collect()]
+    assert len(got) == len(wanted) and dict(got) == wanted
+
+
+def test_ticks_after_purchase_lists_no_pairs(spark, sf):
+    """What joins give grows with purchases and markers, and not with the ticks of each purchase."""
+    text = QUERIES["ticks_after_purchase"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_before" in text and "_bin" not in text
+
+
+def test_counts_are_for_inner_only(spark, make_ticks):
+    with pytest.raises(ValueError):
+        within(numbered(make_ticks, TICKS), made(spark, *SPANS), per=())
