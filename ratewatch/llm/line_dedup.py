@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewatch.llm.components import connected
@@ -32,16 +32,13 @@ SKETCH_BYTES = 6
 # The minima of each band.
 SETS = [tuple(range(b * ROWS, (b + 1) * ROWS)) for b in range(BANDS)]
 
-# Standing lines of a bucket up to which they are all compared with each other. The lines of
-# larger buckets get further signatures instead, and of the sum of minima that agree in two
+# Lines of a bucket up to which they are all compared with each other. The lines of larger
+# buckets get further signatures instead, and of the sum of minima that agree in two
 # signatures pairs with 0.8 have fewer with probability 0.001.
 FEW = 1024
 FURTHER = 3
 AGREEING_IN_TWO = 30
 
-# Lines that stand for a component in a bucket.
-STANDING = 4
-
 # Finer bands of a further signature, of eight of its minima each. Two lines that share 0.8
 # meet in one of the 48 with probability 0.998, two that share 0.5 with 0.2.
 FINE_SETS = [tuple(sorted(random.Random(k).sample(range(BANDS * ROWS), 8))) for k in range(16)]
@@ -180,17 +177,9 @@ def mixed(found: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def standing(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Up to STANDING lines of each component in each bucket, others in every bucket.
-
-    The second frame has with them the number ``m`` of their bucket's and the least of these.
-    """
-    one = F.min_by(F.struct("line", "sketch"), F.xxhash64("key", "line")).alias("one")
-    dealt = rows.groupBy("key", "component", F.pmod(F.xxhash64("line", "key"), F.lit(STANDING)).alias("part"))
-    chosen = stored(dealt.agg(one).select("key", "component", "one.*"), "standing")
-    counts = chosen.groupBy("key").agg(
-        F.count("*").alias("m"), F.min(F.struct("line", "sketch", "component")).alias("first")
-    )
-    return chosen, chosen.join(counts.hint("shuffle_hash"), "key")
+    """The number ``m`` of lines of every bucket, and all lines with that of theirs."""
+    counts = stored(rows.groupBy("key").agg(F.count("*").alias("m")), "standing")
+    return counts, rows.join(counts.hint("shuffle_hash"), "key")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -212,21 +201,91 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def few_pairs(apart: DataFrame, alike: Column) -> DataFrame:
-    """Pairs of buckets with few standing lines: all of different components with each other."""
+    """Pairs of buckets with few lines: all of different components with each other."""
     few = apart.where(F.col("m") <= FEW).select("key", "line", "sketch", "component")
     other = few.toDF("key", "other", "against", "apart")
     pairs = few.join(other, "key").where((F.col("component") < F.col("apart")) & alike)
     return _ends(pairs.select("line", "component", "other", "apart"))
 
 
+def rarest(texts: DataFrame) -> DataFrame:
+    """(id, h, place, n): the fifth of a line's n different shingles that fewest lines have, and one more.
+
+    Two lines that are similar share one of these: what one of them has beside the shared
+    shingles is at most a fifth of its own. ``place`` is that in the line's order, from 1.
+    Shingles that no other line has take the first places and are not given.
+    """
+    held = texts.select("id", F.explode(F.array_distinct(shingles("line"))).alias("h"))
+    held = held.select("h", "id")
+    lines = held.groupBy("h").agg(F.count("*").alias("lines")).where("lines > 1")
+    shared = held.join(lines.hint("shuffle_hash"), "h")
+    order = Window.partitionBy("id").orderBy("lines", "h")
+    ranked = shared.select(
+        "id", "h", F.row_number().over(order).alias("rank"), F.count("*").over(Window.partitionBy("id")).alias("several")
+    )
+    ranked = ranked.join(texts.select("id", "n").hint("shuffle_hash"), "id")
+    place = (F.col("n") - F.col("several") + F.col("rank")).cast("int")
+    placed = ranked.select("id", "h", place.alias("place"), "n")
+    return placed.where(F.col("place") <= F.floor(F.col("n") * (PARTS - SIMILAR_PARTS) / PARTS) + 1)
+
+
+def many_pairs(lines: DataFrame, apart: DataFrame) -> DataFrame:
+    """Pairs of buckets with too many lines for ``few_pairs``, of different components.
+
+    Lines of a bucket are paired where they share one of their ``rarest`` shingles and, from
+    there on, have enough left that may be shared, which leaves out no similar pair. In each of
+    these places the lines of the component with most are not paired with each other.
+    """
+    rows = stored(apart.where(F.col("m") > FEW).drop("m"), "large")
+    wanted = rows.select("line", "sketch", "component").groupBy("line").agg(
+        F.first("sketch").alias("sketch"), F.first("component").alias("component")
+    )
+    line = F.struct("near", "same")
+    known = lines.select(line.alias("line"), F.col("line").alias("text"))
+    texts = known.join(wanted.hint("shuffle_hash"), "line").groupBy("line").agg(
+        F.first("text").alias("text"), F.first("sketch").alias("sketch"), F.first("component").alias("component")
+    )
+    texts = texts.select(F.col("line").alias("named"), F.col("text").alias("line"), "sketch", "component")
+    texts = texts.withColumn("n", F.size(F.array_distinct(shingles("line"))))
+    texts = stored(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
+    prefix = stored(rarest(texts), "rarest")
+    part = F.xxhash64("component").alias("part")
+    ids = texts.select(F.col("named").alias("line"), "id", part)
+    buckets = rows.select("key", "line").join(ids.hint("shuffle_hash"), "line").select("key", "id", "part")
+    met = buckets.join(prefix.hint("shuffle_hash"), "id").select(
+        F.xxhash64("key", "h").alias("spot"), "id", "part", "place", "n"
+    )
+    met = stored(met, "met")
+    most = met.groupBy("spot", "part").agg(F.count("*").alias("c")).groupBy("spot")
+    most = most.agg(F.max_by("part", F.struct("c", "part")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
+    spots = stored(met.join(most.hint("shuffle_hash"), "spot").drop("parts"), "spots")
+    one = spots.where("part <> most")
+    two = spots.select("spot", *[F.col(c).alias(f"{c}2") for c in ("id", "part", "place", "n")])
+    left = 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    enough = (left * (PARTS + SIMILAR_PARTS) >= (F.col("n") + F.col("n2")) * SIMILAR_PARTS) & (
+        F.least("n", "n2") * PARTS >= F.greatest("n", "n2") * SIMILAR_PARTS
+    )
+    once = (F.col("part") != F.col("part2")) & ((F.col("part2") == F.col("most")) | (F.col("id") < F.col("id2")))
+    ends = one.join(two, "spot").where(once & enough).select(
+        F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")
+    )
+    ends = stored(ends.distinct(), "ends")
+    sides = texts.select("id", F.col("named").alias("line"), "component", "sketch")
+    pairs = ends.join(sides, "id").join(sides.toDF("id2", "other", "apart", "against"), "id2")
+    pairs = pairs.where(agree(F.col("sketch"), F.col("against")))
+    pairs = stored(_ends(pairs.select("line", "component", "other", "apart")), "many")
+    forget(rows, texts, prefix, met, spots, ends)
+    return pairs
+
+
 def further_pairs(lines: DataFrame, found: DataFrame, apart: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs among the lines of buckets with too many standing lines for ``few_pairs``.
+    """Pairs among the lines of buckets with too many lines for ``few_pairs``.
 
     Such lines share what brought them together, so their buckets do not tell them apart. They
     get FURTHER more signatures with bands of more minima, which also follow what only some of
-    them share. There, the standing lines are compared with each other again, or in a bucket
-    of many with the bucket's least. Two signatures together, the first and the further one,
-    have to agree before texts are compared.
+    them share. There, all lines of different components are compared with each other again,
+    in a bucket of many by ``many_pairs``. Two signatures together, the first and the further
+    one, have to agree before texts are compared.
     """
     large = apart.where(F.col("m") > FEW).select("key").distinct()
     many = found.join(large, "key").select(F.col("line.near").alias("n"), F.col("line.same").alias("s"), "sketch")
@@ -238,17 +297,22 @@ def further_pairs(lines: DataFrame, found: DataFrame, apart: DataFrame, groups:
     held = signed.withColumn("both", F.struct(F.col("before"), sketch().alias("now"))).drop("before", "n", "s")
     finer = members(held, FINE_SETS)
     rest = mixed(finer, groups)
-    forget(many, finer)
+    forget(finer)
     chosen, again = standing(rest)
 
     def alike(one: str, two: str) -> Column:
         before, now = (agreeing(F.col(f"{one}.{s}"), F.col(f"{two}.{s}")) for s in ("before", "now"))
         return before + now >= AGREEING_IN_TWO
 
-    stars = again.where((F.col("m") > FEW) & (F.col("component") != F.col("first.component")) & alike("sketch", "first.sketch"))
-    stars = stars.select("line", "component", F.col("first.line").alias("other"), F.col("first.component").alias("apart"))
-    pairs = stored(_ends(stars).unionAll(few_pairs(again, alike("sketch", "against"))).distinct(), "further")
-    forget(rest, chosen)
+    # A line has a further sketch for every seed, and one of the first signature.
+    pairs = few_pairs(again, alike("sketch", "against"))
+    if chosen.where(F.col("m") > FEW).isEmpty():
+        pairs = stored(pairs, "further")
+    else:
+        several = many_pairs(texts, again.withColumn("sketch", F.col("sketch.before")))
+        pairs = stored(pairs.unionAll(several).distinct(), "further")
+        forget(several)
+    forget(many, rest, chosen)
     return pairs
 
 
@@ -296,8 +360,9 @@ def verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
 def _linked(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links of the first pass, their components, and links between these with their ends.
 
-    First every member of a bucket is compared with the bucket's least line. Then buckets that
-    still hold several components are compared further. What is not read any more is removed.
+    First every member of a bucket is compared with the bucket's least line. Then all lines of
+    buckets that still hold several components are compared with those of the other ones. What
+    is not read any more is removed.
     """
     found = members(signatures(lines))
     near = (F.col("same") != F.col("first.same")) & agree(F.col("sketch"), F.col("first.sketch"))

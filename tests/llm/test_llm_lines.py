@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratewatch.llm import line_dedup
@@ -158,3 +159,47 @@ def test_what_is_left_behind_is_small(spark, make_docs, prose):
     line_dedup.drop_lines(make_docs(*[(k, prose(k % 20, 30)) for k in range(60)])).collect()
     left = {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before}
     assert left and not left & {"members", "mixed", "standing", "texts", "pairs", "further", "sized", "keyed", "shared"}
+
+
+@pytest.mark.parametrize("few", [16, 256])
+def test_every_line_of_a_component_is_compared(make_docs, monkeypatch, few):
+    """A hundred similar lines, and with each one another that is similar to it alone."""
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    rng = random.Random(13)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(n)]
+
+    base = words(100)
+    one = [base[:92] + words(8) for _ in range(100)]
+    two = [words(8) + x[8:] for x in one]
+    one, two = ([" ".join(x) for x in some] for some in (one, two))
+    assert all(alike(a, one[0]) and alike(a, b) for a, b in zip(one, two, strict=True))
+    assert not any(alike(two[0], x) for x in one[1:] + two[1:])
+    found = classes(make_docs(*enumerate(one + two)))
+    assert sum(found[k] == found[0] for k in range(100)) == 100
+    assert sum(found[k] == found[0] for k in range(100, 200)) >= 98
+
+
+def test_large_buckets_lose_no_pair(make_docs, prose, monkeypatch):
+    """Lines of one bucket that share a passage; every similar pair of two components is given."""
+    monkeypatch.setattr(line_dedup, "FEW", 16)
+    rng = random.Random(17)
+    passage = prose(1, 40)
+    texts = [f"{passage} {prose(100 + k, 12)}" for k in range(80)]
+    texts += [edited(x, rng, rng.choice([1, 2, 3, 4])) for x in texts[:60]]
+    lines = line_dedup.lines_of(make_docs(*enumerate(texts)))
+    rows = line_dedup.signatures(lines).select(
+        F.lit(1).alias("key"),
+        F.when(F.col("near") % 3 == 0, F.lit("one").cast("binary")).otherwise(F.col("same")).alias("component"),
+        F.struct("near", "same").alias("line"),
+        line_dedup.sketch().alias("sketch"),
+    )
+    _, apart = line_dedup.standing(rows)
+    found = line_dedup.many_pairs(lines.select("near", "same", "line"), apart)
+    got = {frozenset((bytes(r.a), bytes(r.b))) for r in found.collect()}
+    whole = lines.select("near", "same", "line").collect()
+    parts = [("one" if r.near % 3 == 0 else bytes(r.same), bytes(r.same), r.line) for r in whole]
+    pairs = [(x, y) for k, x in enumerate(parts) for y in parts[:k] if x[0] != y[0]]
+    wanted = {frozenset((x[1], y[1])) for x, y in pairs if alike(x[2], y[2])}
+    assert wanted <= got and len(wanted) > 30 and len(got) < len(pairs) / 4
