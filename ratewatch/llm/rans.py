@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import sys
 import zlib
-from collections.abc import Iterator
-from itertools import pairwise
+from collections.abc import Callable, Iterator
 from types import ModuleType
 
 import numpy as np
@@ -41,6 +41,33 @@ HEADER_BYTES = struct.calcsize(HEADER)
 # capitals before a mark, which compose (or do not) before they are lowered.
 CASED = re.compile(rb"<\||[A-Z][\x80-\xff]")
 
+# Words of letters that compose with nothing and have one lower form, and ASCII marks of which
+# no added token is made; and the rules by which a tokenizer takes these two as one piece each.
+PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:;=?@\[-`{}~]*)")
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+
 # Words that a worker remembers the ids of, twice.
 REMEMBERED = 600_000
 
@@ -164,44 +191,71 @@ def decode(block: bytes, tables: Tables) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian numbers of 16 bits."""
+    return struct.pack(f"<{len(ids)}H", *ids)
+
+
+class Known(dict):
+    """Ids by word. A word that is not there is asked for once, and kept.
+
+    When ``REMEMBERED`` words are known, those that were not met since the last time are
+    forgotten.
+    """
+
+    def __init__(self, encoded: Callable[[bytes], bytes]):
+        super().__init__()
+        self.encoded = encoded
+        self.before: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.encoded(word)
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class Words:
     """Ids of texts by the ids of what stands between ASCII white space.
 
     The tokenizer parts texts at white space and treats A-Z like a-z but in ``CASED`` words, so
     a text's ids are those of its words, and each word is encoded once and remembered, lowered
-    if its case does not matter. When ``REMEMBERED`` words are known, those that were not met
-    since the last time are forgotten.
+    if its case does not matter. Where the tokenizer's rules are ``RULES``, a word of letters
+    with or without marks behind it is parted here and its letters go to the tokenizer's model
+    alone; such letters are the same in all the rules' forms but for their case. All other words
+    go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
-
-    def _encoded(self, some: list[bytes]) -> Iterator[bytes]:
-        """Ids of words, which are encoded as one text and parted by where they start."""
-        texts = [w.decode() for w in some]
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(found.ids, "<u2").tobytes()
-        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
-        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        edges = 2 * np.searchsorted(at, starts)
-        return (ids[i:j] for i, j in pairwise(edges.tolist()))
-
-    def learn(self, found: set[bytes]) -> None:
-        """Make sure that the ids of all these words are known."""
-        new = found.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.before, self.known = self.known, {}
-            new = found
-        again = new.intersection(self.before)
-        self.known.update((w, self.before[w]) for w in again)
-        new = list(new.difference(again))
-        for start in range(0, len(new), 16_384):
-            some = new[start : start + 16_384]
-            self.known.update(zip(some, self._encoded(some), strict=True))
+        self.model = self.tokenizer.model
+        rules = json.loads(self.tokenizer.to_str())
+        self.plain = PLAIN if all(rules[k] == v for k, v in RULES.items()) else None
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.units = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
+        self.known = Known(self.encoded)
+
+    def encoded(self, word: bytes) -> bytes:
+        """Ids of one word."""
+        text = word.decode()
+        parts = self.plain and self.plain.fullmatch(text)
+        if not parts:
+            return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        letters, marks = parts.groups()
+        if marks:
+            word = letters.encode()
+            ids = self.known.get(word) or self.known.before.get(word) or self.encoded(word)
+            return ids + self.known[marks.encode()]
+        letters = letters.lower()
+        pieces = self.model.tokenize(letters if letters.isascii() else letters.translate(self.units))
+        return packed([t.id for t in pieces])
 
     @staticmethod
     def parted(text: str) -> list[bytes]:
@@ -213,10 +267,8 @@ class Words:
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text with the end id, as little-endian numbers of 16 bits."""
-        parted = [self.parted(t or "") for t in texts]
-        self.learn(set().union(*parted))
-        end = struct.pack("<H", END_ID)
-        return [b"".join(map(self.known.__getitem__, p)) + end for p in parted]
+        end = packed([END_ID])
+        return [b"".join(map(self.known.__getitem__, self.parted(t or ""))) + end for t in texts]
 
 
 def encoder(path: str) -> Words:

@@ -123,3 +123,37 @@ def test_documents(make_docs, prose, monkeypatch):
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (number, at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     assert rans.round_trip(make_docs(), tokenizer_path()).count() == 0
+
+
+def test_words_of_letters_and_marks():
+    """Letters are the model's alone; marks, contractions, marks that compose and added tokens are not parted wrongly."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    letters = ["the", "THE", "Élan", "éÉ", "straße", "ÿØ", "naïve", "é", "İ", "Σας", "µ", "×a", "ǅ", "x1", "don't", "a's"]
+    marks = ["", ".", ",", "...", ".,;", "$$$", "'", "'s", "'S.", "''", "̸", "≠", "<|", "|>", "<|endoftext|>", "_", "^~`"]
+    texts = [x + y for x in letters for y in marks] + [y + x for x in letters for y in marks]
+    for encoder in (rans.Words(tokenizer_path()), rans.Words(tokenizer_path())):
+        for text, got in zip(texts, encoder.ids(texts), strict=True):
+            assert np.frombuffer(got, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids + [rans.END_ID]
+        texts.reverse()
+
+
+def test_most_words_do_not_take_the_whole_tokenizer(prose, monkeypatch):
+    """A word of letters, with or without marks, is encoded by the model, and once."""
+    encoder = rans.Words(tokenizer_path())
+    asked = []
+    encode, seen = encoder.tokenizer.encode, encoder.known.encoded
+
+    class Whole:
+        def encode(self, text, **options):
+            asked.append(text)
+            return encode(text, **options)
+
+    encoder.tokenizer = Whole()
+    words = []
+    encoder.known.encoded = lambda word: words.append(word) or seen(word)
+    texts = ["The house, the House. the house", "a1 der Äther; the a1 house."] * 3
+    first = rans.Words(tokenizer_path()).ids(texts)
+    assert encoder.ids(texts) == first
+    assert sorted(asked) == [",", ".", ";", "a1"] and len(words) == len(set(words))
