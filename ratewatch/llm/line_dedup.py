@@ -35,7 +35,7 @@ SETS = [tuple(range(b * ROWS, (b + 1) * ROWS)) for b in range(BANDS)]
 # Lines of a bucket up to which they are all compared with each other. The lines of larger
 # buckets get further signatures instead, and of the sum of minima that agree in two
 # signatures pairs with 0.8 have fewer with probability 0.001.
-FEW = 1024
+FEW = 256
 FURTHER = 3
 AGREEING_IN_TWO = 30
 
@@ -43,6 +43,10 @@ AGREEING_IN_TWO = 30
 # meet in one of the 48 with probability 0.998, two that share 0.5 with 0.2.
 FINE_SETS = [tuple(sorted(random.Random(k).sample(range(BANDS * ROWS), 8))) for k in range(16)]
 
+# Lines up to which those of a finer bucket are all compared: more than by chance share their
+# shingles there, and are told apart by their rarest ones.
+FINE_FEW = 32
+
 # Pairs of one line that a task compares.
 SHARE = 1024
 
@@ -168,7 +172,7 @@ def mixed(found: DataFrame, groups: DataFrame) -> DataFrame:
     named = named.select("key", F.xxhash64(part).alias("part"))
     ends = named.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     several = stored(ends.where("low <> high").select("key"), "several")
-    rows = found.select("key", "near", "same", "sketch").join(several, "key", "left_semi")
+    rows = found.select("key", "near", "same", "sketch").join(several.hint("shuffle_hash"), "key", "left_semi")
     rows = rows.join(groups.hint("shuffle_hash"), rows["same"] == groups["node"], "left")
     line = F.struct("near", "same").alias("line")
     rows = stored(rows.select("key", part.alias("component"), line, "sketch"), "mixed")
@@ -200,20 +204,21 @@ def _ends(pairs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def few_pairs(apart: DataFrame, alike: Column) -> DataFrame:
-    """Pairs of buckets with few lines: all of different components with each other."""
-    few = apart.where(F.col("m") <= FEW).select("key", "line", "sketch", "component")
+def few_pairs(apart: DataFrame, alike: Column, most: int | None = None) -> DataFrame:
+    """Pairs of buckets with few lines (FEW, or ``most``): all of different components with each other."""
+    few = apart.where(F.col("m") <= (most or FEW)).select("key", "line", "sketch", "component")
     other = few.toDF("key", "other", "against", "apart")
     pairs = few.join(other, "key").where((F.col("component") < F.col("apart")) & alike)
     return _ends(pairs.select("line", "component", "other", "apart"))
 
 
 def rarest(texts: DataFrame) -> DataFrame:
-    """(id, h, place, n): the fifth of a line's n different shingles that fewest lines have, and one more.
+    """(id, h, place, n, before): the fifth of a line's n different shingles that fewest lines have, and one more.
 
     Two lines that are similar share one of these: what one of them has beside the shared
-    shingles is at most a fifth of its own. ``place`` is that in the line's order, from 1.
-    Shingles that no other line has take the first places and are not given.
+    shingles is at most a fifth of its own. ``place`` is that in the line's order, from 1, and
+    ``before`` are those that come before it. Shingles that no other line has take the first
+    places and are not given.
     """
     held = texts.select("id", F.explode(F.array_distinct(shingles("line"))).alias("h"))
     held = held.select("h", "id")
@@ -221,22 +226,39 @@ def rarest(texts: DataFrame) -> DataFrame:
     shared = held.join(lines.hint("shuffle_hash"), "h")
     order = Window.partitionBy("id").orderBy("lines", "h")
     ranked = shared.select(
-        "id", "h", F.row_number().over(order).alias("rank"), F.count("*").over(Window.partitionBy("id")).alias("several")
+        "id", "h", "lines", F.row_number().over(order).alias("rank"), F.count("*").over(Window.partitionBy("id")).alias("several")
     )
     ranked = ranked.join(texts.select("id", "n").hint("shuffle_hash"), "id")
     place = (F.col("n") - F.col("several") + F.col("rank")).cast("int")
-    placed = ranked.select("id", "h", place.alias("place"), "n")
-    return placed.where(F.col("place") <= F.floor(F.col("n") * (PARTS - SIMILAR_PARTS) / PARTS) + 1)
+    placed = ranked.select("id", "h", "lines", place.alias("place"), "n")
+    placed = placed.where(F.col("place") <= F.floor(F.col("n") * (PARTS - SIMILAR_PARTS) / PARTS) + 1)
+    before = F.collect_list("h").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return placed.select("id", "h", "place", "n", before.alias("before"))
+
+
+def clusters(rows: DataFrame) -> DataFrame:
+    """(line, cluster): lines of buckets that hang together by lines in both are one cluster."""
+    least = rows.groupBy("line").agg(F.min("key").alias("least"))
+    ends = stored(rows.select("key", "line").join(least.hint("shuffle_hash"), "line").select("least", "key").distinct(), "ends")
+    joined = stored(connected(ends), "hung")
+    least = rows.groupBy("line").agg(F.min("key").alias("node"))
+    named = least.join(joined, "node", "left").select("line", F.coalesce("component", "node").alias("cluster"))
+    named = stored(named, "clusters")
+    forget(ends, joined)
+    return named
 
 
-def many_pairs(lines: DataFrame, apart: DataFrame) -> DataFrame:
+def many_pairs(lines: DataFrame, apart: DataFrame, few: int | None = None) -> DataFrame:
     """Pairs of buckets with too many lines for ``few_pairs``, of different components.
 
-    Lines of a bucket are paired where they share one of their ``rarest`` shingles and, from
-    there on, have enough left that may be shared, which leaves out no similar pair. In each of
-    these places the lines of the component with most are not paired with each other.
+    Lines of a cluster of buckets are paired where they share one of their ``rarest`` shingles
+    and, from there on, have enough left that may be shared, which leaves out no similar pair.
+    This is looked at where they share the first one. In each of these places the lines of the
+    component with most are not paired with each other. A line comes once, in however many
+    buckets it is.
     """
-    rows = stored(apart.where(F.col("m") > FEW).drop("m"), "large")
+    rows = stored(apart.where(F.col("m") > (few or FEW)).drop("m"), "large")
+    hung = clusters(rows)
     wanted = rows.select("line", "sketch", "component").groupBy("line").agg(
         F.first("sketch").alias("sketch"), F.first("component").alias("component")
     )
@@ -251,41 +273,55 @@ def many_pairs(lines: DataFrame, apart: DataFrame) -> DataFrame:
     prefix = stored(rarest(texts), "rarest")
     part = F.xxhash64("component").alias("part")
     ids = texts.select(F.col("named").alias("line"), "id", part)
-    buckets = rows.select("key", "line").join(ids.hint("shuffle_hash"), "line").select("key", "id", "part")
-    met = buckets.join(prefix.hint("shuffle_hash"), "id").select(
-        F.xxhash64("key", "h").alias("spot"), "id", "part", "place", "n"
+    buckets = hung.join(ids.hint("shuffle_hash"), "line").select("cluster", "id", "part")
+    met = prefix.join(buckets.hint("shuffle_hash"), "id").select(
+        F.xxhash64("cluster", "h").alias("spot"), "id", "part", "place", "n", "before"
     )
     met = stored(met, "met")
     most = met.groupBy("spot", "part").agg(F.count("*").alias("c")).groupBy("spot")
     most = most.agg(F.max_by("part", F.struct("c", "part")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
     spots = stored(met.join(most.hint("shuffle_hash"), "spot").drop("parts"), "spots")
     one = spots.where("part <> most")
-    two = spots.select("spot", *[F.col(c).alias(f"{c}2") for c in ("id", "part", "place", "n")])
+    two = spots.select("spot", *[F.col(c).alias(f"{c}2") for c in ("id", "part", "place", "n", "before")])
     left = 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
     enough = (left * (PARTS + SIMILAR_PARTS) >= (F.col("n") + F.col("n2")) * SIMILAR_PARTS) & (
         F.least("n", "n2") * PARTS >= F.greatest("n", "n2") * SIMILAR_PARTS
     )
     once = (F.col("part") != F.col("part2")) & ((F.col("part2") == F.col("most")) | (F.col("id") < F.col("id2")))
-    ends = one.join(two, "spot").where(once & enough).select(
+    first = ~F.arrays_overlap("before", "before2")
+    ends = one.join(two, "spot").where(once & enough & first).select(
         F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")
     )
-    ends = stored(ends.distinct(), "ends")
+    ends = stored(ends, "ends")
     sides = texts.select("id", F.col("named").alias("line"), "component", "sketch")
     pairs = ends.join(sides, "id").join(sides.toDF("id2", "other", "apart", "against"), "id2")
     pairs = pairs.where(agree(F.col("sketch"), F.col("against")))
     pairs = stored(_ends(pairs.select("line", "component", "other", "apart")), "many")
-    forget(rows, texts, prefix, met, spots, ends)
+    forget(rows, hung, texts, prefix, met, spots, ends)
     return pairs
 
 
+def regrouped(groups: DataFrame, across: DataFrame) -> DataFrame:
+    """(node, component) of ``groups`` with what links (component, apart) join."""
+    joined = connected(across.select("component", "apart").distinct())
+    joined = stored(joined.select(F.col("node").alias("part"), F.col("component").alias("whole")), "joined")
+    every = groups.join(joined, groups["component"] == joined["part"], "left")
+    known = every.select("node", F.coalesce("whole", "component").alias("component"))
+    # A part that was a lone line is in no star.
+    lone = joined.join(groups, joined["part"] == groups["node"], "left_anti")
+    return known.unionAll(lone.select("part", "whole"))
+
+
 def further_pairs(lines: DataFrame, found: DataFrame, apart: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs among the lines of buckets with too many lines for ``few_pairs``.
 
     Such lines share what brought them together, so their buckets do not tell them apart. They
     get FURTHER more signatures with bands of more minima, which also follow what only some of
-    them share. There, all lines of different components are compared with each other again,
-    in a bucket of many by ``many_pairs``. Two signatures together, the first and the further
-    one, have to agree before texts are compared.
+    them share. There, lines are compared with the least line of their bucket and then all lines
+    of different components with each other again, in a bucket of many by ``many_pairs``. Two
+    signatures together, the first and the further one, have to agree before texts are compared.
+    Links to least lines are among the pairs; a component that these join has the least of the
+    joined ones' names in other pairs.
     """
     large = apart.where(F.col("m") > FEW).select("key").distinct()
     many = found.join(large, "key").select(F.col("line.near").alias("n"), F.col("line.same").alias("s"), "sketch")
@@ -296,23 +332,39 @@ def further_pairs(lines: DataFrame, found: DataFrame, apart: DataFrame, groups:
     signed = signed.join(many.hint("shuffle_hash"), (signed["near"] == many["n"]) & (signed["same"] == many["s"]))
     held = signed.withColumn("both", F.struct(F.col("before"), sketch().alias("now"))).drop("before", "n", "s")
     finer = members(held, FINE_SETS)
-    rest = mixed(finer, groups)
-    forget(finer)
-    chosen, again = standing(rest)
 
     def alike(one: str, two: str) -> Column:
         before, now = (agreeing(F.col(f"{one}.{s}"), F.col(f"{two}.{s}")) for s in ("before", "now"))
         return before + now >= AGREEING_IN_TWO
 
+    # First, as before, the least line of every bucket with the others.
+    near = finer.where((F.col("same") != F.col("first.same")) & alike("sketch", "first.sketch"))
+    near = near.select(F.struct("near", "same").alias("line"), F.struct("first.near", "first.same").alias("other")).distinct()
+    near = near.join(groups.toDF("node", "component").hint("shuffle_hash"), F.col("line.same") == F.col("node"), "left")
+    near = near.withColumn("component", F.coalesce("component", "line.same")).drop("node")
+    near = near.join(groups.toDF("node", "apart").hint("shuffle_hash"), F.col("other.same") == F.col("node"), "left")
+    near = near.withColumn("apart", F.coalesce("apart", "other.same")).drop("node").where("component <> apart")
+    near = stored(_ends(near).withColumns({"low": F.col("first"), "high": F.col("near")}), "near")
+    links = verified(texts, near)
+    one = F.struct(F.col("low").alias("first"), "a", F.col("high").alias("near"), "b").alias("one")
+    stars = stored(links.select(one, "component", "apart").groupBy("component", "apart").agg(F.min("one").alias("one")), "fine-stars")
+    forget(near, links)
+    groups = stored(regrouped(groups, stars), "groups-again")
+    rest = mixed(finer.where("n > 2"), groups)
+    forget(finer)
+    chosen, again = standing(rest)
+
     # A line has a further sketch for every seed, and one of the first signature.
-    pairs = few_pairs(again, alike("sketch", "against"))
-    if chosen.where(F.col("m") > FEW).isEmpty():
-        pairs = stored(pairs, "further")
+    found = stars.select("one.*", "component", "apart")
+    few = min(FEW, FINE_FEW)
+    pairs = few_pairs(again, alike("sketch", "against"), few)
+    if chosen.where(F.col("m") > few).isEmpty():
+        pairs = stored(pairs.unionAll(found), "further")
     else:
-        several = many_pairs(texts, again.withColumn("sketch", F.col("sketch.before")))
-        pairs = stored(pairs.unionAll(several).distinct(), "further")
+        several = many_pairs(texts, again.withColumn("sketch", F.col("sketch.before")), few)
+        pairs = stored(pairs.unionAll(several).distinct().unionAll(found), "further")
         forget(several)
-    forget(many, rest, chosen)
+    forget(many, rest, chosen, stars, groups)
     return pairs
 
 
@@ -397,13 +449,7 @@ def line_links(lines: DataFrame) -> DataFrame:
 def line_groups(lines: DataFrame) -> DataFrame:
     """(node, component): the component of every line that has a link."""
     _, groups, across = _linked(lines)
-    joined = connected(across.select("component", "apart").distinct())
-    joined = stored(joined.select(F.col("node").alias("part"), F.col("component").alias("whole")), "joined")
-    every = groups.join(joined, groups["component"] == joined["part"], "left")
-    known = every.select("node", F.coalesce("whole", "component").alias("component"))
-    # A part that was a lone line is in no star.
-    lone = joined.join(groups, joined["part"] == groups["node"], "left_anti")
-    return known.unionAll(lone.select("part", "whole"))
+    return regrouped(groups, across)
 
 
 def line_classes(docs: DataFrame) -> DataFrame:

@@ -203,3 +203,34 @@ def test_large_buckets_lose_no_pair(make_docs, prose, monkeypatch):
     pairs = [(x, y) for k, x in enumerate(parts) for y in parts[:k] if x[0] != y[0]]
     wanted = {frozenset((x[1], y[1])) for x, y in pairs if alike(x[2], y[2])}
     assert wanted <= got and len(wanted) > 30 and len(got) < len(pairs) / 4
+
+
+def test_similar_lines_are_listed_once_in_finer_buckets(make_docs, prose, monkeypatch):
+    """Lines of two families: a similar pair is listed once by its rarest shingles, and few others are."""
+    monkeypatch.setattr(line_dedup, "FEW", 16)
+    rng = random.Random(19)
+    texts = [edited(x, rng, rng.choice([2, 4, 7])) for x in (prose(1, 50), prose(2, 50)) for _ in range(60)]
+    lines = line_dedup.lines_of(make_docs(*enumerate(texts)))
+    rows = line_dedup.signatures(lines).select(
+        F.explode(F.array(F.lit(1).cast("long"), F.lit(2) + F.col("near") % 2)).alias("key"),
+        F.col("same").alias("component"),
+        F.struct("near", "same").alias("line"),
+        line_dedup.sketch().alias("sketch"),
+    )
+    _, apart = line_dedup.standing(rows)
+    assert line_dedup.clusters(apart).agg(F.countDistinct("cluster"), F.count("*")).first()[:] == (1, len(set(texts)))
+    listed = []
+    keep = line_dedup.stored
+
+    def stored(df, name):
+        out = keep(df, name)
+        if name == "ends" and "id2" in out.columns:
+            listed.extend((r.id, r.id2) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    found = line_dedup.many_pairs(lines.select("near", "same", "line"), apart).collect()
+    wanted = {frozenset((a, b)) for k, a in enumerate(texts) for b in texts[:k] if a != b and alike(a, b)}
+    names = {r.same: r.line for r in lines.select("same", "line").collect()}
+    assert wanted <= {frozenset((names[bytes(r.a)], names[bytes(r.b)])) for r in found}
+    assert len(wanted) > 20 and len(listed) == len(set(listed))
