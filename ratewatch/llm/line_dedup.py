@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,33 +18,50 @@ from ratewatch.session import forget, stored
 SHINGLE_CHARS = 5
 SIMILAR_PARTS, PARTS = 4, 5
 
-# Bands of three minima each. Two lines that share 0.8 of their shingles meet in a band with
-# probability 0.997, those that share 0.85 with 0.9997.
-BANDS = 8
-ROWS = 3
+# Hashes of a shingle, and orders of the shingles that each of them gives.
+HASHES = 8
+ROWS = 4
 
-# Masks that turn one hash into the orders of a band: each has another quarter of all 64-bit
+# Masks that turn one hash into several orders: each has another quarter of all 64-bit
 # numbers come first.
 MASKS = [(0x1E3779B97F4A7C15 + (k << 62)) - (1 << 63) for k in range(ROWS)]
 
 # Minima of a pair of a band that have to agree, by their last bytes, before its texts are
-# compared. Two lines that share 0.8 of their shingles have fewer with probability 0.0003.
-AGREEING = 12
-SKETCH_BYTES = 6
+# compared. Two lines that share 0.8 of their shingles have fewer with probability 0.0006.
+AGREEING = 18
+SKETCH_BYTES = 7
 
-# The minima of each band.
-SETS = [tuple(range(b * ROWS, (b + 1) * ROWS)) for b in range(BANDS)]
+
+def _spread(bands: int, size: int, orders: int, tries: int = 100) -> list[tuple[int, ...]]:
+    """Sets of ``size`` of the orders that have as few pairs in common as a search finds."""
+    draw, used, sets = random.Random(0), Counter(), []
+    for _ in range(bands):
+        drawn = [tuple(sorted(draw.sample(range(orders), size))) for _ in range(tries)]
+        best = min(drawn, key=lambda x: 2 * sum(used[p] for p in combinations(x, 2)) + sum(used[k] for k in x))
+        used.update([*best, *combinations(best, 2)])
+        sets.append(best)
+    return sets
+
+
+# The minima of each band: five, as lines that share a third of their shingles by chance, as long
+# lines of one language do, would meet in bands of three, the more the more lines there are. Two
+# lines that share 0.8 of their shingles meet in a band with probability 0.997, those that share
+# 0.85 with 0.9997.
+SETS = _spread(28, 5, HASHES * ROWS)
+
+# Bands whose keys are shuffled at once.
+AT_ONCE = 7
 
 # Lines of a bucket up to which they are all compared with each other. The lines of larger
 # buckets get further signatures instead, and of the sum of minima that agree in two
 # signatures pairs with 0.8 have fewer with probability 0.001.
 FEW = 256
 FURTHER = 3
-AGREEING_IN_TWO = 30
+AGREEING_IN_TWO = 41
 
 # Finer bands of a further signature, of eight of its minima each. Two lines that share 0.8
-# meet in one of the 48 with probability 0.998, two that share 0.5 with 0.2.
-FINE_SETS = [tuple(sorted(random.Random(k).sample(range(BANDS * ROWS), 8))) for k in range(16)]
+# meet in one of the 60 with probability 0.998, two that share 0.5 with 0.2.
+FINE_SETS = _spread(20, 8, HASHES * ROWS)
 
 # Lines up to which those of a finer bucket are all compared: more than by chance share their
 # shingles there, and are told apart by their rarest ones.
@@ -85,38 +105,42 @@ def signatures(lines: DataFrame, seeds: range = range(1)) -> DataFrame:
 
     Every seed gives a line another signature.
 
-    A band has a hash of its own, and the orders in it differ by masks. Lines are bound by
-    ``inline``, so that they are encoded once and not at every shingle, and shingles are
-    aggregated where they arise, so that one row a line is shuffled.
+    Orders are made of several hashes, with several masks each. Lines are bound by ``inline``,
+    so that they are encoded once and not at every shingle, and shingles are aggregated where
+    they arise, so that one row a line is shuffled. ``same`` is grouped as two numbers, for
+    which Spark has a faster map than for bytes.
     """
-    bound = lines.select(F.inline(F.array(F.struct("near", "same", _encoded("line").alias("e")))))
+    high, low = (F.conv(F.hex(F.substring("same", k, 8)), 16, -10).cast("long") for k in (1, 9))
+    bound = lines.select(F.inline(F.array(F.struct("near", high.alias("high"), low.alias("low"), _encoded("line").alias("e")))))
     starts = F.sequence(F.lit(1), F.octet_length("e") - (2 * SHINGLE_CHARS - 1), F.lit(2))
     seeded = bound.withColumn("seed", F.explode(F.array(*map(F.lit, seeds))) if len(seeds) > 1 else F.lit(seeds[0]))
-    placed = seeded.select("near", "same", "seed", "e", F.explode(starts).alias("i"))
+    line = ["near", "high", "low", "seed"]
+    placed = seeded.select(*line, "e", F.explode(starts).alias("i"))
     run = F.substring("e", F.col("i"), F.lit(2 * SHINGLE_CHARS))
-    hashed = placed.select("near", "same", "seed", F.xxhash64(run).alias("h"))
-    numbers = [F.xxhash64(F.lit(b) + BANDS * F.col("seed"), "h").alias(f"h{b}") for b in range(BANDS)]
-    words = hashed.select("near", "same", "seed", *numbers)
+    hashed = placed.select(*line, F.xxhash64(run).alias("h"))
+    numbers = [F.xxhash64(F.lit(b) + HASHES * F.col("seed"), "h").alias(f"h{b}") for b in range(HASHES)]
+    words = hashed.select(*line, *numbers)
     least = [
         F.min(F.col(f"h{b}").bitwiseXOR(F.lit(MASKS[r]))).alias(f"s{b * ROWS + r}")
-        for b in range(BANDS)
+        for b in range(HASHES)
         for r in range(ROWS)
     ]
-    return words.groupBy("near", "same", "seed").agg(*least)
+    same = F.unhex(F.concat(*[F.lpad(F.hex(x), 16, "0") for x in ("high", "low")])).alias("same")
+    return words.groupBy(*line).agg(*least).select("near", same, "seed", *[f"s{k}" for k in range(HASHES * ROWS)])
 
 
-def sketch(orders: int = BANDS * ROWS) -> Column:
+def sketch(orders: int = HASHES * ROWS) -> Column:
     """The last byte of every minimum, some to a long so that its sign bit stays clear."""
     longs = []
     for start in range(0, orders, SKETCH_BYTES):
         held = F.lit(0).cast("long")
         for k in range(start, min(start + SKETCH_BYTES, orders)):
-            held = F.shiftleft(held, 8).bitwiseOR(F.col(f"s{k}").bitwiseAND(F.lit(255)))
+            held = F.shiftleft(held, 8).bitwiseOR(F.col(f"s{k}").cast("long").bitwiseAND(F.lit(255).cast("long")))
         longs.append(held.alias(f"t{len(longs)}"))
     return F.struct(*longs)
 
 
-def agreeing(a: Column, b: Column, orders: int = BANDS * ROWS) -> Column:
+def agreeing(a: Column, b: Column, orders: int = HASHES * ROWS) -> Column:
     """How many bytes of two sketches are the same."""
     low = F.lit(int("7f" * SKETCH_BYTES, 16))
     same = F.lit(0)
@@ -134,31 +158,34 @@ def agree(a: Column, b: Column) -> Column:
     return agreeing(a, b) >= AGREEING
 
 
-def keyed(signed: DataFrame, sets: list[tuple[int, ...]] = SETS) -> DataFrame:
-    """(near, same, seed, sketch, keys) of every signature; a key is made of the minima of a band's set."""
-    keys = [
-        F.xxhash64(F.lit(b) + len(sets) * F.col("seed"), *[F.col(f"s{k}") for k in chosen])
-        for b, chosen in enumerate(sets)
-    ]
-    shown = F.col("both") if "both" in signed.columns else sketch()
-    return signed.select("near", "same", "seed", shown.alias("sketch"), F.array(*keys).alias("keys"))
+def keyed(held: DataFrame, sets: list[tuple[int, ...]], chosen: range) -> DataFrame:
+    """(near, seed, key): keys of some of the bands of every signature, made of the minima of a band's set."""
+    keys = [F.xxhash64(F.lit(b) + len(sets) * F.col("seed"), *[F.col(f"s{k}") for k in sets[b]]) for b in chosen]
+    return held.select("near", "seed", F.explode(F.array(*keys)).alias("key"))
 
 
 def members(signed: DataFrame, sets: list[tuple[int, ...]] = SETS) -> DataFrame:
     """(key, near, same, sketch, first, n): each line of a band bucket, the bucket's least and size.
 
     Most buckets hold one line. Keys are therefore shuffled with a number for the line alone,
-    and what else is known of a line is joined to the keys that lines share. Two lines with
-    one number would be in each other's buckets, where comparing tells them apart.
+    some bands at a time, and what else is known of a line is joined to the keys that lines
+    share. Of a minimum the last half is kept. Two lines with one number or key would be in each
+    other's buckets, where comparing tells them apart.
     """
-    held = stored(keyed(signed, sets), "keyed")
-    keys = held.select("near", "seed", F.explode("keys").alias("key")).repartition("key")
-    several = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stored(keys.join(several.hint("shuffle_hash"), "key").select("key", "near", "seed"), "shared")
-    rows = shared.join(held.drop("keys").hint("shuffle_hash"), ["near", "seed"]).drop("seed").repartition("key")
+    minima = [F.shiftright(F.shiftleft(f"s{k}", 32), 32).cast("int").alias(f"s{k}") for k in range(HASHES * ROWS)]
+    known = ["near", "same", "seed", *(["both"] if "both" in signed.columns else [])]
+    held = stored(signed.select(*known, *minima), "keyed")
+    shared = []
+    for start in range(0, len(sets), AT_ONCE):
+        keys = keyed(held, sets, range(start, min(start + AT_ONCE, len(sets)))).repartition("key")
+        several = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        shared.append(stored(keys.join(several.hint("shuffle_hash"), "key").select("key", "near", "seed"), "shared"))
+    shown = F.col("both") if "both" in held.columns else sketch()
+    lines = held.select("near", "same", "seed", shown.alias("sketch"))
+    rows = reduce(DataFrame.unionAll, shared).join(lines.hint("shuffle_hash"), ["near", "seed"]).drop("seed").repartition("key")
     buckets = rows.groupBy("key").agg(F.min(F.struct("near", "same", "sketch")).alias("first"), F.count("*").alias("n"))
     found = stored(rows.join(buckets.hint("shuffle_hash"), "key"), "members")
-    forget(held, shared)
+    forget(held, *shared)
     return found
 
 
@@ -268,7 +295,7 @@ def many_pairs(lines: DataFrame, apart: DataFrame, few: int | None = None) -> Da
         F.first("text").alias("text"), F.first("sketch").alias("sketch"), F.first("component").alias("component")
     )
     texts = texts.select(F.col("line").alias("named"), F.col("text").alias("line"), "sketch", "component")
-    texts = texts.withColumn("n", F.size(F.array_distinct(shingles("line"))))
+    texts = evenly(texts, "named").withColumn("n", F.size(F.array_distinct(shingles("line"))))
     texts = stored(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
     prefix = stored(rarest(texts), "rarest")
     part = F.xxhash64("component").alias("part")
@@ -368,6 +395,11 @@ def further_pairs(lines: DataFrame, found: DataFrame, apart: DataFrame, groups:
     return pairs
 
 
+def evenly(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over all shuffle partitions, also when they are few: each takes long."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def similar(a: Column, b: Column, n: Column, m: Column) -> Column:
     """Whether lists of shingles, n and m different ones, have a Jaccard similarity of 0.8 or more.
 
@@ -384,7 +416,7 @@ def verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     wanted = pairs.select(F.col("near").alias("n")).unionAll(pairs.select("first")).distinct()
     texts = lines.select("near", "line", "same").join(wanted.hint("shuffle_hash"), lines["near"] == wanted["n"])
-    texts = texts.select("near", "same", "line").distinct()
+    texts = evenly(texts.select("near", "same", "line").distinct(), "near")
     texts = stored(texts.withColumn("size", F.size(F.array_distinct(shingles("line")))), "texts")
     # Lines whose sizes are too far apart cannot be similar; no text is read for these.
     sizes = texts.select("near", "same", "size")
@@ -413,10 +445,14 @@ def _linked(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links of the first pass, their components, and links between these with their ends.
 
     First every member of a bucket is compared with the bucket's least line. Then all lines of
-    buckets that still hold several components are compared with those of the other ones. What
-    is not read any more is removed.
+    buckets that still hold several components are compared with those of the other ones. The
+    texts of lines that share a bucket are read once and kept, and what is not read any more is
+    removed.
     """
     found = members(signatures(lines))
+    wanted = found.select(F.col("near").alias("n")).distinct()
+    shared = lines.select("near", "same", "line").join(wanted.hint("shuffle_hash"), lines["near"] == wanted["n"])
+    lines = stored(shared.select("near", "same", "line").distinct(), "lines")
     near = (F.col("same") != F.col("first.same")) & agree(F.col("sketch"), F.col("first.sketch"))
     pairs = found.where(near).select(
         F.col("first.near").alias("first"), F.col("first.same").alias("a"), "near", F.col("same").alias("b")
@@ -436,7 +472,7 @@ def _linked(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     further = stored(few.unionAll(many).distinct(), "pairs")
     forget(few, many)
     across = verified(lines, further)
-    forget(further)
+    forget(further, lines)
     return stars, groups, across
 
 

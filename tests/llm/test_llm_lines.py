@@ -234,3 +234,24 @@ def test_similar_lines_are_listed_once_in_finer_buckets(make_docs, prose, monkey
     names = {r.same: r.line for r in lines.select("same", "line").collect()}
     assert wanted <= {frozenset((names[bytes(r.a)], names[bytes(r.b)])) for r in found}
     assert len(wanted) > 20 and len(listed) == len(set(listed))
+
+
+def test_unlike_lines_of_few_words_seldom_share_a_band(make_docs):
+    """Long lines of one small vocabulary share a fifth of their shingles, and hardly a band."""
+    rng = random.Random(23)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(150)]
+    texts = [" ".join(rng.choices(words, k=160)) for _ in range(200)]
+    ones = [grams(x) for x in texts[:40]]
+    shares = [len(a & b) / len(a | b) for k, a in enumerate(ones) for b in ones[:k]]
+    assert 0.15 < sum(shares) / len(shares) < 0.3
+    lines = line_dedup.lines_of(make_docs(*enumerate(texts)))
+    found = line_dedup.members(line_dedup.signatures(lines))
+    assert found.where("n > 4").count() < 20
+
+
+def test_similar_lines_meet_in_a_band():
+    """Minima of lines that share 0.8 and 0.85 of their shingles agree with that probability."""
+    rng = random.Random(29)
+    for share, most in ((0.8, 0.0045), (0.85, 0.001)):
+        same = [{k for k in range(line_dedup.HASHES * line_dedup.ROWS) if rng.random() < share} for _ in range(20_000)]
+        assert sum(not any(same_set.issuperset(x) for x in line_dedup.SETS) for same_set in same) < most * len(same)
