@@ -22,6 +22,13 @@ SIMILAR_PARTS, PARTS = 4, 5
 HASHES = 8
 ROWS = 4
 
+# Shingles of a line that are hashed in one row, and hashes that one number gives by turning it.
+BLOCK = 16
+TURNS = 4
+
+# Minima of a signature.
+ORDERS = HASHES * ROWS
+
 # Masks that turn one hash into several orders: each has another quarter of all 64-bit
 # numbers come first.
 MASKS = [(0x1E3779B97F4A7C15 + (k << 62)) - (1 << 63) for k in range(ROWS)]
@@ -29,7 +36,6 @@ MASKS = [(0x1E3779B97F4A7C15 + (k << 62)) - (1 << 63) for k in range(ROWS)]
 # Minima of a pair of a band that have to agree, by their last bytes, before its texts are
 # compared. Two lines that share 0.8 of their shingles have fewer with probability 0.0006.
 AGREEING = 18
-SKETCH_BYTES = 7
 
 
 def _spread(bands: int, size: int, orders: int, tries: int = 100) -> list[tuple[int, ...]]:
@@ -47,7 +53,7 @@ def _spread(bands: int, size: int, orders: int, tries: int = 100) -> list[tuple[
 # lines of one language do, would meet in bands of three, the more the more lines there are. Two
 # lines that share 0.8 of their shingles meet in a band with probability 0.997, those that share
 # 0.85 with 0.9997.
-SETS = _spread(28, 5, HASHES * ROWS)
+SETS = _spread(28, 5, ORDERS)
 
 # Bands whose keys are shuffled at once.
 AT_ONCE = 7
@@ -61,7 +67,7 @@ AGREEING_IN_TWO = 41
 
 # Finer bands of a further signature, of eight of its minima each. Two lines that share 0.8
 # meet in one of the 60 with probability 0.998, two that share 0.5 with 0.2.
-FINE_SETS = _spread(20, 8, HASHES * ROWS)
+FINE_SETS = _spread(20, 8, ORDERS)
 
 # Lines up to which those of a finer bucket are all compared: more than by chance share their
 # shingles there, and are told apart by their rarest ones.
@@ -70,6 +76,9 @@ FINE_FEW = 32
 # Pairs of one line that a task compares.
 SHARE = 1024
 
+# Words of 64 bits in which the numbers of wanted lines are marked, at the most.
+WORDS = 1 << 18
+
 
 def _encoded(line: str, size: int = SHINGLE_CHARS) -> Column:
     """A line as units of UTF-16, filled up to ``size`` of them at the least."""
@@ -97,59 +106,72 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """One row a line with a word: its document, position and two hashes of its text."""
     split = docs.select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")))
     lines = split.withColumnsRenamed({"col": "line"}).where(F.col("line").rlike(WORD))
-    return lines.withColumn("near", F.xxhash64("line")).withColumn("same", F.unhex(F.md5("line")))
+    return lines.withColumn("near", F.xxhash64("line")).withColumn("same", _same("line"))
+
+
+def _same(line: str) -> Column:
+    return F.unhex(F.md5(line))
 
 
 def signatures(lines: DataFrame, seeds: range = range(1)) -> DataFrame:
-    """(near, same, seed, s0, s1, ...): minima of the hashes of all shingles of a line in several orders.
+    """(near, same, seed, copies, s0, s1, ...): minima of the hashes of all shingles of a line in several orders.
 
-    Every seed gives a line another signature.
+    Every seed gives a line another signature; ``copies`` is how often the line is there.
 
-    Orders are made of several hashes, with several masks each. Lines are bound by ``inline``,
-    so that they are encoded once and not at every shingle, and shingles are aggregated where
-    they arise, so that one row a line is shuffled. ``same`` is grouped as two numbers, for
-    which Spark has a faster map than for bytes.
+    Shingles are taken BLOCK at a time, the last one again where a line has no more, and of the
+    hashes of a block the least in each order goes on. A hash is turned by quarters of its bits to
+    give several, whose first bits decide their orders, and each of these has several masks. Lines
+    are bound by ``inline``, so that they are encoded once, and aggregated where they arise, so that
+    one row a line is shuffled. ``same`` is grouped as two numbers, for which Spark has a faster map
+    than for bytes.
     """
     high, low = (F.conv(F.hex(F.substring("same", k, 8)), 16, -10).cast("long") for k in (1, 9))
     bound = lines.select(F.inline(F.array(F.struct("near", high.alias("high"), low.alias("low"), _encoded("line").alias("e")))))
-    starts = F.sequence(F.lit(1), F.octet_length("e") - (2 * SHINGLE_CHARS - 1), F.lit(2))
-    seeded = bound.withColumn("seed", F.explode(F.array(*map(F.lit, seeds))) if len(seeds) > 1 else F.lit(seeds[0]))
     line = ["near", "high", "low", "seed"]
-    placed = seeded.select(*line, "e", F.explode(starts).alias("i"))
-    run = F.substring("e", F.col("i"), F.lit(2 * SHINGLE_CHARS))
-    hashed = placed.select(*line, F.xxhash64(run).alias("h"))
-    numbers = [F.xxhash64(F.lit(b) + HASHES * F.col("seed"), "h").alias(f"h{b}") for b in range(HASHES)]
-    words = hashed.select(*line, *numbers)
-    least = [
-        F.min(F.col(f"h{b}").bitwiseXOR(F.lit(MASKS[r]))).alias(f"s{b * ROWS + r}")
-        for b in range(HASHES)
-        for r in range(ROWS)
-    ]
+    seeded = bound.withColumn("seed", F.explode(F.array(*map(F.lit, seeds))) if len(seeds) > 1 else F.lit(seeds[0]))
+    placed = seeded.select(*line, "e", (F.shiftright(F.octet_length("e"), 1) - SHINGLE_CHARS).alias("last"))
+    placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(BLOCK))).alias("i"))
+    starts = [F.least(F.col("i") + j, F.col("last")) * 2 + 1 for j in range(BLOCK)]
+    runs = [F.xxhash64(F.substring("e", start, F.lit(2 * SHINGLE_CHARS))).alias(f"h{j}") for j, start in enumerate(starts)]
+    hashed = placed.select(*line, (F.col("i") == 0).cast("long").alias("start"), *runs)
+    calls = range(HASHES // TURNS)
+    again = [F.xxhash64(F.lit(c) + len(calls) * F.col("seed"), f"h{j}").alias(f"g{c}_{j}") for c in calls for j in range(BLOCK)]
+    words = hashed.select(*line, "start", *again)
+    least = []
+    for b in range(HASHES):
+        turned = [_turned(f"g{b // TURNS}_{j}", 64 // TURNS * (b % TURNS)) for j in range(BLOCK)]
+        for r in range(ROWS):
+            ordered = [h.bitwiseXOR(F.lit(MASKS[r])) for h in turned]
+            least.append(F.min(F.least(*ordered)).alias(f"s{b * ROWS + r}"))
     same = F.unhex(F.concat(*[F.lpad(F.hex(x), 16, "0") for x in ("high", "low")])).alias("same")
-    return words.groupBy(*line).agg(*least).select("near", same, "seed", *[f"s{k}" for k in range(HASHES * ROWS)])
+    found = words.groupBy(*line).agg(F.sum("start").alias("copies"), *least)
+    return found.select("near", same, "seed", "copies", *[f"s{k}" for k in range(ORDERS)])
+
 
+def _turned(h: str, bits: int) -> Column:
+    """A 64-bit number with its bits turned to the left."""
+    return F.shiftleft(h, bits).bitwiseOR(F.shiftrightunsigned(h, 64 - bits)) if bits else F.col(h)
 
-def sketch(orders: int = HASHES * ROWS) -> Column:
-    """The last byte of every minimum, some to a long so that its sign bit stays clear."""
-    longs = []
-    for start in range(0, orders, SKETCH_BYTES):
-        held = F.lit(0).cast("long")
-        for k in range(start, min(start + SKETCH_BYTES, orders)):
-            held = F.shiftleft(held, 8).bitwiseOR(F.col(f"s{k}").cast("long").bitwiseAND(F.lit(255).cast("long")))
-        longs.append(held.alias(f"t{len(longs)}"))
+
+def sketch(pairs: list[Column] | None = None) -> Column:
+    """The last byte of every minimum, of the columns of minima or of these as ``packed`` pairs them."""
+    ends, longs = F.lit(0xFF000000FF), []
+    pairs = pairs or packed()
+    for start in range(0, len(pairs), 4):
+        held = [F.shiftleft(x.bitwiseAND(ends), 8 * k) for k, x in enumerate(pairs[start : start + 4])]
+        longs.append(reduce(Column.bitwiseOR, held).alias(f"t{len(longs)}"))
     return F.struct(*longs)
 
 
-def agreeing(a: Column, b: Column, orders: int = HASHES * ROWS) -> Column:
+def agreeing(a: Column, b: Column) -> Column:
     """How many bytes of two sketches are the same."""
-    low = F.lit(int("7f" * SKETCH_BYTES, 16))
-    same = F.lit(0)
-    for k in range(-(-orders // SKETCH_BYTES)):
-        there = min(SKETCH_BYTES, orders - k * SKETCH_BYTES)
+    same = F.lit(ORDERS)
+    for k in range(-(-ORDERS // 8)):
         apart = a[f"t{k}"].bitwiseXOR(b[f"t{k}"])
-        # The top bit of every byte that is not 0.
-        other = (apart.bitwiseAND(low) + low).bitwiseOR(apart).bitwiseAND(F.lit(int("80" * SKETCH_BYTES, 16)))
-        same = same + there - F.bit_count(other)
+        # The last bit of every byte that is not 0.
+        for bits, each in ((4, 0x0F), (2, 0x03), (1, 0x01)):
+            apart = apart.bitwiseOR(F.shiftrightunsigned(apart, bits)).bitwiseAND(F.lit(each * 0x0101010101010101))
+        same = same - F.bit_count(apart)
     return same
 
 
@@ -158,49 +180,77 @@ def agree(a: Column, b: Column) -> Column:
     return agreeing(a, b) >= AGREEING
 
 
+def packed() -> list[Column]:
+    """The last halves of the minima, two to a number."""
+    low = F.lit((1 << 32) - 1)
+    return [F.shiftleft(f"s{k}", 32).bitwiseOR(F.col(f"s{k + 1}").bitwiseAND(low)).alias(f"p{k // 2}") for k in range(0, ORDERS, 2)]
+
+
+def pairs_of() -> list[Column]:
+    """The columns of ``packed``."""
+    return [F.col(f"p{k}") for k in range(ORDERS // 2)]
+
+
 def keyed(held: DataFrame, sets: list[tuple[int, ...]], chosen: range) -> DataFrame:
-    """(near, seed, key): keys of some of the bands of every signature, made of the minima of a band's set."""
-    keys = [F.xxhash64(F.lit(b) + len(sets) * F.col("seed"), *[F.col(f"s{k}") for k in sets[b]]) for b in chosen]
-    return held.select("near", "seed", F.explode(F.array(*keys)).alias("key"))
+    """(near, key), and ``seed`` where held has it: keys of some of the bands of every signature, of the minima of a band's set."""
+    names = ["near", *(["seed"] if "seed" in held.columns else [])]
+    seed = F.col("seed") if "seed" in held.columns else F.lit(0)
+
+    def half(k: int) -> Column:
+        return F.col(f"p{k // 2}").bitwiseAND(F.lit((1 << 32) - 1)) if k % 2 else F.shiftright(f"p{k // 2}", 32)
+
+    keys = [F.xxhash64(F.lit(b) + len(sets) * seed, *[half(k) for k in sets[b]]) for b in chosen]
+    return held.select(*names, F.explode(F.array(*keys)).alias("key"))
+
+
+def buckets(held: DataFrame, sets: list[tuple[int, ...]]) -> list[DataFrame]:
+    """(key, near, first, n), and ``seed`` where held has it: lines that share a key, its least line and their number.
+
+    Most keys are those of one line. They are shuffled with a number for the line alone, some bands
+    at a time. Of two lines of a key only the greater is given, as the other is ``first``.
+    """
+    shared, of_key = [], Window.partitionBy("key")
+    for start in range(0, len(sets), AT_ONCE):
+        keys = keyed(held, sets, range(start, min(start + AT_ONCE, len(sets)))).repartition("key")
+        rows = keys.select("*", F.min("near").over(of_key).alias("first"), F.count("*").over(of_key).alias("n"))
+        shared.append(stored(rows.where("n > 2 or near > first"), "shared"))
+    return shared
 
 
 def members(signed: DataFrame, sets: list[tuple[int, ...]] = SETS) -> DataFrame:
-    """(key, near, same, sketch, first, n): each line of a band bucket, the bucket's least and size.
+    """(key, near, same, sketch, first, n): lines of ``buckets`` with what else is known of them and of the least line.
 
-    Most buckets hold one line. Keys are therefore shuffled with a number for the line alone,
-    some bands at a time, and what else is known of a line is joined to the keys that lines
-    share. Of a minimum the last half is kept. Two lines with one number or key would be in each
+    Of a minimum the last half is kept. Two lines with one number or key would be in each
     other's buckets, where comparing tells them apart.
     """
-    minima = [F.shiftright(F.shiftleft(f"s{k}", 32), 32).cast("int").alias(f"s{k}") for k in range(HASHES * ROWS)]
     known = ["near", "same", "seed", *(["both"] if "both" in signed.columns else [])]
-    held = stored(signed.select(*known, *minima), "keyed")
-    shared = []
-    for start in range(0, len(sets), AT_ONCE):
-        keys = keyed(held, sets, range(start, min(start + AT_ONCE, len(sets)))).repartition("key")
-        several = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        shared.append(stored(keys.join(several.hint("shuffle_hash"), "key").select("key", "near", "seed"), "shared"))
-    shown = F.col("both") if "both" in held.columns else sketch()
+    held = stored(signed.select(*known, *packed()), "keyed", plain=True)
+    shared = buckets(held, sets)
+    shown = F.col("both") if "both" in held.columns else sketch(pairs_of())
     lines = held.select("near", "same", "seed", shown.alias("sketch"))
-    rows = reduce(DataFrame.unionAll, shared).join(lines.hint("shuffle_hash"), ["near", "seed"]).drop("seed").repartition("key")
-    buckets = rows.groupBy("key").agg(F.min(F.struct("near", "same", "sketch")).alias("first"), F.count("*").alias("n"))
-    found = stored(rows.join(buckets.hint("shuffle_hash"), "key"), "members")
+    least = lines.select(F.col("near").alias("first"), "seed", F.struct("near", "same", "sketch").alias("least"))
+    rows = reduce(DataFrame.unionAll, shared).join(lines.hint("shuffle_hash"), ["near", "seed"])
+    rows = rows.join(least.hint("shuffle_hash"), ["first", "seed"])
+    found = stored(rows.select("key", "near", "same", "sketch", F.col("least").alias("first"), "n"), "members")
     forget(held, *shared)
     return found
 
 
-def mixed(found: DataFrame, groups: DataFrame) -> DataFrame:
+def mixed(found: DataFrame, groups: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(key, component, line, sketch): the lines of buckets that hold several components.
 
-    Which buckets these are is found from keys and hashes of components alone.
+    Which buckets these are is found from keys and hashes of components alone. ``known`` has
+    (near, same, sketch) of lines where ``found`` has only their key and ``near``.
     """
     part = F.coalesce("component", "same")
-    named = found.select("key", "same").join(groups.hint("shuffle_hash"), found["same"] == groups["node"], "left")
+    alone = found if known is None else found.join(known.select("near", "same").hint("shuffle_hash"), "near")
+    named = alone.select("key", "same").join(groups.hint("shuffle_hash"), F.col("same") == groups["node"], "left")
     named = named.select("key", F.xxhash64(part).alias("part"))
     ends = named.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     several = stored(ends.where("low <> high").select("key"), "several")
-    rows = found.select("key", "near", "same", "sketch").join(several.hint("shuffle_hash"), "key", "left_semi")
-    rows = rows.join(groups.hint("shuffle_hash"), rows["same"] == groups["node"], "left")
+    rows = found.join(several.hint("shuffle_hash"), "key", "left_semi")
+    rows = rows if known is None else rows.join(known.hint("shuffle_hash"), "near")
+    rows = rows.select("key", "near", "same", "sketch").join(groups.hint("shuffle_hash"), F.col("same") == groups["node"], "left")
     line = F.struct("near", "same").alias("line")
     rows = stored(rows.select("key", part.alias("component"), line, "sketch"), "mixed")
     forget(several)
@@ -408,103 +458,146 @@ def similar(a: Column, b: Column, n: Column, m: Column) -> Column:
     return F.size(F.array_intersect(a, b)) * (PARTS + SIMILAR_PARTS) >= (n + m) * SIMILAR_PARTS
 
 
+def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``near`` is wanted, and some others.
+
+    The wanted numbers are marked in at most WORDS words of 64 bits, which every task gets, so that
+    most other rows are left out before anything is shuffled.
+    """
+    word = F.pmod(F.shiftright("near", 6), F.lit(WORDS)).cast("int").alias("word")
+    bit = F.col("near").bitwiseAND(F.lit(63)).cast("int").alias("bit")
+    words = wanted.select(word, bit).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    placed = rows.select("*", word, bit).join(F.broadcast(words), "word")
+    return placed.where(F.getbit("bits", F.col("bit")) == 1).drop("word", "bit", "bits")
+
+
+def texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(near, same, line, size), once, of lines whose ``near`` is one of those wanted, which are different.
+
+    ``size`` is the number of different shingles.
+    """
+    # A join on the numbers dealt evenly, as counting shingles takes long; a semi join would be moved below the marks.
+    some = evenly(marked(lines.select("near", "line"), wanted), "near").join(wanted.hint("shuffle_hash"), "near")
+    texts = some.select("near", _same("line").alias("same"), "line").distinct()
+    return stored(texts.withColumn("size", F.size(F.array_distinct(shingles("line")))), "texts")
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    """(near), once, of both lines of pairs."""
+    return pairs.select("near").unionAll(pairs.select("first")).distinct()
+
+
 def verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b) and what else pairs (first, a, near, b) have, where all shingles are similar.
+    """(a, b) and what else pairs (first, a, near, b) have, where all shingles are similar."""
+    wanted = stored(ends_of(pairs), "wanted")
+    texts = texts_of(lines, wanted)
+    links = compared(texts, pairs)
+    forget(wanted, texts)
+    return links
 
-    Joins that bring long lines to a few numbers are hashed on the numbers, so that no text is
-    sorted; equal lines are merged by hashing.
+
+def compared(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``verified`` with the texts of the lines, each once, and their sizes.
+
+    Lines whose sizes are too far apart cannot be similar. Joins that bring long lines to a few
+    numbers are hashed on the numbers, so that no text is sorted.
     """
-    wanted = pairs.select(F.col("near").alias("n")).unionAll(pairs.select("first")).distinct()
-    texts = lines.select("near", "line", "same").join(wanted.hint("shuffle_hash"), lines["near"] == wanted["n"])
-    texts = evenly(texts.select("near", "same", "line").distinct(), "near")
-    texts = stored(texts.withColumn("size", F.size(F.array_distinct(shingles("line")))), "texts")
-    # Lines whose sizes are too far apart cannot be similar; no text is read for these.
-    sizes = texts.select("near", "same", "size")
-    left = sizes.select(F.col("near").alias("first"), F.col("same").alias("a"), F.col("size").alias("n"))
-    right = sizes.select("near", F.col("same").alias("b"), F.col("size").alias("m"))
-    near = F.least("n", "m") * PARTS >= F.greatest("n", "m") * SIMILAR_PARTS
-    pairs = stored(pairs.join(left, ["first", "a"]).join(right, ["near", "b"]).where(near), "sized")
     # A line with very many pairs has a copy for each share of them.
     shares = pairs.groupBy("first", "a").agg(F.ceil(F.count("*") / SHARE).alias("shares")).where("shares > 1")
     shares = stored(shares, "shares")
     several = F.coalesce("shares", F.lit(1).cast("long"))
     dealt = pairs.join(shares, ["first", "a"], "left").withColumn("share", F.pmod(F.xxhash64("b"), several)).drop("shares")
-    one = texts.select(F.col("near").alias("first"), F.col("same").alias("a"), F.col("line").alias("left"))
+    one = texts.select(F.col("near").alias("first"), F.col("same").alias("a"), F.col("line").alias("left"), F.col("size").alias("n"))
     one = one.join(shares, ["first", "a"], "left").withColumn(
         "share", F.explode(F.sequence(F.lit(0).cast("long"), several - 1))
     ).drop("shares")
-    two = texts.select("near", F.col("same").alias("b"), F.col("line").alias("right"))
+    two = texts.select("near", F.col("same").alias("b"), F.col("line").alias("right"), F.col("size").alias("m"))
     both = one.join(dealt.hint("shuffle_hash"), ["first", "a", "share"]).join(two, ["near", "b"])
+    both = both.where(F.least("n", "m") * PARTS >= F.greatest("n", "m") * SIMILAR_PARTS).drop("share")
     alike = similar(shingles("left"), shingles("right"), F.col("n"), F.col("m"))
-    links = stored(both.where(alike).drop("first", "near", "share", "left", "right", "n", "m"), "verified")
-    forget(texts, pairs, shares)
+    links = stored(both.where(alike).drop("first", "near", "left", "right", "n", "m"), "verified")
+    forget(shares)
     return links
 
 
-def _linked(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links of the first pass, their components, and links between these with their ends.
+def _linked(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Links of the first pass, their components, links between these with their ends, and lines that are there twice.
 
     First every member of a bucket is compared with the bucket's least line. Then all lines of
-    buckets that still hold several components are compared with those of the other ones. The
-    texts of lines that share a bucket are read once and kept, and what is not read any more is
-    removed.
+    buckets that still hold several components are compared with those of the other ones. Texts
+    are read of lines of very large buckets and of pairs whose minima agree alone, and what is not
+    read any more is removed.
     """
-    found = members(signatures(lines))
-    wanted = found.select(F.col("near").alias("n")).distinct()
-    shared = lines.select("near", "same", "line").join(wanted.hint("shuffle_hash"), lines["near"] == wanted["n"])
-    lines = stored(shared.select("near", "same", "line").distinct(), "lines")
-    near = (F.col("same") != F.col("first.same")) & agree(F.col("sketch"), F.col("first.sketch"))
-    pairs = found.where(near).select(
-        F.col("first.near").alias("first"), F.col("first.same").alias("a"), "near", F.col("same").alias("b")
-    )
-    pairs = stored(pairs.distinct(), "pairs")
-    links = verified(lines, pairs)
+    held = stored(signatures(lines).select("near", "same", "copies", *packed()), "keyed", plain=True)
+    found = buckets(held, SETS)
+    known = stored(held.select("near", "same", "copies", sketch(pairs_of()).alias("sketch")), "known", plain=True)
+    forget(held)
+    repeated = stored(known.where("copies > 1").select("near", "same"), "repeated")
+    rows = reduce(DataFrame.unionAll, found)
+    ends = rows.where("near > first").select("first", "near").distinct()
+    one = known.select(F.col("near").alias("first"), F.col("same").alias("a"), F.col("sketch").alias("against"))
+    two = known.select("near", F.col("same").alias("b"), "sketch")
+    pairs = ends.join(one.hint("shuffle_hash"), "first").join(two.hint("shuffle_hash"), "near")
+    pairs = stored(pairs.where(agree(F.col("sketch"), F.col("against"))).select("first", "a", "near", "b"), "pairs")
+    large = rows.where(F.col("n") > FEW).select("near")
+    wanted = stored(ends_of(pairs).unionAll(large).distinct(), "wanted")
+    texts = texts_of(lines, wanted)
+    links = compared(texts, pairs)
     stars = stored(links.select("a", "b"), "stars")
-    forget(pairs, links)
+    forget(pairs, links, wanted)
     groups = stored(connected(stars), "groups")
     # In a bucket of two, its least line was compared with the other one.
-    crowded = mixed(found.where("n > 2"), groups)
-    forget(found)
+    crowded = mixed(rows.where("n > 2").select("key", "near"), groups, known.select("near", "same", "sketch"))
+    forget(known, *found)
     chosen, apart = standing(crowded)
     few = stored(few_pairs(apart, agree(F.col("sketch"), F.col("against"))), "few")
-    many = further_pairs(lines, crowded, apart, groups)
-    forget(crowded, chosen)
-    further = stored(few.unionAll(many).distinct(), "pairs")
-    forget(few, many)
+    further = few
+    if not chosen.where(F.col("m") > FEW).isEmpty():
+        many = further_pairs(texts, crowded, apart, groups)
+        further = stored(few.unionAll(many).distinct(), "pairs")
+        forget(few, many)
+    forget(crowded, chosen, texts)
     across = verified(lines, further)
-    forget(further, lines)
-    return stars, groups, across
+    forget(further)
+    return stars, groups, across, repeated
 
 
 def line_links(lines: DataFrame) -> DataFrame:
     """(a, b): links between lines of different text, verified on all their shingles."""
-    stars, _, across = _linked(lines)
+    stars, _, across, _ = _linked(lines)
     return stars.unionAll(across.select("a", "b"))
 
 
-def line_groups(lines: DataFrame) -> DataFrame:
-    """(node, component): the component of every line that has a link."""
-    _, groups, across = _linked(lines)
-    return regrouped(groups, across)
+def line_groups(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, component): the component of every line that has a link; (near, same): lines that are there twice."""
+    _, groups, across, repeated = _linked(lines)
+    return regrouped(groups, across), repeated
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, version, pos, class, kept) for every line with a word.
 
     The class is the hash of one of its lines; ``kept`` marks its first line, by document id
-    (null ids last), version of the text and position.
+    (null ids last), version of the text and position. Only lines that have a link or are there
+    twice are shuffled and compared by place; the others are their own class.
     """
     lines = lines_of(docs)
-    groups = stored(line_groups(lines), "classes")
+    groups, repeated = line_groups(lines)
+    groups = stored(groups, "classes")
+    several = repeated.select("same").unionAll(groups.select("node")).distinct()
+    several = several.join(groups.hint("shuffle_hash"), F.col("same") == F.col("node"), "left")
+    several = stored(several.select("same", F.coalesce("component", "same").alias("class")), "several")
     places = lines.select("doc_id", "version", "pos", "same")
-    named = places.join(groups.hint("shuffle_hash"), places["same"] == groups["node"], "left").select(
-        "doc_id", "version", "pos", F.coalesce("component", "same").alias("class")
-    )
+    number = F.xxhash64("same").alias("near")
+    some = marked(places.select("*", number), several.select(number))
+    named = some.join(several.hint("shuffle_hash"), "same").select("doc_id", "version", "pos", "class")
     named = stored(named, "places")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "pos")
     first = named.groupBy("class").agg(F.min(place).alias("first"))
-    kept = place.eqNullSafe(F.col("first"))
-    return named.join(first, "class").select("doc_id", "version", "pos", "class", kept.alias("kept"))
+    kept = place.eqNullSafe(F.col("first")).alias("kept")
+    judged = named.join(first, "class").select("doc_id", "version", "pos", "class", kept)
+    alone = places.join(several.hint("shuffle_hash"), "same", "left_anti")
+    return judged.unionAll(alone.select("doc_id", "version", "pos", F.col("same").alias("class"), F.lit(True).alias("kept")))
 
 
 def _without(text: Column, drop: Column) -> Column:

@@ -255,3 +255,33 @@ def test_similar_lines_meet_in_a_band():
     for share, most in ((0.8, 0.0045), (0.85, 0.001)):
         same = [{k for k in range(line_dedup.HASHES * line_dedup.ROWS) if rng.random() < share} for _ in range(20_000)]
         assert sum(not any(same_set.issuperset(x) for x in line_dedup.SETS) for same_set in same) < most * len(same)
+
+
+def test_signatures_take_in_every_shingle(make_docs, prose):
+    """Minima are those of all shingles for lines of any length, and copies are counted."""
+    text = prose(31, 40)
+    texts = [text[-n:] for n in range(1, 70)] + [text]
+    lines = line_dedup.lines_of(make_docs(*enumerate(texts + texts[::2])))
+    orders = [(b, r) for b in (1, line_dedup.HASHES - 1) for r in (0, line_dedup.ROWS - 1)]
+
+    def least(b, r):
+        bits, mask = 64 // line_dedup.TURNS * (b % line_dedup.TURNS), F.lit(line_dedup.MASKS[r])
+        ordered = F.transform(
+            line_dedup.shingles("line"),
+            lambda h: line_dedup._turned(F.xxhash64(F.lit(b // line_dedup.TURNS), h), bits).bitwiseXOR(mask),
+        )
+        return F.array_min(ordered).alias(f"s{b * line_dedup.ROWS + r}")
+
+    wanted = lines.groupBy("near", "same", "line").agg(F.count("*").alias("copies"))
+    wanted = wanted.select("near", "same", "copies", *[least(b, r) for b, r in orders])
+    found = line_dedup.signatures(lines).select(wanted.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    assert found.count() == len({x for x in texts if x.strip()})
+
+
+def test_texts_of_other_lines_are_not_shuffled(spark):
+    """All rows that are wanted stay, and hardly any other one."""
+    rows = spark.range(20_000).select("id", F.xxhash64("id").alias("near"))
+    wanted = rows.where("id % 100 = 0")
+    found = {r.id for r in line_dedup.marked(rows, wanted.select("near")).collect()}
+    assert found.issuperset(range(0, 20_000, 100)) and len(found) < 250
